@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from rivulet.llm import line_dedup, mixing
+from rivulet.llm import line_dedup, mixing, packing
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op2_pack": packing.op2_pack,
         "op10_mix": mixing.op10_mix,
     }
 
