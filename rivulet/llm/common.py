@@ -54,3 +54,12 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tidy(spark: SparkSession) -> None:
+    """Shuffle files go when the query that made them ends, instead of whenever the driver collects its garbage."""
+    for name in ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.shuffleDependency.fileCleanup.enabled"):
+        try:
+            spark.conf.set(name, "true")
+        except Exception:  # a version without the setting
+            continue

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from rivulet.llm import line_dedup, mixing, packing
+from rivulet.llm import language_id, line_dedup, mixing, packing, substring_dedup
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_pack": packing.op2_pack,
+        "op7_language_id": language_id.op7_language_id,
+        "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mix": mixing.op10_mix,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_line_dedup": line_dedup.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op9_substring_dedup": substring_dedup.SQL}
