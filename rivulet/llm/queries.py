@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rivulet.llm import language_id, line_dedup, mixing, packing, substring_dedup
+from rivulet.llm import language_id, line_dedup, mixing, packing, substring_dedup, token_count
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_pack": packing.op2_pack,
         "op7_language_id": language_id.op7_language_id,
+        "op8_token_count": token_count.op8_token_count,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mix": mixing.op10_mix,
     }
