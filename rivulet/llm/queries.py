@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rivulet.llm import language_id, line_dedup, mixing, packing, substring_dedup, token_count
+from rivulet.llm import language_id, line_dedup, mixing, near_dedup, packing, substring_dedup, token_count
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_pack": packing.op2_pack,
+        "op6_near_dedup": near_dedup.op6_near_dedup,
         "op7_language_id": language_id.op7_language_id,
         "op8_token_count": token_count.op8_token_count,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
