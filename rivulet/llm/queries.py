@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from rivulet.llm import language_id, line_dedup, mixing, near_dedup, packing, substring_dedup, token_count
+from rivulet.llm import (
+    fingerprints,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    secrets,
+    substring_dedup,
+    token_count,
+)
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_pack": packing.op2_pack,
+        "op3_secrets": secrets.op3_secrets,
+        "op4_fingerprints": fingerprints.op4_fingerprints,
+        "op5_nearest": neighbours.op5_nearest,
         "op6_near_dedup": near_dedup.op6_near_dedup,
         "op7_language_id": language_id.op7_language_id,
         "op8_token_count": token_count.op8_token_count,
