@@ -9,6 +9,9 @@ lines per document divided by the ratio), so they become one array a site. That
 broadcast when its measured size is small; otherwise each site's array is repeated over ``salts`` salts and the
 documents of a hot site spread over as many tasks.
 
+The default ratio of 0.08 leaves alone a text that is copied into a twentieth of a site's documents: those copies are
+for near-duplicate detection to find, and would otherwise all lose their lines.
+
 Defined results. Null text: kept as null, no lines. Null site: a site of its own. Empty lines (after trimming) are
 never boilerplate. A line repeated inside one document counts once. Repeated rows count as documents of their own.
 Extra columns pass through; names starting with ``__`` are reserved for the operator.
@@ -32,7 +35,7 @@ def _digest(line: Column) -> Column:
 
 
 def boilerplate(
-    docs: DataFrame, *, text: str = "text", site: str = "source", max_ratio: float = 0.02, min_pages: int = 5
+    docs: DataFrame, *, text: str = "text", site: str = "source", max_ratio: float = 0.08, min_pages: int = 5
 ) -> DataFrame:
     """One row per (site, line digest) above the ratio: ``__site, pages, site_pages, a, b``."""
     base = docs.select(F.col(site).alias("__site"), F.col(text).alias("__text"))
@@ -59,7 +62,7 @@ def drop_boilerplate(
     *,
     text: str = "text",
     site: str = "source",
-    max_ratio: float = 0.02,
+    max_ratio: float = 0.08,
     min_pages: int = 5,
     salts: int = 64,
     detail: bool = False,
@@ -130,7 +133,7 @@ l AS (SELECT DISTINCT doc_id, source, trim(u) AS line FROM (SELECT doc_id, sourc
 bad AS (
   SELECT l.source, l.line FROM l JOIN tot ON l.source IS NOT DISTINCT FROM tot.source
   WHERE l.line <> '' GROUP BY l.source, l.line, tot.n
-  HAVING count(*) >= 5 AND count(*) > 0.02 * tot.n),
+  HAVING count(*) >= 5 AND count(*) > 0.08 * tot.n),
 g AS (SELECT source, list(line) AS bl FROM bad GROUP BY source)
 SELECT d.doc_id,
   coalesce(len(d.ls), 0)::BIGINT AS n_lines,

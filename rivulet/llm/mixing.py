@@ -203,6 +203,20 @@ def mixed(
     )
 
 
+def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """``docs`` as the mix takes them: every row as often as its copies say."""
+    m = stored(mixed(docs, key=key, text=text, source=source, **options), "mixed")
+    rows, most = m.agg(F.count(F.lit(1)), F.max("dup")).first()
+    m = m.filter("copies > 0").select(F.col("key").alias("__k"), F.col("source").alias("__s"), F.col("size").alias("__n"), F.col("dup").alias("__i"), F.col("copies").alias("__c"))
+    named = docs.withColumn("__size", n_words(F.col(text)))
+    on = F.col(key).eqNullSafe(F.col("__k")) & F.col(source).eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__n"))
+    if most:  # rows that share key, source and size take the copies in the order of their texts
+        named = named.withColumn("__dup", F.row_number().over(Window.partitionBy(key, source, "__size").orderBy(text)) - 1)
+        on = on & (F.col("__dup") == F.col("__i"))
+    joined = named.join(sized(m, rows, 64), on)
+    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__c"))).alias("__x")).select(*docs.columns)
+
+
 def op10_mix(spark, sf_dir: str) -> DataFrame:
     """Query: each document's share in the mix."""
     m = mixed(table(spark, sf_dir, "documents"))

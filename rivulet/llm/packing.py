@@ -261,14 +261,14 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return out
 
 
-def pack(pieces: DataFrame, *, capacity: int = 1024, bucket_rows: int = 50_000) -> DataFrame:
+def pack(pieces: DataFrame, *, capacity: int = 1024, bucket_rows: int = 500, max_buckets: int = 4096) -> DataFrame:
     """``pieces`` (with ``key, piece, length``; read more than once) with ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     rows = plan(counts, capacity)
     where = spark.createDataFrame(rows, "s_ long, first_ long, end_ long, seq_ long, offset long") if rows else spark.createDataFrame(
         [], "s_ long, first_ long, end_ long, seq_ long, offset long")
-    n_buckets = max(1, -(-max(counts.values(), default=0) // bucket_rows))
+    n_buckets = min(max_buckets, max(1, -(-max(counts.values(), default=0) // bucket_rows)))
     named = pieces.withColumn("__b", F.pmod(F.xxhash64("key", "piece", "ids_crc32"), F.lit(n_buckets)))
     before = (
         named.groupBy("length", "__b")
