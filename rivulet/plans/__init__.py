@@ -1 +1 @@
-"""plans of the library."""
+"""Named queries over the test tables and their SQL forms."""
