@@ -111,13 +111,13 @@ SELECT page_id, orient, line, run::BIGINT AS run, min(lo) AS lo, max(hi) AS hi,
 
 
 def sheet_bands(spark, d):
-    cells = V.segments(spark, d).filter("orient = 'H' AND seg_id % 7 = 0").selectExpr("page_id", "CAST(floor(coord) AS BIGINT) AS cell")
+    cells = V.segments(spark, d, 2003).filter("orient = 'H'").selectExpr("page_id", "CAST(floor(coord) AS BIGINT) AS cell")
     return intervals.bands(cells, PAGE, 12, 20)
 
 
 BANDS_SQL = with_views(
-    "seg",
-    """, c AS (SELECT DISTINCT page_id, CAST(floor(coord) AS BIGINT) AS cell FROM seg WHERE orient = 'H' AND seg_id % 7 = 0),
+    "sheet",
+    """, c AS (SELECT DISTINCT page_id, CAST(floor(coord) AS BIGINT) AS cell FROM sheet WHERE orient = 'H'),
 g AS (SELECT *, cell - lag(cell) OVER (PARTITION BY page_id ORDER BY cell) - 1 AS gap FROM c),
 b AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap >= 12 THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY cell) AS band FROM g),
 r AS (SELECT page_id, band::BIGINT AS band, min(cell) AS first, max(cell) AS last FROM b GROUP BY ALL HAVING max(cell) - min(cell) + 1 > 20),
@@ -127,14 +127,14 @@ SELECT page_id, band, first, last, n > 1 AND len > 1.5 * max(CASE WHEN rn = n //
 
 
 def interval_meet(spark, d):
-    r = intervals.runs(V.segments(spark, d).filter("seg_id % 11 = 0"), ORIENT, 0.0)
+    r = intervals.runs(V.segments(spark, d, 2003), ORIENT, 0.0)
     h, v = (r.filter(F.col("orient") == o).select("page_id", "lo", "hi") for o in "HV")
     return intervals.meet(h, v, PAGE)
 
 
 MEET_SQL = with_views(
-    "seg",
-    """, w AS (SELECT *, max(hi) OVER (PARTITION BY page_id, orient ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM seg WHERE seg_id % 11 = 0),
+    "sheet",
+    """, w AS (SELECT *, max(hi) OVER (PARTITION BY page_id, orient ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM sheet),
 n AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach THEN 1 ELSE 0 END) OVER (PARTITION BY page_id, orient ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM w),
 r AS (SELECT page_id, orient, run, min(lo) AS lo, max(hi) AS hi FROM n GROUP BY ALL)
 SELECT a.page_id, greatest(a.lo, b.lo) AS lo, least(a.hi, b.hi) AS hi FROM r a JOIN r b ON a.page_id = b.page_id AND a.orient = 'H' AND b.orient = 'V' WHERE least(a.hi, b.hi) > greatest(a.lo, b.lo)""",
@@ -166,15 +166,15 @@ SELECT s.page_id, s.orient, min(s.coord) AS coord FROM seg s JOIN f USING (page_
 
 
 def row_chains(spark, d):
-    s = V.segments(spark, d).filter("seg_id % 5 = 0").select("page_id", "orient", "coord").distinct()
-    return intervals.gap_chains(s, ORIENT, "coord", 4.0, 3)
+    s = V.segments(spark, d, 2003).select("page_id", "orient", "coord").distinct()
+    return intervals.gap_chains(s, ORIENT, "coord", 24.0, 3)
 
 
 CHAINS_SQL = with_views(
-    "seg",
-    """, s AS (SELECT DISTINCT page_id, orient, coord FROM seg WHERE seg_id % 5 = 0),
+    "sheet",
+    """, s AS (SELECT DISTINCT page_id, orient, coord FROM sheet),
 g AS (SELECT *, lag(coord) OVER (PARTITION BY page_id, orient ORDER BY coord) AS p FROM s),
-c AS (SELECT *, sum(CASE WHEN p IS NULL OR coord - p >= 4.0 THEN 1 ELSE 0 END) OVER (PARTITION BY page_id, orient ORDER BY coord) AS ch FROM g)
+c AS (SELECT *, sum(CASE WHEN p IS NULL OR coord - p >= 24.0 THEN 1 ELSE 0 END) OVER (PARTITION BY page_id, orient ORDER BY coord) AS ch FROM g)
 SELECT page_id, orient, min(coord) AS first, max(coord) AS last, count(*) AS n FROM c GROUP BY page_id, orient, ch HAVING count(*) >= 3""",
 )
 
@@ -301,14 +301,14 @@ QUALIFY row_number() OVER (PARTITION BY page_id, box_id ORDER BY up DESC, CASE W
 
 
 def cell_of_label(spark, d):
-    pts = V.boxes(spark, d).filter("box_id % 10 = 0").selectExpr("page_id", "box_id", "x0 AS x", "y0 AS y")
-    lines = V.segments(spark, d).filter("seg_id % 13 = 0").selectExpr("page_id % 5 AS page_id", "orient", "coord", "lo", "hi")
+    pts = V.boxes(spark, d).selectExpr("box_id % 2003 AS page_id", "box_id", "x0 AS x", "y0 AS y")
+    lines = V.segments(spark, d, 2003)
     return joins.span_lines(pts, lines, PAGE, "box_id")
 
 
 CELL_SQL = with_views(
-    "box seg",
-    """, p AS (SELECT page_id, box_id, x0 AS x, y0 AS y FROM box WHERE box_id % 10 = 0), l AS (SELECT page_id % 5 AS page_id, orient, coord AS c, lo, hi FROM seg WHERE seg_id % 13 = 0)
+    "box sheet",
+    """, p AS (SELECT box_id % 2003 AS page_id, box_id, x0 AS x, y0 AS y FROM box), l AS (SELECT page_id, orient, coord AS c, lo, hi FROM sheet)
 SELECT p.page_id, p.box_id, max(c) FILTER (orient = 'V' AND c <= x) AS "left", min(c) FILTER (orient = 'V' AND c > x) AS "right", max(c) FILTER (orient = 'H' AND c <= y) AS top, min(c) FILTER (orient = 'H' AND c > y) AS bottom
 FROM p LEFT JOIN l ON p.page_id = l.page_id AND CASE WHEN orient = 'V' THEN y ELSE x END BETWEEN lo - 0.8 AND hi + 0.8 GROUP BY ALL""",
 )

@@ -14,10 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Axis-parallel segments: ``page_id, seg_id, orient, coord, lo, hi``."""
+def segments(spark: SparkSession, sf_dir: str, pages: int = 97) -> DataFrame:
+    """Axis-parallel segments: ``page_id, seg_id, orient, coord, lo, hi``; more pages make sparser ones."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey % 97 AS page_id",
+        f"l_orderkey % {pages} AS page_id",
         "l_orderkey * 10 + l_linenumber AS seg_id",
         "CASE WHEN l_linestatus = 'O' THEN 'H' ELSE 'V' END AS orient",
         "CAST((7 * l_partkey) % 500 AS DOUBLE) + CAST(l_linenumber AS DOUBLE) / 10 AS coord",
@@ -105,6 +105,9 @@ SQL = {
 }
 
 
+SQL["sheet"] = SQL["seg"].replace("% 97", "% 2003")
+
+
 def with_views(names: str, rest: str) -> str:
     """SQL with the named views in front; ``rest`` may go on with more of the WITH list (starting with a comma)."""
     return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({SQL[n]})" for n in names.split()) + "\n" + rest
