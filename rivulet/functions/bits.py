@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 
 def dilate(grid: Column, n: int) -> Column:
@@ -49,7 +50,7 @@ def coverage(a: list[Column], a_wide: list[Column], b: list[Column], b_wide: lis
     return F.least(both(a, b_wide) / F.greatest(F.lit(1), total(a)), both(b, a_wide) / F.greatest(F.lit(1), total(b)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def pack(grids: pd.Series) -> pd.Series:
     """Base64 of the packed bits of 40 x 40 planes, row by row, first cell in the highest bit."""
     import base64
@@ -61,7 +62,7 @@ def pack(grids: pd.Series) -> pd.Series:
     return grids.map(lambda g: None if g is None else one(g))
 
 
-@F.pandas_udf("array<bigint>")
+@F.pandas_udf(ArrayType(LongType()))
 def unpack(texts: pd.Series) -> pd.Series:
     """The inverse of ``pack``."""
     import base64

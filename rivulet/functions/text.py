@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The four linear tiers and their patterns as printed on drawings.
 TIERS = ("X.", "X.X", "X.XX", "X.XXX")
@@ -14,7 +15,7 @@ LINEAR_VALUE = r"^±\d+(\.\d+)?$"
 ANGULAR_VALUE = r"^±\d+(\.\d+)?°$"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
@@ -100,7 +101,7 @@ def repair_symbols(text: Column, pairs: dict[str, str] | None = None) -> Column:
     return text
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def redecode(s: pd.Series) -> pd.Series:
     """Text that was GBK but decoded as a Western code page, decoded again; unchanged where that fails."""
 
