@@ -26,6 +26,22 @@ def segments(spark: SparkSession, sf_dir: str, pages: int = 97) -> DataFrame:
     )
 
 
+_RULE = [
+    "l_orderkey % 499 AS page_id",
+    "((l_orderkey * 10 + l_linenumber) * 10000 + l_partkey) * 1000 + l_suppkey AS rule_id",
+    "CASE WHEN l_linestatus = 'O' THEN 'H' ELSE 'V' END AS orient",
+    "CAST(((7 * l_partkey) % CASE WHEN l_linestatus = 'O' THEN 59 ELSE 16 END) * CASE WHEN l_linestatus = 'O' THEN 10 ELSE 50 END AS DOUBLE) AS coord",
+    "CAST(((13 * l_suppkey) % CASE WHEN l_linestatus = 'O' THEN 16 ELSE 6 END) * CASE WHEN l_linestatus = 'O' THEN 50 ELSE 100 END AS DOUBLE) AS lo",
+    """CAST(least(CASE WHEN l_linestatus = 'O' THEN 800 ELSE 600 END, ((13 * l_suppkey) % CASE WHEN l_linestatus = 'O' THEN 16 ELSE 6 END) * CASE WHEN l_linestatus = 'O' THEN 50 ELSE 100 END
+      + 50 * (1 + (l_partkey % 12))) AS DOUBLE) AS hi""",
+]
+
+
+def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on a coarse raster of an 800 x 600 sheet, so that ends meet: ``page_id, rule_id, orient, coord, lo, hi``."""
+    return table(spark, sf_dir, "lineitem").selectExpr(*_RULE)
+
+
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small boxes: ``page_id, box_id, x0, y0, x1, y1``."""
     return table(spark, sf_dir, "part").selectExpr(
@@ -105,6 +121,7 @@ SQL = {
 }
 
 
+SQL["rule"] = "SELECT " + ", ".join(_RULE) + " FROM lineitem"
 SQL["sheet"] = SQL["seg"].replace("% 97", "% 2003")
 
 

@@ -10,7 +10,7 @@ from rivulet.functions import bits
 from rivulet.functions import colour as C
 from rivulet.functions import geometry as G
 from rivulet.functions import text as T
-from rivulet.operators import bags, graph, intervals, ledger, matching
+from rivulet.operators import bags, graph, intervals, ledger, matching, sheets
 from rivulet.sources import files
 
 
@@ -141,6 +141,26 @@ def test_merge_grows(spark):
     assert out == {1: 3, 4: 1}
 
 
+def test_row_packing():
+    assert sheets.pack_rows([(40, 10), (40, 20), (30, 5)], 1.0, 100, 100, 10) == [(0, 0), (50, 0), (0, 30)]
+    assert sheets.pack_rows([(101, 1)], 1.0, 100, 100, 10) is None
+
+
+def test_largest_scale(spark):
+    rows = [(1, i, 0.0, 0.0, 10.0, 10.0) for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, id long, x0 double, y0 double, x1 double, y1 double")
+    s = sheets.largest_scale(df, ["page_id"], "id", 100.0, 100.0, gap=0.0, most=30.0).first()["scale"]
+    assert abs(s - 5.0) < 1e-6  # two rows of two
+
+
+def test_label_fields(spark):
+    w = spark.createDataFrame([(1, 1, 1.0, 1.0, 9.0, 3.0, "Model:"), (1, 2, 10.0, 1.0, 19.0, 3.0, "AB 1"), (1, 3, 30.0, 1.0, 39.0, 3.0, "other"), (1, 4, 1.0, 21.0, 9.0, 23.0, "Unit:")], "page_id long, word_id long, x0 double, y0 double, x1 double, y1 double, text string")
+    lines = spark.createDataFrame([(1, "V", 25.0, 0.0, 50.0), (1, "H", 10.0, 0.0, 50.0)], "page_id long, orient string, coord double, lo double, hi double")
+    labels = spark.createDataFrame([("model", "Model"), ("unit", "Unit")], "field string, label string")
+    out = {r["field"]: (r["value"], r["flag"]) for r in sheets.label_fields(w, lines, labels, ["page_id"]).collect()}
+    assert out == {"model": ("AB 1", None), "unit": (None, "VALUE_NOT_TEXT_NEEDS_READ")}
+
+
 def test_bags(spark):
     a = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "w string")
     b = spark.createDataFrame([("x",), (None,)], "w string")

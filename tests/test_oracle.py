@@ -3,9 +3,7 @@
 import pytest
 from compare import same
 
-from rivulet.plans import geometry, texts
-
-ALL = geometry.QUERIES | texts.QUERIES
+from rivulet.plans import REGISTRY as ALL
 
 
 @pytest.mark.parametrize("name", sorted(ALL))
