@@ -158,7 +158,8 @@ def sample(docs: DataFrame, *, key: str, text: str, lang: str, per_label: int) -
 
 
 def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred, score, accepted``."""
+    """``docs`` with ``lang_pred, score, accepted``; columns of these names are replaced."""
+    docs = docs.drop("lang_pred", "score", "accepted")
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # buckets x labels floats
@@ -189,7 +190,7 @@ def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> Dat
     return docs.mapInArrow(score, f"{fields}, lang_pred string, score double, accepted boolean")
 
 
-def fitted(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", per_label: int = 1500) -> Model | None:
+def fitted(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", per_label: int = 800) -> Model | None:
     """A model from a bounded sample of ``docs``; None without labels."""
     texts, langs = sample(docs, key=key, text=text, lang=lang, per_label=per_label)
     return train(texts, langs) if texts else None

@@ -67,10 +67,13 @@ def drop_boilerplate(
     salts: int = 64,
     detail: bool = False,
 ) -> DataFrame:
-    """``docs`` with boilerplate lines removed from ``text``; with ``detail`` also ``n_lines`` and ``n_dropped``.
+    """``docs`` with boilerplate lines removed from ``text``; with ``detail`` also ``n_lines`` and ``n_dropped``,
+    in place of columns of these names.
 
     A line goes when more than ``max_ratio`` of its site's documents, and at least ``min_pages``, hold it.
     """
+    if detail:
+        docs = docs.drop("n_lines", "n_dropped")
     bad = stored(
         boilerplate(docs, text=text, site=site, max_ratio=max_ratio, min_pages=min_pages)
         .groupBy("__site")

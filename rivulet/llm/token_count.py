@@ -348,7 +348,8 @@ def transducer(path: str) -> Transducer:
 
 
 def token_counts(docs: DataFrame, tokenizer: str, *, text: str = "text", limit: int = 2048) -> DataFrame:
-    """``docs`` with ``n_bytes, n_tokens, over_limit``."""
+    """``docs`` with ``n_bytes, n_tokens, over_limit``; columns of these names are replaced."""
+    docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     small_batches(docs.sparkSession)
     at = docs.columns.index(text)
 
