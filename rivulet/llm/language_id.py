@@ -84,7 +84,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(
-    texts: list[str], langs: list[str], *, dim: int = 16, bits: int = BITS, epochs: int = 8, rate: float = 2.0, batch: int = 16, kept_back: float = 0.2, reject: float = 0.001, seed: int = 5
+    texts: list[str], langs: list[str], *, dim: int = 16, bits: int = BITS, min_steps: int = 1500, rate: float = 2.0, batch: int = 16, kept_back: float = 0.2, reject: float = 0.001, seed: int = 5
 ) -> Model:
     """Fits embeddings and softmax; the rows' order decides what is kept back, so equal input gives equal models."""
     labels = sorted(set(langs))
@@ -114,6 +114,7 @@ def train(
             h[row[first]] = np.add.reduceat(emb[u] * share[:, None], first, axis=0)
         return h, u, share, row
 
+    epochs = -(-min_steps * batch // max(1, len(fit)))  # few rows are met more often
     total = max(1, epochs * -(-len(fit) // batch))
     done = 0
     for _ in range(epochs):
