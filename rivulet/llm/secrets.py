@@ -116,7 +116,7 @@ def labelled_findings(spark: SparkSession, n: int = 6000, seed: int = 1) -> Data
     b64 = F.regexp_replace(F.base64(F.unhex(h(1))), "=+$", "")
     word = lambda k: pick(k, DICTIONARY.split("|"))
     syllable = lambda k: F.concat(pick(k, COMMON_PAIRS.split("|")), pick(k + 1, COMMON_PAIRS.split("|")))
-    digits = F.translate(F.conv(F.substring(h(2), 1, 14), 16, 10), "", "")
+    digits = F.conv(F.substring(h(2), 1, 14), 16, 10)
     real = pick(10, [F.substring(h(3), 1, 32), F.substring(h(3), 1, 40), h(3), F.substring(b64, 1, 24), F.substring(b64, 1, 40), F.concat(F.lit("AKIA"), F.upper(F.substring(h(4), 1, 16))), F.concat(F.lit("ghp_"), F.substring(F.regexp_replace(b64, "[+/]", "x"), 1, 36)), F.concat(F.lit("sk-"), F.substring(F.regexp_replace(b64, "[+/]", "y"), 1, 40))])
     words_ = F.concat(syllable(20), syllable(22), syllable(24), syllable(26), syllable(28), F.substring(F.concat(syllable(30), syllable(32), syllable(34)), 1, number(36, 0, 12)))
     other = pick(
