@@ -11,7 +11,8 @@ Plan, in SQL functions alone. The texts are partitioned by document once; buildi
 (document, pair, cell), for which that partitioning serves, so no cell is shuffled. A round of peeling takes the pure
 cells of one subtable only, so a digest is taken out once; a round is one generate and one aggregate inside the same
 stage. The next document's pieces and the few code points that the edit needs come as one message per document.
-A sketch has about 1.5 cells a piece, so its size follows the text.
+The printed fingerprint has about 1.5 cells a piece;
+sketches that are compared are sized for both texts together. Only filled cells are rows.
 
 Defined results. Null text: empty, no pieces; two empty sketches have likeness 1. Rows equal in key and text give as
 many equal rows. Among rows with one key, texts follow in descending order of a hash. Null keys come last in
@@ -28,7 +29,7 @@ from rivulet.llm.common import BROADCAST_BYTES, stored, table, tidy
 #: A text of fewer pieces is cut into words, if it has at most so many code points.
 FEW, SHORT = 8, 2000
 PIECE_END = r"(?<=[.!?|,;:\n])"
-ROUNDS = 12
+ROUNDS = 6
 
 
 def _digests(parts: Column) -> Column:
@@ -95,8 +96,9 @@ def _signed(pairs: DataFrame, scale: int) -> DataFrame:
         return F.transform(F.coalesce(F.col(name), F.array().cast("array<bigint>")), lambda x: F.struct(F.lit(pair).alias("pair"), third.alias("third"), x.alias("x"), F.lit(sign).alias("sign")))
 
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    e = _third(F.greatest(size("e_a"), size("e_b"))) * scale
-    n = (_third(size("n_a")) + _third(size("n_b"))) * scale
+    # about twice as many cells a subtable as digests may differ: a few rounds peel them, and empty cells cost nothing
+    e = (size("e_a") + size("e_b") + 8) * scale
+    n = (2 * size("n_a") + 2 * size("n_b") + 8) * scale
     parts = F.concat(side("e_a", 0, 1, e), side("e_b", 0, -1, e), side("n_a", 1, 1, n), side("n_b", 1, -1, n))
     return pairs.select("id", F.inline(parts))
 
@@ -132,17 +134,24 @@ def _printed(signed: DataFrame) -> DataFrame:
     return cells.groupBy("id", "side").agg(F.concat(F.first("third").cast("string"), F.lit("|"), F.array_join(F.transform(listed, lambda x: x["t"]), ",")).alias("fp"))
 
 
-def next_ids(rows: DataFrame, parts: int) -> DataFrame:
-    """``id, next`` in descending order of ``id`` (a sortable struct), after the last the first; distributed.
+#: Stands for a null key, which comes last in descending order.
+NO_KEY = -(1 << 63)
 
-    Ids are ordered by ranges; inside a range by a window, and one row a range links the ranges.
+
+def next_rows(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows`` (``k, h`` and more) with ``rid`` and the next row's ``nk, nh``: descending (k, h), after the last the first.
+
+    Rows are ordered by ranges; inside a range by a window, and one row a range links the ranges.
     """
-    ranged = stored(rows.select("id").repartitionByRange(parts, F.col("id").desc()).withColumn("part", F.spark_partition_id()), "ids")
-    edge = ranged.groupBy("part").agg(F.max("id").alias("top"))
-    order = Window.orderBy("part")  # one row a range
-    edge = edge.select("part", F.lead("top").over(order).alias("after"), F.first("top").over(order).alias("first"))
-    w = Window.partitionBy("part").orderBy(F.col("id").desc())
-    return ranged.withColumn("inner", F.lead("id").over(w)).join(F.broadcast(edge), "part").select("id", F.coalesce("inner", "after", "first").alias("next"))
+    order = [F.col("k").desc(), F.col("h").desc()]
+    ranged = stored(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ranges")
+    edge = ranged.groupBy("part").agg(F.max(F.struct("k", "h")).alias("top"))
+    by_part = Window.orderBy("part")  # one row a range
+    edge = edge.select("part", F.coalesce(F.lead("top").over(by_part), F.first("top").over(by_part.rowsBetween(Window.unboundedPreceding, 0))).alias("after"))
+    w = Window.partitionBy("part").orderBy(*order)
+    inner = ranged.withColumns({"rid": F.shiftleft(F.col("part").cast("long"), 40) + F.row_number().over(w), "in": F.lead(F.struct("k", "h")).over(w)})
+    nxt = F.coalesce("in", "after")
+    return inner.join(F.broadcast(edge), "part").select(*rows.columns, "rid", nxt["k"].alias("nk"), nxt["h"].alias("nh"))
 
 
 def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -153,62 +162,51 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     tidy(spark)
     t = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.struct(F.col(key).cast("long").alias("k"), F.xxhash64(t).alias("h")).alias("id"), t.alias("t"))
-    sizes = stored(base.select("id", F.length("t").cast("long").alias("n")).groupBy("id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "sizes")
-    count, chars = sizes.agg(F.count(F.lit(1)), F.sum("n")).first()
+    base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("k"), F.xxhash64(t).alias("h"), t.alias("t"))
+    rows = base.select("k", "h", F.length("t").cast("long").alias("n")).groupBy("k", "h").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+    rows = stored(rows, "rows")
+    count, chars, most = rows.agg(F.count(F.lit(1)), F.sum("n"), F.max("copies")).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int((chars or 0) >> 22))
-    follow = next_ids(sizes, max(1, min(parts, (count >> 14) + 1)))
-    # by the next document: who asks, and how many code points of it at most
-    asked = stored(follow.join(sizes.select("id", (F.col("n") / 3).cast("long").alias("third")), "id").select(F.col("next").alias("id"), F.col("id").alias("to"), "third"), "asked")
-    asked = F.broadcast(asked) if count * 64 <= BROADCAST_BYTES else asked
-    one = base.dropDuplicates(["id"]) if sizes.filter("copies > 1").limit(1).count() else base
-    message = one.join(asked, "id").select(
-        F.col("to").alias("id"), F.expr("substring(t, 1, cast(third as int))").alias("head"), pieces(F.col("t")).alias("n_p"), words(F.col("t")).alias("n_w")
-    )
-    full = one.repartition(parts, "id").join(message.repartition(parts, "id"), "id")
+    ids = stored(next_rows(rows, max(1, min(parts, (count >> 14) + 1))), "ids")
+    one = base.dropDuplicates(["k", "h"]) if (most or 1) > 1 else base
+    small = count * 64 <= BROADCAST_BYTES
+    hint = F.broadcast if small else lambda x: x
+    asked = hint(ids.select(F.col("nk").alias("k"), F.col("nh").alias("h"), F.col("rid").alias("to"), (F.col("n") / 3).cast("long").alias("third")))
+    few = lambda c: F.size(c) < FEW
+    message = one.join(asked, ["k", "h"]).select(F.col("to").alias("rid"), F.expr("substring(t, 1, cast(third as int))").alias("head"), pieces(F.col("t")).alias("n_p"), words(F.col("t")).alias("n_w"))
+    message = message.withColumn("n_w", F.when(few("n_p"), F.col("n_w")))
+    full = one.join(hint(ids.select("k", "h", "rid")), ["k", "h"]).select("rid", "t").join(message, "rid")
     n = F.length("t")
     edited = F.concat(F.expr("substring(t, 1, length(t) - cast(length(t) div 3 as int))"), F.col("head"))
-    full = full.select("id", n.cast("long").alias("n_chars"), "t", edited.alias("e"), "n_p", "n_w").select(
-        "id", "n_chars", F.sha2("e", 256).alias("edited_sha256"), pieces(F.col("t")).alias("a_p"), words(F.col("t")).alias("a_w"), pieces(F.col("e")).alias("e_p"), words(F.col("e")).alias("e_w"), "n_p", "n_w"
-    )
-    few = lambda c: (F.size(f"{c}_p") < FEW) & F.col(f"{c}_w").isNotNull()
-    both_short = F.col("a_w").isNotNull() & F.col("e_w").isNotNull()
-    by_words = (few("a") | few("e")) & both_short
-    next_words = few("a") & few("n")
-    pick = lambda cond, c: F.when(cond, F.col(f"{c}_w")).otherwise(F.col(f"{c}_p"))
+    full = full.select("rid", n.cast("long").alias("n_chars"), "t", edited.alias("e"), "n_p", "n_w")
+    full = full.withColumns({"a_p": pieces(F.col("t")), "e_p": pieces(F.col("e")), "edited_sha256": F.sha2("e", 256)})
+    some = few("a_p") | few("e_p")
     prepared = stored(
-        full.select(
-            "id", "n_chars", "edited_sha256",
-            pick(by_words, "a").alias("e_a"), pick(by_words, "e").alias("e_b"), pick(next_words, "a").alias("n_a"), pick(next_words, "n").alias("n_b"),
-            few("a").alias("fa"), few("e").alias("fe"), F.when(few("a") != by_words, pick(few("a"), "a")).alias("own_a"), F.when(few("e") != by_words, pick(few("e"), "e")).alias("own_e"),
-        ),
-        "prepared",
-    )
-    placed = prepared.repartition(parts, "id")
-    near = likeness(placed.select("id", "e_a", "e_b", "n_a", "n_b"))
-    own = F.array(
-        F.struct(F.lit(0).alias("side"), F.coalesce("own_a", "e_a").alias("d")), F.struct(F.lit(1).alias("side"), F.coalesce("own_e", "e_b").alias("d"))
+        full.select("rid", "n_chars", "edited_sha256", "a_p", "e_p", "n_p", "n_w", F.when(some, words(F.col("t"))).alias("a_w"), F.when(some, words(F.col("e"))).alias("e_w")), "prepared"
     )
+    short = lambda c: few(f"{c}_p") & F.col(f"{c}_w").isNotNull()
+    pick = lambda cond, c: F.when(cond, F.col(f"{c}_w")).otherwise(F.col(f"{c}_p"))
+    by_words = (short("a") | short("e")) & F.col("a_w").isNotNull() & F.col("e_w").isNotNull()
+    next_words = short("a") & short("n")
+    placed = prepared.repartition(parts, "rid").withColumnRenamed("rid", "id")
+    pairs = placed.select("id", pick(by_words, "a").alias("e_a"), pick(by_words, "e").alias("e_b"), pick(next_words, "a").alias("n_a"), pick(next_words, "n").alias("n_b"))
+    near = likeness(pairs)
+    own = F.array(F.struct(F.lit(0).alias("side"), pick(short("a"), "a").alias("d")), F.struct(F.lit(1).alias("side"), pick(short("e"), "e").alias("d")))
     signed = placed.select("id", F.inline(own)).select("id", "side", _third(F.size("d")).alias("third"), F.explode("d").alias("x"), F.lit(1).alias("sign"))
-    texts = _printed(signed).groupBy("id").agg(F.max(F.when(F.col("side") == 0, F.col("fp"))).alias("fa_"), F.max(F.when(F.col("side") == 1, F.col("fp"))).alias("fe_"))
+    texts = _printed(signed).groupBy("id").agg(F.max(F.when(F.col("side") == 0, F.col("fp"))).alias("fa"), F.max(F.when(F.col("side") == 1, F.col("fp"))).alias("fe"))
     flat = near.groupBy("id").agg(*[F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}{p}") for p in (0, 1) for c in ("only_a", "only_b")])
-    size = lambda c: F.coalesce(F.size(c), F.lit(0))
 
-    def score(a: str, b: str, p: int) -> Column:
+    def score(size_a: str, p: int) -> Column:
         only_a, only_b = (F.coalesce(F.col(f"{c}{p}"), F.lit(0)) for c in ("only_a", "only_b"))
-        union = size(a) + only_b
-        return F.when(union == 0, 1.0).otherwise((size(a) - only_a) / union)
-
-    out = (
-        placed.select("id", "n_chars", "edited_sha256", "e_a", "e_b", "n_a", "n_b")
-        .join(flat, "id", "left")
-        .join(texts, "id", "left")
-        .join(sizes.select("id", "copies"), "id")
-    )
+        union = F.col(size_a) + only_b
+        return F.when(union == 0, 1.0).otherwise((F.col(size_a) - only_a) / union)
+
+    sizes = placed.select("id", "n_chars", "edited_sha256", F.size(pick(by_words, "a")).alias("s0"), F.size(pick(next_words, "a")).alias("s1"))
+    out = sizes.join(flat, "id", "left").join(texts, "id", "left").join(ids.select(F.col("rid").alias("id"), "k", "copies"), "id")
     empty = F.lit("0|")
     return out.select(
-        F.col("id.k").alias("key"), "n_chars", "edited_sha256", F.coalesce("fa_", empty).alias("fingerprint"), F.coalesce("fe_", empty).alias("edited_fingerprint"),
-        score("e_a", "e_b", 0).alias("near_edited"), score("n_a", "n_b", 1).alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
+        F.when(F.col("k") != NO_KEY, F.col("k")).alias("key"), "n_chars", "edited_sha256", F.coalesce("fa", empty).alias("fingerprint"), F.coalesce("fe", empty).alias("edited_fingerprint"),
+        score("s0", 0).alias("near_edited"), score("s1", 1).alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
     ).drop("copy")
 
 
