@@ -175,24 +175,40 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     few = lambda c: F.size(c) < FEW
     message = one.join(asked, ["k", "h"]).select(F.col("to").alias("rid"), F.expr("substring(t, 1, cast(third as int))").alias("head"), pieces(F.col("t")).alias("n_p"), words(F.col("t")).alias("n_w"))
     message = message.withColumn("n_w", F.when(few("n_p"), F.col("n_w")))
-    full = one.join(hint(ids.select("k", "h", "rid")), ["k", "h"]).select("rid", "t").join(message, "rid")
+    # of the own text only what the edit keeps goes on, with digests of the whole
     n = F.length("t")
-    edited = F.concat(F.expr("substring(t, 1, length(t) - cast(length(t) div 3 as int))"), F.col("head"))
-    full = full.select("rid", n.cast("long").alias("n_chars"), "t", edited.alias("e"), "n_p", "n_w")
-    full = full.withColumns({"a_p": pieces(F.col("t")), "e_p": pieces(F.col("e")), "edited_sha256": F.sha2("e", 256)})
+    own = one.join(hint(ids.select("k", "h", "rid")), ["k", "h"]).select(
+        "rid", n.cast("long").alias("n_chars"), F.expr("substring(t, 1, length(t) - cast(length(t) div 3 as int))").alias("kept"), pieces(F.col("t")).alias("a_p"), words(F.col("t")).alias("a_w")
+    )
+    # a text of few pieces may be short of a few after the edit, or the other way round: their words go on as well
+    own = own.withColumn("a_w", F.when(F.size("a_p") < 2 * FEW + 2, F.col("a_w")))
+    full = own.join(message, "rid").withColumn("e", F.concat("kept", "head"))
+    full = full.withColumns({"e_p": pieces(F.col("e")), "edited_sha256": F.sha2("e", 256)})
     some = few("a_p") | few("e_p")
+    same = F.array_position(F.zip_with("a_p", "e_p", lambda x, y: x.eqNullSafe(y)), False)
+    m = F.when(same == 0, F.size("a_p")).otherwise(same - 1).cast("int")
+    full = full.withColumn("m", m)
     prepared = stored(
-        full.select("rid", "n_chars", "edited_sha256", "a_p", "e_p", "n_p", "n_w", F.when(some, words(F.col("t"))).alias("a_w"), F.when(some, words(F.col("e"))).alias("e_w")), "prepared"
+        full.select(
+            "rid", "n_chars", "edited_sha256", "a_p", "m", F.slice("e_p", F.col("m") + 1, F.greatest(F.size("e_p") - F.col("m"), F.lit(0))).alias("e_t"), "n_p", "n_w",
+            F.when(some, F.col("a_w")).alias("a_w"), F.when(some, words(F.col("e"))).alias("e_w"),
+        ),
+        "prepared",
     )
+    # the edited text's digests: as many of the own ones as they begin with, then the rest
+    prepared = prepared.select("*", F.concat(F.slice("a_p", 1, F.col("m")), F.col("e_t")).alias("e_p"))
     short = lambda c: few(f"{c}_p") & F.col(f"{c}_w").isNotNull()
     pick = lambda cond, c: F.when(cond, F.col(f"{c}_w")).otherwise(F.col(f"{c}_p"))
     by_words = (short("a") | short("e")) & F.col("a_w").isNotNull() & F.col("e_w").isNotNull()
     next_words = short("a") & short("n")
-    placed = prepared.repartition(parts, "rid").withColumnRenamed("rid", "id")
+    raw = ["a_p", "m", "e_t", "n_p", "n_w", "a_w", "e_w"]
+    e_p = F.concat(F.slice("a_p", 1, F.col("m")), F.col("e_t"))
+    placed = prepared.select(F.col("rid").alias("id"), *raw).repartition(parts, "id").withColumn("e_p", e_p)
     pairs = placed.select("id", pick(by_words, "a").alias("e_a"), pick(by_words, "e").alias("e_b"), pick(next_words, "a").alias("n_a"), pick(next_words, "n").alias("n_b"))
     near = likeness(pairs)
     own = F.array(F.struct(F.lit(0).alias("side"), pick(short("a"), "a").alias("d")), F.struct(F.lit(1).alias("side"), pick(short("e"), "e").alias("d")))
-    signed = placed.select("id", F.inline(own)).select("id", "side", _third(F.size("d")).alias("third"), F.explode("d").alias("x"), F.lit(1).alias("sign"))
+    sides = prepared.select(F.col("rid").alias("id"), *[c for c in raw if c not in ("n_p", "n_w")]).repartition(parts, "id").withColumn("e_p", e_p)
+    signed = sides.select("id", F.inline(own)).select("id", "side", _third(F.size("d")).alias("third"), F.explode("d").alias("x"), F.lit(1).alias("sign"))
     texts = _printed(signed).groupBy("id").agg(F.max(F.when(F.col("side") == 0, F.col("fp"))).alias("fa"), F.max(F.when(F.col("side") == 1, F.col("fp"))).alias("fe"))
     flat = near.groupBy("id").agg(*[F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}{p}") for p in (0, 1) for c in ("only_a", "only_b")])
 
@@ -201,7 +217,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
         union = F.col(size_a) + only_b
         return F.when(union == 0, 1.0).otherwise((F.col(size_a) - only_a) / union)
 
-    sizes = placed.select("id", "n_chars", "edited_sha256", F.size(pick(by_words, "a")).alias("s0"), F.size(pick(next_words, "a")).alias("s1"))
+    sizes = prepared.select(F.col("rid").alias("id"), "n_chars", "edited_sha256", F.size(pick(by_words, "a")).alias("s0"), F.size(pick(next_words, "a")).alias("s1")).repartition(parts, "id")
     out = sizes.join(flat, "id", "left").join(texts, "id", "left").join(ids.select(F.col("rid").alias("id"), "k", "copies"), "id")
     empty = F.lit("0|")
     return out.select(
