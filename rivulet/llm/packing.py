@@ -38,7 +38,7 @@ from rivulet.llm.common import small_batches, stored, table
 SPACE_POINTS = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 #: Words a worker remembers the ids of; then it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 
 def _bytes_of_chars() -> dict[str, int]:
@@ -104,7 +104,7 @@ class Tokens:
         if (ids := self.known.get(word)) is None:
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
-            ids = self.known[word] = np.array(self.encoding.encode_ordinary(word), "<u4").tobytes()
+            ids = self.known[word] = np.array(self.encoding._encode_single_piece(word), "<u4").tobytes()
         return ids
 
     def _plain(self, text: str) -> bytes:
