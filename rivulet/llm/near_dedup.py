@@ -9,14 +9,16 @@ have thousands in every shared shingle and one in each edited shingle, and the e
    weight with the least value, so two texts agree in a sample with a probability of their weighted Jaccard
    similarity. Gamma and uniform draws are read off 64 hash bits through tables.
 2. Equal texts (by 128 bits of their words) become one representative. Representatives that agree in all rows of a
-   band share a bucket. Small buckets give their pairs. In larger ones each member meets a few leaders; it is settled with
-   the most like if that seems to reach the threshold, and goes on to buckets refined by further samples, ``REFINE``
-   ways each, if not, until the buckets are small: no cap, no pairs within a large group.
-3. Pairs whose samples let 0.8 seem possible are verified: weighted Jaccard over the whole texts.
+   band share a bucket. Small buckets give their pairs. In larger ones each member meets the few members that agree
+   most with all others; links verified so far make components, and members outside the bucket's largest one do so
+   again, ``ROUNDS`` times. Then those still outside meet, block by block, all members of other components.
+3. Pairs whose samples let 0.8 seem possible are verified: weighted Jaccard over the whole texts. Only verified links
+   settle a member, and no pair of a bucket is left out unless such links connect it.
 4. Classes are the components of the verified links.
 
 Plan. The samples are drawn where the texts lie; only hashes are shuffled. Leaders are repeated over salts, so a
-bucket with a third of all rows spreads. Text is shuffled for documents in candidate pairs alone.
+bucket with a third of all rows spreads; blocks of samples meet as single rows. Text is shuffled for documents in
+candidate pairs alone. Members that no links connect cost the square of their number in comparisons of samples.
 
 Defined results. Null and empty texts, and those without words, are classes of their own. Equal rows share a class.
 The class id is the least key in the class.
@@ -39,10 +41,9 @@ from rivulet.llm.components import components
 
 IDF_BITS = 18
 FAN_IN = 64
-#: Buckets up to SMALL give their pairs; larger ones go through LEADERS, each repeated over SALTS; REFINE ways on.
-SMALL, LEADERS, SALTS, REFINE = 8, 2, 16, 3
-_PAIR = "a long, b long, small int, est double"
-_JUDGED = "bh long, key long, open boolean, pairs array<struct<a: bigint, b: bigint>>"
+#: Buckets up to SMALL give their pairs; larger ones have ROUNDS of LEADERS, each repeated over SALTS, then BLOCKs.
+SMALL, LEADERS, SALTS, ROUNDS, BLOCK = 8, 2, 16, 3, 256
+_LINK = "a long, b long, similarity double"
 _W1, _W2, _S = textnum.Poly(31), textnum.Poly(32), textnum.Poly(33)
 
 
@@ -183,81 +184,128 @@ def signatures(docs: DataFrame, idf, *, key: str, text: str, size: int, bands: i
     return docs.select(F.col(key).cast("long"), text).mapInArrow(draw, "key long, ha long, hb long, sig binary, bh array<long>")
 
 
-def _agreement(pairs: DataFrame, k: int) -> DataFrame:
-    """``pairs`` (``a, b, sa, sb`` and more) with ``est``, the share of equal samples, instead of ``sa, sb``."""
-    keep = [c for c in pairs.columns if c not in ("sa", "sb")]
+def _agreement(pairs: DataFrame, sig: DataFrame, k: int, low: float) -> DataFrame:
+    """The ``pairs`` (``a, b``) of which a share of ``low`` or more of the samples is equal."""
+    signed = pairs.join(sig.withColumnsRenamed({"key": "a", "sig": "sa"}), "a").join(sig.withColumnsRenamed({"key": "b", "sig": "sb"}), "b")
 
     def compare(batches):
         for batch in batches:
-            est = np.zeros(batch.num_rows)
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, k) for c in ("sa", "sb"))
-                est = (x == y).mean(axis=1)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(est)], [*keep, "est"])
+                yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= low))
 
-    fields = ", ".join(f"{n} {t}" for n, t in pairs.select(*keep).dtypes)
-    return pairs.mapInArrow(compare, f"{fields}, est double")
+    return signed.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
 
 
-def candidate_pairs(reps: DataFrame, *, bands: int, rows: int, threshold: float) -> DataFrame:
-    """Pairs ``a < b`` of representatives (``key, sig, bh``) whose samples let ``threshold`` seem possible.
+def _members(batch: pa.RecordBatch, name: str, k: int):
+    """Of each row's array of members: their columns, samples as an array of k columns."""
+    column = batch.column(name)
+    edges, flat = column.offsets.to_numpy(), column.values
+    for i, j in zip(edges[:-1], edges[1:]):
+        part = flat.slice(i, j - i)
+        cols = {f.name: part.field(f.name) for f in flat.type}
+        sig = np.frombuffer(b"".join(cols.pop("sig").to_pylist()), "<u2").reshape(-1, k)
+        yield sig, {n: c.to_numpy(zero_copy_only=False) for n, c in cols.items()}
 
-    Every level's pairs are written, so the plans of later levels do not hold those of earlier ones.
+
+def _central(blocks: DataFrame, k: int) -> DataFrame:
+    """``bh, score, key``: of each block (``bh``, ``m``: its members) those that agree most with all the others."""
+
+    def pick(batches):
+        for batch in batches:
+            bh, score, key = [], [], []
+            for h, (sig, cols) in zip(batch.column("bh").to_pylist(), _members(batch, "m", k)):
+                same = np.zeros(len(sig))
+                for j in range(k):
+                    _, at, n = np.unique(sig[:, j], return_inverse=True, return_counts=True)
+                    same += n[at] - 1
+                best = np.lexsort((cols["key"], -same))[:LEADERS]
+                bh += [h] * len(best)
+                score.append(same[best] / (k * max(1, len(sig) - 1)))
+                key.append(cols["key"][best])
+            if bh:
+                yield pa.RecordBatch.from_arrays([pa.array(bh, pa.int64()), pa.array(np.concatenate(score)), pa.array(np.concatenate(key), pa.int64())], ["bh", "score", "key"])
+
+    return blocks.select("bh", "m").mapInArrow(pick, "bh long, score double, key long")
+
+
+def _across(blocks: DataFrame, k: int, low: float) -> DataFrame:
+    """``a < b`` of unlike labels in two blocks (``x``, ``y``: members) with a share of ``low`` or more of equal samples."""
+
+    def meet(batches):
+        for batch in batches:
+            for (s, x), (t, y) in zip(_members(batch, "x", k), _members(batch, "y", k)):
+                equal = np.zeros((len(s), len(t)), np.uint16)
+                for j in range(k):
+                    equal += s[:, j, None] == t[None, :, j]
+                i, j = np.nonzero((equal >= low * k) & (x["label"][:, None] != y["label"][None, :]))
+                a, b = x["key"][i], y["key"][j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+
+    return blocks.select("x", "y").mapInArrow(meet, "a long, b long").distinct()
+
+
+def near_links(reps: DataFrame, verify, *, bands: int, rows: int, threshold: float) -> DataFrame:
+    """Links ``a, b`` that ``verify`` confirms among the representatives (``key, sig, bh``).
+
+    Their components are those of all pairs that share a bucket, whose samples let ``threshold`` seem possible and that
+    ``verify`` confirms: a pair is left out only if other confirmed links connect it.
     """
     spark = reps.sparkSession
     k = bands * rows
-    spread = (threshold * (1 - threshold) / k) ** 0.5
-    low, sure = max(0.0, threshold - 4 * spread), threshold - spread
+    low = max(0.0, threshold - 4 * (threshold * (1 - threshold) / k) ** 0.5)
     n_reps = reps.count()
     sig = reps.select("key", "sig")
     if n_reps * (2 * k + 32) <= BROADCAST_BYTES // 4:
         sig = F.broadcast(sig)
-    active = reps.select(F.col("key"), F.explode("bh").alias("bh"))
-    folder, level = work_dir(spark), 0
-    h = F.xxhash64("key")
-    ordered = (F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
-    while True:
-        part = active.groupBy("bh", F.pmod(h, F.lit(LEADERS)).alias("j")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(h.alias("h"), "key")).alias("lead"))
-        buckets = stored(part.groupBy("bh").agg(F.sum("n").alias("n"), F.collect_list("lead.key").alias("leads")).filter("n > 1"), "buckets")
-        n_buckets = buckets.count()
-        small = active.join(sized(buckets.filter(F.col("n") <= SMALL).select("bh"), n_buckets, 24), "bh", "left_semi")
-        x, y = small.select("bh", F.col("key").alias("a")), small.select("bh", F.col("key").alias("b"))
-        need = x.join(y, "bh").filter("a < b").select("a", "b", F.lit(1).alias("small"))
-        large = buckets.filter(F.col("n") > SMALL)
-        more = large.limit(1).count() > 0
-        if more:
-            leads, on = large.select("bh", F.explode("leads").alias("lead")), ["bh"]
-            members = active
-            if n_buckets * LEADERS * 32 <= BROADCAST_BYTES:
-                leads = F.broadcast(leads)
-            else:  # a hot bucket's members spread over salts
-                leads, on = leads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["bh", "salt"]
-                members = active.withColumn("salt", F.pmod(h, F.lit(SALTS)).cast("int"))
-            met = stored(members.join(leads, on).filter("key <> lead").select("bh", "key", *ordered), "met")
-            need = need.unionByName(met.select("a", "b", F.lit(0).alias("small")))
-        need = need.groupBy("a", "b").agg(F.max("small").alias("small"))
-        signed = need.join(sig.withColumnsRenamed({"key": "a", "sig": "sa"}), "a").join(sig.withColumnsRenamed({"key": "b", "sig": "sb"}), "b")
-        _agreement(signed.select("a", "b", "small", "sa", "sb"), k).write.parquet(f"{folder}/{level}-agreement")
-        if not more:
+    active = reps.select("key", F.explode("bh").alias("bh"))
+    buckets = stored(active.groupBy("bh").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    n_small, n_large = (buckets.filter(c).count() for c in (F.col("n") <= SMALL, F.col("n") > SMALL))
+    small = active.join(sized(buckets.filter(F.col("n") <= SMALL).select("bh"), n_small, 24), "bh", "left_semi")
+    x, y = small.select("bh", F.col("key").alias("a")), small.select("bh", F.col("key").alias("b"))
+    pairs = x.join(y, "bh").filter("a < b").select("a", "b")
+    if not n_large:
+        return stored(verify(stored(_agreement(pairs.distinct(), sig, k, low), "pairs")), "links")
+
+    large = stored(active.join(sized(buckets.filter(F.col("n") > SMALL).select("bh"), n_large, 24), "bh", "left_semi").select("bh", "key"), "large")
+    folder, left = work_dir(spark), large
+    for level in range(ROUNDS):
+        # the members of a bucket that seem most like all the others meet every member left
+        count = left.groupBy("bh").agg(F.count(F.lit(1)).alias("n"))
+        dealt = left.join(sized(count, n_large, 32), "bh").withColumn("block", F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("n") / BLOCK)))
+        blocks = dealt.join(sig, "key").groupBy("bh", "block").agg(F.collect_list(F.struct("key", "sig")).alias("m"))
+        best = F.slice(F.sort_array(F.collect_list(F.struct("score", "key")), False), 1, LEADERS)
+        leads = _central(blocks, k).groupBy("bh").agg(best.alias("best")).select("bh", F.explode("best.key").alias("lead"))
+        leads, on, members = stored(leads, "leads"), ["bh"], left
+        if n_large * LEADERS * 32 <= BROADCAST_BYTES:
+            leads = F.broadcast(leads)
+        else:  # a hot bucket's members spread over salts
+            leads, on = leads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["bh", "salt"]
+            members = left.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+        met = members.join(leads, on).filter("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
+        pairs = met if level else pairs.unionByName(met)
+        verify(stored(_agreement(pairs.distinct(), sig, k, low), "pairs")).write.parquet(f"{folder}/{level}-links")
+        links = spark.read.schema(_LINK).parquet(*[f"{folder}/{n}-links" for n in range(level + 1)])
+        # a bucket whose members links connect is done; of the others, the members outside the largest component go on
+        labels = components(links.select("a", "b")).withColumnRenamed("v", "key")
+        state = stored(large.join(labels, "key", "left").select("bh", "key", F.coalesce("label", "key").alias("label")), "state")
+        most = state.groupBy("bh", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bh").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
+        open_ = stored(most.select("bh", F.col("top.label").alias("main"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("outside")).filter("outside > 0"), "open")
+        n_large = open_.count()
+        left = stored(state.join(sized(open_.filter(F.col("outside") > SMALL).select("bh", "main"), n_large, 32), "bh").filter("label <> main").select("bh", "key"), "left")
+        if not left.limit(1).count():
             break
-        # a member surely like a leader is settled with the most like; else all possible leaders are candidates, and it goes on
-        possible = F.collect_list(F.when(F.col("est") >= low, F.struct("a", "b")))  # as many as there are leaders at most
-        est = spark.read.schema(_PAIR).parquet(f"{folder}/{level}-agreement").drop("small")
-        est = sized(est, est.count(), 32)
-        judged = met.join(est, ["a", "b"]).groupBy("bh", "key").agg(F.max(F.struct("est", "a", "b")).alias("best"), possible.alias("possible"))
-        settled = F.col("best.est") >= sure
-        pairs = F.when(settled, F.array(F.struct("best.a", "best.b"))).otherwise(F.col("possible"))
-        judged.select("bh", "key", (~settled).alias("open"), pairs.alias("pairs")).write.parquet(f"{folder}/{level}-judged")
-        go = spark.read.schema(_JUDGED).parquet(f"{folder}/{level}-judged").filter("open").select("key", "bh").join(sig, "key")
-        at = lambda p: F.substring("sig", 2 * (p % k) + 1, 2)
-        # one more sample each level, so unlike texts part in a few levels
-        refined = [F.xxhash64(F.lit(level), "bh", F.lit(w), *[at(7 * level + 11 * w + 29 * i) for i in range(level + 2)]) for w in range(REFINE if level < 2 else 1)]
-        active = stored(go.select("key", F.explode(F.array(*refined)).alias("bh")), "refined")
-        level += 1
-    near = spark.read.schema(_PAIR).parquet(*[f"{folder}/{n}-agreement" for n in range(level + 1)]).filter((F.col("small") == 1) & (F.col("est") >= low)).select("a", "b")
-    if level:
-        near = near.unionByName(spark.read.schema(_JUDGED).parquet(*[f"{folder}/{n}-judged" for n in range(level)]).select(F.inline("pairs")))
-    return stored(near.distinct(), "pairs")
+    # every member outside, in blocks, meets all members of its bucket that no links connect with it
+    outer, inner = F.ceil(F.col("outside") / BLOCK), F.ceil(F.col("inside") / BLOCK)
+    h = F.xxhash64("key")
+    block = F.when(F.col("label") != F.col("main"), F.pmod(h, outer)).otherwise(outer + F.pmod(h, inner))
+    dealt = state.join(sized(open_, n_large, 48), "bh").select("bh", "key", "label", block.alias("block")).join(sig, "key")
+    blocks = stored(dealt.groupBy("bh", "block").agg(F.collect_list(F.struct("key", "label", "sig")).alias("m")), "blocks")
+    ids = open_.select("bh", F.explode(F.sequence(F.lit(0).cast("long"), outer - 1)).alias("i"), (outer + inner - 1).alias("last"))
+    ids = ids.select("bh", "i", F.explode(F.sequence("i", "last")).alias("j"))
+    both = ids.join(blocks.withColumnsRenamed({"block": "i", "m": "x"}), ["bh", "i"]).join(blocks.withColumnsRenamed({"block": "j", "m": "y"}), ["bh", "j"])
+    verify(stored(_across(both, k, low), "across")).write.parquet(f"{folder}/last-links")
+    return links.unionByName(spark.read.schema(_LINK).parquet(f"{folder}/last-links"))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, idf, *, key: str, text: str, size: int, threshold: float) -> DataFrame:
@@ -305,8 +353,7 @@ def near_classes(
     sigs = stored(signatures(docs, idf, key=key, text=text, size=size, bands=bands, rows=rows), "signatures")
     least = stored(sigs.groupBy("ha", "hb").agg(F.min("key").alias("rep")), "representatives")
     reps = stored(sigs.join(least.select(F.col("rep").alias("key"), "ha", "hb"), ["key", "ha", "hb"], "left_semi").dropDuplicates(["key", "ha", "hb"]).select("key", "sig", "bh"), "reps")
-    pairs = candidate_pairs(reps, bands=bands, rows=rows, threshold=threshold).filter("a <> b")
-    links = stored(verified(docs, pairs, idf, key=key, text=text, size=size, threshold=threshold), "links")
+    links = near_links(reps, lambda p: verified(docs, p, idf, key=key, text=text, size=size, threshold=threshold), bands=bands, rows=rows, threshold=threshold)
     copies = sigs.select("key", "ha", "hb").join(least, ["ha", "hb"]).filter(F.col("key") != F.col("rep"))
     star = copies.select(F.col("rep").alias("a"), F.col("key").alias("b")).unionByName(links.select("a", "b"))
     labels = components(star)

@@ -161,6 +161,25 @@ def test_near_dedup_large_groups(spark):
     assert {out[i] for i in range(150)} == {0} and all(out[1000 + i] == 1000 + i for i in range(150))
 
 
+def edited(base: list[str], name: str, edits: int) -> str:
+    out = list(base)
+    for e in range(edits):
+        out[(int(name) * 6151 + e * 39119) % len(base)] = f"edit{name}x{e}"
+    return " ".join(out)
+
+
+def test_near_dedup_star(spark):
+    """Thousands of copies, 0.8 to 0.9 like the original and less than 0.8 like each other, are one class."""
+    base = [f"q{k * 7919}" for k in range(400)]
+    texts = [" ".join(base), *[edited(base, str(i), 7 + i % 2) for i in range(1, 3001)]]
+    s = [shingle_set(t) for t in texts]
+    j = lambda a, b: len(s[a] & s[b]) / len(s[a] | s[b])
+    assert all(0.8 < j(0, i) < 0.9 for i in range(1, 3001)) and sum(j(i, i + 1) < 0.8 for i in range(1, 3000)) > 2900
+    rows = [((i * 1009) % 3001, t) for i, t in enumerate(texts)]
+    out = near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).toPandas()
+    assert (out.class_id == 0).mean() > 0.998  # the bands' recall at 0.82
+
+
 def test_near_dedup_odd(odd, nothing):
     doubled = odd.unionByName(odd)
     c = dict(near_dedup.near_classes(doubled).toPandas().itertuples(index=False))
