@@ -19,7 +19,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the boilerplate lines of its source."""
-    out = line_dedup.drop_boilerplate(docs.select(*COLUMNS))
+    out = line_dedup.drop_boilerplate(docs.select(*COLUMNS), max_ratio=0.02, copies_once=True)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

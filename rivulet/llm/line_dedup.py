@@ -10,7 +10,8 @@ broadcast when its measured size is small; otherwise each site's array is repeat
 documents of a hot site spread over as many tasks.
 
 The default ratio of 0.08 leaves alone a text that is copied into a twentieth of a site's documents: those copies are
-for near-duplicate detection to find, and would otherwise all lose their lines.
+for near-duplicate detection to find, and would otherwise all lose their lines. ``copies_once`` protects copies exactly and allows a lower ratio: a group of
+equal texts counts once among a line's documents and once among the site's.
 
 Defined results. Null text: kept as null, no lines. Null site: a site of its own. Empty lines (after trimming) are
 never boilerplate. A line repeated inside one document counts once. Repeated rows count as documents of their own.
@@ -35,16 +36,22 @@ def _digest(line: Column) -> Column:
 
 
 def boilerplate(
-    docs: DataFrame, *, text: str = "text", site: str = "source", max_ratio: float = 0.08, min_pages: int = 5
+    docs: DataFrame, *, text: str = "text", site: str = "source", max_ratio: float = 0.08, min_pages: int = 5, copies_once: bool = False
 ) -> DataFrame:
-    """One row per (site, line digest) above the ratio: ``__site, pages, site_pages, a, b``."""
+    """One row per (site, line digest) above the ratio: ``__site, pages, site_pages, a, b``.
+
+    With ``copies_once`` both numbers count a site's distinct texts instead of its documents.
+    """
     base = docs.select(F.col(site).alias("__site"), F.col(text).alias("__text"))
-    totals = base.groupBy("__site").agg(F.count(F.lit(1)).alias("site_pages"))
+    whole = F.struct(F.xxhash64("__text").alias("a"), F.xxhash64(F.lit(7), "__text").alias("b"))
+    pages = base.select("__site", whole.alias("__x")).distinct() if copies_once else base
+    totals = pages.groupBy("__site").agg(F.count(F.lit(1)).alias("site_pages"))
     digests = F.array_distinct(
         F.transform(F.filter(_lines(F.col("__text")), lambda x: F.trim(x) != ""), _digest)
     )
+    held = base.select("__site", *([whole.alias("__x")] if copies_once else []), F.explode(digests).alias("d"))
     counts = (
-        base.select("__site", F.explode(digests).alias("d"))
+        (held.distinct() if copies_once else held)
         .groupBy("__site", F.col("d.a").alias("a"), F.col("d.b").alias("b"))
         .agg(F.count(F.lit(1)).alias("pages"))
         .filter(F.col("pages") >= min_pages)
@@ -64,18 +71,20 @@ def drop_boilerplate(
     site: str = "source",
     max_ratio: float = 0.08,
     min_pages: int = 5,
+    copies_once: bool = False,
     salts: int = 64,
     detail: bool = False,
 ) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text``; with ``detail`` also ``n_lines`` and ``n_dropped``,
     in place of columns of these names.
 
-    A line goes when more than ``max_ratio`` of its site's documents, and at least ``min_pages``, hold it.
+    A line goes when more than ``max_ratio`` of its site's documents, and at least ``min_pages``, hold it;
+    with ``copies_once`` equal texts count as one document.
     """
     if detail:
         docs = docs.drop("n_lines", "n_dropped")
     bad = stored(
-        boilerplate(docs, text=text, site=site, max_ratio=max_ratio, min_pages=min_pages)
+        boilerplate(docs, text=text, site=site, max_ratio=max_ratio, min_pages=min_pages, copies_once=copies_once)
         .groupBy("__site")
         .agg(F.collect_list(F.struct("a", "b")).alias("__bad")),
         "boilerplate",

@@ -27,6 +27,14 @@ def test_stages(spark, sf_dir, docs):
     assert P.run(spark, sf_dir).count() == after.count()
 
 
+def test_boilerplate_over_unlike_texts_goes_and_copies_stay(spark, sf_dir):
+    """A line of 5 % of a source's unlike texts goes; the lines of a text copied into 5 % of it stay."""
+    rows = [(i, f"body {i}\nmenu" if i % 20 == 0 else f"body {i}", "en", "s", 0) for i in range(400)]
+    rows += [(1000 + i, "copied text\nits second line", "en", "s", 0) for i in range(20)]
+    out = dict(P.without_boilerplate(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), sf_dir).select("doc_id", "text").collect())
+    assert all(out[i] == f"body {i}" for i in range(400)) and all(out[1000 + i] == "copied text\nits second line" for i in range(20))
+
+
 def test_odd_inputs(spark, odd, nothing, sf_dir):
     for _, stage in P.STAGES:
         assert stage(spark, odd, sf_dir).count() >= 0
