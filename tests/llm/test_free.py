@@ -180,6 +180,16 @@ def test_near_dedup_star(spark):
     assert (out.class_id == 0).mean() > 0.998  # the bands' recall at 0.82
 
 
+def test_near_links_of_one_large_bucket(spark):
+    """The only meeting of 150 pairs alike in 52 of 64 samples is a bucket of 600 otherwise unlike members in three blocks."""
+    rng = np.random.default_rng(3)
+    sig = rng.integers(0, 1 << 16, (600, 64)).astype("<u2")
+    sig[1:300:2, :52] = sig[0:300:2, :52]
+    reps = spark.createDataFrame([(i, bytearray(x.tobytes()), [1]) for i, x in enumerate(sig)], "key long, sig binary, bh array<long>")
+    links = near_dedup.near_links(reps, lambda p: p.withColumn("similarity", F.lit(0.8)), bands=16, rows=4, threshold=0.8)
+    assert {(r.a, r.b) for r in links.collect()} == {(i, i + 1) for i in range(0, 300, 2)}
+
+
 def test_near_dedup_odd(odd, nothing):
     doubled = odd.unionByName(odd)
     c = dict(near_dedup.near_classes(doubled).toPandas().itertuples(index=False))
