@@ -1,22 +1,29 @@
 """Op 4: document fingerprints by invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into pieces (behind sentence ends, other stops and line breaks; a text of few pieces is cut into words)
-and each distinct piece has a 64-bit digest. A sketch has three subtables; each digest adds 1 to the count and itself
-and a check hash to the sums (exclusive or) of one cell in each. Subtracting the sketches of two versions cancels
-what they share; cells with a count of 1 or -1 and a matching check hold one differing digest, and taking it out of
-its other cells frees more. When every cell is empty the digests that differ are all recovered, and with the numbers
-of distinct pieces they give the Jaccard likeness. Sketches that do not empty are built again twice as large.
-
-Plan, in SQL functions alone. The texts are partitioned by document once; building, subtracting and peeling group by
-(document, pair, cell), for which that partitioning serves, so no cell is shuffled. A round of peeling takes the pure
-cells of one subtable only, so a digest is taken out once; a round is one generate and one aggregate inside the same
-stage. The next document's pieces and the few code points that the edit needs come as one message per document.
-The printed fingerprint has about 1.5 cells a piece;
-sketches that are compared are sized for both texts together. Only filled cells are rows.
+One rule cuts every text into pieces that cover it whole: its first ``HEAD`` code points into words, the rest behind
+stops, line breaks and words that end in one of a fixed class of characters, or else after 192 code points. A piece's
+digest holds its length; the second and further occurrences of a piece in a text have digests of their own. A sketch
+has three subtables of a power of two cells; each digest adds 1 to the count and itself and a check hash to the sums
+(exclusive or) of one cell in each. The number of cells follows from the text's own number of pieces, so equal texts
+have equal fingerprints. The printed fingerprint is that sketch whole: code points, cells of a subtable, and every
+filled cell with count, sum and check sum, so two prints can be compared without their texts.
+
+Likeness of two fingerprints: the smaller sketch is brought to the larger one's cells (it lists its own digests, since
+it has 1.5 cells a subtable and digest at least), subtracted, and peeled: a cell with a count of 1 or -1 and a
+matching check holds one differing digest, and taking it out of its other cells frees more. When every cell is empty
+the differing digests are all recovered; with the lengths they hold they give the weighted Jaccard likeness, the
+share of code points in common pieces. Sketches that do not empty are built again with other hashes, twice as large.
+
+Plan, in SQL functions alone. The texts are shuffled once, to their key, and meet there what the next document sends:
+the few code points that the edit needs, and its digests. Building, subtracting and peeling group by (document, pair,
+cell), for which that partitioning serves, so no cell is shuffled. A round of peeling takes the pure cells of one
+subtable only, so a digest is taken out once. Only the documents whose sketches did not empty are read for a retry.
+The prints come from a second pass over the texts instead of a stored copy of all digests.
 
 Defined results. Null text: empty, no pieces; two empty sketches have likeness 1. Rows equal in key and text give as
 many equal rows. Among rows with one key, texts follow in descending order of a hash. Null keys come last in
-descending order. Other columns are not carried.
+descending order. A single document is its own next. Very long texts are cut and compared whole. An empty table gives
+an empty result. Other columns, whatever their names, are not carried.
 """
 
 from __future__ import annotations
@@ -24,114 +31,99 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import BROADCAST_BYTES, stored, table, tidy
+from rivulet.llm.common import sized, stored, table, tidy
 
-#: A text of fewer pieces is cut into words, if it has at most so many code points.
-FEW, SHORT = 8, 2000
-PIECE_END = r"(?<=[.!?|,;:\n])"
-ROUNDS = 6
+#: The code points that are cut into words.
+HEAD = 128
+WORDS = r"\S{1,16}\s{0,16}|\s{1,16}"
+#: Every fifth Latin-1 character: a word that ends in one of them ends a piece.
+_LAST = "".join(rf"\x{c:02x}" for c in range(0x21, 0x100) if c % 5 == 0 and not chr(c).isspace())
+REST = rf"[\s\S]{{8,192}}?(?:[.!?;:\n。！？]|[{_LAST}]\s|$)|[\s\S]{{1,192}}"
+#: Rounds of peeling a try, and tries before the rest is counted exactly.
+ROUNDS, TRIES = 9, 6
+#: Cells of a subtable at least.
+LEAST = 1024
+_LENGTH = 511
 
 
-def _digests(parts: Column) -> Column:
-    return F.array_distinct(F.transform(F.filter(parts, lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
+def pieces(text: Column) -> Column:
+    """Digests of all pieces, repeats included: a hash, the lowest nine bits the number of code points."""
+    cut = F.concat(
+        F.regexp_extract_all(F.substring(text, 1, HEAD), F.lit(WORDS), F.lit(0)),
+        F.when(F.length(text) > HEAD, F.regexp_extract_all(F.substring(text, HEAD + 1, (1 << 31) - 1 - HEAD), F.lit(REST), F.lit(0))).otherwise(F.array().cast("array<string>")),
+    )
+    return F.transform(cut, lambda x: F.xxhash64(x).bitwiseAND(F.lit(~_LENGTH)).bitwiseOR(F.length(x)))
 
 
-def pieces(text: Column) -> Column:
-    """Digests of the distinct pieces."""
-    return _digests(F.split(text, PIECE_END, -1))
+def _bits(n: Column, least: int, scale: int = 0) -> Column:
+    """Binary logarithm of the cells in a subtable for a text of n pieces."""
+    return (F.ceil(F.log2(F.greatest(F.lit(float(least)), n * 1.5))) + scale).cast("int")
 
 
-def words(text: Column) -> Column:
-    """Digests of the distinct words of a short text, else null."""
-    return F.when(F.length(text) <= SHORT, _digests(F.split(text, r"[\x20\x09-\x0D]+", -1)))
+def _cell(x: Column, j: int, bits: Column, salt: int) -> Column:
+    return F.xxhash64(F.lit(salt * 3 + j), x).bitwiseAND(F.expr(f"shiftleft(1L, {bits})") - 1) * 3 + j
 
 
-def _third(n: Column) -> Column:
-    """Cells in a subtable for a text of n pieces."""
-    return (F.ceil(n / 2) + 4).cast("int")
+def _check(x: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit("check"), x), 32)
 
 
-def _cell(x: Column, j: int, third: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(j), x), third.cast("long")).cast("int") * 3 + j
+def _numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys..., x`` with x a digest of its own for each occurrence of a digest ``d``."""
+    counted = rows.groupBy(*keys, "d").agg(F.count(F.lit(1)).alias("c"))
+    each = counted.select(*keys, "d", F.explode(F.sequence(F.lit(1).cast("long"), F.col("c"))).alias("i"))
+    own = F.xxhash64("d", "i").bitwiseAND(F.lit(~_LENGTH)).bitwiseOR(F.col("d").bitwiseAND(F.lit(_LENGTH)))
+    return each.select(*keys, own.alias("x"))
 
 
-def _check(x: Column) -> Column:
-    return F.xxhash64(F.lit("check"), x)
+def _sum(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys, "cell").agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
 
 
-def _cells(signed: DataFrame, keys: list[str]) -> DataFrame:
-    """Sketch cells from ``keys..., third, x, sign``: ``keys..., third, cell, n, key, check``."""
-    at = F.array(*[F.struct(_cell(F.col("x"), j, F.col("third")).alias("cell")) for j in range(3)])
-    rows = signed.withColumn("check", _check(F.col("x"))).select(*keys, "third", "x", "sign", "check", F.inline(at))
-    return rows.groupBy(*keys, "third", "cell").agg(F.sum("sign").cast("int").alias("n"), F.bit_xor("x").alias("key"), F.bit_xor("check").alias("check"))
+def _full() -> Column:
+    return (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0)
 
 
-def peel(cells: DataFrame, keys: list[str], rounds: int = ROUNDS) -> DataFrame:
-    """``keys..., only_a, only_b, open`` from subtracted cells: recovered digests on each side and cells left."""
-    full = (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0)
-    state = cells.filter(full).select(*keys, "third", "cell", "n", "key", "check", F.lit(0).alias("a"), F.lit(0).alias("b"))
+def peel(cells: DataFrame, keys: list[str], salt: int, rounds: int = ROUNDS) -> DataFrame:
+    """``keys..., only_a, only_b, open`` from subtracted cells: code points of the digests recovered on each side, cells left."""
+    state = cells.filter(_full()).select(*keys, "bits", "cell", "n", "key", "check", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+    zero = F.lit(0).cast("long")
     for r in range(rounds):
         j = r % 3
-        pure = (F.pmod(F.col("cell"), F.lit(3)) == j) & F.abs("n").eqNullSafe(1) & (F.col("check") == _check(F.col("key"))) & (F.col("cell") >= 0)
-
-        def row(cell, n, key, check, a=F.lit(0), b=F.lit(0)):
-            return F.struct(cell.cast("int").alias("cell"), n.cast("int").alias("n"), key.alias("key"), check.alias("check"), a.cast("int").alias("a"), b.cast("int").alias("b"))
-
-        same = row(F.col("cell"), F.col("n"), F.col("key"), F.col("check"), F.col("a"), F.col("b"))
-        out = [row(_cell(F.col("key"), k, F.col("third")), -F.col("n"), F.col("key"), F.col("check")) for k in range(3) if k != j]
-        zero = F.lit(0).cast("long")
-        tally = row(F.lit(-1), F.lit(0), zero, zero, (F.col("n") == 1).cast("int"), (F.col("n") == -1).cast("int"))
-        state = state.select(*keys, "third", F.inline(F.when(pure, F.array(*out, tally)).otherwise(F.array(same))))
-        state = state.groupBy(*keys, "third", "cell").agg(
-            F.sum("n").cast("int").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"), F.sum("a").cast("int").alias("a"), F.sum("b").cast("int").alias("b")
-        ).filter(full | (F.col("cell") < 0))
-    return state.groupBy(*keys).agg(
-        F.sum("a").cast("int").alias("only_a"), F.sum("b").cast("int").alias("only_b"), F.sum((F.col("cell") >= 0).cast("int")).cast("int").alias("open")
-    )
+        pure = (F.col("cell") >= 0) & (F.pmod(F.col("cell"), F.lit(3)) == j) & (F.abs("n") == 1) & (F.col("check") == _check(F.col("key")))
 
+        def row(cell, n, key, check, a=zero, b=zero):
+            return F.struct(cell.alias("cell"), n.alias("n"), key.alias("key"), check.alias("check"), a.alias("a"), b.alias("b"))
 
-def _signed(pairs: DataFrame, scale: int) -> DataFrame:
-    """``id, pair, third, x, sign`` from ``id, e_a, e_b, n_a, n_b`` (the digests of both sides of both pairs)."""
-    def side(name: str, pair: int, sign: int, third: Column) -> Column:
-        return F.transform(F.coalesce(F.col(name), F.array().cast("array<bigint>")), lambda x: F.struct(F.lit(pair).alias("pair"), third.alias("third"), x.alias("x"), F.lit(sign).alias("sign")))
+        same = row(*(F.col(c) for c in ("cell", "n", "key", "check", "a", "b")))
+        out = [row(_cell(F.col("key"), k, "bits", salt), -F.col("n"), F.col("key"), F.col("check")) for k in range(3) if k != j]
+        chars = F.col("key").bitwiseAND(F.lit(_LENGTH))
+        tally = row(F.lit(-1).cast("long"), zero, zero, zero, F.when(F.col("n") == 1, chars).otherwise(zero), F.when(F.col("n") == -1, chars).otherwise(zero))
+        state = state.select(*keys, "bits", F.inline(F.when(pure, F.array(*out, tally)).otherwise(F.array(same))))
+        state = state.groupBy(*keys, "bits", "cell").agg(
+            F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"), F.sum("a").alias("a"), F.sum("b").alias("b")
+        ).filter(_full() | (F.col("cell") < 0))
+    return state.groupBy(*keys).agg(F.sum("a").alias("only_a"), F.sum("b").alias("only_b"), F.sum((F.col("cell") >= 0).cast("long")).alias("open"))
 
-    size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    # about twice as many cells a subtable as digests may differ: a few rounds peel them, and empty cells cost nothing
-    e = (size("e_a") + size("e_b") + 8) * scale
-    n = (2 * size("n_a") + 2 * size("n_b") + 8) * scale
-    parts = F.concat(side("e_a", 0, 1, e), side("e_b", 0, -1, e), side("n_a", 1, 1, n), side("n_b", 1, -1, n))
-    return pairs.select("id", F.inline(parts))
 
+def differing(rows: DataFrame, keys: list[str], salt: int) -> DataFrame:
+    """What :func:`peel` recovers of both pairs, from ``keys..., side, b0, b1, x``: side 0 is compared with 1 and 2."""
+    check = _check(F.col("x"))
 
-def likeness(pairs: DataFrame) -> DataFrame:
-    """``id, pair, only_a, only_b`` for all pairs with pieces, retried with larger sketches until every one peels.
+    def cells(pair: int, sign: int) -> list[Column]:
+        bits = f"b{pair}"
+        return [F.struct(F.lit(pair).alias("pair"), F.col(bits).alias("bits"), _cell(F.col("x"), j, bits, salt).alias("cell"), F.lit(sign).cast("long").alias("n"), F.col("x").alias("key"), check.alias("check")) for j in range(3)]
 
-    ``pairs`` is partitioned by ``id`` for each try.
-    """
-    found, scale, left = [], 1, pairs
-    while True:
-        tried = stored(peel(_cells(_signed(left, scale), ["id", "pair"]), ["id", "pair"]), f"peeled{scale}")
-        found.append(tried.filter("open = 0").select("id", "pair", "only_a", "only_b"))
-        failed = tried.filter("open > 0").groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, pair)")).alias("which"))
-        if not failed.limit(1).count():
-            break
-        empty = F.lit(None).cast("array<bigint>")
-        again = pairs.join(failed, "id")
-        keep = lambda c, bit: F.when(F.col("which").bitwiseAND(bit) != 0, F.col(c)).otherwise(empty).alias(c)
-        left = again.select("id", keep("e_a", 1), keep("e_b", 1), keep("n_a", 2), keep("n_b", 2))
-        scale *= 2
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+    put = F.when(F.col("side") == 0, F.array(*cells(0, 1), *cells(1, 1))).when(F.col("side") == 1, F.array(*cells(0, -1))).otherwise(F.array(*cells(1, -1)))
+    return peel(_sum(rows.select(*keys, F.inline(put)), [*keys, "pair", "bits"]), [*keys, "pair"], salt)
 
 
-def _printed(signed: DataFrame) -> DataFrame:
-    """``id, side, fp`` from ``id, side, third, x, sign``."""
-    cells = _cells(signed, ["id", "side"])
-    one = F.struct("cell", F.concat(F.hex("cell"), F.lit(":"), F.hex("n"), F.lit(":"), F.hex("key")).alias("t"))
-    listed = F.array_sort(F.collect_list(one))
-    return cells.groupBy("id", "side").agg(F.concat(F.first("third").cast("string"), F.lit("|"), F.array_join(F.transform(listed, lambda x: x["t"]), ",")).alias("fp"))
+def exactly_differing(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The same, without a sketch."""
+    both = F.when(F.col("side") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("side") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
+    net = rows.select(*keys, "x", F.when(F.col("side") == 0, 1).otherwise(-1).alias("s"), F.explode(both).alias("pair")).groupBy(*keys, "pair", "x").agg(F.sum("s").alias("s"))
+    chars = F.col("x").bitwiseAND(F.lit(_LENGTH))
+    return net.groupBy(*keys, "pair").agg(F.sum(F.when(F.col("s") > 0, chars).otherwise(0)).alias("only_a"), F.sum(F.when(F.col("s") < 0, chars).otherwise(0)).alias("only_b"), F.lit(0).cast("long").alias("open"))
 
 
 #: Stands for a null key, which comes last in descending order.
@@ -139,7 +131,7 @@ NO_KEY = -(1 << 63)
 
 
 def next_rows(rows: DataFrame, parts: int) -> DataFrame:
-    """``rows`` (``k, h`` and more) with ``rid`` and the next row's ``nk, nh``: descending (k, h), after the last the first.
+    """``rows`` (``k, h`` and more) with the next row's ``nk, nh``: descending (k, h), after the last the first.
 
     Rows are ordered by ranges; inside a range by a window, and one row a range links the ranges.
     """
@@ -149,12 +141,53 @@ def next_rows(rows: DataFrame, parts: int) -> DataFrame:
     by_part = Window.orderBy("part")  # one row a range
     edge = edge.select("part", F.coalesce(F.lead("top").over(by_part), F.first("top").over(by_part.rowsBetween(Window.unboundedPreceding, 0))).alias("after"))
     w = Window.partitionBy("part").orderBy(*order)
-    inner = ranged.withColumns({"rid": F.shiftleft(F.col("part").cast("long"), 40) + F.row_number().over(w), "in": F.lead(F.struct("k", "h")).over(w)})
+    inner = ranged.withColumn("in", F.lead(F.struct("k", "h")).over(w))
     nxt = F.coalesce("in", "after")
-    return inner.join(F.broadcast(edge), "part").select(*rows.columns, "rid", nxt["k"].alias("nk"), nxt["h"].alias("nh"))
+    return inner.join(F.broadcast(edge), "part").select(*rows.columns, nxt["k"].alias("nk"), nxt["h"].alias("nh"))
+
 
+def _met(one: DataFrame, ids: DataFrame, n_ids: int, parts: int, digests: bool) -> DataFrame:
+    """``k, h, t, e`` and, if asked, the next text's digests ``nd``: both sides shuffled to the document's (k, h)."""
+    asked = sized(ids.select(F.col("nk").alias("k"), F.col("nh").alias("h"), F.col("k").alias("to_k"), F.col("h").alias("to_h"), (F.col("n") / 3).cast("int").alias("third")), n_ids, 64)
+    message = one.join(asked, ["k", "h"]).select(F.col("to_k").alias("k"), F.col("to_h").alias("h"), F.expr("substring(t, 1, third)").alias("head"), *([pieces(F.col("t")).alias("nd")] if digests else []))
+    full = one.repartition(parts, "k", "h").join(message.repartition(parts, "k", "h"), ["k", "h"])
+    return full.withColumn("e", F.concat(F.expr("substring(t, 1, length(t) - cast(length(t) div 3 as int))"), "head"))
 
-def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+
+def _compared(full: DataFrame, least: int, scale: int) -> DataFrame:
+    """``k, h, side, b0, b1, x`` of the text (0), its edited text (1) and the next one (2)."""
+    a = full.select("k", "h", pieces(F.col("t")).alias("a"), pieces(F.col("e")).alias("b"), "nd")
+    size = lambda *c: _bits(F.greatest(*map(F.size, c)), least, scale)
+    side = lambda c, s: F.transform(c, lambda x: F.struct(F.lit(s).alias("side"), x.alias("d")))
+    flat = a.select("k", "h", size("a", "b").alias("b0"), size("a", "nd").alias("b1"), F.inline(F.concat(side("a", 0), side("b", 1), side("nd", 2))))
+    return _numbered(flat, ["k", "h", "side", "b0", "b1"])
+
+
+def _printed(full: DataFrame, least: int) -> DataFrame:
+    """``k, h, fingerprint, edited_fingerprint, edited_sha256``.
+
+    Besides pieces (sides 0 and 1) a document's rows hold its code points, sizes and digest (sides from 2 on).
+    """
+    a = full.select("k", "h", "t", "e", F.sha2("e", 256).alias("sha"), pieces(F.col("t")).alias("a"), pieces(F.col("e")).alias("b"))
+    head = lambda s, x: F.struct(F.lit(s).alias("side"), F.lit(0).alias("bits"), x.cast("long").alias("d"))
+    side = lambda c, s: F.transform(c, lambda x: F.struct(F.lit(s).alias("side"), _bits(F.size(c), least).alias("bits"), x.alias("d")))
+    heads = [F.length("t"), F.length("e"), _bits(F.size("a"), least), _bits(F.size("b"), least), *[F.conv(F.substring("sha", 13 * i + 1, 13), 16, 10) for i in range(5)]]
+    flat = a.select("k", "h", F.inline(F.concat(side("a", 0), side("b", 1), F.array(*[head(i + 2, x) for i, x in enumerate(heads)]))))
+    pieces_ = _numbered(flat.withColumn("head", F.when(F.col("side") > 1, F.col("d")).otherwise(0)), ["k", "h", "side", "bits", "head"])
+    x, zero = F.col("x"), F.lit(0).cast("long")
+    cells = [F.struct(_cell(x, j, "bits", 0).alias("cell"), F.lit(1).cast("long").alias("n"), x.alias("key"), _check(x).alias("check")) for j in range(3)]
+    rest = F.array(F.struct(zero.alias("cell"), zero.alias("n"), F.col("head").alias("key"), zero.alias("check")))
+    summed = _sum(pieces_.select("k", "h", "side", F.inline(F.when(F.col("side") > 1, rest).otherwise(F.array(*cells)))), ["k", "h", "side"])
+    text = F.concat(F.lpad(F.hex("cell"), 7, "0"), F.lit("."), F.col("n").cast("string"), F.lit("."), F.lower(F.hex("key")), F.lit("."), F.lower(F.hex("check")))
+    of = lambda s: F.max(F.when(F.col("side") == s, F.col("key")))
+    listed = lambda s: F.collect_list(F.when(F.col("side") == s, text))
+    got = summed.groupBy("k", "h").agg(listed(0).alias("c0"), listed(1).alias("c1"), *[of(i + 2).alias(f"h{i}") for i in range(len(heads))])
+    fp = lambda s: F.concat_ws("|", F.col(f"h{s}").cast("string"), F.expr(f"shiftleft(1L, cast(h{s + 2} as int))").cast("string"), F.array_join(F.sort_array(f"c{s}"), ","))
+    sha = F.concat(*[F.lpad(F.lower(F.hex(f"h{i + 4}")), 13 if i < 4 else 12, "0") for i in range(5)])
+    return got.select("k", "h", fp(0).alias("fingerprint"), fp(1).alias("edited_fingerprint"), sha.alias("edited_sha256"))
+
+
+def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """Per row of ``docs``: ``key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     The edited text has its last third of code points replaced by the first as many of the next document.
@@ -169,60 +202,35 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int((chars or 0) >> 22))
     ids = stored(next_rows(rows, max(1, min(parts, (count >> 14) + 1))), "ids")
     one = base.dropDuplicates(["k", "h"]) if (most or 1) > 1 else base
-    small = count * 64 <= BROADCAST_BYTES
-    hint = F.broadcast if small else lambda x: x
-    asked = hint(ids.select(F.col("nk").alias("k"), F.col("nh").alias("h"), F.col("rid").alias("to"), (F.col("n") / 3).cast("long").alias("third")))
-    few = lambda c: F.size(c) < FEW
-    message = one.join(asked, ["k", "h"]).select(F.col("to").alias("rid"), F.expr("substring(t, 1, cast(third as int))").alias("head"), pieces(F.col("t")).alias("n_p"), words(F.col("t")).alias("n_w"))
-    message = message.withColumn("n_w", F.when(few("n_p"), F.col("n_w")))
-    # of the own text only what the edit keeps goes on, with digests of the whole
-    n = F.length("t")
-    own = one.join(hint(ids.select("k", "h", "rid")), ["k", "h"]).select(
-        "rid", n.cast("long").alias("n_chars"), F.expr("substring(t, 1, length(t) - cast(length(t) div 3 as int))").alias("kept"), pieces(F.col("t")).alias("a_p"), words(F.col("t")).alias("a_w")
-    )
-    # a text of few pieces may be short of a few after the edit, or the other way round: their words go on as well
-    own = own.withColumn("a_w", F.when(F.size("a_p") < 2 * FEW + 2, F.col("a_w")))
-    full = own.join(message, "rid").withColumn("e", F.concat("kept", "head"))
-    full = full.withColumns({"e_p": pieces(F.col("e")), "edited_sha256": F.sha2("e", 256)})
-    some = few("a_p") | few("e_p")
-    same = F.array_position(F.zip_with("a_p", "e_p", lambda x, y: x.eqNullSafe(y)), False)
-    m = F.when(same == 0, F.size("a_p")).otherwise(same - 1).cast("int")
-    full = full.withColumn("m", m)
-    prepared = stored(
-        full.select(
-            "rid", "n_chars", "edited_sha256", "a_p", "m", F.slice("e_p", F.col("m") + 1, F.greatest(F.size("e_p") - F.col("m"), F.lit(0))).alias("e_t"), "n_p", "n_w",
-            F.when(some, F.col("a_w")).alias("a_w"), F.when(some, words(F.col("e"))).alias("e_w"),
-        ),
-        "prepared",
-    )
-    # the edited text's digests: as many of the own ones as they begin with, then the rest
-    prepared = prepared.select("*", F.concat(F.slice("a_p", 1, F.col("m")), F.col("e_t")).alias("e_p"))
-    short = lambda c: few(f"{c}_p") & F.col(f"{c}_w").isNotNull()
-    pick = lambda cond, c: F.when(cond, F.col(f"{c}_w")).otherwise(F.col(f"{c}_p"))
-    by_words = (short("a") | short("e")) & F.col("a_w").isNotNull() & F.col("e_w").isNotNull()
-    next_words = short("a") & short("n")
-    raw = ["a_p", "m", "e_t", "n_p", "n_w", "a_w", "e_w"]
-    e_p = F.concat(F.slice("a_p", 1, F.col("m")), F.col("e_t"))
-    placed = prepared.select(F.col("rid").alias("id"), *raw).repartition(parts, "id").withColumn("e_p", e_p)
-    pairs = placed.select("id", pick(by_words, "a").alias("e_a"), pick(by_words, "e").alias("e_b"), pick(next_words, "a").alias("n_a"), pick(next_words, "n").alias("n_b"))
-    near = likeness(pairs)
-    own = F.array(F.struct(F.lit(0).alias("side"), pick(short("a"), "a").alias("d")), F.struct(F.lit(1).alias("side"), pick(short("e"), "e").alias("d")))
-    sides = prepared.select(F.col("rid").alias("id"), *[c for c in raw if c not in ("n_p", "n_w")]).repartition(parts, "id").withColumn("e_p", e_p)
-    signed = sides.select("id", F.inline(own)).select("id", "side", _third(F.size("d")).alias("third"), F.explode("d").alias("x"), F.lit(1).alias("sign"))
-    texts = _printed(signed).groupBy("id").agg(F.max(F.when(F.col("side") == 0, F.col("fp"))).alias("fa"), F.max(F.when(F.col("side") == 1, F.col("fp"))).alias("fe"))
-    flat = near.groupBy("id").agg(*[F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}{p}") for p in (0, 1) for c in ("only_a", "only_b")])
-
-    def score(size_a: str, p: int) -> Column:
+    found, left, texts, n_left = [], ids, one, count
+    for attempt in range(TRIES + 1):
+        compared = _compared(_met(texts, left, n_left, min(parts, n_left + 1), True), least, attempt)
+        tried = stored(differing(compared, ["k", "h"], attempt) if attempt < TRIES else exactly_differing(compared, ["k", "h"]), f"peeled{attempt}")
+        found.append(tried.filter("open = 0"))
+        left = stored(ids.join(tried.filter("open > 0").select("k", "h").distinct(), ["k", "h"], "left_semi"), "left")
+        n_left = left.count()
+        if not n_left:
+            break
+        # only these documents and the next of each are read again
+        some = left.select("k", "h").unionByName(left.select(F.col("nk").alias("k"), F.col("nh").alias("h"))).distinct()
+        texts = one.join(sized(some, 2 * n_left, 32), ["k", "h"], "left_semi")
+    near = found[0]
+    for f in found[1:]:
+        near = near.unionByName(f)
+    # a document tried again for one pair has the other one twice, with equal values
+    part = lambda c, p: F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}{p}")
+    flat = near.groupBy("k", "h").agg(*[part(c, p) for p in (0, 1) for c in ("only_a", "only_b")])
+
+    def score(p: int) -> Column:
         only_a, only_b = (F.coalesce(F.col(f"{c}{p}"), F.lit(0)) for c in ("only_a", "only_b"))
-        union = F.col(size_a) + only_b
-        return F.when(union == 0, 1.0).otherwise((F.col(size_a) - only_a) / union)
+        return F.when(F.col("n") + only_b == 0, 1.0).otherwise((F.col("n") - only_a) / (F.col("n") + only_b))
 
-    sizes = prepared.select(F.col("rid").alias("id"), "n_chars", "edited_sha256", F.size(pick(by_words, "a")).alias("s0"), F.size(pick(next_words, "a")).alias("s1")).repartition(parts, "id")
-    out = sizes.join(flat, "id", "left").join(texts, "id", "left").join(ids.select(F.col("rid").alias("id"), "k", "copies"), "id")
-    empty = F.lit("0|")
+    scored = ids.join(flat, ["k", "h"], "left").select("k", "h", "n", "copies", score(0).alias("near_edited"), score(1).alias("near_next"))
+    scored = stored(scored, "scored")
+    out = _printed(_met(one, ids, count, parts, False), least).join(sized(scored, count, 64), ["k", "h"])
     return out.select(
-        F.when(F.col("k") != NO_KEY, F.col("k")).alias("key"), "n_chars", "edited_sha256", F.coalesce("fa", empty).alias("fingerprint"), F.coalesce("fe", empty).alias("edited_fingerprint"),
-        score("s0", 0).alias("near_edited"), score("s1", 1).alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
+        F.when(F.col("k") != NO_KEY, F.col("k")).alias("key"), F.col("n").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
     ).drop("copy")
 
 
