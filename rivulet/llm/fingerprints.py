@@ -1,7 +1,7 @@
 """Op 4: document fingerprints by invertible Bloom lookup sketches of paragraph digests.
 
 One rule cuts every text into pieces that cover it whole: its first ``HEAD`` code points into words, the rest behind
-stops, line breaks and words that end in one of a fixed class of characters, or else after 192 code points. A piece's
+stops, line breaks and words that end in one of a fixed class of characters, or else after ``LONGEST`` code points. A piece's
 digest holds its length; the second and further occurrences of a piece in a text have digests of their own. A sketch
 has three subtables of a power of two cells; each digest adds 1 to the count and itself and a check hash to the sums
 (exclusive or) of one cell in each. The number of cells follows from the text's own number of pieces, so equal texts
@@ -31,14 +31,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import sized, stored, table, tidy
+from rivulet.llm.common import let, sized, stored, table, tidy
 
 #: The code points that are cut into words.
-HEAD = 128
+HEAD = 64
 WORDS = r"\S{1,16}\s{0,16}|\s{1,16}"
-#: Every fifth Latin-1 character: a word that ends in one of them ends a piece.
-_LAST = "".join(rf"\x{c:02x}" for c in range(0x21, 0x100) if c % 5 == 0 and not chr(c).isspace())
-REST = rf"[\s\S]{{8,192}}?(?:[.!?;:\n。！？]|[{_LAST}]\s|$)|[\s\S]{{1,192}}"
+#: A word that ends in one of these ends a piece, as do stops and line breaks; a piece has at most ``LONGEST`` code points.
+LAST = "".join(rf"\x{c:02x}" for c in range(0x21, 0x100) if c % 11 == 3 and not chr(c).isspace())
+CUT = rf"(?<=[.?;:7{LAST}][\x20\n])|(?<=\n)"
+LONGEST = 192
 #: Rounds of peeling a try, and tries before the rest is counted exactly.
 ROUNDS, TRIES = 9, 6
 #: Cells of a subtable at least.
@@ -48,11 +49,15 @@ _LENGTH = 511
 
 def pieces(text: Column) -> Column:
     """Digests of all pieces, repeats included: a hash, the lowest nine bits the number of code points."""
-    cut = F.concat(
-        F.regexp_extract_all(F.substring(text, 1, HEAD), F.lit(WORDS), F.lit(0)),
-        F.when(F.length(text) > HEAD, F.regexp_extract_all(F.substring(text, HEAD + 1, (1 << 31) - 1 - HEAD), F.lit(REST), F.lit(0))).otherwise(F.array().cast("array<string>")),
-    )
-    return F.transform(cut, lambda x: F.xxhash64(x).bitwiseAND(F.lit(~_LENGTH)).bitwiseOR(F.length(x)))
+    rest = let(F.split(F.substring(text, HEAD + 1, (1 << 31) - 1 - HEAD), CUT, -1), _short)
+    cut = F.concat(F.regexp_extract_all(F.substring(text, 1, HEAD), F.lit(WORDS), F.lit(0)), F.when(F.length(text) > HEAD, rest).otherwise(F.array().cast("array<string>")))
+    return F.transform(F.filter(cut, lambda x: x != ""), lambda x: F.xxhash64(x).bitwiseAND(F.lit(~_LENGTH)).bitwiseOR(F.length(x)))
+
+
+def _short(parts: Column) -> Column:
+    """Pieces longer than ``LONGEST`` as several."""
+    blocks = F.flatten(F.transform(parts, lambda x: F.when(F.length(x) > LONGEST, F.regexp_extract_all(x, F.lit(rf"[\s\S]{{1,{LONGEST}}}"), F.lit(0))).otherwise(F.array(x))))
+    return F.when(F.exists(parts, lambda x: F.length(x) > LONGEST), blocks).otherwise(parts)
 
 
 def _bits(n: Column, least: int, scale: int = 0) -> Column:
@@ -60,8 +65,9 @@ def _bits(n: Column, least: int, scale: int = 0) -> Column:
     return (F.ceil(F.log2(F.greatest(F.lit(float(least)), n * 1.5))) + scale).cast("int")
 
 
-def _cell(x: Column, j: int, bits: Column, salt: int) -> Column:
-    return F.xxhash64(F.lit(salt * 3 + j), x).bitwiseAND(F.expr(f"shiftleft(1L, {bits})") - 1) * 3 + j
+def _cell(x: Column | str, j: Column | str, bits: Column | str) -> Column:
+    """The cell of a digest in the subtable that ``j`` leaves modulo 3."""
+    return F.xxhash64(j, x).bitwiseAND(F.expr(f"shiftleft(1L, {bits})") - 1) * 3 + F.pmod(j, F.lit(3))
 
 
 def _check(x: Column) -> Column:
@@ -84,44 +90,53 @@ def _full() -> Column:
     return (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0)
 
 
+def _put(rows: DataFrame, keys: list[str], salt: int, sign: Column | None = None) -> DataFrame:
+    """Sketch cells of ``keys..., bits, x``; small steps, so that each compiles well."""
+    three = rows.withColumn("j", F.explode(F.array(*[F.lit(salt * 3 + j) for j in range(3)])))
+    cells = three.select(*keys, _cell("x", F.col("j"), "bits").alias("cell"), (F.lit(1) if sign is None else sign).cast("long").alias("n"), F.col("x").alias("key"), _check(F.col("x")).alias("check"))
+    return _sum(cells, keys)
+
+
 def peel(cells: DataFrame, keys: list[str], salt: int, rounds: int = ROUNDS) -> DataFrame:
-    """``keys..., only_a, only_b, open`` from subtracted cells: code points of the digests recovered on each side, cells left."""
-    state = cells.filter(_full()).select(*keys, "bits", "cell", "n", "key", "check", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+    """``keys..., only_a, only_b, open`` from subtracted cells: code points of the digests recovered on each side, cells left.
+
+    A digest that is taken out goes to its two other cells and, as code points, to the cell -1 or -2 of its side.
+    """
+    keys = [*keys, "bits"]
+    state = cells.filter(_full()).select(*keys, "cell", "n", "key", "check")
     zero = F.lit(0).cast("long")
     for r in range(rounds):
         j = r % 3
         pure = (F.col("cell") >= 0) & (F.pmod(F.col("cell"), F.lit(3)) == j) & (F.abs("n") == 1) & (F.col("check") == _check(F.col("key")))
-
-        def row(cell, n, key, check, a=zero, b=zero):
-            return F.struct(cell.alias("cell"), n.alias("n"), key.alias("key"), check.alias("check"), a.alias("a"), b.alias("b"))
-
-        same = row(*(F.col(c) for c in ("cell", "n", "key", "check", "a", "b")))
-        out = [row(_cell(F.col("key"), k, "bits", salt), -F.col("n"), F.col("key"), F.col("check")) for k in range(3) if k != j]
-        chars = F.col("key").bitwiseAND(F.lit(_LENGTH))
-        tally = row(F.lit(-1).cast("long"), zero, zero, zero, F.when(F.col("n") == 1, chars).otherwise(zero), F.when(F.col("n") == -1, chars).otherwise(zero))
-        state = state.select(*keys, "bits", F.inline(F.when(pure, F.array(*out, tally)).otherwise(F.array(same))))
-        state = state.groupBy(*keys, "bits", "cell").agg(
-            F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"), F.sum("a").alias("a"), F.sum("b").alias("b")
-        ).filter(_full() | (F.col("cell") < 0))
-    return state.groupBy(*keys).agg(F.sum("a").alias("only_a"), F.sum("b").alias("only_b"), F.sum((F.col("cell") >= 0).cast("long")).alias("open"))
+        to = F.when(pure, F.array(*[F.lit(salt * 3 + k) for k in range(3) if k != j], F.lit(-1))).otherwise(F.array(F.lit(-2)))
+        moved = state.withColumn("to", F.explode(to))
+        stays, out = F.col("to") == -2, F.col("to") >= 0
+        state = moved.select(
+            *keys,
+            F.when(stays, F.col("cell")).when(out, _cell("key", F.col("to"), "bits")).otherwise(F.when(F.col("n") == 1, F.lit(-1)).otherwise(F.lit(-2)).cast("long")).alias("cell"),
+            F.when(stays, F.col("n")).when(out, -F.col("n")).otherwise(F.col("key").bitwiseAND(F.lit(_LENGTH))).alias("n"),
+            F.when(stays | out, F.col("key")).otherwise(zero).alias("key"),
+            F.when(stays | out, F.col("check")).otherwise(zero).alias("check"),
+        )
+        state = _sum(state, keys).filter(_full())
+    total = lambda which: F.sum(F.when(F.col("cell") == which, F.col("n")).otherwise(0))
+    return state.groupBy(*keys).agg(total(-1).alias("only_a"), total(-2).alias("only_b"), F.sum((F.col("cell") >= 0).cast("long")).alias("open")).drop("bits")
+
+
+def _pairs() -> Column:
+    """The pairs that a side takes part in: 0 with the edited text, 1 with the next one."""
+    return F.explode(F.when(F.col("side") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("side") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(1))))
 
 
 def differing(rows: DataFrame, keys: list[str], salt: int) -> DataFrame:
     """What :func:`peel` recovers of both pairs, from ``keys..., side, b0, b1, x``: side 0 is compared with 1 and 2."""
-    check = _check(F.col("x"))
-
-    def cells(pair: int, sign: int) -> list[Column]:
-        bits = f"b{pair}"
-        return [F.struct(F.lit(pair).alias("pair"), F.col(bits).alias("bits"), _cell(F.col("x"), j, bits, salt).alias("cell"), F.lit(sign).cast("long").alias("n"), F.col("x").alias("key"), check.alias("check")) for j in range(3)]
-
-    put = F.when(F.col("side") == 0, F.array(*cells(0, 1), *cells(1, 1))).when(F.col("side") == 1, F.array(*cells(0, -1))).otherwise(F.array(*cells(1, -1)))
-    return peel(_sum(rows.select(*keys, F.inline(put)), [*keys, "pair", "bits"]), [*keys, "pair"], salt)
+    both = rows.withColumn("pair", _pairs()).select(*keys, "pair", F.when(F.col("pair") == 0, F.col("b0")).otherwise(F.col("b1")).alias("bits"), "side", "x")
+    return peel(_put(both, [*keys, "pair", "bits"], salt, F.when(F.col("side") == 0, 1).otherwise(-1)), [*keys, "pair"], salt)
 
 
 def exactly_differing(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The same, without a sketch."""
-    both = F.when(F.col("side") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("side") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
-    net = rows.select(*keys, "x", F.when(F.col("side") == 0, 1).otherwise(-1).alias("s"), F.explode(both).alias("pair")).groupBy(*keys, "pair", "x").agg(F.sum("s").alias("s"))
+    net = rows.select(*keys, "x", F.when(F.col("side") == 0, 1).otherwise(-1).alias("s"), _pairs().alias("pair")).groupBy(*keys, "pair", "x").agg(F.sum("s").alias("s"))
     chars = F.col("x").bitwiseAND(F.lit(_LENGTH))
     return net.groupBy(*keys, "pair").agg(F.sum(F.when(F.col("s") > 0, chars).otherwise(0)).alias("only_a"), F.sum(F.when(F.col("s") < 0, chars).otherwise(0)).alias("only_b"), F.lit(0).cast("long").alias("open"))
 
@@ -173,12 +188,16 @@ def _printed(full: DataFrame, least: int) -> DataFrame:
     side = lambda c, s: F.transform(c, lambda x: F.struct(F.lit(s).alias("side"), _bits(F.size(c), least).alias("bits"), x.alias("d")))
     heads = [F.length("t"), F.length("e"), _bits(F.size("a"), least), _bits(F.size("b"), least), *[F.conv(F.substring("sha", 13 * i + 1, 13), 16, 10) for i in range(5)]]
     flat = a.select("k", "h", F.inline(F.concat(side("a", 0), side("b", 1), F.array(*[head(i + 2, x) for i, x in enumerate(heads)]))))
-    pieces_ = _numbered(flat.withColumn("head", F.when(F.col("side") > 1, F.col("d")).otherwise(0)), ["k", "h", "side", "bits", "head"])
-    x, zero = F.col("x"), F.lit(0).cast("long")
-    cells = [F.struct(_cell(x, j, "bits", 0).alias("cell"), F.lit(1).cast("long").alias("n"), x.alias("key"), _check(x).alias("check")) for j in range(3)]
-    rest = F.array(F.struct(zero.alias("cell"), zero.alias("n"), F.col("head").alias("key"), zero.alias("check")))
-    summed = _sum(pieces_.select("k", "h", "side", F.inline(F.when(F.col("side") > 1, rest).otherwise(F.array(*cells)))), ["k", "h", "side"])
-    text = F.concat(F.lpad(F.hex("cell"), 7, "0"), F.lit("."), F.col("n").cast("string"), F.lit("."), F.lower(F.hex("key")), F.lit("."), F.lower(F.hex("check")))
+    # a head's row goes through as one cell, numbers of pieces as three
+    each = _numbered(flat.withColumn("head", F.when(F.col("side") > 1, F.col("d")).otherwise(0)), ["k", "h", "side", "bits", "head"])
+    three = each.withColumn("j", F.explode(F.when(F.col("side") > 1, F.array(F.lit(-1))).otherwise(F.array(*[F.lit(j) for j in range(3)]))))
+    piece, zero = F.col("j") >= 0, F.lit(0).cast("long")
+    cells = three.select(
+        "k", "h", "side", F.when(piece, _cell("x", F.col("j"), "bits")).otherwise(zero).alias("cell"), piece.cast("long").alias("n"),
+        F.when(piece, F.col("x")).otherwise(F.col("head")).alias("key"), F.when(piece, _check(F.col("x"))).otherwise(zero).alias("check"),
+    )
+    summed = _sum(cells, ["k", "h", "side"])
+    text = F.concat_ws(".", F.lpad(F.hex("cell"), 7, "0"), F.col("n").cast("string"), F.hex("key"), F.hex("check"))
     of = lambda s: F.max(F.when(F.col("side") == s, F.col("key")))
     listed = lambda s: F.collect_list(F.when(F.col("side") == s, text))
     got = summed.groupBy("k", "h").agg(listed(0).alias("c0"), listed(1).alias("c1"), *[of(i + 2).alias(f"h{i}") for i in range(len(heads))])
@@ -199,7 +218,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
     rows = base.select("k", "h", F.length("t").cast("long").alias("n")).groupBy("k", "h").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     rows = stored(rows, "rows")
     count, chars, most = rows.agg(F.count(F.lit(1)), F.sum("n"), F.max("copies")).first()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int((chars or 0) >> 22))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int((chars or 0) >> 21))
     ids = stored(next_rows(rows, max(1, min(parts, (count >> 14) + 1))), "ids")
     one = base.dropDuplicates(["k", "h"]) if (most or 1) > 1 else base
     found, left, texts, n_left = [], ids, one, count

@@ -27,8 +27,8 @@ def test_line_dedup_drops_and_keeps(spark, odd, nothing):
 
 def brute_pieces(text):
     """Pieces by the rule, as (piece, occurrence), and the code points of each."""
-    cut = re.findall(fingerprints.WORDS, text[: fingerprints.HEAD]) + re.findall(fingerprints.REST, text[fingerprints.HEAD :])
-    cut = [x for x in cut if x]
+    rest = [x[i : i + fingerprints.LONGEST] for x in re.split(fingerprints.CUT, text[fingerprints.HEAD :]) for i in range(0, len(x), fingerprints.LONGEST)]
+    cut = [x for x in re.findall(fingerprints.WORDS, text[: fingerprints.HEAD]) + rest if x]
     assert "".join(cut) == text
     seen, out = {}, set()
     for x in cut:
@@ -91,7 +91,7 @@ def test_fingerprints_brute(spark, sf_dir, docs):
     brute_check(out, d.text.tolist(), d.doc_id.tolist())
     assert set(out.index) == set(d.doc_id)
     long = out[out.n_chars > 30]
-    assert long.near_edited.min() > 0.3  # two thirds of every text stay
+    assert long.near_edited.min() > 0.15 and long.near_edited.mean() > 0.45  # two thirds of every text stay
 
 
 def test_fingerprints_without_stops(spark):
@@ -101,7 +101,7 @@ def test_fingerprints_without_stops(spark):
     df = spark.createDataFrame([(-i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     out = fingerprints.fingerprints(df).toPandas().set_index("key")
     brute_check(out, texts, [-i for i in range(len(texts))])
-    assert out.near_next[0] > 0.95 and out.near_next[-3] > 0.6 and (out.near_edited > 0.4).all()
+    assert out.near_next[0] > 0.95 and out.near_next[-3] > 0.6 and (out.near_edited > 0.3).all()
 
 
 def test_returned_prints_are_compared(spark):
