@@ -9,12 +9,11 @@ lines per document divided by the ratio), so they become one array a site. That
 broadcast when its measured size is small; otherwise each site's array is repeated over ``salts`` salts and the
 documents of a hot site spread over as many tasks.
 
-The default ratio of 0.08 leaves alone a text that is copied into a twentieth of a site's documents: those copies are
-for near-duplicate detection to find, and would otherwise all lose their lines. ``copies_once`` protects copies exactly and allows a lower ratio: a group of
-equal texts counts once among a line's documents and once among the site's.
+A text that is copied into many of a site's documents is for near-duplicate detection to find and would otherwise lose
+all its lines, so (``copies_once``) a group of equal texts counts once among a line's documents and once among the site's.
 
 Defined results. Null text: kept as null, no lines. Null site: a site of its own. Empty lines (after trimming) are
-never boilerplate. A line repeated inside one document counts once. Repeated rows count as documents of their own.
+never boilerplate. A line repeated inside one document counts once. Repeated rows stay, as rows of their own.
 Extra columns pass through; names starting with ``__`` are reserved for the operator.
 """
 
@@ -36,7 +35,7 @@ def _digest(line: Column) -> Column:
 
 
 def boilerplate(
-    docs: DataFrame, *, text: str = "text", site: str = "source", max_ratio: float = 0.08, min_pages: int = 5, copies_once: bool = False
+    docs: DataFrame, *, text: str = "text", site: str = "source", max_ratio: float = 0.02, min_pages: int = 5, copies_once: bool = True
 ) -> DataFrame:
     """One row per (site, line digest) above the ratio: ``__site, pages, site_pages, a, b``.
 
@@ -69,9 +68,9 @@ def drop_boilerplate(
     *,
     text: str = "text",
     site: str = "source",
-    max_ratio: float = 0.08,
+    max_ratio: float = 0.02,
     min_pages: int = 5,
-    copies_once: bool = False,
+    copies_once: bool = True,
     salts: int = 64,
     detail: bool = False,
 ) -> DataFrame:
@@ -140,12 +139,12 @@ def op1_line_dedup(spark, sf_dir: str) -> DataFrame:
 #: DuckDB's form of the query, by the whole line instead of its digests.
 SQL = r"""
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
-tot AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-l AS (SELECT DISTINCT doc_id, source, trim(u) AS line FROM (SELECT doc_id, source, unnest(ls) AS u FROM d)),
+tot AS (SELECT source, count(*) AS n FROM (SELECT DISTINCT source, text FROM documents) GROUP BY source),
+l AS (SELECT DISTINCT source, text, trim(u) AS line FROM (SELECT source, text, unnest(ls) AS u FROM d)),
 bad AS (
   SELECT l.source, l.line FROM l JOIN tot ON l.source IS NOT DISTINCT FROM tot.source
   WHERE l.line <> '' GROUP BY l.source, l.line, tot.n
-  HAVING count(*) >= 5 AND count(*) > 0.08 * tot.n),
+  HAVING count(*) >= 5 AND count(*) > 0.02 * tot.n),
 g AS (SELECT source, list(line) AS bl FROM bad GROUP BY source)
 SELECT d.doc_id,
   coalesce(len(d.ls), 0)::BIGINT AS n_lines,
