@@ -12,7 +12,8 @@ task: block-nested search of a stated query set. Each returns k candidates a que
 stay. Equal vectors of a block are searched once and carry their least ids.
 
 Defined results. Null and zero vectors and those with null or non-finite components take no part; vectors of another
-length are searched among themselves. Ties go to the smaller id. Null ids take no part.
+length are searched among themselves. Ties go to the smaller id. Null ids take no part. Rows that share an id count
+once, with the least vector. An empty table gives an empty result. Other columns, whatever their names, are not carried.
 """
 
 from __future__ import annotations
@@ -125,6 +126,8 @@ def nearest(
     rows = vectors.filter(F.col(key).isNotNull() & v.isNotNull() & good).select(
         F.col(key).cast("long").alias("id"), v.cast("array<double>").alias("v"), F.size(v).alias("d"), F.coalesce(is_query, F.lit(False)).alias("q")
     )
+    if rows.groupBy("id").count().filter("count > 1").limit(1).count():
+        rows = rows.groupBy("id").agg(F.min(F.struct("d", "v", "q")).alias("r")).select("id", "r.v", "r.d", "r.q")
     stats = rows.agg(F.count(F.lit(1)), F.sum(F.col("q").cast("long")), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()
     blocks, chunks = max(1, -(-stats[0] // block_rows)), max(1, -(-(stats[1] or 0) // chunk_rows))
     top = float(stats[2] or 1.0) ** 0.5
