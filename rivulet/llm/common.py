@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,12 +18,14 @@ BROADCAST_BYTES = 32 << 20
 def work_dir(spark: SparkSession) -> str:
     """A folder of this call in the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a notebook) a folder for checkpoints under /tmp is set.
+    Only where that setting is absent and all tasks run in this process (tests, a notebook) a folder under /tmp serves;
+    on a cluster an absent setting is an error, since executors do not share their local folders.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "/tmp/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/rivulet-{uuid.uuid4().hex}"
 
 
@@ -48,8 +52,33 @@ def n_words(text: Column) -> Column:
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches of few rows, so that very long texts do not meet in one batch."""
+    """Arrow batches of few rows and bytes, so that very long texts do not meet in one batch.
+
+    Results are lazy, so the setting stays for the session.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    except Exception:  # a version without the setting
+        return
+
+
+def freeing(run):
+    """``run`` (a map over Arrow batches) that gives its memory back to the system when a task ends."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return inner
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm import textnum
-from rivulet.llm.common import small_batches, table
+from rivulet.llm.common import freeing, small_batches, table
 
 ORDERS = (2, 3, 4)
 BITS = 17
@@ -188,7 +188,7 @@ def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names, "lang_pred", "score", "accepted"])
 
     fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(score, f"{fields}, lang_pred string, score double, accepted boolean")
+    return docs.mapInArrow(freeing(score), f"{fields}, lang_pred string, score double, accepted boolean")
 
 
 def fitted(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", per_label: int = 800) -> Model | None:

@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import small_batches, stored, table
+from rivulet.llm.common import freeing, small_batches, stored, table
 
 # The pre-tokenizer's white space (Unicode White_Space) and contractions.
 SPACE_POINTS = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 #: Words a worker remembers the ids of; then it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 
 
 def _bytes_of_chars() -> dict[str, int]:
@@ -170,7 +170,7 @@ def token_pieces(
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    return docs.select(F.col(key), F.col(text)).mapInArrow(cut, schema)
+    return docs.select(F.col(key), F.col(text)).mapInArrow(freeing(cut), schema)
 
 
 def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, int]]:

@@ -12,7 +12,9 @@ import pyarrow as pa
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Texts are taken together up to about this many bytes; a longer one stands alone.
-SLICE = 1 << 20
+SLICE = 1 << 18
+#: Powers are kept for runs of so many items; longer ones are made anew each time.
+KEPT = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,11 +38,13 @@ class Poly:
         self.up = self.down = np.ones(1, np.uint64)
 
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            m = max(n, 1 << 16)
-            self.up = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(m - 1, self.base, np.uint64))])
-            self.down = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(m - 1, self.inverse, np.uint64))])
-        return self.up, self.down
+        if len(self.up) >= n:
+            return self.up, self.down
+        m = max(n, 1 << 16)
+        both = [np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(m - 1, x, np.uint64))]) for x in (self.base, self.inverse)]
+        if m <= KEPT:
+            self.up, self.down = both
+        return both[0], both[1]
 
     def spans(self, items: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of ``items[starts:ends]`` (uint64 items)."""

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import small_batches, table
+from rivulet.llm.common import freeing, small_batches, table
 
 END = "</w>"
 # Unicode White_Space, and the pattern's contractions.
@@ -119,7 +119,7 @@ class Transducer:
         key = (before, token)
         ok = self.pair.get(key)
         if ok is None:
-            if len(self.pair) > 4_000_000:
+            if len(self.pair) > 500_000:
                 self.pair.clear()
             want = [token] if before is None else [before, token]
             ok = self.pair[key] = self.bpe([s for t in want for s in self.parts(t)]) == want
@@ -362,7 +362,7 @@ def token_counts(docs: DataFrame, tokenizer: str, *, text: str = "text", limit:
             yield pa.RecordBatch.from_arrays([*batch.columns, size, pa.array(n), pa.array(n > limit)], [*batch.schema.names, "n_bytes", "n_tokens", "over_limit"])
 
     fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(count, f"{fields}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.mapInArrow(freeing(count), f"{fields}, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op8_token_count(spark, sf_dir: str) -> DataFrame:
