@@ -11,17 +11,20 @@ have thousands in every shared shingle and one in each edited shingle, and the e
 2. Equal texts (by 128 bits of their words) become one representative. Representatives that agree in all rows of a
    band share a bucket. Small buckets give their pairs. In larger ones each member meets the few members that agree
    most with all others; links verified so far make components, and members outside the bucket's largest one do so
-   again, ``ROUNDS`` times. Then those still outside meet, block by block, all members of other components.
+   again as long as a round settles a tenth of them. Then those still outside meet, block by block, all members of
+   other components: the samples tell which of them may be alike, and those are verified block against block.
 3. Pairs whose samples let 0.8 seem possible are verified: weighted Jaccard over the whole texts. Only verified links
    settle a member, and no pair of a bucket is left out unless such links connect it.
 4. Classes are the components of the verified links.
 
 Plan. The samples are drawn where the texts lie; only hashes are shuffled. Leaders are repeated over salts, so a
-bucket with a third of all rows spreads; blocks of samples meet as single rows. Text is shuffled for documents in
-candidate pairs alone. Members that no links connect cost the square of their number in comparisons of samples.
+bucket with a third of all rows spreads; blocks meet as single rows. Text is shuffled for documents in candidate
+pairs alone. Members that no links connect cost the square of their number in arithmetic (a matrix product a pair of
+blocks), but a pair of blocks returns at most one row a member, so rows and shuffle do not grow with that square.
 
 Defined results. Null and empty texts, and those without words, are classes of their own. Equal rows share a class.
-The class id is the least key in the class.
+The class id is the least key in the class. Very long texts are compared whole. An empty table gives an empty result.
+Other columns, whatever their names, are not carried.
 """
 
 from __future__ import annotations
@@ -36,13 +39,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm import textnum
-from rivulet.llm.common import BROADCAST_BYTES, sized, small_batches, stored, table, tidy, work_dir
+from rivulet.llm.common import BROADCAST_BYTES, freeing, sized, small_batches, stored, table, tidy, work_dir
 from rivulet.llm.components import components
 
 IDF_BITS = 18
 FAN_IN = 64
-#: Buckets up to SMALL give their pairs; larger ones have ROUNDS of LEADERS, each repeated over SALTS, then BLOCKs.
-SMALL, LEADERS, SALTS, ROUNDS, BLOCK = 8, 2, 16, 3, 256
+#: Buckets up to SMALL give their pairs; larger ones have rounds of LEADERS, each repeated over SALTS, then BLOCKs of
+#: samples and, of members that may have a link there, TEXTS in a block and COLUMNS of a matrix at once.
+SMALL, LEADERS, SALTS, BLOCK, TEXTS, COLUMNS = 8, 4, 16, 256, 128, 8192
+#: A round of leaders is followed by another if it settles this share of the members that are left.
+SETTLED = 0.1
 _LINK = "a long, b long, similarity double"
 _W1, _W2, _S = textnum.Poly(31), textnum.Poly(32), textnum.Poly(33)
 
@@ -64,6 +70,12 @@ _R, _LOG_C = _GAMMA.astype(np.float32), np.log(_GAMMA).astype(np.float32)
 
 def shingles(words: textnum.Words, size: int, idf: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, weight, text) of the distinct shingles of a slice's texts, texts in order."""
+    s, each, count, text = counted(words, size, idf)
+    return s, each * count.astype(np.float32), text
+
+
+def counted(words: textnum.Words, size: int, idf: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, IDF, count, text) of the distinct shingles of a slice's texts, texts in order."""
     h = words.hashes(_W1)
     at, text = words.runs(size)
     ends = at + size
@@ -74,7 +86,7 @@ def shingles(words: textnum.Words, size: int, idf: np.ndarray | None) -> tuple[n
         ends = np.concatenate([ends, words.first[short + 1]])
         text = np.concatenate([text, short])
     if not len(at):
-        return np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.int64), np.zeros(0, np.int64)
     s = _S.spans(h, at, ends)
     if idf is None:
         each = np.ones(len(at), np.float32)
@@ -85,7 +97,7 @@ def shingles(words: textnum.Words, size: int, idf: np.ndarray | None) -> tuple[n
     _, first, count = np.unique(s ^ textnum.mix(text.astype(np.uint64) + np.uint64(1)), return_index=True, return_counts=True)
     order = np.lexsort((first, text[first]))
     first, count = first[order], count[order]
-    return s[first], each[first] * count.astype(np.float32), text[first]
+    return s[first], each[first], count, text[first]
 
 
 def samples(s: np.ndarray, weight: np.ndarray, text: np.ndarray, n: int, k: int) -> np.ndarray:
@@ -181,7 +193,7 @@ def signatures(docs: DataFrame, idf, *, key: str, text: str, size: int, bands: i
                     ["key", "ha", "hb", "sig", "bh"],
                 )
 
-    return docs.select(F.col(key).cast("long"), text).mapInArrow(draw, "key long, ha long, hb long, sig binary, bh array<long>")
+    return docs.select(F.col(key).cast("long"), text).mapInArrow(freeing(draw), "key long, ha long, hb long, sig binary, bh array<long>")
 
 
 def _agreement(pairs: DataFrame, sig: DataFrame, k: int, low: float) -> DataFrame:
@@ -229,24 +241,115 @@ def _central(blocks: DataFrame, k: int) -> DataFrame:
     return blocks.select("bh", "m").mapInArrow(pick, "bh long, score double, key long")
 
 
-def _across(blocks: DataFrame, k: int, low: float) -> DataFrame:
-    """``a < b`` of unlike labels in two blocks (``x``, ``y``: members) with a share of ``low`` or more of equal samples."""
+def _touched(blocks: DataFrame, k: int, low: float) -> DataFrame:
+    """``bh, key`` of members of two blocks (``x``, ``y``) with a share of ``low`` or more of equal samples with one of another label."""
 
     def meet(batches):
         for batch in batches:
-            for (s, x), (t, y) in zip(_members(batch, "x", k), _members(batch, "y", k)):
-                equal = np.zeros((len(s), len(t)), np.uint16)
+            for h, (s, x), (t, y) in zip(batch.column("bh").to_pylist(), _members(batch, "x", k), _members(batch, "y", k)):
+                equal = np.zeros((len(s), len(t)), np.uint8)
                 for j in range(k):
                     equal += s[:, j, None] == t[None, :, j]
-                i, j = np.nonzero((equal >= low * k) & (x["label"][:, None] != y["label"][None, :]))
-                a, b = x["key"][i], y["key"][j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+                alike = (equal >= low * k) & (x["label"][:, None] != y["label"][None, :])
+                keys = np.concatenate([x["key"][alike.any(axis=1)], y["key"][alike.any(axis=0)]])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), h, np.int64)), pa.array(keys, pa.int64())], ["bh", "key"])
+
+    return blocks.select("bh", "x", "y").mapInArrow(freeing(meet), "bh long, key long").distinct()
+
+
+def common_weight(a: list[tuple], b: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weight that each two of the texts ``a`` and ``b`` share, and the whole weights; a text is (hash, IDF, count) of its shingles.
+
+    A shingle's second, third, ... occurrences are shingles of their own, so the weights' minimum is a product.
+    """
+    def flat(texts):
+        s, each, n = (np.concatenate([t[c] for t in texts]) for c in range(3))
+        row = np.repeat(np.arange(len(texts)), [len(t[0]) for t in texts])
+        i = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return textnum.mix(np.repeat(s, n) + i.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), np.repeat(each, n).astype(np.float64), np.repeat(row, n)
+
+    (sa, wa, ra), (sb, wb, rb) = flat(a), flat(b)
+    total = [np.bincount(r, w, len(t)) for r, w, t in ((ra, wa, a), (rb, wb, b))]
+    both = np.intersect1d(sa, sb)
+    out = np.zeros((len(a), len(b)))
+    for first in range(0, len(both), COLUMNS):
+        some = both[first : first + COLUMNS]
+        sides = []
+        for s, w, r, n in ((sa, wa, ra, len(a)), (sb, np.ones(len(sb)), rb, len(b))):
+            at = np.minimum(np.searchsorted(some, s), len(some) - 1)
+            hit = some[at] == s
+            m = np.zeros((n, len(some)))
+            m[r[hit], at[hit]] = w[hit]
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out, *total
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of the links ``a, b`` that connect what earlier ones do not."""
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while (up := root.get(v, v)) != v:
+            root[v] = v = root.get(up, up)
+        return v
+
+    keep = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            keep.append(i)
+    return np.array(keep, np.int64)
+
+
+def _linked(blocks: DataFrame, idf, size: int, threshold: float) -> DataFrame:
+    """Links that connect the members of two blocks (``x``, ``y``: ``key, label, t``) whose whole texts are alike enough."""
+
+    def meet(batches):
+        table_ = idf.value
+
+        def texts(column):
+            edges, flat = column.offsets.to_numpy(), column.values
+            vectors = []
+            for _, words in textnum.slices(flat.field("t")):
+                s, each, n, text = counted(words, size, table_)
+                cut = np.searchsorted(text, np.arange(len(words.offsets)))
+                vectors += [(s[i:j], each[i:j], n[i:j]) for i, j in zip(cut[:-1], cut[1:])]
+            names = [flat.field(c).to_numpy(zero_copy_only=False) for c in ("key", "label")]
+            for i, j in zip(edges[:-1] - edges[0], edges[1:] - edges[0]):
+                yield vectors[i:j], *(n[i + edges[0] : j + edges[0]] for n in names)
 
-    return blocks.select("x", "y").mapInArrow(meet, "a long, b long").distinct()
+        for batch in batches:
+            for (va, ka, la), (vb, kb, lb) in zip(texts(batch.column("x")), texts(batch.column("y"))):
+                both, ta, tb = common_weight(va, vb)
+                sim = both / np.maximum(ta[:, None] + tb[None, :] - both, 1e-300)
+                i, j = np.nonzero((sim >= threshold) & (la[:, None] != lb[None, :]))
+                keep = _spanning(la[i], lb[j])
+                i, j = i[keep], j[keep]
+                a, b = ka[i], kb[j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64()), pa.array(sim[i, j])], ["a", "b", "similarity"])
 
+    return blocks.select("x", "y").mapInArrow(freeing(meet), _LINK)
 
-def near_links(reps: DataFrame, verify, *, bands: int, rows: int, threshold: float) -> DataFrame:
-    """Links ``a, b`` that ``verify`` confirms among the representatives (``key, sig, bh``).
+
+def _block_pairs(members: DataFrame, sizes: DataFrame, n_buckets: int, block: int, columns: list[str]) -> DataFrame:
+    """``bh, x, y``: of each bucket, all pairs of a block of outside members and a block of any, as arrays of ``columns``.
+
+    ``members``: ``bh, key, out`` and more; ``sizes``: ``bh, outside, inside``.
+    """
+    outer, inner = F.ceil(F.col("outside") / block), F.ceil(F.col("inside") / block)
+    h = F.xxhash64("key")
+    number = F.when(F.col("out"), F.pmod(h, outer)).otherwise(outer + F.pmod(h, inner))
+    dealt = members.join(sized(sizes, n_buckets, 48), "bh").select("bh", number.alias("block"), F.struct(*columns).alias("one"))
+    blocks = stored(dealt.groupBy("bh", "block").agg(F.collect_list("one").alias("m")), "blocks")
+    ids = sizes.select("bh", F.explode(F.sequence(F.lit(0).cast("long"), outer - 1)).alias("i"), (outer + inner - 1).alias("last"))
+    ids = ids.select("bh", "i", F.explode(F.sequence("i", "last")).alias("j"))
+    return ids.join(blocks.withColumnsRenamed({"block": "i", "m": "x"}), ["bh", "i"]).join(blocks.withColumnsRenamed({"block": "j", "m": "y"}), ["bh", "j"])
+
+
+def near_links(reps: DataFrame, verify, verify_blocks, *, bands: int, rows: int, threshold: float) -> DataFrame:
+    """Links ``a, b`` that ``verify`` (of pairs) and ``verify_blocks`` confirm among the representatives (``key, sig, bh``).
 
     Their components are those of all pairs that share a bucket, whose samples let ``threshold`` seem possible and that
     ``verify`` confirms: a pair is left out only if other confirmed links connect it.
@@ -268,8 +371,8 @@ def near_links(reps: DataFrame, verify, *, bands: int, rows: int, threshold: flo
         return stored(verify(stored(_agreement(pairs.distinct(), sig, k, low), "pairs")), "links")
 
     large = stored(active.join(sized(buckets.filter(F.col("n") > SMALL).select("bh"), n_large, 24), "bh", "left_semi").select("bh", "key"), "large")
-    folder, left = work_dir(spark), large
-    for level in range(ROUNDS):
+    folder, left, level, n_left = work_dir(spark), large, 0, large.count()
+    while True:
         # the members of a bucket that seem most like all the others meet every member left
         count = left.groupBy("bh").agg(F.count(F.lit(1)).alias("n"))
         dealt = left.join(sized(count, n_large, 32), "bh").withColumn("block", F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("n") / BLOCK)))
@@ -293,21 +396,26 @@ def near_links(reps: DataFrame, verify, *, bands: int, rows: int, threshold: flo
         open_ = stored(most.select("bh", F.col("top.label").alias("main"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("outside")).filter("outside > 0"), "open")
         n_large = open_.count()
         left = stored(state.join(sized(open_.filter(F.col("outside") > SMALL).select("bh", "main"), n_large, 32), "bh").filter("label <> main").select("bh", "key"), "left")
-        if not left.limit(1).count():
+        before, n_left, level = n_left, left.count(), level + 1
+        if n_left > (1 - SETTLED) * before or not n_left:
             break
     # every member outside, in blocks, meets all members of its bucket that no links connect with it
-    outer, inner = F.ceil(F.col("outside") / BLOCK), F.ceil(F.col("inside") / BLOCK)
-    h = F.xxhash64("key")
-    block = F.when(F.col("label") != F.col("main"), F.pmod(h, outer)).otherwise(outer + F.pmod(h, inner))
-    dealt = state.join(sized(open_, n_large, 48), "bh").select("bh", "key", "label", block.alias("block")).join(sig, "key")
-    blocks = stored(dealt.groupBy("bh", "block").agg(F.collect_list(F.struct("key", "label", "sig")).alias("m")), "blocks")
-    ids = open_.select("bh", F.explode(F.sequence(F.lit(0).cast("long"), outer - 1)).alias("i"), (outer + inner - 1).alias("last"))
-    ids = ids.select("bh", "i", F.explode(F.sequence("i", "last")).alias("j"))
-    both = ids.join(blocks.withColumnsRenamed({"block": "i", "m": "x"}), ["bh", "i"]).join(blocks.withColumnsRenamed({"block": "j", "m": "y"}), ["bh", "j"])
-    verify(stored(_across(both, k, low), "across")).write.parquet(f"{folder}/last-links")
+    members = state.join(sized(open_.select("bh", "main"), n_large, 32), "bh").withColumn("out", F.col("label") != F.col("main")).drop("main")
+    met = _block_pairs(members.join(sig, "key"), open_.select("bh", "outside", "inside"), n_large, BLOCK, ["key", "label", "sig"])
+    touched = stored(members.join(_touched(met, k, low), ["bh", "key"], "left_semi"), "touched")
+    sizes = touched.groupBy("bh").agg(F.sum(F.col("out").cast("long")).alias("outside"), F.sum((~F.col("out")).cast("long")).alias("inside"))
+    verify_blocks(touched, stored(sizes, "sizes")).write.parquet(f"{folder}/last-links")
     return links.unionByName(spark.read.schema(_LINK).parquet(f"{folder}/last-links"))
 
 
+def verified_blocks(docs: DataFrame, touched: DataFrame, sizes: DataFrame, idf, *, key: str, text: str, size: int, threshold: float) -> DataFrame:
+    """Links ``a, b, similarity`` that connect the members ``bh, key, label, out`` of each bucket, by their whole texts."""
+    ids = stored(touched.select("key").distinct(), "ids")
+    texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).join(sized(ids, ids.count(), 16), "key", "left_semi").dropDuplicates(["key"])
+    met = _block_pairs(touched.join(stored(texts, "texts"), "key"), sizes, sizes.count(), TEXTS, ["key", "label", "t"])
+    return _linked(met, idf, size, threshold)
+
+
 def verified(docs: DataFrame, pairs: DataFrame, idf, *, key: str, text: str, size: int, threshold: float) -> DataFrame:
     """The ``pairs`` whose whole texts have a weighted Jaccard similarity of ``threshold`` or more, with it."""
     ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
@@ -335,7 +443,7 @@ def verified(docs: DataFrame, pairs: DataFrame, idf, *, key: str, text: str, siz
             sim = [similarity(x, y) for x, y in zip(vectors(batch.column(2)), vectors(batch.column(3)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sim, pa.float64())], ["a", "b", "similarity"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(measure, "a long, b long, similarity double").filter(F.col("similarity") >= threshold)
+    return both.select("a", "b", "ta", "tb").mapInArrow(freeing(measure), "a long, b long, similarity double").filter(F.col("similarity") >= threshold)
 
 
 def near_classes(
@@ -353,7 +461,8 @@ def near_classes(
     sigs = stored(signatures(docs, idf, key=key, text=text, size=size, bands=bands, rows=rows), "signatures")
     least = stored(sigs.groupBy("ha", "hb").agg(F.min("key").alias("rep")), "representatives")
     reps = stored(sigs.join(least.select(F.col("rep").alias("key"), "ha", "hb"), ["key", "ha", "hb"], "left_semi").dropDuplicates(["key", "ha", "hb"]).select("key", "sig", "bh"), "reps")
-    links = near_links(reps, lambda p: verified(docs, p, idf, key=key, text=text, size=size, threshold=threshold), bands=bands, rows=rows, threshold=threshold)
+    how = {"key": key, "text": text, "size": size, "threshold": threshold}
+    links = near_links(reps, lambda p: verified(docs, p, idf, **how), lambda t, n: verified_blocks(docs, t, n, idf, **how), bands=bands, rows=rows, threshold=threshold)
     copies = sigs.select("key", "ha", "hb").join(least, ["ha", "hb"]).filter(F.col("key") != F.col("rep"))
     star = copies.select(F.col("rep").alias("a"), F.col("key").alias("b")).unionByName(links.select("a", "b"))
     labels = components(star)

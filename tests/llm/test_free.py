@@ -186,10 +186,51 @@ def test_near_links_of_one_large_bucket(spark):
     sig = rng.integers(0, 1 << 16, (600, 64)).astype("<u2")
     sig[1:300:2, :52] = sig[0:300:2, :52]
     reps = spark.createDataFrame([(i, bytearray(x.tobytes()), [1]) for i, x in enumerate(sig)], "key long, sig binary, bh array<long>")
-    links = near_dedup.near_links(reps, lambda p: p.withColumn("similarity", F.lit(0.8)), bands=16, rows=4, threshold=0.8)
+    one = lambda p: p.withColumn("similarity", F.lit(0.8))
+
+    def blocks(members, sizes):
+        rows = members.toPandas()
+        assert sizes.first()["outside"] + sizes.first()["inside"] == len(rows) >= 290 and set(rows.key) <= set(range(300))
+        return spark.createDataFrame([(i, i + 1, 0.8) for i in range(0, 300, 2)], near_dedup._LINK)
+
+    links = near_dedup.near_links(reps, one, blocks, bands=16, rows=4, threshold=0.8)
     assert {(r.a, r.b) for r in links.collect()} == {(i, i + 1) for i in range(0, 300, 2)}
 
 
+def test_common_weight():
+    rng = np.random.default_rng(4)
+    texts = [(rng.permutation(60)[:n].astype(np.uint64), np.zeros(n, np.float32), rng.integers(1, 4, n)) for n in (5, 40, 0, 60)]
+    idf = rng.uniform(1, 9, 60).astype(np.float32)
+    texts = [(s, idf[s.astype(int)], n) for s, _, n in texts]
+    both, ta, tb = near_dedup.common_weight(texts, texts)
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            x, y = (dict(zip(t[0].tolist(), (t[1].astype(float) * t[2]).tolist())) for t in (a, b))
+            assert abs(both[i, j] - sum(min(x[s], y[s]) for s in x.keys() & y.keys())) < 1e-6
+            assert abs(ta[i] - sum(x.values())) < 1e-6 and abs(tb[j] - sum(y.values())) < 1e-6
+    assert near_dedup._spanning(np.array([1, 2, 1, 5]), np.array([2, 3, 3, 1])).tolist() == [0, 1, 3]
+
+
+def test_near_dedup_links_at_the_threshold(spark):
+    """Recall of pairs of 0.8 to 0.86 whose texts all share one passage, in a bucket of thousands; brute force decides."""
+    rng = np.random.default_rng(8)
+    head = [f"h{i}" for i in range(120)]
+    texts = []
+    for i in range(1200):
+        body = [f"b{i}x{j}" for j in range(60)]
+        other = list(body)
+        for e in rng.choice(60, 2, replace=False):
+            other[e] += "z"
+        texts += [" ".join(head + body), " ".join(head + other)]
+    s = [shingle_set(t) for t in texts]
+    j = [len(s[2 * i] & s[2 * i + 1]) / len(s[2 * i] | s[2 * i + 1]) for i in range(1200)]
+    assert min(j) > 0.85
+    rows = [(i, t) for i, t in enumerate(texts)]
+    out = dict(near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).toPandas().itertuples(index=False))
+    found = sum(out[2 * i] == out[2 * i + 1] for i in range(1200))
+    assert found >= 0.99 * 1200
+
+
 def test_near_dedup_odd(odd, nothing):
     doubled = odd.unionByName(odd)
     c = dict(near_dedup.near_classes(doubled).toPandas().itertuples(index=False))
