@@ -12,6 +12,10 @@ from pyspark.sql.types import StringType
 # The four linear tiers and their patterns as printed on drawings.
 TIERS = ("X.", "X.X", "X.XX", "X.XXX")
 LINEAR_VALUE = r"^±\d+(\.\d+)?$"
+# Signs of plain drawing text, and what GBK reads where drawing fonts have plus-minus.
+SYMBOLS = frozenset("±°ΩΦφ×²³µ")
+ASCII = frozenset(map(chr, range(128)))
+GBK_PLUS_MINUS = "∴"
 ANGULAR_VALUE = r"^±\d+(\.\d+)?°$"
 
 
@@ -103,17 +107,24 @@ def repair_symbols(text: Column, pairs: dict[str, str] | None = None) -> Column:
 
 @F.pandas_udf(StringType())
 def redecode(s: pd.Series) -> pd.Series:
-    """Text that was GBK but decoded as a Western code page, decoded again; unchanged where that fails."""
+    """Text that was GBK but read as Latin-1, perhaps stored as UTF-8 and read as cp1252 after that, read again.
+
+    Plain text with drawing symbols, and text that no such reading changes, stays. The sign that drawing fonts put at
+    plus-minus becomes plus-minus.
+    """
+
+    def read(x, wrong, right):
+        try:
+            return x.encode(wrong).decode(right)
+        except UnicodeError:
+            return None
 
     def one(x):
-        if x is None or all(ord(c) < 128 or c in "°±Ø∅" for c in x):
+        if x is None or x.isascii() or set(x) - SYMBOLS <= ASCII:
             return x
-        for codec in ("latin-1", "cp1252"):
-            try:
-                return x.encode(codec).decode("gbk")
-            except (UnicodeEncodeError, UnicodeDecodeError):
-                continue
-        return x
+        found = (read(t, "latin-1", "gbk") for t in (read(x, "cp1252", "utf-8"), x) if t)
+        changed = [r.replace(GBK_PLUS_MINUS, "±") for r in found if r is not None and r != x]
+        return changed[0] if changed else x
 
     return s.map(one)
 

@@ -75,12 +75,15 @@ def kind(text: Column, parts: Column, shapes: Column, table_words: Column, board
     return F.when(has(table_words) | (parts >= 2), "table").when(has(board_words), "pcb").when(has(performance_words) & (shapes <= 12), "performance").otherwise("view")
 
 
-def body_colour(paths: DataFrame, keys: list[str], colour: str, share: float = 0.15) -> DataFrame:
-    """``keys..., neutral_share, body``: the commonest other colour where neutrals are under ``share`` of the paths."""
-    n = paths.groupBy(*keys, colour).agg(F.count(F.lit(1)).alias("n"), F.max("is_neutral").alias("neutral"))
+def body_colour(paths: DataFrame, keys: list[str], colour: str, order: str, share: float = 0.15) -> DataFrame:
+    """``keys..., neutral_share, body``: the commonest other colour where neutrals are under ``share`` of the paths.
+
+    Of equally common colours the one seen first in ``order``.
+    """
+    n = paths.groupBy(*keys, colour).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.max("is_neutral").alias("neutral"))
     out = n.groupBy(*keys).agg(
         (F.sum(F.when(F.col("neutral"), F.col("n")).otherwise(0)) / F.sum("n")).alias("neutral_share"),
-        F.max(F.when(~F.col("neutral"), F.struct(F.col("n"), F.col(colour).alias("c")))).alias("m"),
+        F.max(F.when(~F.col("neutral"), F.struct(F.col("n"), (-F.col("first")).alias("o"), F.col(colour).alias("c")))).alias("m"),
     )
     return out.select(*keys, "neutral_share", F.when(F.col("neutral_share") < share, F.col("m.c")).alias("body"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -15,9 +16,10 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder of ``spark.checkpoint.dir``: cuts lineage, outlives executors."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    if not base:  # a local folder serves only where all tasks run in this process
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "/tmp/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/rivulet-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

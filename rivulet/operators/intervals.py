@@ -98,40 +98,38 @@ def gap_chains(df: DataFrame, keys: list[str], value: str, max_gap: float, least
     return named.groupBy(*keys, "__c").agg(F.min(value).alias("first"), F.max(value).alias("last"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).drop("__c")
 
 
-def equal_pitch(ys: list[float]) -> list[tuple[int, int, float]]:
-    """(first, last, pitch) index runs of equally spaced sorted values; one stray value between two may be skipped.
+def equal_pitch(values: Column) -> Column:
+    """Runs ``first, last, pitch, n`` of equally spaced values in a sorted array of distinct ones.
 
-    A run needs three values; the tolerance is the greater of 0.8 and 12 % of the pitch.
+    A run has three values at least, and one stray value may lie between two of them; ``n`` counts strays as well. The
+    tolerance is the greater of 0.8 and 12 % of the pitch. One fold: the state is the run so far and the stray value
+    that waits for the next one; where a run ends, its last value and the stray begin another.
     """
-    out, i = [], 0
-    while i + 2 < len(ys):
-        pitch = ys[i + 1] - ys[i]
-        tol, j, n = max(0.8, 0.12 * pitch), i + 1, 2
-        while True:
-            skip = next((k for k in (1, 2) if j + k < len(ys) and abs(ys[j + k] - ys[j] - pitch) <= tol), 0)
-            if not skip:
-                break
-            j, n = j + skip, n + 1
-        if n >= 3:
-            out.append((i, j, pitch))
-            i = j
-        else:
-            i += 1
-    return out
+    number = F.lit(None).cast("double")
+    run = lambda first, last, pitch, n: F.struct(first.alias("first"), last.alias("last"), pitch.alias("pitch"), n.cast("long").alias("n"))
 
+    def state(first, last, pitch, n, good, stray, runs):
+        return F.struct(first.alias("first"), last.alias("last"), pitch.alias("pitch"), n.cast("long").alias("n"), good.cast("long").alias("good"), stray.alias("stray"), runs.alias("runs"))
 
-def equal_pitch_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """``keys..., first, last, pitch, n`` of each group: a fold over its sorted values, one bounded group at a time."""
-    import pandas as pd
+    none = F.array().cast("array<struct<first:double,last:double,pitch:double,n:bigint>>")
+    ended = lambda s: F.when(s["good"] >= 3, F.concat(s["runs"], F.array(run(s["first"], s["last"], s["pitch"], s["n"])))).otherwise(s["runs"])
+
+    def step(s, y):
+        near = lambda at, pitch: F.abs(y - at - pitch) <= F.greatest(F.lit(0.8), 0.12 * pitch)
+        longer = state(s["first"], y, s["pitch"], s["n"] + 1 + s["stray"].isNotNull().cast("int"), s["good"] + 1, number, s["runs"])
+        fresh = s["stray"] - s["last"]  # the pitch of the run that the stray value begins
+        again = F.when(near(s["stray"], fresh), state(s["last"], y, fresh, F.lit(3), F.lit(3), number, ended(s))).otherwise(state(s["last"], s["stray"], fresh, F.lit(2), F.lit(2), y, ended(s)))
+        waits = state(s["first"], s["last"], s["pitch"], s["n"], s["good"], y, s["runs"])
+        begun = F.when(s["last"].isNull(), state(y, y, number, F.lit(1), F.lit(1), number, none)).otherwise(state(s["first"], y, y - s["first"], F.lit(2), F.lit(2), number, none))
+        return F.when(s["pitch"].isNull(), begun).when(near(s["last"], s["pitch"]), longer).when(s["stray"].isNotNull(), again).otherwise(waits)
 
-    def fold(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        ys = sorted(set(pdf[value].dropna()))
-        rows = [(*key, ys[a], ys[b], p, b - a + 1) for a, b, p in equal_pitch(ys)]
-        return pd.DataFrame(rows, columns=[*keys, "first", "last", "pitch", "n"])
+    return F.aggregate(values, state(number, number, number, F.lit(0), F.lit(0), number, none), step, ended)
 
-    kinds = dict(df.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", first double, last double, pitch double, n long"
-    return df.select(*keys, value).groupBy(*keys).applyInPandas(fold, schema)
+
+def equal_pitch_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``keys..., first, last, pitch, n`` of each group: a fold over its sorted distinct values."""
+    values = df.groupBy(*keys).agg(F.array_sort(F.collect_set(F.col(value).cast("double"))).alias("__v"))
+    return values.select(*keys, F.inline(equal_pitch(F.col("__v"))))
 
 
 def visual_rows(df: DataFrame, keys: list[str], y: str, x: str, text: str, within: float = 2.0) -> DataFrame:

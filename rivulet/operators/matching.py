@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions import bits
+from rivulet.operators.graph import written
 
 #: The acceptance score, the margin over the next template, and the near tie for an upright page.
 ACCEPT, MARGIN, NEAR_TIE = 0.90, 0.03, 0.01
@@ -82,39 +83,43 @@ def pair_similarity(items: DataFrame, least: float = 0.0, n: int = 8, rows: int
     return joined.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), sim.alias("sim")).filter(F.col("sim") >= least)
 
 
-def star_clusters(sims: list[tuple], items: list, threshold: float, weight: dict | None = None) -> list[tuple]:
-    """[(representative, members)], largest first, of a bounded list of items.
+def star_clusters(items: DataFrame, sims: DataFrame, threshold: float) -> DataFrame:
+    """``group_no, representative, id`` of ``items`` (``id, weight``) with similarities ``sims`` (``a, b, sim``; each pair once).
 
-    Again and again the item with most free neighbours takes them all; ties go to the weight, then to the earlier
-    item. The representative has the greatest mean similarity in its group. Not transitive on purpose.
-    """
-    weight = weight or {}
-    at = {x: i for i, x in enumerate(items)}
-    m = {(a, b): s for a, b, s in sims} | {(b, a): s for a, b, s in sims} | {(x, x): 1.0 for x in items}
-    friends = {x: set() for x in items}
-    for (a, b), s in m.items():
-        if a != b and s >= threshold:
-            friends[a].add(b)
-    free, out = set(items), []
-    while free:
-        lead = max(free, key=lambda x: (len(friends[x] & free), weight.get(x, 0), -at[x]))
-        group = sorted({lead} | (friends[lead] & free), key=at.get)
-        free -= set(group)
-        mean = lambda x: round(sum(m.get((x, y), 0.0) for y in group) / len(group), 4)  # noqa: B023, E731
-        out.append((max(group, key=lambda x: (mean(x), weight.get(x, 0), -at[x])), group))
-    out.sort(key=lambda g: -len(g[1]))
-    return out
-
-
-def star_cluster_table(items: DataFrame, threshold: float = 0.88, max_items: int = 20_000, **options) -> DataFrame:
-    """``group_no, representative, id`` for a working list of items (the greedy order is sequential).
-
-    Only pairs at or above the threshold and of one group reach the driver; more than ``max_items`` items are refused.
+    The free item with most free neighbours (``sim`` of ``threshold`` or more) takes them all, until none is left; ties go
+    to the weight, then to the lesser id. Groups are numbered by size, then in the order they are taken. The
+    representative has the greatest mean similarity in its group (to four places), with the same ties.
+
+    A round takes every item that stands first among all within two steps of it. Two such items are three steps apart
+    at least, so neither changes the other's neighbours and the groups are those of one choice after another.
     """
-    spark = items.sparkSession
-    ids = [r["id"] for r in items.select("id").orderBy("id").limit(max_items + 1).collect()]
-    if len(ids) > max_items:
-        raise ValueError(f"star clustering takes at most {max_items} items")
-    sims = [tuple(r) for r in pair_similarity(items, threshold, **options).collect()]
-    rows = [(i, rep, m) for i, (rep, group) in enumerate(star_clusters(sims, ids, threshold), 1) for m in group]
-    return spark.createDataFrame(rows, "group_no long, representative long, id long")
+    both = sims.select("a", "b", "sim").unionByName(sims.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    edges = written(both.filter(F.col("sim") >= threshold).select("a", "b"))
+    free, taken = written(items.select("id", F.coalesce("weight", F.lit(0.0)).alias("weight"))), None
+    while free.limit(1).count():
+        inner = edges.join(free.select(F.col("id").alias("a")), "a", "left_semi").join(free.select(F.col("id").alias("b")), "b", "left_semi")
+        degree = free.join(inner.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("n")), "id", "left").fillna(0, ["n"])
+        first = written(degree.select("id", F.struct("n", "weight", (-F.col("id")).alias("o")).alias("p")))
+        edges = written(inner)
+        around = lambda t: t.join(edges.join(t.select(F.col("id").alias("b"), F.col("p").alias("q")), "b").groupBy(F.col("a").alias("id")).agg(F.max("q").alias("q")), "id", "left").select("id", F.greatest("p", F.coalesce("q", "p")).alias("p"))  # noqa: E731, B023
+        leads = around(around(first)).withColumnRenamed("p", "best").join(first, "id").filter("p = best")
+        leads = written(leads.select(F.col("id").alias("lead"), "p"))
+        groups = leads.join(edges.withColumnRenamed("a", "lead"), "lead").select("lead", "p", F.col("b").alias("id")).unionByName(leads.select("lead", "p", F.col("lead").alias("id")))
+        groups = written(groups)
+        taken = groups if taken is None else taken.unionByName(groups)
+        free = written(free.join(groups.select("id"), "id", "left_anti"))
+    if taken is None:
+        return items.sparkSession.createDataFrame([], "group_no long, representative long, id long")
+    of = taken.select("lead", "id")
+    inside = both.join(of.withColumnsRenamed({"id": "a", "lead": "g"}), "a").join(of.withColumnsRenamed({"id": "b", "lead": "h"}), "b").filter("g = h")
+    total = inside.groupBy(F.col("a").alias("id")).agg(F.sum("sim").alias("s"))
+    mean = F.round((F.coalesce("s", F.lit(0.0)) + 1) / (F.col("p.n") + 1), 4)
+    scored_ = taken.join(items.select("id", F.coalesce("weight", F.lit(0.0)).alias("weight")), "id").join(total, "id", "left")
+    groups = scored_.groupBy("lead").agg(F.max(F.struct(mean.alias("m"), "weight", (-F.col("id")).alias("o"), "id")).alias("r"), F.max("p").alias("p"))
+    numbered = groups.withColumn("group_no", F.row_number().over(Window.orderBy(F.desc("p"))).cast("long"))  # one row a group
+    return of.join(numbered.select("lead", "group_no", F.col("r.id").alias("representative")), "lead").select("group_no", "representative", "id")
+
+
+def star_cluster_table(items: DataFrame, threshold: float = 0.88, **options) -> DataFrame:
+    """:func:`star_clusters` of fingerprints, without weights."""
+    return star_clusters(items.select("id", F.lit(0.0).alias("weight")), written(pair_similarity(items, 0.0, **options)), threshold)
