@@ -2,19 +2,58 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import stored
+from rivulet.llm.common import freeing, stored
+
+#: Edges that a task reduces to a spanning forest at once.
+FOREST = 200_000
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of the edges ``a, b`` that connect what earlier ones do not."""
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while (up := root.get(v, v)) != v:
+            root[v] = v = root.get(up, up)
+        return v
+
+    keep = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            keep.append(i)
+    return np.array(keep, np.int64)
+
+
+def forest(edges: DataFrame) -> DataFrame:
+    """Edges ``a, b`` with the components of ``edges``: each task keeps a spanning forest of a bounded number of them."""
+
+    def reduce(batches):
+        held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        if held:
+            a, b = (np.concatenate(x) for x in zip(*held))
+            keep = spanning(a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], ["a", "b"])
+
+    return edges.select("a", "b").repartition(edges.count() // FOREST + 1).mapInArrow(freeing(reduce), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``v, label`` for every vertex of ``edges`` (``a, b``; bigint): the least vertex of its component.
 
-    Each round a vertex takes the least label among its own, its neighbours' and its label's label; labels halve the
+    Parallel edges between the same few components go first, each task keeping a spanning forest of its share. Then
+    each round a vertex takes the least label among its own, its neighbours' and its label's label; labels halve the
     distance to the root as they go. Rounds are cut by written tables. Minima combine before they are shuffled.
     """
-    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    alone = edges.filter("a = b").select(F.col("a").alias("v"))
+    kept = stored(forest(edges.filter("a <> b")), "forest")
+    both = stored(kept.unionByName(kept.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = stored(both.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("label")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
@@ -28,4 +67,4 @@ def components(edges: DataFrame) -> DataFrame:
         changed = done.filter(F.col("new") != F.col("label")).limit(1).count()
         labels = done.select("v", F.col("new").alias("label"))
         if not changed:
-            return labels
+            return labels.unionByName(alone.distinct().join(labels, "v", "left_anti").select("v", F.col("v").alias("label")))

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import textnum
 from rivulet.llm.common import BROADCAST_BYTES, freeing, sized, small_batches, stored, table, tidy, work_dir
-from rivulet.llm.components import components
+from rivulet.llm.components import components, spanning
 
 IDF_BITS = 18
 FAN_IN = 64
@@ -285,24 +285,6 @@ def common_weight(a: list[tuple], b: list[tuple]) -> tuple[np.ndarray, np.ndarra
     return out, *total
 
 
-def _spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Numbers of the links ``a, b`` that connect what earlier ones do not."""
-    root: dict[int, int] = {}
-
-    def find(v: int) -> int:
-        while (up := root.get(v, v)) != v:
-            root[v] = v = root.get(up, up)
-        return v
-
-    keep = []
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = find(x), find(y)
-        if x != y:
-            root[x] = y
-            keep.append(i)
-    return np.array(keep, np.int64)
-
-
 def _linked(blocks: DataFrame, idf, size: int, threshold: float) -> DataFrame:
     """Links that connect the members of two blocks (``x``, ``y``: ``key, label, t``) whose whole texts are alike enough."""
 
@@ -325,7 +307,7 @@ def _linked(blocks: DataFrame, idf, size: int, threshold: float) -> DataFrame:
                 both, ta, tb = common_weight(va, vb)
                 sim = both / np.maximum(ta[:, None] + tb[None, :] - both, 1e-300)
                 i, j = np.nonzero((sim >= threshold) & (la[:, None] != lb[None, :]))
-                keep = _spanning(la[i], lb[j])
+                keep = spanning(la[i], lb[j])
                 i, j = i[keep], j[keep]
                 a, b = ka[i], kb[j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64()), pa.array(sim[i, j])], ["a", "b", "similarity"])

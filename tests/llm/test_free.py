@@ -208,7 +208,7 @@ def test_common_weight():
             x, y = (dict(zip(t[0].tolist(), (t[1].astype(float) * t[2]).tolist())) for t in (a, b))
             assert abs(both[i, j] - sum(min(x[s], y[s]) for s in x.keys() & y.keys())) < 1e-6
             assert abs(ta[i] - sum(x.values())) < 1e-6 and abs(tb[j] - sum(y.values())) < 1e-6
-    assert near_dedup._spanning(np.array([1, 2, 1, 5]), np.array([2, 3, 3, 1])).tolist() == [0, 1, 3]
+    assert components.spanning(np.array([1, 2, 1, 5]), np.array([2, 3, 3, 1])).tolist() == [0, 1, 3]
 
 
 def test_near_dedup_links_at_the_threshold(spark):
@@ -250,10 +250,19 @@ def test_sampling_estimates_weighted_jaccard():
     assert abs((sig[0] == sig[1]).mean() - want) < 0.05
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
     e = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20] + [(20, 20)], "a long, b long")
     got = dict(components.components(e).toPandas().itertuples(index=False))
-    assert all(got[i] == 0 for i in range(20)) and all(got[i] == 21 for i in range(21, 41))
+    assert all(got[i] == 0 for i in range(20)) and all(got[i] == 21 for i in range(21, 41)) and len(got) == 41
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 300, 250), rng.integers(0, 300, 250)
+    monkeypatch.setattr(components, "FOREST", 40)
+    rows = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b)] * 3, "a long, b long")
+    label = list(range(300))
+    for _ in range(300):
+        for x, y in zip(a, b):
+            label[x] = label[y] = min(label[x], label[y])
+    assert dict(components.components(rows).toPandas().itertuples(index=False)) == {int(v): label[v] for v in {*a, *b}}
 
 
 def brute(x, ids, q, k):
