@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by minimum labels with shortcuts."""
+"""Connected components of an edge table, by contraction."""
 
 from __future__ import annotations
 
@@ -9,62 +9,85 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import freeing, stored
 
-#: Edges that a task reduces to a spanning forest at once.
+#: Edges that a task reduces to stars at once.
 FOREST = 200_000
 
 
-def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Numbers of the edges ``a, b`` that connect what earlier ones do not."""
-    root: dict[int, int] = {}
+class Sets:
+    """Disjoint sets of integers; the root of each is its least member."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
 
-    def find(v: int) -> int:
-        while (up := root.get(v, v)) != v:
-            root[v] = v = root.get(up, up)
+    def find(self, v: int) -> int:
+        up = self.up
+        while (p := up.get(v, v)) != v:
+            up[v] = v = up.get(p, p)
         return v
 
-    keep = []
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = find(x), find(y)
+    def join(self, x: int, y: int) -> bool:
+        """Whether ``x`` and ``y`` were apart."""
+        x, y = self.find(x), self.find(y)
         if x != y:
-            root[x] = y
-            keep.append(i)
-    return np.array(keep, np.int64)
+            self.up[max(x, y)] = min(x, y)
+        return x != y
 
 
-def forest(edges: DataFrame) -> DataFrame:
-    """Edges ``a, b`` with the components of ``edges``: each task keeps a spanning forest of a bounded number of them."""
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of the edges ``a, b`` that connect what earlier ones do not."""
+    sets = Sets()
+    return np.array([i for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())) if sets.join(x, y)], np.int64)
+
+
+def stars(edges: DataFrame, tasks: int) -> DataFrame:
+    """Edges ``a, b`` with the components of ``edges``: ``b`` is the least vertex that a task's share connects ``a`` with.
+
+    With one task, ``b`` is the least vertex of the component.
+    """
 
     def reduce(batches):
-        held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
-        if held:
-            a, b = (np.concatenate(x) for x in zip(*held))
-            keep = spanning(a, b)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], ["a", "b"])
+        sets = Sets()
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sets.join(x, y)
+        found = [(v, sets.find(v)) for v in list(sets.up)]
+        a, b = zip(*[(v, r) for v, r in found if v != r]) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return edges.select("a", "b").repartition(edges.count() // FOREST + 1).mapInArrow(freeing(reduce), "a long, b long")
+    return edges.select("a", "b").repartition(tasks).mapInArrow(freeing(reduce), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``v, label`` for every vertex of ``edges`` (``a, b``; bigint): the least vertex of its component.
 
-    Parallel edges between the same few components go first, each task keeping a spanning forest of its share. Then
-    each round a vertex takes the least label among its own, its neighbours' and its label's label; labels halve the
-    distance to the root as they go. Rounds are cut by written tables. Minima combine before they are shuffled.
+    Each round tasks of at most about ``FOREST`` edges reduce their share to stars. If one task held all, these are the
+    components. Else every vertex is contracted into the one of least hash among itself and its neighbours, with another
+    hash each round, which leaves the components as they are and a part of the vertices; edges that fell together go.
+    The rounds' tables shrink, so that all rounds together cost little more than the first ones; each is written.
     """
-    alone = edges.filter("a = b").select(F.col("a").alias("v"))
-    kept = stored(forest(edges.filter("a <> b")), "forest")
-    both = stored(kept.unionByName(kept.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("label")), "labels")
+    edges = stored(edges.select("a", "b"), "edges")
+    alone = edges.filter("a = b").select(F.col("a").alias("v")).distinct()
+    left, steps = edges.filter("a <> b"), []
     while True:
-        near = both.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
-        root = labels.select(F.col("v").alias("label"), F.col("label").alias("root"))
-        step = (
-            labels.join(near, "v")
-            .join(root, "label", "left")
-            .select("v", F.least("label", "near", F.coalesce("root", "label")).alias("new"), "label")
-        )
-        done = stored(step, "labels")
-        changed = done.filter(F.col("new") != F.col("label")).limit(1).count()
-        labels = done.select("v", F.col("new").alias("label"))
-        if not changed:
-            return labels.unionByName(alone.distinct().join(labels, "v", "left_anti").select("v", F.col("v").alias("label")))
+        tasks = left.count() // FOREST + 1
+        left = stored(stars(left, tasks), "stars")
+        if tasks == 1:
+            break
+        seen = F.min(F.struct(F.xxhash64("b", F.lit(len(steps))).alias("h"), "b"))
+        ends = [("a", "b"), ("b", "a"), ("a", "a"), ("b", "b")]
+        both = left.select(F.explode(F.array(*[F.struct(F.col(x).alias("v"), F.col(y).alias("b")) for x, y in ends])).alias("e")).select("e.v", "e.b")
+        into = stored(both.groupBy("v").agg(seen.alias("m")).select("v", F.col("m.b").alias("into")), "into")
+        steps.append(into)
+        moved = left.join(into.withColumnsRenamed({"v": "a", "into": "x"}), "a").join(into.withColumnsRenamed({"v": "b", "into": "y"}), "b")
+        left = stored(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "contracted")
+    labels = left.select(F.col("a").alias("v"), F.col("b").alias("label"))
+    for into in reversed(steps):  # vertices that were contracted into others stand in the step as well
+        last = labels.withColumnRenamed("v", "into")
+        labels = stored(into.join(last, "into", "left").select("v", F.coalesce("label", "into").alias("label")), "labels")
+    if steps:
+        least = labels.groupBy("label").agg(F.min("v").alias("least"))
+        labels = labels.join(least, "label").select("v", F.col("least").alias("label"))
+    else:
+        roots = labels.select(F.col("label").alias("v")).distinct()
+        labels = labels.unionByName(roots.withColumn("label", F.col("v")))
+    return labels.unionByName(alone.join(labels, "v", "left_anti").withColumn("label", F.col("v")))
