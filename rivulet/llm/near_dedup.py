@@ -352,22 +352,23 @@ def near_links(reps: DataFrame, verify, verify_blocks, *, bands: int, rows: int,
     if not n_large:
         return stored(verify(stored(_agreement(pairs.distinct(), sig, k, low), "pairs")), "links")
 
-    large = stored(active.join(sized(buckets.filter(F.col("n") > SMALL).select("bh"), n_large, 24), "bh", "left_semi").select("bh", "key"), "large")
+    large = stored(active.join(sized(buckets.filter(F.col("n") > SMALL), n_large, 24), "bh").select("bh", "key", "n"), "large")
     folder, left, level, n_left = work_dir(spark), large, 0, large.count()
     while True:
-        # the members of a bucket that seem most like all the others meet every member left
-        count = left.groupBy("bh").agg(F.count(F.lit(1)).alias("n"))
-        dealt = left.join(sized(count, n_large, 32), "bh").withColumn("block", F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("n") / BLOCK)))
+        # the members of a bucket that seem most like all the others meet every member left (n: how many of the bucket)
+        dealt = left.withColumn("block", F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("n") / BLOCK)))
         blocks = dealt.join(sig, "key").groupBy("bh", "block").agg(F.collect_list(F.struct("key", "sig")).alias("m"))
         best = F.slice(F.sort_array(F.collect_list(F.struct("score", "key")), False), 1, LEADERS)
-        leads = _central(blocks, k).groupBy("bh").agg(best.alias("best")).select("bh", F.explode("best.key").alias("lead"))
+        leads = _central(blocks, k).groupBy("bh").agg(best.alias("best")).select("bh", F.col("best.key").alias("leads"))
         leads, on, members = stored(leads, "leads"), ["bh"], left
         if n_large * LEADERS * 32 <= BROADCAST_BYTES:
             leads = F.broadcast(leads)
         else:  # a hot bucket's members spread over salts
             leads, on = leads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["bh", "salt"]
             members = left.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
-        met = members.join(leads, on).filter("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
+        # a member has a bucket a band at most, and often the same leaders in several
+        once = members.join(leads, on).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("leads"))).alias("leads"))
+        met = once.select("key", F.explode("leads").alias("lead")).filter("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
         pairs = met if level else pairs.unionByName(met)
         verify(stored(_agreement(pairs.distinct(), sig, k, low), "pairs")).write.parquet(f"{folder}/{level}-links")
         links = spark.read.schema(_LINK).parquet(*[f"{folder}/{n}-links" for n in range(level + 1)])
@@ -377,7 +378,8 @@ def near_links(reps: DataFrame, verify, verify_blocks, *, bands: int, rows: int,
         most = state.groupBy("bh", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bh").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
         open_ = stored(most.select("bh", F.col("top.label").alias("main"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("outside")).filter("outside > 0"), "open")
         n_large = open_.count()
-        left = stored(state.join(sized(open_.filter(F.col("outside") > SMALL).select("bh", "main"), n_large, 32), "bh").filter("label <> main").select("bh", "key"), "left")
+        more = open_.filter(F.col("outside") > SMALL).select("bh", "main", F.col("outside").alias("n"))
+        left = stored(state.join(sized(more, n_large, 32), "bh").filter("label <> main").select("bh", "key", "n"), "left")
         before, n_left, level = n_left, left.count(), level + 1
         if n_left > (1 - SETTLED) * before or not n_left:
             break
