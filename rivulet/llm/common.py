@@ -92,3 +92,14 @@ def tidy(spark: SparkSession) -> None:
             spark.conf.set(name, "true")
         except Exception:  # a version without the setting
             continue
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes the work table that ``stored`` wrote for ``df``, once nothing reads it any more; other tables stay."""
+    files = df.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if not re.search(r"/rivulet-[0-9a-f]{32}/[^/]*$", folder):
+        return
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

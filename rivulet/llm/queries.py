@@ -13,6 +13,7 @@ from rivulet.llm import (
     secrets,
     substring_dedup,
     token_count,
+    vector_codes,
 )
 
 
@@ -28,8 +29,9 @@ def queries() -> dict:
         "op8_token_count": token_count.op8_token_count,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mix": mixing.op10_mix,
+        "op11_vector_codes": vector_codes.op11_vector_codes,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_line_dedup": line_dedup.SQL, "op9_substring_dedup": substring_dedup.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op9_substring_dedup": substring_dedup.SQL, "op11_vector_codes": vector_codes.SQL}
