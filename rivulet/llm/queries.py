@@ -13,6 +13,7 @@ from rivulet.llm import (
     secrets,
     substring_dedup,
     token_count,
+    token_files,
     vector_codes,
 )
 
@@ -30,6 +31,7 @@ def queries() -> dict:
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mix": mixing.op10_mix,
         "op11_vector_codes": vector_codes.op11_vector_codes,
+        "op13_token_files": token_files.op13_token_files,
     }
 
 
