@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rivulet.llm import (
+    alignment,
     fingerprints,
     language_id,
     line_dedup,
@@ -31,6 +32,7 @@ def queries() -> dict:
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mix": mixing.op10_mix,
         "op11_vector_codes": vector_codes.op11_vector_codes,
+        "op12_alignment": alignment.op12_alignment,
         "op13_token_files": token_files.op13_token_files,
     }
 
