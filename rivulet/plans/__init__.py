@@ -1,6 +1,6 @@
 """Named queries over the test tables and their SQL forms."""
 
-from rivulet.plans import geometry, sheets, texts
+from rivulet.plans import boards, geometry, sheets, texts
 
 #: name -> (query, DuckDB form or None)
-REGISTRY = geometry.QUERIES | sheets.QUERIES | texts.QUERIES
+REGISTRY = boards.QUERIES | geometry.QUERIES | sheets.QUERIES | texts.QUERIES
