@@ -44,7 +44,7 @@ BLOCK_BYTES = 32 << 20
 CHUNK = 1 << 20
 
 
-def _byte_alphabet() -> dict[str, int]:
+def byte_alphabet() -> dict[str, int]:
     """Printable Latin-1 stands for itself, the other bytes follow from U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -68,7 +68,7 @@ class Pair:
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
-        back = _byte_alphabet()
+        back = byte_alphabet()
         self.bytes_a = [b""] * self.a.get_vocab_size(with_added_tokens=True)
         for token, i in self.a.get_vocab(with_added_tokens=True).items():
             self.bytes_a[i] = bytes(back[c] for c in token) if set(token) <= back.keys() else token.encode()

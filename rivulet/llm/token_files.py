@@ -31,7 +31,9 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rivulet.llm.alignment import byte_alphabet
 from rivulet.llm.common import freeing, sized, small_batches, stored, table, tidy, work_dir
 
 # Fixed values of the seekable zstandard format.
@@ -47,8 +50,13 @@ SKIPPABLE, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, bytes.fromhex("b1ea928
 CHECKSUMS = 0x80
 FRAME_BYTES = 1 << 16
 FILE_BYTES = 1 << 24
-#: Words a worker remembers the ids of; then it starts anew.
-CACHE_WORDS = 400_000
+# The pattern of the usual lower-case word files; the precomposed Latin letters (and ASCII) that normal form,
+# lower case and the pattern treat one by one.
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+SIMPLE_WORD = re.compile("[!-~À-ÖØ-öø-ÿĀ-įı-ſ]+")
+SIMPLE_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿā-įı-ſ]+|[0-9]|[^a-zß-öø-ÿā-įı-ſ0-9]+")
+#: Words (and pieces of words) a worker remembers the ids of; beyond, those met first stay.
+CACHE_WORDS = 500_000
 CACHE_WORD_BYTES = 64
 
 
@@ -57,7 +65,8 @@ class WordIds:
 
     Where the file's rules see no further than the next ASCII white space (normalization by character, a pattern that
     matches no white space, no added token that holds or strips any), the words between are encoded apart; for any
-    other file whole texts are.
+    other file whole texts are. Words of ASCII and precomposed Latin letters are cut into the pattern's pieces here, and
+    the library's model encodes each distinct piece once; all others go through the library as they are.
     """
 
     def __init__(self, path: str):
@@ -71,7 +80,11 @@ class WordIds:
         self.library.no_padding()
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.apart = self._by_words(spec)
+        self.simple = self.apart and spec["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex") == PATTERN and [s["type"] for s in spec["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
+        self.special = re.compile("|".join([re.escape(t["content"]) for t in spec.get("added_tokens", [])]) or r"(?!)")
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.letters = {b: ord(c) for c, b in byte_alphabet().items()}
 
     @staticmethod
     def _by_words(spec: dict) -> bool:
@@ -90,12 +103,25 @@ class WordIds:
         return not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in spec.get("added_tokens", []))
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        return array("H" if self.width == 2 else "I", ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = self._pack([t.id for t in self.library.model.tokenize(letters)])
+        return ids
 
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        todo = list(words)
-        coded = self.library.encode_batch_fast([w.decode() for w in todo], add_special_tokens=False)
-        return {w: self._pack(c.ids) for w, c in zip(todo, coded)}
+        out, todo = {}, []
+        for w in words:
+            text = w.decode()
+            if self.simple and SIMPLE_WORD.fullmatch(text) and not self.special.search(text):
+                out[w] = b"".join([self._piece(x) for x in SIMPLE_PIECE.findall(text.lower())])
+            else:
+                todo.append(w)
+        coded = self.library.encode_batch_fast([w.decode() for w in todo], add_special_tokens=False) if todo else []
+        return out | {w: self._pack(c.ids) for w, c in zip(todo, coded)}
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, ``width`` bytes each."""
@@ -104,15 +130,16 @@ class WordIds:
             return
         for t in texts:
             words = t.encode().split()
-            new = {w for w in words if w not in self.known}
-            if new:
-                self.known.update(self._learn(new))
-            yield b"".join(map(self.known.__getitem__, words))
-            for w in new:
-                if len(w) > CACHE_WORD_BYTES:
-                    del self.known[w]
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
+            ids = list(map(self.known.get, words))
+            if None in ids:
+                new = self._learn({w for w, i in zip(words, ids) if i is None})
+                ids = [new[w] if i is None else i for w, i in zip(words, ids)]
+                self.known.update((w, i) for w, i in new.items() if len(w) <= CACHE_WORD_BYTES)
+            yield b"".join(ids)
+            if len(self.known) > CACHE_WORDS:  # frequent words are met early
+                self.known = dict(islice(self.known.items(), CACHE_WORDS // 2))
+            if len(self.pieces) > CACHE_WORDS:
+                self.pieces = dict(islice(self.pieces.items(), CACHE_WORDS // 2))
 
 
 _IDS: dict[str, WordIds] = {}
