@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.operators import footer
+from rivulet.operators import footer, graph, partlists
 from rivulet.sources import views as V
 
 
@@ -53,4 +53,18 @@ SELECT l_orderkey, fault, CASE WHEN fault IS NULL THEN mode END AS mode, CASE WH
   CASE WHEN pos < n THEN y0 + 23 + size + CASE WHEN pos < lt THEN pos ELSE pos - lt END * step WHEN pos IS NOT NULL THEN y0 + 23 + size + (r + pos - n) * step END AS y
 FROM (SELECT *, unnest(places) AS pos FROM i)"""
 
-QUERIES = {"footer_plan": (footer_plan, FOOTER_SQL)}
+def _lists(spark, d):
+    t = V.list_sheets(spark, d)
+    return t, partlists.part_lists(t["rules"], t["words"], t["marks"], t["regions"], t["frames"], ["page_id"])
+
+
+def part_lists(spark, d):
+    return _lists(spark, d)[1]
+
+
+def cleared_regions(spark, d):
+    t, lists = _lists(spark, d)
+    return partlists.cleared(t["regions"], graph.written(lists).filter("sure"), t["rules"], t["frames"], ["page_id"])
+
+
+QUERIES = {"footer_plan": (footer_plan, FOOTER_SQL), "part_lists": (part_lists, None), "cleared_regions": (cleared_regions, None)}

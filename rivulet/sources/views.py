@@ -66,6 +66,36 @@ def furniture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def list_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Sheets with a list at the left of the title block, and often one beside it on shared rules, one page a customer.
+
+    ``rules`` (page_id, orient, coord, lo, hi), ``words`` (page_id, pos, x0, y0, x1, y1, text), ``marks``, ``regions``
+    (page_id, region_id, x0, y0, x1, y1) and ``frames``.
+    """
+    base = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS page_id", "c_custkey AS p", "4 + c_custkey % 6 AS n", "3 + c_custkey % 4 AS m", "575 - 15 * (4 + c_custkey % 6) AS top", "c_custkey % 5 = 0 AS both"
+    )
+    h = "named_struct('orient', 'H', 'coord', CAST({} AS DOUBLE), 'lo', CAST({} AS DOUBLE), 'hi', CAST({} AS DOUBLE))"
+    v = h.replace("'H'", "'V'")
+    frame = f"array({h.format(20, 20, 820)}, {h.format(575, 20, 820)}, {v.format(20, 20, 575)}, {v.format(820, 20, 575)})"
+    left = f"transform(sequence(0, n), k -> {h.format('top + 15 * k', 20, 320)})"
+    beside = f"transform(sequence(0, CASE WHEN both THEN n ELSE least(m, n) END), k -> {h.format('top + 15 * k', 'CASE WHEN k = 1 THEN 450 ELSE 320 END', 820)})"
+    columns = f"transform(array(45, 200, 260, 320), x -> {v.format('x', 'top - CASE WHEN p % 7 = 3 THEN 15 ELSE 0 END', 575)})"
+    others = f"transform(array(450, 600, 700), x -> {v.format('x', 'top', 'CASE WHEN both THEN 575 ELSE top + 15 * least(m, n) END')})"
+    above = f"CASE WHEN p % 7 = 3 THEN array({h.format('top - 15', 20, 320)}) ELSE array() END"
+    w = "named_struct('x0', CAST({0} AS DOUBLE), 'y0', CAST({1} + 3 AS DOUBLE), 'x1', CAST({0} + 12 AS DOUBLE), 'y1', CAST({1} + 11 AS DOUBLE), 'text', {2})"
+    numbers = f"transform(sequence(0, n - 1), k -> {w.format(26, 'top + 15 * k', 'CASE WHEN p % 4 = 1 THEN concat(chr(97 + CAST(k AS INT)), chr(98)) ELSE CAST(n - k AS STRING) END')})"
+    heads = f"CASE WHEN p % 2 = 0 THEN array({w.format(50, 'top + 15 * (n - 1)', chr(39) + 'QTY' + chr(39))}) ELSE array() END"
+    title = f"array({w.format(330, 'top', chr(39) + 'REV' + chr(39))}, {w.format(460, 'top + 15', chr(39) + 'DATE' + chr(39))})"
+    second = f"CASE WHEN p % 3 = 0 THEN array({w.format(610, 'top + 30', chr(39) + 'QTY' + chr(39))}) ELSE array() END"
+    rules_ = base.selectExpr("page_id", f"inline(concat({frame}, {left}, {beside}, {columns}, {others}, {above}))")
+    words_ = base.filter("p % 9 <> 4").selectExpr("page_id", f"posexplode(concat({numbers}, {heads}, {title}, {second})) AS (pos, w)").selectExpr("page_id", "CAST(pos AS BIGINT) AS pos", "w.*")
+    marks_ = base.selectExpr("page_id", "explode(sequence(0, n - 1)) AS k", "top").selectExpr("page_id", "28D AS x0", "CAST(top + 15 * k + 5 AS DOUBLE) AS y0", "34D AS x1", "CAST(top + 15 * k + 9 AS DOUBLE) AS y1")
+    regions_ = base.selectExpr("page_id", "0 AS region_id", "20D AS x0", "CAST(top + 15 * (p % 3) AS DOUBLE) AS y0", "820D AS x1", "575D AS y1")
+    frames_ = base.selectExpr("page_id", "20D AS x0", "20D AS y0", "820D AS x1", "575D AS y1")
+    return {"rules": rules_, "words": words_, "marks": marks_, "regions": regions_, "frames": frames_}
+
+
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8x8 bit grids: ``id, template, rotate, search, grid`` (array of 8 row masks)."""
     row = lambda r: " + ".join(f"CASE WHEN CAST(embedding[{8 * r + c}] AS DOUBLE) > 0.15 THEN {1 << c} ELSE 0 END" for c in range(8))

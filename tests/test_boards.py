@@ -62,3 +62,139 @@ def test_footer_audit(spark):
     rows = [(0, ["a", "b", "b"], ["b", "a", "b"]), (1, ["a", "b", "b"], ["a", "b"]), (2, ["a"], ["a", "x"]), (3, None, None), (4, ["a"], None)]
     got = footer.audited(spark.createDataFrame(rows, "id int, e array<string>, a array<string>"), "e", "a").orderBy("id").collect()
     assert [(r["missing"], r["unexpected"], r["passed"]) for r in got] == [([], [], True), (["b"], [], False), ([], ["x"], False), ([], [], True), (["a"], [], False)]
+
+
+# -- part lists ------------------------------------------------------------------------------------------------------
+
+BOX = "x0 double, y0 double, x1 double, y1 double"
+
+
+def _rule(page, x0, y0, x1, y1):
+    return (page, "H", float(y0), float(x0), float(x1)) if y0 == y1 else (page, "V", float(x0), float(y0), float(y1))
+
+
+def _frame(page):
+    return [_rule(page, 20, 20, 820, 20), _rule(page, 20, 575, 820, 575), _rule(page, 20, 20, 20, 575), _rule(page, 820, 20, 820, 575)]
+
+
+class _Sheet:
+    """A page's rules, words and marks."""
+
+    def __init__(self, page):
+        self.page, self.rules, self.words, self.marks = page, _frame(page), [], []
+
+    def line(self, *xy):
+        self.rules.append(_rule(self.page, *xy))
+
+    def write(self, x, y, text):
+        for t in text.split():
+            self.words.append((self.page, len(self.words), float(x), y - 8.0, x + 5.0 * len(t), y + 1.0, t))
+            x += 5 * len(t) + 3
+
+
+def _list_above(page, n, head="NO. NAME MATERIAL QTY", row="{n} PART{k}"):
+    """A list of n rows on top of a title block at the lower right."""
+    s, top = _Sheet(page), 460 - 15 * n
+    for y in (460, 490, 520, 545):
+        s.line(500, y, 820, y)
+    s.line(500, 460, 500, 575)
+    s.line(640, 490, 640, 575)
+    for k in range(n + 1):
+        s.line(500, top + 15 * k, 820, top + 15 * k)
+    for x in (500, 540, 680, 740, 820) if n else ():
+        s.line(x, top, x, 460)
+    for k in range(n - 1):
+        s.write(505, top + 15 * k + 11, row.format(n=n - 1 - k, k=k))
+    s.write(505, 456, head)
+    s.write(505, 480, "DRAWN CHECKED")
+    return s
+
+
+def _list_beside(page, words=True):
+    """A list of ten rows at the left of a title block that shares its upper rules."""
+    s = _Sheet(page)
+    for k in range(11):
+        s.line(20, 425 + 15 * k, 320, 425 + 15 * k)
+    for x, y in ((320, 425), (450, 440), (320, 455), (320, 470), (320, 490), (320, 530)):
+        s.line(x, y, 820, y)
+    for x in (45, 200, 260, 320):
+        s.line(x, 425, x, 575)
+    for x in (450, 600, 700):
+        s.line(x, 425, x, 490)
+    s.line(560, 490, 560, 575)
+    for k in range(10):
+        if not words:
+            s.marks.append((page, 28.0, 430.0 + 15 * k, 34.0, 434.0 + 15 * k))
+        elif k < 9:
+            s.write(25, 436 + 15 * k, f"{9 - k}")
+            s.write(50, 436 + 15 * k, f"PART{k}")
+        else:
+            s.write(25, 571, "NO. NAME MATERIAL QTY")
+    s.write(330, 450, "REV DATE")
+    s.write(330, 510, "DRAWN CHECKED")
+    return s
+
+
+def _tables(spark, sheets, regions):
+    make = lambda rows, schema: spark.createDataFrame(rows, schema)
+    return {
+        "rules": make([x for s in sheets for x in s.rules], "page_id int, orient string, coord double, lo double, hi double"),
+        "words": make([x for s in sheets for x in s.words], f"page_id int, pos long, {BOX}, text string"),
+        "marks": make([x for s in sheets for x in s.marks], f"page_id int, {BOX}"),
+        "regions": make([(s.page, 0, *map(float, r)) for s, r in zip(sheets, regions)], f"page_id int, region_id int, {BOX}"),
+        "frames": make([(s.page, 20.0, 20.0, 820.0, 575.0) for s in sheets], f"page_id int, {BOX}"),
+    }
+
+
+def _brute(t):
+    from brute_lists import Page
+    from brute_lists import part_lists as lists
+
+    rows = {k: [tuple(r) for r in v.collect()] for k, v in t.items()}
+    of = lambda k, p: [r[1:] for r in rows[k] if r[0] == p]
+    frames = {r[0]: r[1:] for r in rows["frames"]}
+    by_page = {p: Page(of("rules", p), of("words", p), of("marks", p), frames[p]) for p in frames}
+    return sorted((p, i, *x) for p, i, *box in rows["regions"] for x in lists(by_page[p], box))
+
+
+def _found(lists):
+    return sorted((r["page_id"], r["region_id"], r["x0"], r["y0"], r["x1"], r["y1"], r["n_rows"], r["sure"], r["side"], tuple(r["rows"])) for r in lists.collect())
+
+
+def test_part_lists(spark):
+    from rivulet.operators import graph, partlists
+
+    sheets = [_list_above(1, 6), _list_beside(2), _list_beside(3, False), _list_beside(4), _list_above(5, 0), _list_above(6, 3), _list_above(7, 4, "REV DESCRIPTION DATE", "A{k} 2021-09-17")]
+    t = _tables(spark, sheets, [(500, 430, 820, 575), (20, 425, 820, 575), (20, 425, 820, 575), (20, 470, 820, 575), (500, 460, 820, 575), (500, 415, 820, 575), (500, 430, 820, 575)])
+    lists = graph.written(partlists.part_lists(**t, keys=["page_id"]))
+    got = _found(lists)
+    assert got == _brute(t)
+    assert [(g[0], g[4], g[5], *g[6:9]) for g in got] == [(1, 820, 460, 6, True, False), (2, 320, 575, 10, True, True), (3, 320, 575, 10, True, True), (4, 320, 575, 10, True, True), (6, 820, 460, 3, False, False)]
+    cut = lambda some: {r["page_id"]: (r["piece"], r["x0"], r["y0"], r["x1"], r["y1"]) for r in partlists.cleared(t["regions"], some, t["rules"], t["frames"], ["page_id"]).collect()}
+    sure = cut(lists.filter("sure"))
+    assert sure == {
+        1: (0, 500, 460, 820, 575), 2: (0, 320, 425, 820, 575), 3: (0, 320, 425, 820, 575), 4: (0, 320, 455, 820, 575),
+        5: (0, 500, 460, 820, 575), 6: (0, 500, 415, 820, 575), 7: (0, 500, 430, 820, 575),
+    }
+    assert cut(lists)[6] == (0, 500, 460, 820, 575)
+
+
+def test_part_lists_of_the_query_equal_brute_force(spark, sf_dir):
+    from rivulet.plans import boards
+    from rivulet.sources import views
+
+    got = _found(boards.part_lists(spark, sf_dir))
+    want = _brute(views.list_sheets(spark, sf_dir))
+    assert got == want
+    assert len({g[7:9] for g in got}) > 1 and any(g[8] and g[2] > 20 for g in got)  # also lists beside another, at the right
+
+
+def test_no_rules_no_lists(spark):
+    from rivulet.operators import partlists
+
+    s = _Sheet(1)
+    s.rules = []
+    t = _tables(spark, [s], [(500, 430, 820, 575)])
+    lists = partlists.part_lists(**t, keys=["page_id"])
+    assert lists.count() == 0
+    assert partlists.cleared(t["regions"], lists, t["rules"], t["frames"], ["page_id"]).count() == 1
