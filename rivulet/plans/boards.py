@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.operators import footer, graph, partlists
+from rivulet.operators import footer, graph, partlists, reading
 from rivulet.sources import views as V
+from rivulet.sources.views import with_views
 
 
 def _ledgers(spark, d):
@@ -67,4 +68,40 @@ def cleared_regions(spark, d):
     return partlists.cleared(t["regions"], graph.written(lists).filter("sure"), t["rules"], t["frames"], ["page_id"])
 
 
-QUERIES = {"footer_plan": (footer_plan, FOOTER_SQL), "part_lists": (part_lists, None), "cleared_regions": (cleared_regions, None)}
+def reading_order(spark, d):
+    return reading.reading_order(V.tiles(spark, d), ["page_id"], "tile_id")
+
+
+READING_SQL = with_views(
+    "tile",
+    """, b AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY y0, tile_id) AS k FROM tile),
+r(page_id, k, rws, rw) AS (SELECT page_id, k, [[{'a': y0, 'b': y1}]], 1::BIGINT FROM b WHERE k = 1
+  UNION ALL SELECT page_id, k, CASE WHEN rw > 0 THEN list_transform(rws, lambda x, i: CASE WHEN i = rw THEN list_append(x, me) ELSE x END) ELSE list_append(rws, [me]) END,
+    CASE WHEN rw > 0 THEN rw ELSE len(rws) + 1 END
+  FROM (SELECT r.page_id, b.k, r.rws, {'a': b.y0, 'b': b.y1} AS me, coalesce(list_position(list_transform(r.rws, lambda x: len(list_filter(x, lambda o: least(o.b, b.y1) - greatest(o.a, b.y0) > 0.3 * least(o.b - o.a, b.y1 - b.y0))) > 0), true), 0) AS rw
+    FROM r JOIN b ON b.page_id = r.page_id AND b.k = r.k + 1))
+SELECT page_id, tile_id, rw AS row, row_number() OVER (PARTITION BY page_id ORDER BY rw, x0, y0, tile_id) AS place FROM r JOIN b USING (page_id, k)""",
+)
+
+
+def line_neighbours(spark, d):
+    return reading.line_neighbours(V.text_spans(spark, d), ["page_id"], "span_id")
+
+
+_LINE = """, s AS (SELECT *, (y0 + y1) / 2 AS cy, round_even((y0 + y1) / 2, 0) AS line FROM span),
+p AS (SELECT a.page_id, a.span_id AS a_span_id, b.span_id AS b_span_id, b.x0 - a.x1 AS gap, a.grp AS a_grp, b.grp AS b_grp FROM s a JOIN s b ON a.page_id = b.page_id
+  AND abs(a.cy - b.cy) < 0.3 * a.size AND abs(a.size - b.size) < 0.5 AND b.x0 - a.x1 > -1 AND b.x0 - a.x1 < 3 * a.size AND (a.line, a.x0, a.span_id) < (b.line, b.x0, b.span_id))
+"""
+LINE_SQL = with_views("span", _LINE + "SELECT page_id, a_span_id, b_span_id, gap FROM p")
+
+
+def torn_lines(spark, d):
+    return reading.split_lines(V.text_spans(spark, d), ["page_id"], "span_id", "grp")
+
+
+TORN_SQL = with_views("span", _LINE + "SELECT page_id, a_span_id, b_span_id, a_grp, b_grp FROM p WHERE a_grp <> b_grp")
+
+QUERIES = {
+    "footer_plan": (footer_plan, FOOTER_SQL), "part_lists": (part_lists, None), "cleared_regions": (cleared_regions, None), "reading_order": (reading_order, READING_SQL),
+    "line_neighbours": (line_neighbours, LINE_SQL), "torn_lines": (torn_lines, TORN_SQL),
+}

@@ -66,6 +66,38 @@ def furniture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_TILE = [
+    "p_partkey // 40 AS page_id",
+    "p_partkey AS tile_id",
+    "CAST((37 * p_partkey) % 700 AS DOUBLE) AS x0",
+    "CAST((53 * p_partkey) % 420 AS DOUBLE) AS y0",
+    "CAST((37 * p_partkey) % 700 + 10 + 2 * (p_size % 30) AS DOUBLE) AS x1",
+    "CAST((53 * p_partkey) % 420 + (p_partkey % 11) * 2 AS DOUBLE) AS y1",
+]
+
+
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of 40 to a page, so that pages grow in number, not in density: ``page_id, tile_id, x0, y0, x1, y1``."""
+    return table(spark, sf_dir, "part").selectExpr(*[x.replace("//", "div") for x in _TILE])
+
+
+_SPAN = [
+    "p_partkey // 120 AS page_id",
+    "p_partkey AS span_id",
+    "CAST((37 * p_partkey) % 500 AS DOUBLE) AS x0",
+    "CAST(14 * ((53 * p_partkey) % 23) AS DOUBLE) + (p_partkey % 5) * 0.5 AS y0",
+    "CAST((37 * p_partkey) % 500 + 3 + p_size AS DOUBLE) AS x1",
+    "CAST(14 * ((53 * p_partkey) % 23) + 8 AS DOUBLE) + (p_partkey % 5) * 0.5 AS y1",
+    "CAST(CASE ((53 * p_partkey) % 23) % 4 WHEN 0 THEN 24 WHEN 1 THEN 2 WHEN 2 THEN 8 ELSE 31 END AS DOUBLE) + (p_partkey % 3) * 0.25 AS size",
+    "CASE WHEN p_partkey % 7 > 0 THEN p_partkey % 3 END AS grp",
+]
+
+
+def text_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of text in sizes that differ widely: ``page_id, span_id, x0, y0, x1, y1, size, grp`` (null: in no group)."""
+    return table(spark, sf_dir, "part").selectExpr(*[x.replace("//", "div") for x in _SPAN])
+
+
 def list_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Sheets with a list at the left of the title block, and often one beside it on shared rules, one page a customer.
 
@@ -152,6 +184,8 @@ SQL = {
 
 
 SQL["rule"] = "SELECT " + ", ".join(_RULE) + " FROM lineitem"
+SQL["tile"] = "SELECT " + ", ".join(_TILE) + " FROM part"
+SQL["span"] = "SELECT " + ", ".join(_SPAN) + " FROM part"
 SQL["sheet"] = SQL["seg"].replace("% 97", "% 2003")
 
 

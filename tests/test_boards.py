@@ -198,3 +198,36 @@ def test_no_rules_no_lists(spark):
     lists = partlists.part_lists(**t, keys=["page_id"])
     assert lists.count() == 0
     assert partlists.cleared(t["regions"], lists, t["rules"], t["frames"], ["page_id"]).count() == 1
+
+
+# -- reading ---------------------------------------------------------------------------------------------------------
+
+
+def test_reading_order_rows_grow_with_their_members(spark):
+    from rivulet.operators import reading
+
+    # b overlaps a by little, c by much: b joins the row only through c, which must be there before it
+    boxes = [("p", 1, 50.0, 0.0, 60.0, 10.0), ("p", 2, 0.0, 6.0, 10.0, 16.0), ("p", 3, 20.0, 9.0, 30.0, 19.0), ("p", 4, 0.0, 30.0, 9.0, 30.0), ("p", 5, 5.0, 100.0, 9.0, 110.0), ("q", 6, 5.0, None, 9.0, 110.0)]
+    got = reading.reading_order(spark.createDataFrame(boxes, f"k string, id int, {BOX}"), ["k"], "id").orderBy("place").collect()
+    assert [(r["id"], r["row"]) for r in got] == [(2, 1), (3, 1), (1, 1), (4, 2), (5, 3)]
+
+
+def test_line_neighbours_of_very_different_sizes(spark):
+    import random
+
+    from rivulet.operators import reading
+
+    rng = random.Random(5)
+    spans = []
+    for i in range(400):
+        size, x, y = rng.choice([0.2, 0.6, 1.0, 4.0, 7.9, 8.1, 16.0, 64.0]) + rng.choice([0, 0.3]), rng.uniform(-50, 300), rng.uniform(0, 60)
+        spans.append((1, i, x, y, x + rng.uniform(0, 3 * size), y + size, size))
+    got = {(r["a_id"], r["b_id"]) for r in reading.line_neighbours(spark.createDataFrame(spans, f"k int, id int, {BOX}, size double"), ["k"], "id").collect()}
+    want = set()
+    for a in spans:
+        for b in spans:
+            ca, cb = (a[3] + a[5]) / 2, (b[3] + b[5]) / 2
+            before = (round(ca), a[2], a[1]) < (round(cb), b[2], b[1])
+            if before and abs(ca - cb) < 0.3 * a[6] and abs(a[6] - b[6]) < 0.5 and -1 < b[2] - a[4] < 3 * a[6]:
+                want.add((a[1], b[1]))
+    assert got == want and len(want) > 20
