@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.operators import footer, graph, partlists, reading
+from rivulet.operators import clips, footer, graph, partlists, reading
 from rivulet.sources import views as V
 from rivulet.sources.views import with_views
 
@@ -101,7 +101,18 @@ def torn_lines(spark, d):
 
 TORN_SQL = with_views("span", _LINE + "SELECT page_id, a_span_id, b_span_id, a_grp, b_grp FROM p WHERE a_grp <> b_grp")
 
+def interleaved_blocks(spark, d):
+    return clips.merge_interleaved(V.block_pieces(spark, d)["members"], ["page_id"])[1]
+
+
+def block_clips(spark, d):
+    t = V.block_pieces(spark, d)
+    members, _ = clips.merge_interleaved(t["members"], ["page_id"])
+    out = clips.block_clips(members, t["furniture"], t["pages"], ["page_id"])
+    return out.select("page_id", "block", F.array_join("flags", ",").alias("flags"), F.posexplode("clips").alias("piece", "c")).select("page_id", "block", "flags", "piece", "c.*")
+
+
 QUERIES = {
     "footer_plan": (footer_plan, FOOTER_SQL), "part_lists": (part_lists, None), "cleared_regions": (cleared_regions, None), "reading_order": (reading_order, READING_SQL),
-    "line_neighbours": (line_neighbours, LINE_SQL), "torn_lines": (torn_lines, TORN_SQL),
+    "line_neighbours": (line_neighbours, LINE_SQL), "torn_lines": (torn_lines, TORN_SQL), "interleaved_blocks": (interleaved_blocks, None), "block_clips": (block_clips, None),
 }

@@ -98,6 +98,19 @@ def text_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(*[x.replace("//", "div") for x in _SPAN])
 
 
+def block_pieces(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Pieces of six blocks a page, some far from their block and some of no block: ``members``, ``furniture``, ``pages``."""
+    far, at = "(p_partkey % 31 = 7)", "CASE WHEN p_partkey % 31 = 7 THEN (p_partkey + 1) % 6 ELSE p_partkey % 6 END"
+    p = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey div 60 AS page_id", "p_partkey % 6 AS block", "p_partkey AS prim_id", "p_partkey % 10 = 3 AS rule", f"{far} AS far",
+        f"CAST(({at}) % 3 * 180 + (37 * p_partkey) % 120 AS DOUBLE) AS x0", f"CAST(({at}) div 3 * 160 + (53 * p_partkey) % 110 AS DOUBLE) AS y0",
+    )
+    p = p.withColumns({"x1": F.expr("x0 + CASE WHEN rule THEN 70 ELSE 4 + prim_id % 9 END"), "y1": F.expr("y0 + CASE WHEN rule THEN 0.8D ELSE 3 + prim_id % 7 END")})
+    own = F.col("prim_id") % 13 != 5
+    pages_ = p.select("page_id").distinct().selectExpr("page_id", "0D AS x0", "0D AS y0", "560D AS x1", "330D AS y1", "6D AS i_x0", "6D AS i_y0", "540D AS i_x1", "320D AS i_y1")
+    return {"members": p.filter(own).drop("far"), "furniture": p.filter(~own).drop("block", "far"), "pages": pages_}
+
+
 def list_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Sheets with a list at the left of the title block, and often one beside it on shared rules, one page a customer.
 

@@ -231,3 +231,69 @@ def test_line_neighbours_of_very_different_sizes(spark):
             if before and abs(ca - cb) < 0.3 * a[6] and abs(a[6] - b[6]) < 0.5 and -1 < b[2] - a[4] < 3 * a[6]:
                 want.add((a[1], b[1]))
     assert got == want and len(want) > 20
+
+
+# -- clips -----------------------------------------------------------------------------------------------------------
+
+
+def _brute_clips(t):
+    from brute_clips import clips, merged
+
+    rows = {k: [r.asDict() for r in v.collect()] for k, v in t.items()}
+    box = lambda r, p="": tuple(r[f"{p}{s}"] for s in ("x0", "y0", "x1", "y1"))
+    merges, out = {}, {}
+    for page in rows["pages"]:
+        p, blocks = page["page_id"], {}
+        for r in rows["members"]:
+            if r["page_id"] == p:
+                blocks.setdefault(r["block"], []).append((r["prim_id"], box(r), r["rule"]))
+        if blocks:
+            blocks, merges[p] = merged(blocks)
+        furniture = [(r["prim_id"], box(r), r["rule"]) for r in rows["furniture"] if r["page_id"] == p]
+        for b, (pieces, flags) in clips(blocks, furniture, box(page), box(page, "i_")).items():
+            out[p, b] = (sorted(pieces), sorted(flags))
+    return merges, out
+
+
+def test_clips_equal_brute_force(spark):
+    import random
+
+    from rivulet.operators import clips
+
+    rng, members, furniture = random.Random(3), [], []
+    for page in range(12):
+        for i in range(45):
+            b = rng.randrange(5)
+            x, y, rule = b % 3 * 90 + rng.uniform(0, 70), b // 3 * 80 + rng.uniform(0, 55), rng.random() < 0.2
+            w, h = (rng.uniform(20, 60), 0.6) if rule else (rng.uniform(0.3, 9), rng.uniform(0.3, 7))
+            if rng.random() < 0.06:
+                b = (b + 1) % 5
+            row = (i, rule, x, y, x + w, y + h)
+            if rng.random() < 0.15:
+                furniture.append((page, *row))
+            else:
+                members.append((page, b, *row))
+    pages = [(p, 0.0, 0.0, 300.0, 160.0, 3.0, 3.0, 260.0 if p % 2 else 240.0, 150.0) for p in range(12)]
+    t = {
+        "members": spark.createDataFrame(members, f"page_id int, block int, prim_id int, rule boolean, {BOX}"),
+        "furniture": spark.createDataFrame(furniture, f"page_id int, prim_id int, rule boolean, {BOX}"),
+        "pages": spark.createDataFrame(pages, f"page_id int, {BOX}, i_x0 double, i_y0 double, i_x1 double, i_y1 double"),
+    }
+    whole, report = clips.merge_interleaved(t["members"], ["page_id"], bound=2)
+    merges, want = _brute_clips(t)
+    assert {r["page_id"]: (r["merges"], r["beyond"]) for r in report.collect()} == {p: (n, n >= 2) for p, n in merges.items()}
+    got = {(r["page_id"], r["block"]): (sorted(tuple(c) for c in r["clips"]), sorted(r["flags"])) for r in clips.block_clips(whole, t["furniture"], t["pages"], ["page_id"]).collect()}
+    assert got == want
+    assert max(merges.values()) > 0 and max(len(v[0]) for v in want.values()) > 2 and len({f for v in want.values() for f in v[1]}) >= 3
+
+
+def test_clips_of_the_query_equal_brute_force(spark, sf_dir):
+    from rivulet.plans import boards
+    from rivulet.sources import views
+
+    merges, want = _brute_clips(views.block_pieces(spark, sf_dir))
+    assert {r["page_id"]: r["merges"] for r in boards.interleaved_blocks(spark, sf_dir).collect()} == merges
+    got = {}
+    for r in boards.block_clips(spark, sf_dir).collect():
+        got.setdefault((r["page_id"], r["block"]), []).append((r["x0"], r["y0"], r["x1"], r["y1"]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: v[0] for k, v in want.items()}
