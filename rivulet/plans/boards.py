@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.operators import clips, footer, graph, partlists, reading
+from rivulet.operators import arrangement, clips, footer, graph, partlists, reading
 from rivulet.sources import views as V
 from rivulet.sources.views import with_views
 
@@ -112,7 +112,12 @@ def block_clips(spark, d):
     return out.select("page_id", "block", F.array_join("flags", ",").alias("flags"), F.posexplode("clips").alias("piece", "c")).select("page_id", "block", "flags", "piece", "c.*")
 
 
+def layout_search(spark, d):
+    t = V.view_sheets(spark, d)
+    return arrangement.arranged(t["views"], t["sheets"], ["page_id"])
+
+
 QUERIES = {
     "footer_plan": (footer_plan, FOOTER_SQL), "part_lists": (part_lists, None), "cleared_regions": (cleared_regions, None), "reading_order": (reading_order, READING_SQL),
-    "line_neighbours": (line_neighbours, LINE_SQL), "torn_lines": (torn_lines, TORN_SQL), "interleaved_blocks": (interleaved_blocks, None), "block_clips": (block_clips, None),
+    "line_neighbours": (line_neighbours, LINE_SQL), "torn_lines": (torn_lines, TORN_SQL), "interleaved_blocks": (interleaved_blocks, None), "block_clips": (block_clips, None), "layout_search": (layout_search, None),
 }

@@ -111,6 +111,24 @@ def block_pieces(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"members": p.filter(own).drop("far"), "furniture": p.filter(~own).drop("block", "far"), "pages": pages_}
 
 
+def view_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Up to seven views of one or two rectangles a page and a sheet for them: ``views``, ``sheets``."""
+    p = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey div 7 AS page_id", "p_partkey AS view_id", "p_partkey % 7 = 6 AS rail", "CAST(7 AS DOUBLE) AS font", "CAST(p_partkey % 3 * 110 + (37 * p_partkey) % 25 AS DOUBLE) AS x",
+        "CAST((p_partkey % 7) div 3 * 80 + (53 * p_partkey) % 17 AS DOUBLE) AS y", "30 + p_size AS w", "20 + (11 * p_partkey) % 45 AS h",
+    )
+    box = "named_struct('x0', {}, 'y0', {}, 'x1', {}, 'y1', {})"
+    whole, upper, lower = box.format("x", "y", "x + w", "y + h"), box.format("x", "y", "x + w", "y + 9"), box.format("x", "y + 6", "x + 12", "y + h")
+    views_ = p.selectExpr("page_id", "view_id", "rail", "font", f"inline(CASE WHEN view_id % 4 = 1 AND NOT rail THEN array({upper}, {lower}) ELSE array({whole}) END)")
+    k = "(page_id % 5)"
+    sheets_ = p.select("page_id").distinct().selectExpr(
+        "page_id", "0D AS s_x0", "0D AS s_y0", "340D AS s_x1", "250D AS s_y1", "10D AS f_x0", "8D AS f_y0", f"CAST(250 + 25 * {k} AS DOUBLE) AS f_x1", f"CAST(150 + 20 * {k} AS DOUBLE) AS f_y1",
+        f"array({box.format('CAST(150 + 25 * ' + k + ' AS DOUBLE)', 'CAST(120 + 20 * ' + k + ' AS DOUBLE)', 'CAST(250 + 25 * ' + k + ' AS DOUBLE)', 'CAST(150 + 20 * ' + k + ' AS DOUBLE)')}) AS reserved",
+        "60D AS rail_width", "5.5D AS least_font",
+    )
+    return {"views": views_, "sheets": sheets_}
+
+
 def list_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Sheets with a list at the left of the title block, and often one beside it on shared rules, one page a customer.
 

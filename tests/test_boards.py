@@ -297,3 +297,42 @@ def test_clips_of_the_query_equal_brute_force(spark, sf_dir):
     for r in boards.block_clips(spark, sf_dir).collect():
         got.setdefault((r["page_id"], r["block"]), []).append((r["x0"], r["y0"], r["x1"], r["y1"]))
     assert {k: sorted(v) for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+
+
+# -- layout ----------------------------------------------------------------------------------------------------------
+
+
+def test_layout_search_equals_exhaustive_search(spark):
+    import random
+
+    from brute_layout import layout
+
+    from rivulet.operators import arrangement
+
+    rng, rows, sheets, pages = random.Random(11), [], [], {}
+    for p in range(40):
+        frame = (4.0, 3.0, 4.0 + rng.choice([44, 60, 80]), 3.0 + rng.choice([34, 48, 60]))
+        reserved = [(frame[2] - 16, frame[3] - 10, frame[2], frame[3])]
+        views = {}
+        for i in range(rng.randint(1, 6)):
+            x, y, w, h = rng.randint(0, 70), rng.randint(0, 50), rng.randint(4, 24), rng.randint(4, 20)
+            rects = [(x, y, x + w, y + h)] if rng.random() < 0.6 else [(x, y, x + w, y + 3), (x, y + 2, x + 3, y + h)]
+            views[i] = ([tuple(map(float, r)) for r in rects], False, 7.0)
+        if p % 3 == 0:
+            views[9] = ([(90.0, 5.0, 90.0 + 20, 5.0 + 20)], True, 7.0)
+        pages[p] = {"frame": frame, "source": (0.0, 0.0, 100.0, 72.0), "reserved": reserved, "rail_width": 10.0, "least_font": 1.5, "views": views}
+        rows += [(p, i, rail, font, *r) for i, (rects, rail, font) in views.items() for r in rects]
+        sheets.append((p, 0.0, 0.0, 100.0, 72.0, *frame, [tuple(map(float, r)) for r in reserved], 10.0, 1.5))
+    sides = lambda c: ", ".join(f"{c}_{s} double" for s in ("x0", "y0", "x1", "y1"))
+    out = arrangement.arranged(
+        spark.createDataFrame(rows, f"page_id int, view_id long, rail boolean, font double, {BOX}"),
+        spark.createDataFrame(sheets, f"page_id int, {sides('s')}, {sides('f')}, reserved array<struct<x0:double,y0:double,x1:double,y1:double>>, rail_width double, least_font double"),
+        ["page_id"],
+    )
+    got = sorted(tuple(r) for r in out.collect())
+    want = sorted((p, *r) for p, page in pages.items() for r in layout({**page, "reserved": [tuple(map(float, r)) for r in page["reserved"]]}))
+    by_page = lambda rows: {p: [r for r in rows if r[0] == p] for p in pages}
+    a, b = by_page(got), by_page(want)
+    assert {p: (a[p], b[p]) for p in pages if a[p] != b[p]} == {}
+    modes = {r[2] for r in want}
+    assert len(modes) > 1 and len({r[0] for r in want}) < len(pages)  # some pages have no arrangement
