@@ -14,7 +14,9 @@ is hot, however frequent the word. Alignments return to their blocks, and docume
 1. each block counts in how many of its documents an id pair is linked, and these counts are summed by pair;
 2. the sums return to the blocks that hold the pair, and each document adds up its links.
 
-The blocks' documents move as arrays of numbers, twice; nothing else grows with the number of words.
+The blocks' documents move as arrays of numbers, twice; nothing else grows with the number of words. An alignment is the
+ids of both sides and one step per link, which tells whose token ends with it; links, groups and their text follow from
+running sums over the steps of a whole block.
 
 Defined results. Null and empty texts, and texts that one tokenizer does not give back byte by byte (in such a model,
 those that hold U+2581), have no tokens: zeros and an empty ``groups_sha256``; they link nothing. Null and repeated keys
@@ -28,9 +30,12 @@ import hashlib
 import json
 import os
 import re
+from array import array
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +44,9 @@ from rivulet.llm.common import forget, freeing, small_batches, stored, table, ti
 
 # Unicode White_Space.
 SPACE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 #: Segment numbers of documents that are expanded at one time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -78,6 +83,7 @@ class Pair:
         plain = [p.replace("▁", " ") for i, p in enumerate(pieces) if not (self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_byte(i))]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.len_a, self.len_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
+        self.kind = "H" if max(len(self.bytes_a), len(self.bytes_b)) <= 1 << 16 else "I"
         crossed = {w for p in plain for x, w in zip(p, p[1:]) if w in SPACE and x not in SPACE}
         held = set().union(*plain)
         self.guard = next(c for c in map(chr, range(1, 32)) if c not in held)
@@ -96,29 +102,18 @@ class Pair:
             raise ValueError("the guard has merged with a segment")
         return [(x.ids, y[n:]) for x, y in zip(a, b)]
 
-    def align(self, segment: str, a: list[int], b: list[int]) -> tuple[int, str, list[int]] | None:
-        """(groups, their text, linked ids a, b, a, b, ...), or None if either does not give the segment back."""
+    def align(self, segment: str, a: list[int], b: list[int]) -> bytes | None:
+        """One step per link, from left to right: 1 where only the token of A ends with it, 2 only that of B, 3 both.
+
+        None if either tokenizer does not give the segment back.
+        """
         raw = segment.encode()
         if b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
             return None
         if len(a) == 1 and len(b) == 1:
-            return 1, f"{a[0]}|{b[0]}", [a[0], b[0]]
-        links, groups = [], []
-        i = j = first_a = first_b = 0
-        end_a, end_b = self.len_a[a[0]], self.len_b[b[0]]
-        while True:
-            links += (a[i], b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            i, j = i + step_a, j + step_b
-            if step_a and step_b:
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                first_a, first_b = i, j
-                if i == len(a):
-                    return len(groups), ";".join(groups), links
-            if step_a:
-                end_a += self.len_a[a[i]]
-            if step_b:
-                end_b += self.len_b[b[j]]
+            return b"\x03"
+        ends_a, ends_b = set(accumulate([self.len_a[i] for i in a])), set(accumulate([self.len_b[i] for i in b]))
+        return bytes([(e in ends_a) + 2 * (e in ends_b) for e in sorted(ends_a | ends_b)])
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -203,8 +198,8 @@ def _joined(run, rows: int = 256):
 
 
 def segment_alignments(segments: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """``block, code, n_a, n_b, n_groups, groups, links`` of rows ``block, code, segment``; a segment without a
-    faithful encoding has null ``groups``. ``links`` holds 32-bit ids a, b, a, b, ..."""
+    """``block, code, a, b, steps`` of rows ``block, code, segment``: ids of either side, two bytes each where both
+    vocabularies allow it (else four), and the steps of ``Pair.align``; null for a segment that is not given back."""
 
     def run(batches):
         both = pair_of(path_a, path_b)
@@ -215,65 +210,102 @@ def segment_alignments(segments: DataFrame, path_a: str, path_b: str) -> DataFra
             todo = [w for w in words if w not in last]
             done = dict(last)
             for w, (a, b) in zip(todo, both.encode(todo)):
-                fit = both.align(w, a, b)
-                done[w] = (0, 0, 0, None, b"") if fit is None else (len(a), len(b), fit[0], fit[1], np.array(fit[2], "<i4").tobytes())
+                steps = both.align(w, a, b)
+                done[w] = (None, None, None) if steps is None else (array(both.kind, a).tobytes(), array(both.kind, b).tobytes(), steps)
             if words:
                 last = {words[-1]: done[words[-1]]}
-            cols = list(zip(*(done[w] for w in words))) or [()] * 5
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, k).take(at.indices) for c, k in zip(cols, kinds))], ["block", "code", "n_a", "n_b", "n_groups", "groups", "links"]
-            )
+            cols = list(zip(*(done[w] for w in words))) or [()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.binary()).take(at.indices) for c in cols)], ["block", "code", "a", "b", "steps"])
 
     spark = segments.sparkSession
     rows = segments.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "segment").sortWithinPartitions("segment")
-    return rows.select("block", "code", "segment").mapInArrow(freeing(run), "block long, code int, n_a int, n_b int, n_groups int, groups string, links binary")
+    return rows.select("block", "code", "segment").mapInArrow(freeing(run), "block long, code int, a binary, b binary, steps binary")
+
+
+def _flat(table: pa.Table, name: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of binaries, and how many each row has (null: none)."""
+    rows = pa.concat_arrays(table.column(name).chunks or [pa.array([], pa.binary())])
+    offsets = np.frombuffer(rows.buffers()[1], np.int32, len(rows) + 1, 4 * rows.offset) if len(rows) else np.zeros(1, np.int32)
+    data = rows.buffers()[2]
+    raw = np.frombuffer(data, "u1")[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, "u1")
+    return np.frombuffer(raw.tobytes(), kind).astype(np.int64), np.diff(offsets).astype(np.int64) // np.dtype(kind).itemsize
+
+
+def _by(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs."""
+    run, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(sizes)
+    return run[ends] - run[ends - sizes]
 
 
 class Block:
-    """A block's documents (arrays of segment numbers) and its segments' links."""
+    """A block's documents (arrays of segment numbers) and its segments' alignments."""
 
-    def __init__(self, docs: pa.Table, parts: pa.Table):
+    def __init__(self, docs: pa.Table, parts: pa.Table, kind: str):
         each = [_numbers(x.as_buffer()) for x in docs.column("codes").combine_chunks()] if len(docs) else []
         self.sizes = np.array([len(x) for x in each], np.int64)
-        self.codes = np.concatenate(each).astype(np.int64) if each else np.zeros(0, np.int64)
-        self.doc = np.repeat(np.arange(len(each)), self.sizes)
+        self.codes = np.concatenate(each).astype(np.int32) if each else np.zeros(0, np.int32)
+        self.doc = np.repeat(np.arange(len(each), dtype=np.int32), self.sizes)
         parts = parts.sort_by("code")  # numbers run from 0 without gaps
-        self.parts = parts
-        self.faithful = parts.column("groups").is_valid().to_numpy().astype(bool)
-        links = parts.column("links").to_pylist()
-        self.n_links = np.array([len(x) // 8 for x in links], np.int64)
-        flat = np.frombuffer(b"".join(links), "<i4").astype(np.int64).reshape(-1, 2)
-        self.pairs = flat[:, 0] << 32 | flat[:, 1]
-        self.first = np.cumsum(self.n_links) - self.n_links
-        bad = np.unique(self.doc[~self.faithful[self.codes]]) if len(self.codes) else np.zeros(0, np.int64)
+        faithful = parts.column("steps").is_valid().to_numpy().astype(bool)
+        (self.a, self.n_a), (self.b, self.n_b) = _flat(parts, "a", kind), _flat(parts, "b", kind)
+        self.steps, self.n_links = _flat(parts, "steps", "u1")
+        ends_a, ends_b = self.steps & 1, self.steps >> 1
+        self.pairs = self.a[np.cumsum(ends_a) - ends_a] << 32 | self.b[np.cumsum(ends_b) - ends_b]
+        self.n_groups = _by(self.steps == 3, self.n_links)
+        bad = np.unique(self.doc[~faithful[self.codes]]) if len(self.codes) else np.zeros(0, np.int64)
         self.whole = self.sizes > 0
         self.whole[bad] = False
 
     def sums(self, by_code: np.ndarray) -> np.ndarray:
         """Per document, the sum of a number per segment."""
-        run = np.concatenate([[0], np.cumsum(by_code[self.codes])])
-        ends = np.cumsum(self.sizes)
-        return np.where(self.whole, run[ends] - run[ends - self.sizes], 0)
+        return np.where(self.whole, _by(by_code[self.codes], self.sizes), 0)
+
+    def _runs(self):
+        """(first document, end, first segment number, end) of documents that have up to CHUNK segments together."""
+        ends, i = np.cumsum(self.sizes), 0
+        while i < len(ends):
+            base = ends[i] - self.sizes[i]
+            j = max(i + 1, int(np.searchsorted(ends, base + CHUNK, "right")))
+            yield i, j, base, ends[j - 1]
+            i = j
+
+    def _texts(self) -> pa.Array:
+        """Per segment, the text of its groups, each closed by a semicolon."""
+        before = np.cumsum(self.steps == 3) - (self.steps == 3)
+        group_a, group_b = before[self.steps & 1 > 0], before[self.steps >> 1 > 0]
+        last = lambda g: np.append(g[1:] != g[:-1], True)[: len(g)]
+        token, stop = np.empty(len(self.a) + len(self.b), np.int64), np.empty(len(self.a) + len(self.b), np.int64)
+        at_a = np.arange(len(self.a)) + np.searchsorted(group_b, group_a, "left")
+        at_b = np.arange(len(self.b)) + np.searchsorted(group_a, group_b, "right")
+        token[at_a], token[at_b] = self.a, self.b
+        stop[at_a], stop[at_b] = np.where(last(group_a), 1, 0), np.where(last(group_b), 2, 0)
+        words = pc.binary_join_element_wise(pa.array(token).cast(pa.string()), pa.array([",", "|", ";"]).take(pa.array(stop)), "")
+        offsets = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), words), "")
+
+    def groups_hashes(self) -> list[str]:
+        """Per document, the hash of its groups' text."""
+        out, texts = [], self._texts()
+        for i, j, first, end in self._runs():
+            offsets = np.concatenate([[0], np.cumsum(self.sizes[i:j])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), texts.take(pa.array(self.codes[first:end])))
+            for text, whole in zip(pc.binary_join(lists, ""), self.whole[i:j]):
+                out.append(hashlib.sha256(memoryview(text.as_buffer())[:-1]).hexdigest() if whole else "")
+        return out
 
     def pair_documents(self) -> tuple[np.ndarray, np.ndarray]:
         """The pairs linked in the block's documents, and in how many of them."""
         names, place = np.unique(self.pairs, return_inverse=True)
-        n = np.zeros(len(names), np.int64)
-        ends = np.cumsum(self.sizes)
-        i = 0
-        while i < len(ends):  # documents together up to CHUNK segments
-            base = ends[i] - self.sizes[i]
-            j = max(i + 1, int(np.searchsorted(ends, base + CHUNK, "right")))
-            at = np.arange(base, ends[j - 1])
+        n, first, m = np.zeros(len(names), np.int64), np.cumsum(self.n_links) - self.n_links, max(len(self.n_links), 1)
+        for _, _, start, end in self._runs():
+            at = np.arange(start, end)
             at = at[self.whole[self.doc[at]]]
-            key = np.unique(self.doc[at] * len(self.n_links) + self.codes[at])
-            doc, code = key // max(len(self.n_links), 1), key % max(len(self.n_links), 1)
+            key = np.unique(self.doc[at].astype(np.int64) * m + self.codes[at])
+            doc, code = key // m, key % m
             many = self.n_links[code]
-            link = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.first[code], many)
+            link = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[code], many)
             met = np.unique(np.repeat(doc, many) * len(names) + place[link])
             n += np.bincount(met % max(len(names), 1), minlength=len(names))
-            i = j
         return names[n > 0], n[n > 0]
 
 
@@ -284,52 +316,43 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, *, key: str = "doc_id", t
     tidy(spark)
     small_batches(spark, 64)
     kind = docs.schema[key].dataType.simpleString()
-    rows = stored(coded(docs, path_a, path_b, key=key, text=text, block_bytes=block_bytes), "coded")
+    rows = stored(coded(docs, path_a, path_b, key=key, text=text, block_bytes=block_bytes), "coded", "zstd")
     texts = rows.filter(F.col("codes").isNotNull()).select("block", "key", "codes")
     small_batches(spark, 10_000)
-    parts = stored(segment_alignments(rows.filter(F.col("segment").isNotNull()).select("block", "code", "segment"), path_a, path_b), "parts")
+    parts = stored(segment_alignments(rows.filter(F.col("segment").isNotNull()).select("block", "code", "segment"), path_a, path_b), "parts", "zstd")
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        names, n = Block(left, right).pair_documents()
+        names, n = Block(left, right, pair_of(path_a, path_b).kind).pair_documents()
         block = right.column("block")[0].as_py() if len(right) else 0
         return pa.table({"block": pa.array(np.full(len(names), block)), "a": pa.array((names >> 32).astype(np.int32)), "b": pa.array((names & 0xFFFFFFFF).astype(np.int32)), "n": pa.array(n)})
 
-    links = parts.select("block", "code", "groups", "links")
-    pairs = stored(texts.groupBy("block").cogroup(links.groupBy("block")).applyInArrow(count, "block long, a int, b int, n long"), "pairs")
+    pairs = stored(texts.groupBy("block").cogroup(parts.groupBy("block")).applyInArrow(count, "block long, a int, b int, n long"), "pairs")
     counts = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
     counts = stored(counts, "counts")
     most = counts.groupBy("a").agg(F.max("n").alias("most"))
     counts = counts.join(most, "a").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
     back = pairs.select("block", "a", "b").join(counts, ["a", "b"])
-    empty = lambda *cols: [F.lit(None).cast(t).alias(c) for c, t in cols]
-    both = parts.select("block", "code", "n_a", "n_b", "n_groups", "groups", "links", *empty(("a", "int"), ("b", "int"), ("n", "long"), ("best", "boolean"))).unionByName(
-        back.select("block", *empty(("code", "int"), ("n_a", "int"), ("n_b", "int"), ("n_groups", "int"), ("groups", "string"), ("links", "binary")), "a", "b", "n", "best")
+    null = lambda kind, *names: [F.lit(None).cast(kind).alias(c) for c in names]
+    both = parts.select("*", *null("int", "first", "second"), *null("long", "n"), *null("boolean", "best")).unionByName(
+        back.select("block", *null("int", "code"), *null("binary", "a", "b", "steps"), F.col("a").alias("first"), F.col("b").alias("second"), "n", "best")
     )
 
     def compose(left: pa.Table, right: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
-
-        is_pair = pc.is_valid(right.column("a"))
+        is_pair = pc.is_valid(right.column("first"))
         sums = right.filter(is_pair)
-        block = Block(left, right.filter(pc.invert(is_pair)))
-        col = lambda t, c: t.column(c).to_numpy().astype(np.int64)
-        name = col(sums, "a") << 32 | col(sums, "b")
+        block = Block(left, right.filter(pc.invert(is_pair)), pair_of(path_a, path_b).kind)
+        col = lambda c: sums.column(c).to_numpy().astype(np.int64)
+        name = col("first") << 32 | col("second")
         order = np.argsort(name)
-        by_code = {c: col(block.parts, c) for c in ("n_a", "n_b", "n_groups")} | {"n_links": block.n_links}
-        known, n, best = name[order], col(sums, "n")[order], col(sums, "best")[order]
-        at = np.searchsorted(known, block.pairs)
-        at = np.minimum(at, max(len(known) - 1, 0))
-        met = known[at] == block.pairs if len(known) else np.zeros(len(block.pairs), bool)
-        owner = np.repeat(np.arange(len(block.n_links)), block.n_links)[met]
-        for c, v in (("n_best", best), ("count_sum", n)):
-            by_code[c] = np.zeros(len(block.n_links), np.int64)
-            np.add.at(by_code[c], owner, v[at[met]])
-        groups = block.parts.column("groups").to_pylist()
-        ends, hashes = np.cumsum(block.sizes), []
-        for i, whole in enumerate(block.whole):
-            codes = block.codes[ends[i] - block.sizes[i] : ends[i]]
-            hashes.append(hashlib.sha256(";".join(map(groups.__getitem__, codes.tolist())).encode()).hexdigest() if whole else "")
-        return pa.table({"key": left.column("key"), **{c: pa.array(block.sums(v)) for c, v in by_code.items()}, "groups_sha256": pa.array(hashes, pa.string())})
+        known, n, best = name[order], col("n")[order], col("best")[order]
+        if len(known):
+            at = np.minimum(np.searchsorted(known, block.pairs), len(known) - 1)
+            met = known[at] == block.pairs  # pairs of documents without tokens alone are not counted
+            n, best = np.where(met, n[at], 0), np.where(met, best[at], 0)
+        else:
+            n = best = np.zeros(len(block.pairs), np.int64)
+        by_code = {"n_a": block.n_a, "n_b": block.n_b, "n_groups": block.n_groups, "n_links": block.n_links, "n_best": _by(best, block.n_links), "count_sum": _by(n, block.n_links)}
+        return pa.table({"key": left.column("key"), **{c: pa.array(block.sums(v)) for c, v in by_code.items()}, "groups_sha256": pa.array(block.groups_hashes(), pa.string())})
 
     schema = f"key {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     out = stored(texts.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(compose, schema), "aligned")

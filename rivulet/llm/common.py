@@ -29,10 +29,10 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/rivulet-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "t") -> DataFrame:
+def stored(df: DataFrame, name: str = "t", compression: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
     path = f"{work_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
