@@ -12,8 +12,9 @@ running sums. The first round's contributions are all plus. Distances are taken
 as that is exact (checked against the largest component), and in whole numbers of any size beyond.
 
 Defined results. Rows with a null vector, or one that holds null or non-finite components, are dropped; so are vectors
-whose length is no positive multiple of ``parts`` or differs from that of the smallest kept id. Whole numbers beyond 31
-bits count as the largest of 31 bits. Null ids come last in the order that gives the first codebook, repeated ids are
+whose length is no positive multiple of ``parts`` or differs from that of the smallest kept id. Whole numbers beyond 40
+bits count as the largest of 40 bits, and
+errors (and their sums) beyond 63 bits as the largest of 63. Null ids come last in the order that gives the first codebook, repeated ids are
 rows of their own, told apart by their components there; equal rows are interchangeable. Fewer rows than entries make
 a shorter codebook. Null labels form one group. An empty table gives an empty result. Other columns are not carried.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import forget, freeing, sized, stored, table, tidy
 
-LARGEST = (1 << 31) - 1
+LARGEST = (1 << 40) - 1
 #: Vectors whose distances are held at one time.
 ROWS = 2048
 
@@ -160,7 +161,7 @@ def digest(books: np.ndarray) -> str:
 def op11_vector_codes(spark, sf_dir: str) -> DataFrame:
     """Query: the code of every embedding, its error, and the error of its label's rows together."""
     out, books = product_codes(table(spark, sf_dir, "embeddings"))
-    by_label = out.groupBy("label").agg(F.sum("error").alias("label_error"))
+    by_label = out.groupBy("label").agg(F.coalesce(F.try_sum("error"), F.lit((1 << 63) - 1)).alias("label_error"))
     n_labels = by_label.count()
     hexed = F.concat(*[F.lpad(F.lower(F.hex(F.col("codes")[p])), 2, "0") for p in range(4)])
     rows = out.select(F.col("id").alias("vec_id"), hexed.alias("code"), "error", "label")
