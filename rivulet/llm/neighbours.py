@@ -12,8 +12,10 @@ task: block-nested search of a stated query set. Each returns k candidates a que
 stay. Equal vectors of a block are searched once and carry their least ids.
 
 Defined results. Null and zero vectors and those with null or non-finite components take no part; vectors of another
-length are searched among themselves. Ties go to the smaller id. Null ids take no part. Rows that share an id count
-once, with the least vector. An empty table gives an empty result. Other columns, whatever their names, are not carried.
+length are searched among themselves. Ties go to the smaller id, also where they are cut: of equal scores the groups of
+equal vectors with the least ids stay. Null ids take no part. Rows that share an id are rows of their own, as candidates
+and as queries, in the order of a hash of their vectors; a row leaves out itself alone. An empty table gives an empty
+result. Other columns, whatever their names, are not carried.
 """
 
 from __future__ import annotations
@@ -51,13 +53,20 @@ def leaves(points: np.ndarray, size: int = LEAF) -> list[np.ndarray]:
     return out
 
 
-def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int, top: float, dims: int = 8, confidence: float = 0.95, seed: int = 3):
-    """(query number, id, score) of each query's k best in one block, its own id left out. ``top``: the largest norm."""
+def search(x: np.ndarray, ids: np.ndarray, nths: np.ndarray, copies: np.ndarray, q: np.ndarray, q_ids: np.ndarray, q_nths: np.ndarray, k: int, top: float, dims: int = 8, confidence: float = 0.95, seed: int = 3):
+    """(query number, row number, score) of each query's k best in one block, itself left out once. ``top``: the largest norm.
+
+    A row is told by ``ids`` and ``nths``, and stands for ``copies`` equal rows.
+    """
     rows = np.ascontiguousarray(x).view([("", x.dtype)] * x.shape[1]).ravel()
     _, first, group = np.unique(rows, return_index=True, return_inverse=True)
-    order = np.lexsort((ids, group))
+    by_id = np.lexsort((nths, ids))
+    rank = np.empty(len(ids), np.int64)
+    rank[by_id] = np.arange(len(ids))
+    order = np.lexsort((rank, group))
     starts = np.searchsorted(group[order], np.arange(len(first)))
     stops = np.append(starts[1:], len(order))
+    least = np.append(rank[order[starts]], len(ids))  # of each group; the last for none
     pts = x[first].astype(np.float64)
     n, d = pts.shape
     lift = np.sqrt(np.maximum(top**2 - (pts**2).sum(axis=1), 0))
@@ -86,7 +95,9 @@ def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k:
             some, p = live[by[s:e]], parts[leaf[by[s]]]
             score = np.concatenate([best[some], q[some] @ pts[p].T], axis=1)
             name = np.concatenate([who[some], np.broadcast_to(p, (len(some), len(p)))], axis=1)
-            cut = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
+            cut = np.argsort(least[name], axis=1)
+            score, name = np.take_along_axis(score, cut, 1), np.take_along_axis(name, cut, 1)
+            cut = np.argsort(-score, axis=1, kind="stable")[:, :keep]
             best[some], who[some] = np.take_along_axis(score, cut, 1), np.take_along_axis(name, cut, 1)
         if r + 1 == len(parts):
             break
@@ -97,23 +108,24 @@ def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k:
         live = live[~done]
         if not len(live):
             break
-    out_q, out_id, out_s = [], [], []
+    out_q, out_row, out_s = [], [], []
     for i in range(len(q)):
         own = who[i][who[i] >= 0]
         # one fixed order of summation, so equal vectors have equal scores
         score = (pts[own] * q[i]).sum(axis=1)
         names, scores = [], []
         for v, sc in zip(own, score):
-            own_ids = ids[order[starts[v] : stops[v]]][: k + 1]
-            own_ids = own_ids[own_ids != q_ids[i]]
-            names.append(own_ids)
-            scores.append(np.full(len(own_ids), sc))
+            at = order[starts[v] : stops[v]][: k + 1]
+            times = np.minimum(copies[at] - ((ids[at] == q_ids[i]) & (nths[at] == q_nths[i])), k)
+            at = np.repeat(at, times)
+            names.append(at)
+            scores.append(np.full(len(at), sc))
         names, scores = np.concatenate(names), np.concatenate(scores)
-        pick = np.lexsort((names, -scores))[:k]
-        out_q.append(np.full(len(pick), q_ids[i]))
-        out_id.append(names[pick])
+        pick = np.lexsort((rank[names], -scores))[:k]
+        out_q.append(np.full(len(pick), i))
+        out_row.append(names[pick])
         out_s.append(scores[pick])
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_s)
+    return np.concatenate(out_q), np.concatenate(out_row), np.concatenate(out_s)
 
 
 def nearest(
@@ -127,24 +139,30 @@ def nearest(
         F.col(key).cast("long").alias("id"), v.cast("array<double>").alias("v"), F.size(v).alias("d"), F.coalesce(is_query, F.lit(False)).alias("q")
     )
     if rows.groupBy("id").count().filter("count > 1").limit(1).count():
-        rows = rows.groupBy("id").agg(F.min(F.struct("d", "v", "q")).alias("r")).select("id", "r.v", "r.d", "r.q")
+        rows = rows.groupBy("id", "v", "d", "q").agg(F.count(F.lit(1)).alias("copies")).withColumn("nth", F.xxhash64("v"))
+    else:
+        rows = rows.withColumns({"copies": F.lit(1).cast("long"), "nth": F.lit(0).cast("long")})
     stats = rows.agg(F.count(F.lit(1)), F.sum(F.col("q").cast("long")), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()
     blocks, chunks = max(1, -(-stats[0] // block_rows)), max(1, -(-(stats[1] or 0) // chunk_rows))
     top = float(stats[2] or 1.0) ** 0.5
-    base = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    base = rows.withColumn("block", F.pmod(F.xxhash64("id", "nth"), F.lit(blocks)).cast("int"))
     data = base.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    ask = base.filter("q").withColumn("chunk", F.pmod(F.xxhash64(F.lit(5), F.col("id")), F.lit(chunks)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    ask = base.filter("q").withColumn("chunk", F.pmod(F.xxhash64(F.lit(5), F.col("id"), F.col("nth")), F.lit(chunks)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        col = lambda t, c: t[c].to_numpy(np.int64)
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        q, i, s = search(np.stack(left["v"].to_numpy()), left["id"].to_numpy(), np.stack(right["v"].to_numpy()), right["id"].to_numpy(), k, top, dims, confidence)
-        return pd.DataFrame({"query_id": q, "vec_id": i, "score": s})
-
-    on = ["d", "block", "chunk"]
-    found = data.select("id", "v", *on).groupBy(*on).cogroup(ask.select("id", "v", *on).groupBy(*on)).applyInPandas(pair, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "score" else "int64") for c in ("query_id", "query_nth", "times", "vec_id", "nth", "score")})
+        who = (col(left, "id"), col(left, "nth"), col(left, "copies"))
+        ask = (col(right, "id"), col(right, "nth"))
+        q, r, s = search(np.stack(left["v"].to_numpy()), *who, np.stack(right["v"].to_numpy()), *ask, k, top, dims, confidence)
+        return pd.DataFrame({"query_id": ask[0][q], "query_nth": ask[1][q], "times": col(right, "copies")[q], "vec_id": who[0][r], "nth": who[1][r], "score": s})
+
+    on, some = ["d", "block", "chunk"], ["id", "nth", "copies", "v"]
+    found = data.select(*some, *on).groupBy(*on).cogroup(ask.select(*some, *on).groupBy(*on)).applyInPandas(pair, "query_id long, query_nth long, times long, vec_id long, nth long, score double")
+    best = Window.partitionBy("query_id", "query_nth").orderBy(F.desc("score"), "vec_id", "nth")
+    kept = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return kept.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("query_id", "rank", "vec_id", "score")
 
 
 def op5_nearest(spark, sf_dir: str) -> DataFrame:
