@@ -1,6 +1,6 @@
 """Named queries over the test tables and their SQL forms."""
 
-from rivulet.plans import boards, geometry, proofs, sheets, texts
+from rivulet.plans import boards, geometry, paths, proofs, sheets, texts
 
 #: name -> (query, DuckDB form or None)
-REGISTRY = boards.QUERIES | proofs.QUERIES | geometry.QUERIES | sheets.QUERIES | texts.QUERIES
+REGISTRY = boards.QUERIES | paths.QUERIES | proofs.QUERIES | geometry.QUERIES | sheets.QUERIES | texts.QUERIES

@@ -57,12 +57,12 @@ def _need(name: str, seen: list[str]) -> list[str]:
     return seen
 
 
-def _frame(spark, d: str, name: str) -> DataFrame:
-    parts = {n: (_frame(spark, d, n) if n in TABLES else V.table(spark, d, n)) for n in set(re.findall(r"\{(\w+)\}", TABLES[name]))}
+def frame(spark, d: str, name: str) -> DataFrame:
+    parts = {n: (frame(spark, d, n) if n in TABLES else V.table(spark, d, n)) for n in set(re.findall(r"\{(\w+)\}", TABLES[name]))}
     return spark.sql(TABLES[name], **parts)
 
 
-def _with(names: str, rest: str) -> str:
+def with_tables(names: str, rest: str) -> str:
     order: list[str] = []
     for n in names.split():
         if n not in order:
@@ -72,11 +72,11 @@ def _with(names: str, rest: str) -> str:
 
 
 def rule_visibility(spark, d):
-    lines = _frame(spark, d, "p_lines").withColumn("caps", F.array("cap"))
-    return proofs.rule_visibility(_frame(spark, d, "p_rules"), lines, ["page_id"])
+    lines = frame(spark, d, "p_lines").withColumn("caps", F.array("cap"))
+    return proofs.rule_visibility(frame(spark, d, "p_rules"), lines, ["page_id"])
 
 
-VISIBILITY_SQL = _with(
+VISIBILITY_SQL = with_tables(
     "p_rules p_lines",
     """, m AS (SELECT r.page_id, r.rule_id, l.seqno, abs(l.width - r.width) < 0.03 AND abs(l.r - r.r) < 0.03 AND abs(l.g - r.g) < 0.03 AND abs(l.b - r.b) < 0.03 AND l.cap = r.cap AS alike
   FROM p_rules r JOIN p_lines l ON l.page_id = r.page_id AND ((abs(ax - px) < 0.03 AND abs(ay - py) < 0.03 AND abs(bx - qx) < 0.03 AND abs(l."by" - qy) < 0.03) OR (abs(bx - px) < 0.03 AND abs(l."by" - py) < 0.03 AND abs(ax - qx) < 0.03 AND abs(ay - qy) < 0.03))),
@@ -88,10 +88,10 @@ SELECT *, paths - masked AS visible, paths - masked = 1 AND alike = paths AND sh
 
 
 def approved_placements(spark, d):
-    return proofs.approved_placements(_frame(spark, d, "p_groups").drop("k"), _frame(spark, d, "p_places"), ["page_id"])
+    return proofs.approved_placements(frame(spark, d, "p_groups").drop("k"), frame(spark, d, "p_places"), ["page_id"])
 
 
-APPROVED_SQL = _with(
+APPROVED_SQL = with_tables(
     "p_groups p_places",
     """, m AS (SELECT g.page_id, g.group_id, p.place_id, p.x0, p.y0, p.x1, p.y1, t_x0, t_y0, p.scale FROM p_groups g JOIN p_places p ON p.page_id = g.page_id AND p.x0 >= g.x0 AND p.y0 >= g.y0 AND p.x1 <= g.x1 AND p.y1 <= g.y1),
 u AS (SELECT page_id, group_id, min(x0) AS a, min(y0) AS b, max(x1) AS c, max(y1) AS e, min(t_x0) AS tx, min(t_y0) AS ty, min(scale) AS lo, max(scale) AS hi FROM m GROUP BY ALL),
@@ -103,10 +103,10 @@ SELECT * FROM f UNION ALL SELECT DISTINCT page_id, NULL, 'foreign' FROM p_places
 
 
 def field_findings(spark, d):
-    return proofs.field_findings(*[_frame(spark, d, n) for n in ("p_ledgers", "p_reviews", "p_regions", "p_clips")], "fields-v1")
+    return proofs.field_findings(*[frame(spark, d, n) for n in ("p_ledgers", "p_reviews", "p_regions", "p_clips")], "fields-v1")
 
 
-FIELDS_SQL = _with(
+FIELDS_SQL = with_tables(
     "p_ledgers p_reviews p_regions p_clips",
     """, v AS (SELECT source_sha, count(*) AS n, min(reviewer) AS reviewer, min(status) AS status, min(entries) AS ve, min(model) AS vm, min(title) AS vt, min(unit) AS vu FROM p_reviews GROUP BY source_sha),
 l AS (SELECT l.*, coalesce(n, 0) AS n, v.reviewer, v.status, ve, vm, vt, vu FROM p_ledgers l LEFT JOIN v USING (source_sha)),
@@ -127,10 +127,10 @@ SELECT DISTINCT ledger_id, finding FROM a WHERE finding IS NOT NULL""",
 
 
 def removal_proof(spark, d):
-    return proofs.removal_proof(_frame(spark, d, "p_ops"), _frame(spark, d, "p_removed"), _frame(spark, d, "p_out"), "doc", 64)
+    return proofs.removal_proof(frame(spark, d, "p_ops"), frame(spark, d, "p_removed"), frame(spark, d, "p_out"), "doc", 64)
 
 
-REMOVAL_SQL = _with(
+REMOVAL_SQL = with_tables(
     "p_ops p_removed p_out",
     """, k AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY idx) - 1 AS place, sha256(op) AS h FROM p_ops WHERE (doc, idx) NOT IN (SELECT doc, idx FROM p_removed)),
 o AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY idx) - 1 AS place, sha256(op) AS h FROM p_out),
@@ -144,10 +144,10 @@ FROM n LEFT JOIN r USING (doc) LEFT JOIN p USING (doc) LEFT JOIN x USING (doc) L
 
 
 def watermark_words(spark, d):
-    return proofs.watermark_words(_frame(spark, d, "p_words"), ["page_id"], ["SAMPLE"], ["S", "E"])
+    return proofs.watermark_words(frame(spark, d, "p_words"), ["page_id"], ["SAMPLE"], ["S", "E"])
 
 
-WATERMARK_SQL = _with(
+WATERMARK_SQL = with_tables(
     "p_words",
     """, w AS (SELECT *, contains(text, 'SAMPLE') AS seed FROM p_words),
 e AS (SELECT a.page_id, a.pos AS a, b.pos AS b FROM w a JOIN w b ON a.page_id = b.page_id AND b.text IN ('S', 'E') AND (a.seed OR (a.text IN ('S', 'E') AND a.pos < b.pos))
