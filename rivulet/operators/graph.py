@@ -5,22 +5,27 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions import geometry as G
 from rivulet.operators import joins
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder of ``spark.checkpoint.dir``: cuts lineage, outlives executors."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """A new name in the folder of ``spark.checkpoint.dir``, which the driver and all executors see."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:  # a local folder serves only where all tasks run in this process
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "/tmp/checkpoints"
-    path = f"{base.rstrip('/')}/rivulet-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/rivulet-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder of ``spark.checkpoint.dir``: cuts lineage, outlives executors."""
+    spark = df.sparkSession
+    path = shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

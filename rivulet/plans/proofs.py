@@ -10,7 +10,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.operators import proofs
+from rivulet.operators import cache, graph, proofs
 from rivulet.sources import views as V
 
 TABLES = {
@@ -157,7 +157,21 @@ SELECT page_id, pos, min(step) AS step FROM r GROUP BY ALL""",
 )
 
 
+def cached_values(spark, d):
+    """Half of the parts are in the cache, some of these entries damaged; all parts are asked for."""
+    p = V.table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    inputs = ["p_partkey", "p_name", "p_size"]
+    make = lambda df: df.withColumn("value", F.concat("p_name", F.lit("/"), F.col("p_size").cast("string")))
+    path = f"{graph.shared_folder(spark)}/cache"
+    old = cache.entries(make(p.filter("p_partkey % 2 = 0")), inputs, "value", "v1")
+    old.withColumn("value", F.when(F.col("value").rlike("[05]$"), F.concat("value", F.lit("?"))).otherwise(F.col("value"))).write.parquet(path)
+    cache.entries(make(p.filter("p_partkey % 2 = 1")), inputs, "value", "v0").write.mode("append").parquet(path)  # of another version
+    return cache.cached(p, path, inputs, make, "value", "v1").select("p_partkey", "value", "hit")
+
+
+CACHE_SQL = "SELECT p_partkey, p_name || '/' || p_size AS value, p_partkey % 2 = 0 AND p_size % 5 <> 0 AS hit FROM part"
+
 QUERIES = {
     "rule_visibility": (rule_visibility, VISIBILITY_SQL), "approved_placements": (approved_placements, APPROVED_SQL), "field_findings": (field_findings, FIELDS_SQL),
-    "removal_proof": (removal_proof, REMOVAL_SQL), "watermark_words": (watermark_words, WATERMARK_SQL),
+    "removal_proof": (removal_proof, REMOVAL_SQL), "watermark_words": (watermark_words, WATERMARK_SQL), "cached_values": (cached_values, CACHE_SQL),
 }
