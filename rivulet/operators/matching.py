@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,19 +75,23 @@ def top_templates(pages: DataFrame, samples: DataFrame, n: int = 3, **options) -
     return per.filter(F.col("rank") <= n).select("id", "rank", "template", "rotate", "search", "score")
 
 
-def pair_similarity(items: DataFrame, least: float = 0.0, n: int = 8, rows: int = 8) -> DataFrame:
-    """``a, b, sim`` (a < b) of items of the same search band, the greater of both directions."""
+def pair_similarity(items: DataFrame, least: float = 0.0, n: int = 8, rows: int = 8, group: str | None = None) -> DataFrame:
+    """``a, b, sim`` (a < b) of items of the same search band (and ``group``), the greater of both directions."""
     x, xw, xd = _packed(items, n, rows, "a_")
     y, yw, yd = _packed(items, n, rows, "b_")
     cols = lambda names: [F.col(c) for c in names]
     sim = bits.coverage(cols(xw), cols(xd), cols(yw), cols(yd))
-    joined = x.join(y, (F.col("a_search") == F.col("b_search")) & (F.col("a_id") < F.col("b_id")))
+    same = (F.col("a_search") == F.col("b_search")) & (F.col("a_id") < F.col("b_id"))
+    joined = x.join(y, same & (F.col(f"a_{group}") == F.col(f"b_{group}")) if group else same)
     return joined.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), sim.alias("sim")).filter(F.col("sim") >= least)
 
 
-def star_clusters(items: DataFrame, sims: DataFrame, threshold: float) -> DataFrame:
+def star_clusters(items: DataFrame, sims: DataFrame, threshold: float, inside: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``group_no, representative, id`` of ``items`` (``id, weight``) with similarities ``sims`` (``a, b, sim``; each pair once).
 
+    ``sims`` holds all pairs, or only those of ``threshold`` and more; then ``inside`` gives the pairs of each group from
+    ``lead, id``, so pairs of unlike items are never written.
+
     The free item with most free neighbours (``sim`` of ``threshold`` or more) takes them all, until none is left; ties go
     to the weight, then to the lesser id. Groups are numbered by size, then in the order they are taken. The
     representative has the greatest mean similarity in its group (to four places), with the same ties.
@@ -111,8 +117,13 @@ def star_clusters(items: DataFrame, sims: DataFrame, threshold: float) -> DataFr
     if taken is None:
         return items.sparkSession.createDataFrame([], "group_no long, representative long, id long")
     of = taken.select("lead", "id")
-    inside = both.join(of.withColumnsRenamed({"id": "a", "lead": "g"}), "a").join(of.withColumnsRenamed({"id": "b", "lead": "h"}), "b").filter("g = h")
-    total = inside.groupBy(F.col("a").alias("id")).agg(F.sum("sim").alias("s"))
+    if inside is not None:
+        of = written(of)
+        within = inside(of)
+        within = within.unionByName(within.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    else:
+        within = both.join(of.withColumnsRenamed({"id": "a", "lead": "g"}), "a").join(of.withColumnsRenamed({"id": "b", "lead": "h"}), "b").filter("g = h")
+    total = within.groupBy(F.col("a").alias("id")).agg(F.sum("sim").alias("s"))
     mean = F.round((F.coalesce("s", F.lit(0.0)) + 1) / (F.col("p.n") + 1), 4)
     scored_ = taken.join(items.select("id", F.coalesce("weight", F.lit(0.0)).alias("weight")), "id").join(total, "id", "left")
     groups = scored_.groupBy("lead").agg(F.max(F.struct(mean.alias("m"), "weight", (-F.col("id")).alias("o"), "id")).alias("r"), F.max("p").alias("p"))
@@ -122,4 +133,5 @@ def star_clusters(items: DataFrame, sims: DataFrame, threshold: float) -> DataFr
 
 def star_cluster_table(items: DataFrame, threshold: float = 0.88, **options) -> DataFrame:
     """:func:`star_clusters` of fingerprints, without weights."""
-    return star_clusters(items.select("id", F.lit(0.0).alias("weight")), written(pair_similarity(items, 0.0, **options)), threshold)
+    grouped = lambda of: pair_similarity(items.join(of, "id"), 0.0, group="lead", **options)
+    return star_clusters(items.select("id", F.lit(0.0).alias("weight")), written(pair_similarity(items, threshold, **options)), threshold, grouped)

@@ -58,12 +58,12 @@ SELECT p_partkey, 'fill:' || {_hexsql('x', "'#' || x")} || ';stroke:' || {_hexsq
 
 
 def brand_model(spark, d):
-    c = V.table(spark, d, "part").selectExpr("p_partkey", "concat(CASE p_partkey % 5 WHEN 0 THEN 'TF-' WHEN 1 THEN 'nd-' WHEN 2 THEN 'BG-  ' WHEN 3 THEN 'ATF-' ELSE '' END, p_brand) AS model")
-    return c.select("p_partkey", T.strip_prefix(F.col("model"), ["TF-", "ND-", "BG-"]).alias("model"))
+    c = V.table(spark, d, "part").selectExpr("p_partkey", "concat(CASE p_partkey % 5 WHEN 0 THEN 'QX-' WHEN 1 THEN 'mv-' WHEN 2 THEN 'KL-  ' WHEN 3 THEN 'AQX-' ELSE '' END, p_brand) AS model")
+    return c.select("p_partkey", T.strip_prefix(F.col("model"), ["QX-", "MV-", "KL-"]).alias("model"))
 
 
-BRAND_SQL = """WITH c AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'TF-' WHEN 1 THEN 'nd-' WHEN 2 THEN 'BG-  ' WHEN 3 THEN 'ATF-' ELSE '' END || p_brand AS m FROM part)
-SELECT p_partkey, CASE WHEN regexp_matches(trim(m), '^(?i)(TF-|ND-|BG-).') THEN ltrim(substr(trim(m), 4)) ELSE m END AS model FROM c"""
+BRAND_SQL = """WITH c AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'QX-' WHEN 1 THEN 'mv-' WHEN 2 THEN 'KL-  ' WHEN 3 THEN 'AQX-' ELSE '' END || p_brand AS m FROM part)
+SELECT p_partkey, CASE WHEN regexp_matches(trim(m), '^(?i)(QX-|MV-|KL-).') THEN ltrim(substr(trim(m), 4)) ELSE m END AS model FROM c"""
 
 
 def field_split(spark, d):

@@ -336,3 +336,78 @@ def test_layout_search_equals_exhaustive_search(spark):
     assert {p: (a[p], b[p]) for p in pages if a[p] != b[p]} == {}
     modes = {r[2] for r in want}
     assert len(modes) > 1 and len({r[0] for r in want}) < len(pages)  # some pages have no arrangement
+
+
+# -- queries that follow from rounds ---------------------------------------------------------------------------------
+
+
+def test_overlap_merge_query(spark, sf_dir):
+    from rivulet.plans import geometry
+    from rivulet.sources import views
+
+    pages = {}
+    for r in views.boxes(spark, sf_dir).filter("x1 > x0 AND y1 > y0").collect():
+        pages.setdefault(r["page_id"], []).append([r["box_id"], (r["x0"], r["y0"], r["x1"], r["y1"]), 1])
+    area = lambda b: max(0, b[2] - b[0]) * max(0, b[3] - b[1])
+    want = set()
+    for page, blocks in pages.items():
+        found = True
+        while found:
+            found = None
+            for i, (a, p, _) in enumerate(blocks):
+                for j, (b, q, _) in enumerate(blocks[i + 1 :], i + 1):
+                    if area((max(p[0], q[0]), max(p[1], q[1]), min(p[2], q[2]), min(p[3], q[3]))) > 0.2 * min(area(p), area(q)):
+                        found = i, j
+                        break
+                if found:
+                    break
+            if found:
+                (a, p, n), (b, q, m) = blocks[found[0]], blocks.pop(found[1])
+                blocks[found[0]] = [min(a, b), (min(p[0], q[0]), min(p[1], q[1]), max(p[2], q[2]), max(p[3], q[3])), n + m]
+        want |= {(page, a, *p, n) for a, p, n in blocks}
+    got = {(r["page_id"], r["block"], r["x0"], r["y0"], r["x1"], r["y1"], r["n"]) for r in geometry.overlap_merge(spark, sf_dir).collect()}
+    assert got == want
+
+
+def test_largest_scale_query(spark, sf_dir):
+    from rivulet.plans import sheets
+    from rivulet.sources import views
+
+    pages = {}
+    for r in views.boxes(spark, sf_dir).filter("x1 > x0 AND y1 > y0").orderBy("box_id").collect():
+        pages.setdefault(r["box_id"] % 97, []).append((r["x1"] - r["x0"], r["y1"] - r["y0"]))
+
+    def fits(sizes, s):
+        rows, y = [[]], 0.0
+        for w, h in sizes:
+            if rows[-1] and sum(a * s + 12 for a, _ in rows[-1]) + w * s > 400:
+                rows.append([])
+            rows[-1].append((w, h))
+        for row in rows:
+            if sum(w * s for w, _ in row) + 12 * (len(row) - 1) > 400:
+                return False
+            y += max(h for _, h in row) * s + 12
+        return y - 12 <= 300
+
+    got = {r["page_id"]: r["scale"] for r in sheets.largest_scale(spark, sf_dir).collect()}
+    assert got.keys() == pages.keys()
+    for p, sizes in pages.items():
+        assert fits(sizes, got[p] - 1e-9) and (got[p] > 3 - 1e-9 or not fits(sizes, got[p] + 1e-6))
+
+
+def test_star_cluster_query(spark, sf_dir):
+    from test_operators import greedy_stars
+
+    from rivulet.operators import matching
+    from rivulet.plans import geometry
+    from rivulet.sources import views
+
+    items = views.fingerprints(spark, sf_dir)
+    ids = sorted(r["id"] for r in items.select("id").collect())
+    place = {v: i for i, v in enumerate(ids)}
+    sims = {(place[r["a"]], place[r["b"]]): r["sim"] for r in matching.pair_similarity(items, 0.0).collect()}
+    want = greedy_stars(len(ids), sims, [0.0] * len(ids), 0.8)
+    groups = {}
+    for r in geometry.star_cluster(spark, sf_dir).collect():
+        groups.setdefault((r["group_no"], place[r["representative"]]), []).append(place[r["id"]])
+    assert [(k[1], sorted(groups[k])) for k in sorted(groups)] == want
