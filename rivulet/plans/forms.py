@@ -7,7 +7,7 @@ from rivulet.plans.sheets import CORNER_SQL
 from rivulet.plans.texts import _COL
 from rivulet.sources.views import with_views
 
-PAGES = with_views("seg", _FRAME + " SELECT page_id, paths FROM (SELECT page_id, count(*) AS paths FROM seg GROUP BY page_id HAVING count(*) >= 300) JOIN fr USING (page_id) WHERE found >= 1")
+PAGES = with_views("seg", _FRAME.replace("0.6 *", "0.5 *") + " SELECT page_id, paths FROM (SELECT page_id, count(*) AS paths FROM seg GROUP BY page_id HAVING count(*) >= 300) JOIN fr USING (page_id) WHERE found >= 1")
 
 FRACTIONS = f"""WITH c AS ({CORNER_SQL}),
 f AS (SELECT DISTINCT page_id, least(1.0, greatest(0.0, round_even(x0 / 800, 3))) AS x0, least(1.0, greatest(0.0, round_even(y0 / 600, 3))) AS y0, least(1.0, greatest(0.0, round_even(x1 / 800, 3))) AS x1, least(1.0, greatest(0.0, round_even(y1 / 600, 3))) AS y1 FROM c)
@@ -33,8 +33,8 @@ SELECT id, "row", string_agg(word, '  ' ORDER BY x, word) AS line FROM k GROUP B
 
 LABELS = with_views(
     "box rule",
-    """, w AS (SELECT box_id % 97 AS page_id, box_id AS word_id, x0, y0, x1 + 4 AS x1, y1 + 4 AS y1, CASE box_id % 3 WHEN 0 THEN 'Model: ' WHEN 1 THEN 'Unit: ' ELSE '' END || box_id AS text FROM box),
-l AS (SELECT page_id % 97 AS page_id, orient, coord, lo, hi FROM rule),
+    """, w AS (SELECT box_id // 20 AS page_id, box_id AS word_id, x0, y0, x1 + 4 AS x1, y1 + 4 AS y1, CASE box_id % 3 WHEN 0 THEN 'Model: ' WHEN 1 THEN 'Unit: ' ELSE '' END || box_id AS text FROM box),
+l AS (SELECT page_id // 5 AS page_id, orient, coord, lo, hi FROM rule),
 p AS (SELECT page_id, field, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y FROM w JOIN (VALUES ('model', 'Model'), ('unit', 'Unit'), ('sheet', 'Sheet')) AS v(field, label) ON contains(text, label) QUALIFY row_number() OVER (PARTITION BY page_id, field ORDER BY y0, x0, word_id) = 1),
 c AS (SELECT p.page_id, p.field, coalesce(max(coord) FILTER (orient = 'V' AND coord <= x), -1e9) AS x0, coalesce(min(coord) FILTER (orient = 'V' AND coord > x), 1e9) AS x1, coalesce(max(coord) FILTER (orient = 'H' AND coord <= y), -1e9) AS y0, coalesce(min(coord) FILTER (orient = 'H' AND coord > y), 1e9) AS y1
   FROM p LEFT JOIN l ON l.page_id = p.page_id AND lo - 0.8 <= CASE WHEN orient = 'V' THEN y ELSE x END AND hi + 0.8 >= CASE WHEN orient = 'V' THEN y ELSE x END GROUP BY p.page_id, p.field),

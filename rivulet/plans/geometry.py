@@ -111,7 +111,7 @@ SELECT page_id, orient, line, run::BIGINT AS run, min(lo) AS lo, max(hi) AS hi,
 
 
 def sheet_bands(spark, d):
-    cells = V.segments(spark, d, 2003).filter("orient = 'H'").selectExpr("page_id", "CAST(floor(coord) AS BIGINT) AS cell")
+    cells = V.segments(spark, d, 8).filter("orient = 'H'").selectExpr("page_id", "CAST(floor(coord) AS BIGINT) AS cell")
     return intervals.bands(cells, PAGE, 12, 20)
 
 
@@ -127,7 +127,7 @@ SELECT page_id, band, first, last, n > 1 AND len > 1.5 * max(CASE WHEN rn = n //
 
 
 def interval_meet(spark, d):
-    r = intervals.runs(V.segments(spark, d, 2003), ORIENT, 0.0)
+    r = intervals.runs(V.segments(spark, d, 8), ORIENT, 0.0)
     h, v = (r.filter(F.col("orient") == o).select("page_id", "lo", "hi") for o in "HV")
     return intervals.meet(h, v, PAGE)
 
@@ -166,7 +166,7 @@ SELECT s.page_id, s.orient, min(s.coord) AS coord FROM seg s JOIN f USING (page_
 
 
 def row_chains(spark, d):
-    s = V.segments(spark, d, 2003).select("page_id", "orient", "coord").distinct()
+    s = V.segments(spark, d, 8).select("page_id", "orient", "coord").distinct()
     return intervals.gap_chains(s, ORIENT, "coord", 24.0, 3)
 
 
@@ -301,14 +301,14 @@ QUALIFY row_number() OVER (PARTITION BY page_id, box_id ORDER BY up DESC, CASE W
 
 
 def cell_of_label(spark, d):
-    pts = V.boxes(spark, d).selectExpr("box_id % 2003 AS page_id", "box_id", "x0 AS x", "y0 AS y")
-    lines = V.segments(spark, d, 2003)
+    pts = V.boxes(spark, d).selectExpr("box_id AS page_id", "box_id", "x0 AS x", "y0 AS y")
+    lines = V.segments(spark, d, 8)
     return joins.span_lines(pts, lines, PAGE, "box_id")
 
 
 CELL_SQL = with_views(
     "box sheet",
-    """, p AS (SELECT box_id % 2003 AS page_id, box_id, x0 AS x, y0 AS y FROM box), l AS (SELECT page_id, orient, coord AS c, lo, hi FROM sheet)
+    """, p AS (SELECT box_id AS page_id, box_id, x0 AS x, y0 AS y FROM box), l AS (SELECT page_id, orient, coord AS c, lo, hi FROM sheet)
 SELECT p.page_id, p.box_id, max(c) FILTER (orient = 'V' AND c <= x) AS "left", min(c) FILTER (orient = 'V' AND c > x) AS "right", max(c) FILTER (orient = 'H' AND c <= y) AS top, min(c) FILTER (orient = 'H' AND c > y) AS bottom
 FROM p LEFT JOIN l ON p.page_id = l.page_id AND CASE WHEN orient = 'V' THEN y ELSE x END BETWEEN lo - 0.8 AND hi + 0.8 GROUP BY ALL""",
 )
@@ -570,7 +570,7 @@ def rail_split(spark, d):
     return layout.side_or_main(b, F.lit(0.0), F.lit(800.0)).groupBy("page_id", "part").agg(F.count(F.lit(1)).alias("n"))
 
 
-RAIL_SQL = with_views("box", " SELECT page_id, CASE WHEN (x0 + x1) / 2 > 464 THEN 'rail' ELSE 'view' END AS part, count(*) AS n FROM box GROUP BY ALL")
+RAIL_SQL = with_views("box", " SELECT page_id, CASE WHEN (x0 + x1) / 2 > 0.58::DOUBLE * 800.0::DOUBLE THEN 'rail' ELSE 'view' END AS part, count(*) AS n FROM box GROUP BY ALL")
 
 QUERIES = {
     "match_status": (match_status, MATCH_SQL), "match_top3_templates": (match_top3_templates, TOP3_SQL), "dilate": (dilate, DILATE_SQL), "pair_similarity": (pair_similarity, PAIR_SQL),

@@ -52,13 +52,13 @@ def corner_fractions(spark, d):
 
 
 def rule_trim(spark, d):
-    r = V.rules(spark, d).withColumn("page_id", F.col("page_id") % 5)
+    r = V.rules(spark, d).withColumn("page_id", F.expr("page_id div 97"))
     return sheets.trim_rules(r, V.furniture(spark, d).withColumnRenamed("furn_id", "area_id"), PAGE, "rule_id")
 
 
 TRIM_SQL = with_views(
     "rule furn",
-    """, r AS (SELECT * REPLACE (page_id % 5 AS page_id) FROM rule),
+    """, r AS (SELECT * REPLACE (page_id // 97 AS page_id) FROM rule),
 p AS (SELECT r.*, f.furn_id, CASE WHEN orient = 'H' THEN f.x0 ELSE f.y0 END AS nr, CASE WHEN orient = 'H' THEN f.x1 ELSE f.y1 END AS fa, CASE WHEN orient = 'H' THEN f.y0 ELSE f.x0 END AS c0, CASE WHEN orient = 'H' THEN f.y1 ELSE f.x1 END AS c1 FROM r JOIN furn f USING (page_id)),
 q AS (SELECT *, lo BETWEEN nr - 0.6 AND fa + 0.6 AND coord BETWEEN c0 - 0.6 AND c1 + 0.6 AS a, hi BETWEEN nr - 0.6 AND fa + 0.6 AND coord BETWEEN c0 - 0.6 AND c1 + 0.6 AS b FROM p),
 n AS (SELECT *, CASE WHEN a THEN CASE WHEN hi < nr THEN nr ELSE fa END ELSE lo END AS n_lo, CASE WHEN a THEN hi ELSE CASE WHEN lo < nr THEN nr ELSE fa END END AS n_hi FROM q WHERE a <> b AND coord > c0 + 0.6 AND (orient = 'H' OR coord < c1 - 0.6)),
@@ -100,13 +100,13 @@ SELECT page_id, id, k, ix0, iy0, ix1, iy1 FROM t WHERE NOT EXISTS (SELECT 1 FROM
 
 
 def largest_scale(spark, d):
-    b = V.boxes(spark, d).filter("x1 > x0 AND y1 > y0").withColumn("page_id", F.col("box_id") % 97)
+    b = V.boxes(spark, d).filter("x1 > x0 AND y1 > y0").withColumn("page_id", F.expr("box_id div 20"))
     return sheets.largest_scale(b, PAGE, "box_id", 400.0, 300.0)
 
 
 def label_fields(spark, d):
-    b = V.boxes(spark, d).selectExpr("box_id % 97 AS page_id", "box_id AS word_id", "x0", "y0", "x1 + 4 AS x1", "y1 + 4 AS y1", "concat(CASE WHEN box_id % 3 = 0 THEN 'Model: ' WHEN box_id % 3 = 1 THEN 'Unit: ' ELSE '' END, CAST(box_id AS STRING)) AS text")
-    lines = V.rules(spark, d).selectExpr("page_id % 97 AS page_id", "orient", "coord", "lo", "hi")
+    b = V.boxes(spark, d).selectExpr("box_id div 20 AS page_id", "box_id AS word_id", "x0", "y0", "x1 + 4 AS x1", "y1 + 4 AS y1", "concat(CASE WHEN box_id % 3 = 0 THEN 'Model: ' WHEN box_id % 3 = 1 THEN 'Unit: ' ELSE '' END, CAST(box_id AS STRING)) AS text")
+    lines = V.rules(spark, d).selectExpr("page_id div 5 AS page_id", "orient", "coord", "lo", "hi")
     labels = spark.createDataFrame([("model", "Model"), ("unit", "Unit"), ("sheet", "Sheet")], "field string, label string")
     return sheets.label_fields(b, lines, labels, PAGE)
 

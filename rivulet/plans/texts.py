@@ -175,10 +175,10 @@ QUANT_SQL = with_views("seg", ", r AS (SELECT page_id, hi - lo AS len, count(*)
 
 
 def order_inversions(spark, d):
-    return bags.inversions(V.boxes(spark, d).withColumn("page_id", F.col("box_id") % 53), ["page_id"], "x0", "y0")
+    return bags.inversions(V.boxes(spark, d).withColumn("page_id", F.expr("box_id div 40")), ["page_id"], "x0", "y0")
 
 
-INV_SQL = with_views("box", ", b AS (SELECT * REPLACE (box_id % 53 AS page_id) FROM box) SELECT a.page_id, count(*) FILTER (b.x0 > a.x0 AND b.y0 < a.y0) AS inversions FROM b a JOIN b ON a.page_id = b.page_id GROUP BY a.page_id")
+INV_SQL = with_views("box", ", b AS (SELECT * REPLACE (box_id // 40 AS page_id) FROM box) SELECT a.page_id, count(*) FILTER (b.x0 > a.x0 AND b.y0 < a.y0) AS inversions FROM b a JOIN b ON a.page_id = b.page_id GROUP BY a.page_id")
 
 
 def split_lines(spark, d):
@@ -233,7 +233,7 @@ SELECT page_id, CAST(min(rot) AS INTEGER) AS rot FROM b WHERE dir = 'right' AND
 def drawing_pages(spark, d):
     s = V.segments(spark, d)
     n = s.groupBy("page_id").agg(F.count(F.lit(1)).alias("paths")).filter("paths >= 300")
-    return n.join(frames.detect(s, ["page_id"], 0.6, 0.3).filter("found >= 1").select("page_id"), "page_id", "left_semi")
+    return n.join(frames.detect(s, ["page_id"], 0.5, 0.3).filter("found >= 1").select("page_id"), "page_id", "left_semi")
 
 
 def outlier_filter(spark, d):

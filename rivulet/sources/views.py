@@ -14,10 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def segments(spark: SparkSession, sf_dir: str, pages: int = 97) -> DataFrame:
-    """Axis-parallel segments: ``page_id, seg_id, orient, coord, lo, hi``; more pages make sparser ones."""
+def segments(spark: SparkSession, sf_dir: str, orders: int = 155) -> DataFrame:
+    """Axis-parallel segments, those of ``orders`` orders a page: ``page_id, seg_id, orient, coord, lo, hi``."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        f"l_orderkey % {pages} AS page_id",
+        f"l_orderkey div {orders} AS page_id",
         "l_orderkey * 10 + l_linenumber AS seg_id",
         "CASE WHEN l_linestatus = 'O' THEN 'H' ELSE 'V' END AS orient",
         "CAST((7 * l_partkey) % 500 AS DOUBLE) + CAST(l_linenumber AS DOUBLE) / 10 AS coord",
@@ -27,7 +27,7 @@ def segments(spark: SparkSession, sf_dir: str, pages: int = 97) -> DataFrame:
 
 
 _RULE = [
-    "l_orderkey % 499 AS page_id",
+    "l_orderkey // 31 AS page_id",
     "((l_orderkey * 10 + l_linenumber) * 10000 + l_partkey) * 1000 + l_suppkey AS rule_id",
     "CASE WHEN l_linestatus = 'O' THEN 'H' ELSE 'V' END AS orient",
     "CAST(((7 * l_partkey) % CASE WHEN l_linestatus = 'O' THEN 59 ELSE 16 END) * CASE WHEN l_linestatus = 'O' THEN 10 ELSE 50 END AS DOUBLE) AS coord",
@@ -39,30 +39,30 @@ _RULE = [
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules on a coarse raster of an 800 x 600 sheet, so that ends meet: ``page_id, rule_id, orient, coord, lo, hi``."""
-    return table(spark, sf_dir, "lineitem").selectExpr(*_RULE)
+    return table(spark, sf_dir, "lineitem").selectExpr(*[x.replace("//", "div") for x in _RULE])
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small boxes: ``page_id, box_id, x0, y0, x1, y1``."""
+    """Small boxes, 400 a page: ``page_id, box_id, x0, y0, x1, y1``."""
     return table(spark, sf_dir, "part").selectExpr(
-        "p_partkey % 5 AS page_id",
+        "p_partkey div 400 AS page_id",
         "p_partkey AS box_id",
-        "CAST((37 * p_partkey) % 800 AS DOUBLE) AS x0",
-        "CAST((53 * p_partkey) % 560 AS DOUBLE) AS y0",
-        "CAST((37 * p_partkey) % 800 + p_size % 12 AS DOUBLE) AS x1",
-        "CAST((53 * p_partkey) % 560 + p_partkey % 9 AS DOUBLE) AS y1",
+        "CAST((37 * p_partkey + 11 * (p_partkey % 13)) % 800 AS DOUBLE) AS x0",
+        "CAST((53 * p_partkey + 7 * (p_partkey % 17)) % 560 AS DOUBLE) AS y0",
+        "CAST((37 * p_partkey + 11 * (p_partkey % 13)) % 800 + p_size % 12 AS DOUBLE) AS x1",
+        "CAST((53 * p_partkey + 7 * (p_partkey % 17)) % 560 + p_partkey % 9 AS DOUBLE) AS y1",
     )
 
 
 def furniture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Large rectangles: ``page_id, furn_id, x0, y0, x1, y1``."""
-    return table(spark, sf_dir, "nation").selectExpr(
-        "CAST(n_nationkey % 5 AS BIGINT) AS page_id",
-        "CAST(n_nationkey AS BIGINT) AS furn_id",
-        "CAST((131 * n_nationkey) % 700 AS DOUBLE) AS x0",
-        "CAST((97 * n_nationkey) % 480 AS DOUBLE) AS y0",
-        "CAST((131 * n_nationkey) % 700 + 60 + (7 * n_nationkey) % 50 AS DOUBLE) AS x1",
-        "CAST((97 * n_nationkey) % 480 + 30 + (11 * n_nationkey) % 40 AS DOUBLE) AS y1",
+    """Large rectangles, 20 a page: ``page_id, furn_id, x0, y0, x1, y1``."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey div 20 AS page_id",
+        "s_suppkey AS furn_id",
+        "CAST((131 * s_suppkey) % 700 AS DOUBLE) AS x0",
+        "CAST((97 * s_suppkey) % 480 AS DOUBLE) AS y0",
+        "CAST((131 * s_suppkey) % 700 + 60 + (7 * s_suppkey) % 50 AS DOUBLE) AS x1",
+        "CAST((97 * s_suppkey) % 480 + 30 + (11 * s_suppkey) % 40 AS DOUBLE) AS y1",
     )
 
 
@@ -195,16 +195,16 @@ def _fp_row(r: int) -> str:
 
 
 SQL = {
-    "seg": """SELECT l_orderkey % 97 AS page_id, l_orderkey * 10 + l_linenumber AS seg_id,
+    "seg": """SELECT l_orderkey // 155 AS page_id, l_orderkey * 10 + l_linenumber AS seg_id,
       CASE WHEN l_linestatus = 'O' THEN 'H' ELSE 'V' END AS orient,
       CAST((7 * l_partkey) % 500 AS DOUBLE) + CAST(l_linenumber AS DOUBLE) / 10 AS coord,
       CAST((13 * l_suppkey) % 800 AS DOUBLE) AS lo, CAST((13 * l_suppkey) % 800 AS DOUBLE) + 5 + 4 * l_quantity AS hi FROM lineitem""",
-    "box": """SELECT p_partkey % 5 AS page_id, p_partkey AS box_id, CAST((37 * p_partkey) % 800 AS DOUBLE) AS x0,
-      CAST((53 * p_partkey) % 560 AS DOUBLE) AS y0, CAST((37 * p_partkey) % 800 + p_size % 12 AS DOUBLE) AS x1,
-      CAST((53 * p_partkey) % 560 + p_partkey % 9 AS DOUBLE) AS y1 FROM part""",
-    "furn": """SELECT CAST(n_nationkey % 5 AS BIGINT) AS page_id, CAST(n_nationkey AS BIGINT) AS furn_id, CAST((131 * n_nationkey) % 700 AS DOUBLE) AS x0,
-      CAST((97 * n_nationkey) % 480 AS DOUBLE) AS y0, CAST((131 * n_nationkey) % 700 + 60 + (7 * n_nationkey) % 50 AS DOUBLE) AS x1,
-      CAST((97 * n_nationkey) % 480 + 30 + (11 * n_nationkey) % 40 AS DOUBLE) AS y1 FROM nation""",
+    "box": """SELECT p_partkey // 400 AS page_id, p_partkey AS box_id, CAST((37 * p_partkey + 11 * (p_partkey % 13)) % 800 AS DOUBLE) AS x0,
+      CAST((53 * p_partkey + 7 * (p_partkey % 17)) % 560 AS DOUBLE) AS y0, CAST((37 * p_partkey + 11 * (p_partkey % 13)) % 800 + p_size % 12 AS DOUBLE) AS x1,
+      CAST((53 * p_partkey + 7 * (p_partkey % 17)) % 560 + p_partkey % 9 AS DOUBLE) AS y1 FROM part""",
+    "furn": """SELECT s_suppkey // 20 AS page_id, s_suppkey AS furn_id, CAST((131 * s_suppkey) % 700 AS DOUBLE) AS x0,
+      CAST((97 * s_suppkey) % 480 AS DOUBLE) AS y0, CAST((131 * s_suppkey) % 700 + 60 + (7 * s_suppkey) % 50 AS DOUBLE) AS x1,
+      CAST((97 * s_suppkey) % 480 + 30 + (11 * s_suppkey) % 40 AS DOUBLE) AS y1 FROM supplier""",
     "fp": f"""SELECT vec_id AS id, 'T' || CAST(label AS VARCHAR) AS template, CAST((vec_id % 4) * 90 AS INTEGER) AS rotate,
       CASE WHEN vec_id % 2 = 0 THEN 12 ELSE 30 END AS search, [{', '.join(f'CAST({_fp_row(r)} AS BIGINT)' for r in range(8))}] AS grid FROM embeddings""",
     "word": "SELECT id, pos, word FROM (SELECT doc_id AS id, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS word FROM (SELECT doc_id, regexp_split_to_array(text, '[ \\n\\t]+') AS ws FROM documents)) WHERE word <> ''",
@@ -217,7 +217,7 @@ SQL = {
 SQL["rule"] = "SELECT " + ", ".join(_RULE) + " FROM lineitem"
 SQL["tile"] = "SELECT " + ", ".join(_TILE) + " FROM part"
 SQL["span"] = "SELECT " + ", ".join(_SPAN) + " FROM part"
-SQL["sheet"] = SQL["seg"].replace("% 97", "% 2003")
+SQL["sheet"] = SQL["seg"].replace("// 155", "// 8")
 
 
 def with_views(names: str, rest: str) -> str:

@@ -375,7 +375,7 @@ def test_largest_scale_query(spark, sf_dir):
 
     pages = {}
     for r in views.boxes(spark, sf_dir).filter("x1 > x0 AND y1 > y0").orderBy("box_id").collect():
-        pages.setdefault(r["box_id"] % 97, []).append((r["x1"] - r["x0"], r["y1"] - r["y0"]))
+        pages.setdefault(r["box_id"] // 20, []).append((r["x1"] - r["x0"], r["y1"] - r["y0"]))
 
     def fits(sizes, s):
         rows, y = [[]], 0.0
