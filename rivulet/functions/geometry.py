@@ -19,7 +19,7 @@ def of(prefix: str = "", suffix: str = "") -> Column:
     return rect(*[F.col(f"{prefix}{n}{suffix}") for n in SIDES])
 
 
-def pad(r: Column, d: float) -> Column:
+def pad(r: Column, d: float | Column) -> Column:
     return rect(r["x0"] - d, r["y0"] - d, r["x1"] + d, r["y1"] + d)
 
 

@@ -78,7 +78,7 @@ def merge_overlapping(blocks: DataFrame, keys: list[str], id_: str, share: float
     """``keys, block, x0, y0, x1, y1, n``: blocks merged while two overlap by over ``share`` of the smaller one.
 
     A merged box grows and may meet others, so rounds of pairs, components and new boxes go on until none merge.
-    Blocks whose ``exempt`` column is true neither merge nor grow. The closure does not depend on an order.
+    Blocks whose ``exempt`` column is true neither merge nor grow. The closure does not depend on an order. Ids are unique over all keys.
     """
     now = blocks.select(*keys, F.col(id_).alias("block"), *G.SIDES, F.lit(1).cast("long").alias("n"), (F.col(exempt) if exempt else F.lit(False)).alias("fixed"))
     now = written(now)

@@ -411,3 +411,60 @@ def test_star_cluster_query(spark, sf_dir):
     for r in geometry.star_cluster(spark, sf_dir).collect():
         groups.setdefault((r["group_no"], place[r["representative"]]), []).append(place[r["id"]])
     assert [(k[1], sorted(groups[k])) for k in sorted(groups)] == want
+
+
+# -- house sheet -----------------------------------------------------------------------------------------------------
+
+
+def test_stacked_column_query(spark, sf_dir):
+    from rivulet.operators import house as rules
+    from rivulet.plans import house, proofs
+
+    members, rail, content = (proofs.frame(spark, sf_dir, n) for n in ("h_members", "h_rail", "h_content"))
+    inside = {(r["page_id"], r["block"]) for r in rail.filter("in_rail").collect()}
+    pages = {}
+    for r in rules.block_facts(members, content, ["page_id"]).collect():
+        if (r["page_id"], r["block"]) in inside:
+            pages.setdefault(r["page_id"], []).append([r["block"], (r["x0"], r["y0"], r["x1"], r["y1"]), r["table"], r["block"] == 8])
+    want = {}
+    for page, units in pages.items():
+        again = True
+        while again:
+            again = False
+            for i, a in enumerate(units):
+                for b in units[i + 1 :]:
+                    p, q = a[1], b[1]
+                    if min(p[2], q[2]) > max(p[0], q[0]) and min(p[3], q[3]) > max(p[1], q[1]):
+                        a[:] = [min(a[0], b[0]), (min(p[0], q[0]), min(p[1], q[1]), max(p[2], q[2]), max(p[3], q[3])), a[2] or b[2], a[3] or b[3]]
+                        units.remove(b)
+                        again = True
+                        break
+                if again:
+                    break
+        units.sort(key=lambda u: (not u[3], not u[2], u[1][1], u[0]))
+        w, h = max(u[1][2] - u[1][0] for u in units), sum(u[1][3] - u[1][1] for u in units) + 0.0
+        scale = min(280 / w, 380 / (h + 8 * (len(units) - 1)), 1.2 if page % 2 == 0 else 1e9)
+        y = 20.0
+        for n, u in enumerate(units, 1):
+            want[page, u[0]] = (n, scale, 800 - (u[1][2] - u[1][0]) * scale, y)
+            y += (u[1][3] - u[1][1]) * scale + 8
+    got = {(r["page_id"], r["unit"]): (r["place"], r["scale"], r["x"], r["y"]) for r in house.stacked_column(spark, sf_dir).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+    assert max(v[0] for v in want.values()) > 1
+
+
+def test_blocks_of_the_column(spark):
+    from rivulet.operators import house
+
+    text = lambda b, x, y: [(1, b, b * 100 + i, x + 4.0 * i, y, x + 4.0 * i + 3, y + 4, False) for i in range(6)]
+    tall = lambda b, x, y: [(1, b, b * 100, x, y, x + 40, y + 60, False)]
+    rules = lambda b, x, y: [(1, b, b * 100 + i, x, y + 9.0 * i, x + 60, y + 9.0 * i, True) for i in range(5)] + [(1, b, b * 100 + 9, x, y, x + 1, y + 36, False)]
+    rows = [*tall(0, 100.0, 10.0), *text(1, 400.0, 10.0), *tall(2, 400.0, 100.0), *text(3, 441.0, 120.0), *text(4, 405.0, 165.0), *rules(5, 400.0, 250.0), *text(6, 300.0, 200.0)]
+    members = spark.createDataFrame(rows, f"page_id int, block int, prim_id int, {BOX}, rule boolean")
+    rail = spark.createDataFrame([(1, b, b > 0) for b in range(7)], "page_id int, block int, in_rail boolean")
+    content = spark.createDataFrame([(1, 0.0, 0.0, 500.0, 300.0)], f"page_id int, {BOX}")
+    got = {r["block"]: r["stays"] for r in house.column_blocks(members, rail, content, ["page_id"]).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: True, 6: True}  # 3 touches the drawing, 4 is its caption
+    alone = {r["block"]: r["stays"] for r in house.column_blocks(members.filter("block IN (0, 2)"), rail.filter("block IN (0, 2)"), content, ["page_id"]).collect()}
+    assert alone == {2: True}  # else the column would be empty
