@@ -94,3 +94,47 @@ def release(builds: DataFrame, reviews: DataFrame, key: str) -> DataFrame:
     r = reviews.select(key, F.col("inventory_sha256").alias("__i"), F.col("output_sha256").alias("__o"), F.col("verdict").alias("__v"))
     ok = F.col("verified") & (F.col("__v") == "PASS") & (F.col("inventory_sha256") == F.col("__i")) & (F.col("output_sha256") == F.col("__o"))
     return builds.join(r, key, "left").select(*builds.columns, F.coalesce(ok, F.lit(False)).alias("ready"))
+
+
+def reservations(events: DataFrame, key: str, order: list[str], at: str, stale: float) -> DataFrame:
+    """What becomes of each ``reserve`` and ``commit`` of a job: ``key, order..., kind, token, outcome``.
+
+    Work is reserved under a token, done without a lock, and committed under the same token. A reservation is RUNNING if
+    none is open or the open one is ``stale`` seconds old (``at``: seconds), else BUSY; a commit is DONE if its token is the open
+    reservation's, which it closes, else LOST. One ordered fold per job, over the job's own events.
+    """
+    fields = [*order, "kind", "token", "at"]
+    item = F.struct(*order, F.col("kind"), F.col("token"), F.col(at).cast("double").alias("at"))
+    kinds = dict(events.select(*order, "kind", "token").dtypes)
+    out_type = "array<struct<" + ",".join(f"{c}:{kinds[c]}" for c in [*order, "kind", "token"]) + ",outcome:string>>"
+    start = F.struct(F.lit(None).cast("string").alias("open"), F.lit(None).cast("double").alias("since"), F.array().cast(out_type).alias("out"))
+
+    def step(s, e):
+        free = s["open"].isNull() | (e["at"] - s["since"] >= stale)
+        takes, closes = (e["kind"] == "reserve") & free, (e["kind"] == "commit") & s["open"].eqNullSafe(e["token"]) & e["token"].isNotNull()
+        outcome = F.when(e["kind"] == "reserve", F.when(free, "RUNNING").otherwise("BUSY")).otherwise(F.when(closes, "DONE").otherwise("LOST"))
+        return F.struct(
+            F.when(takes, e["token"]).when(closes, F.lit(None).cast("string")).otherwise(s["open"]).alias("open"),
+            F.when(takes, e["at"]).when(closes, F.lit(None).cast("double")).otherwise(s["since"]).alias("since"),
+            F.concat(s["out"], F.array(F.struct(*[e[c].alias(c) for c in fields[:-1]], outcome.alias("outcome")))).alias("out"),
+        )
+
+    per = events.filter(F.col("kind").isin("reserve", "commit")).groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("__e"))
+    return per.select(key, F.inline(F.aggregate("__e", start, step, lambda s: s["out"])))
+
+
+def audited_resets(requests: DataFrame, history: DataFrame, key: list[str], least: int = 12) -> DataFrame:
+    """Each reset request with its ``status`` and the ``attempts`` it would clear (null unless RESET).
+
+    ``requests``: ``key (record, source digest, ...), reason, operator``; ``history``: ``key, attempts``. A reset needs a reason of
+    ``least`` characters without outer blanks, an operator, a plain record name, a SHA-256 and a history:
+    REASON_TOO_SHORT, NO_OPERATOR, BAD_RECORD, BAD_DIGEST, NO_HISTORY, else RESET.
+    """
+    record, sha = key[0], key[1]
+    blank = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    r = requests.join(history.select(*key, F.col("attempts").alias("__n")), key, "left")
+    status = (
+        F.when(F.length(blank("reason")) < least, "REASON_TOO_SHORT").when(blank("operator") == "", "NO_OPERATOR").when(~F.coalesce(F.col(record).rlike(r"^[A-Za-z0-9._-]+$"), F.lit(False)), "BAD_RECORD")
+        .when(~F.coalesce(F.col(sha).rlike("^[0-9a-f]{64}$"), F.lit(False)), "BAD_DIGEST").when(F.col("__n").isNull(), "NO_HISTORY").otherwise("RESET")
+    )
+    return r.withColumn("status", status).select(*requests.columns, "status", F.when(F.col("status") == "RESET", F.col("__n")).alias("attempts"))

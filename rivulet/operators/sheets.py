@@ -190,3 +190,29 @@ def label_fields(words: DataFrame, lines: DataFrame, labels: DataFrame, keys: li
     joined = inner.groupBy(*keys, "field").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.rint("cy").alias("r"), "wx", "text"))), lambda s: s["text"]), " ").alias("t"))
     value = F.trim(F.coalesce(F.get(F.split("t", "[:：]", 2), 1), F.lit("")))
     return joined.select(*keys, "field", F.when(value != "", value).alias("value"), F.when(value == "", "VALUE_NOT_TEXT_NEEDS_READ").alias("flag"))
+
+
+def title_anchor(words: DataFrame, lines: DataFrame, pages: DataFrame, labels: list[str], top_label: str, keys: list[str]) -> DataFrame:
+    """``keys..., x0, y0, x1, y1, status``: the title block found by its own labels, never by its place.
+
+    ``words``: ``keys, word_id, x0..y1, text``; ``lines``: ``keys, orient, coord, lo, hi, width``; ``pages``: ``keys, x1, y1``. Words that
+    hold a label are the block's. Its top is the lowest level rule up to 15 above the topmost word with the top label (without
+    one, of all), over that word's middle; its left side the upright rule nearest to the leftmost of the words below the top,
+    within 8, from the top down 20 at least. It reaches the page's lower right corner. Status: OK, NO_LABEL, NO_TOP_RULE,
+    NO_LEFT_RULE; the box is null unless OK. Lines meet one word a page, so the joins give a row a line.
+    """
+    holds = F.exists(F.array(*map(F.lit, labels)), lambda v: F.contains(F.col("text"), v))
+    own = words.filter(holds).withColumn("__top", F.contains("text", F.lit(top_label)))
+    first = own.groupBy(*keys).agg(F.min(F.struct((~F.col("__top")).alias("o"), F.col("y0").alias("y"), "word_id", ((F.col("x0") + F.col("x1")) / 2).alias("x"))).alias("w"))
+    at = first.select(*keys, F.col("w.y").alias("wy"), F.col("w.x").alias("wx"))
+    level = lines.filter("orient = 'H'").join(at, keys).filter(F.col("coord").between(F.col("wy") - 15, F.col("wy") + 0.5) & (F.col("lo") - 0.8 <= F.col("wx")) & (F.col("hi") + 0.8 >= F.col("wx")))
+    top = level.groupBy(*keys).agg(F.max(F.struct("coord", "width")).alias("t")).select(*keys, F.col("t.coord").alias("ty"), F.col("t.width").alias("tw"))
+    left_word = own.select(*keys, F.col("x0").alias("lx"), "y0").join(top, keys).filter(F.col("y0") >= F.col("ty") - 1).groupBy(*keys).agg(F.min("lx").alias("lx"))
+    upright = lines.filter("orient = 'V'").join(top, keys).join(left_word, keys)
+    upright = upright.filter((F.abs(F.col("coord") - F.col("lx")) <= 8) & (F.col("lo") - 1 <= F.col("ty") + 5) & (F.col("hi") >= F.col("ty") + 20))
+    left = upright.groupBy(*keys).agg(F.min(F.struct(F.abs(F.col("coord") - F.col("lx")).alias("d"), "coord", "width")).alias("v"))
+    p = pages.select(*keys, F.col("x1").alias("px"), F.col("y1").alias("py")).join(at, keys, "left").join(top, keys, "left").join(left, keys, "left")
+    status = F.when(F.col("wy").isNull(), "NO_LABEL").when(F.col("ty").isNull(), "NO_TOP_RULE").when(F.col("v").isNull(), "NO_LEFT_RULE").otherwise("OK")
+    box = {"x0": F.col("v.coord") - F.col("v.width") / 2 - 0.3, "y0": F.col("ty") - F.col("tw") / 2 - 0.3, "x1": F.col("px"), "y1": F.col("py")}
+    p = p.withColumn("status", status)
+    return p.select(*keys, *[F.when(F.col("status") == "OK", v).alias(k) for k, v in box.items()], "status")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.operators import house
+from rivulet.operators import house, ledger, sheets
 from rivulet.plans import proofs
 
 PAGE = ["page_id"]
@@ -105,7 +105,66 @@ UNION ALL SELECT page_id, header_id, NULL, 'header adjoins no table' FROM h_head
 UNION ALL SELECT DISTINCT h.page_id, header_id, place_id, 'header covers ink' FROM h_headers h JOIN i ON i.page_id = h.page_id AND least(i.x1, h.x1) > greatest(i.x0, h.x0) AND least(i.y1, h.y1) > greatest(i.y0, h.y0) WHERE (h.page_id, header_id, place_id) NOT IN (SELECT page_id, header_id, place_id FROM ad)""",
 )
 
+proofs.TABLES |= {
+    "h_events": """SELECT user_id AS job, event_id, CASE WHEN event_id % 2 = 0 THEN 'reserve' ELSE 'commit' END AS kind, concat('t', CAST(floor(event_id / 2) % 3 AS INT)) AS token, CAST(event_id % 5000 AS DOUBLE) AS sec FROM {events}""",
+    "h_history": "SELECT CASE WHEN c_custkey % 19 = 0 THEN concat('r/', c_custkey) ELSE concat('r-', c_custkey) END AS record, CASE WHEN c_custkey % 17 = 0 THEN 'short' ELSE sha2(CAST(c_custkey AS STRING), 256) END AS sha, c_custkey % 3 AS attempts, c_custkey AS k FROM {customer}",
+    "h_requests": "SELECT record, sha, CASE WHEN k % 5 = 0 THEN '  too short  ' ELSE 'the rules have changed' END AS reason, CASE WHEN k % 7 = 0 THEN ' ' WHEN k % 11 = 0 THEN NULL ELSE 'somebody' END AS operator FROM {h_history}",
+    "h_words": """SELECT CAST(floor(p_partkey / 10) AS BIGINT) AS page_id, p_partkey AS word_id, CAST(500 + (37 * p_partkey) % 200 AS DOUBLE) AS x0, CAST(430 + (53 * p_partkey) % 120 AS DOUBLE) AS y0, CAST(540 + (37 * p_partkey) % 200 AS DOUBLE) AS x1,
+  CAST(440 + (53 * p_partkey) % 120 AS DOUBLE) AS y1, CASE WHEN p_partkey % 7 = 0 THEN 'DRAWN' WHEN p_partkey % 7 = 1 THEN 'MODEL:' WHEN p_partkey % 7 = 2 AND p_size % 2 = 0 THEN 'TITLE' ELSE 'text' END AS text FROM {part}""",
+    "h_lines": """SELECT CAST(floor(p_partkey / 10) AS BIGINT) AS page_id, 'H' AS orient, CAST(425 + (53 * p_partkey) % 120 AS DOUBLE) AS coord, CAST(490 AS DOUBLE) AS lo, CAST(CASE WHEN p_partkey % 3 = 0 THEN 560 ELSE 800 END AS DOUBLE) AS hi, CAST(0.5 AS DOUBLE) AS width FROM {part} WHERE p_partkey % 4 > 0
+  UNION ALL SELECT CAST(floor(p_partkey / 10) AS BIGINT), 'V', CAST(496 + (37 * p_partkey) % 200 AS DOUBLE), CAST(420 AS DOUBLE), CAST(CASE WHEN p_partkey % 2 = 0 THEN 445 ELSE 580 END AS DOUBLE), CAST(0.25 AS DOUBLE) FROM {part}""",
+}
+
+
+def reserved_runs(spark, d):
+    return ledger.reservations(_f(spark, d, "h_events")[0], "job", ["event_id"], "sec", 1500.0)
+
+
+RESERVED_SQL = proofs.with_tables(
+    "h_events",
+    """, e AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY event_id) AS k FROM h_events),
+r(job, k, event_id, kind, token, open, since, outcome) AS (SELECT job, k, event_id, kind, token, CASE WHEN kind = 'reserve' THEN token END, CASE WHEN kind = 'reserve' THEN sec END, CASE WHEN kind = 'reserve' THEN 'RUNNING' ELSE 'LOST' END FROM e WHERE k = 1
+ UNION ALL SELECT e.job, e.k, e.event_id, e.kind, e.token, CASE WHEN e.kind = 'reserve' AND (open IS NULL OR e.sec - since >= 1500) THEN e.token WHEN e.kind = 'commit' AND open = e.token THEN NULL ELSE open END,
+  CASE WHEN e.kind = 'reserve' AND (open IS NULL OR e.sec - since >= 1500) THEN e.sec WHEN e.kind = 'commit' AND open = e.token THEN NULL ELSE since END,
+  CASE WHEN e.kind = 'reserve' THEN CASE WHEN open IS NULL OR e.sec - since >= 1500 THEN 'RUNNING' ELSE 'BUSY' END WHEN open = e.token THEN 'DONE' ELSE 'LOST' END FROM r JOIN e ON e.job = r.job AND e.k = r.k + 1)
+SELECT job, event_id, kind, token, outcome FROM r""",
+)
+
+
+def audited_resets(spark, d):
+    history, requests = _f(spark, d, "h_history", "h_requests")
+    kept = history.filter("k % 13 > 0").select("record", "sha", "attempts")
+    return ledger.audited_resets(requests, kept, ["record", "sha"])
+
+
+RESETS_SQL = proofs.with_tables(
+    "h_requests h_history",
+    """ SELECT r.*, CASE WHEN length(coalesce(trim(reason), '')) < 12 THEN 'REASON_TOO_SHORT' WHEN coalesce(trim(operator), '') = '' THEN 'NO_OPERATOR' WHEN NOT regexp_full_match(record, '[A-Za-z0-9._-]+') THEN 'BAD_RECORD'
+  WHEN NOT regexp_full_match(sha, '[0-9a-f]{64}') THEN 'BAD_DIGEST' WHEN h.attempts IS NULL THEN 'NO_HISTORY' ELSE 'RESET' END AS status, CASE WHEN status = 'RESET' THEN h.attempts END AS attempts
+FROM h_requests r LEFT JOIN (SELECT * FROM h_history WHERE k % 13 > 0) h USING (record, sha)""",
+).replace("sha2(CAST(c_custkey AS STRING), 256)", "sha256(CAST(c_custkey AS VARCHAR))")
+
+
+def title_anchor(spark, d):
+    words, lines = _f(spark, d, "h_words", "h_lines")
+    pages = words.select("page_id", F.lit(842.0).alias("x1"), F.lit(595.0).alias("y1")).distinct()
+    return sheets.title_anchor(words, lines, pages, ["DRAWN", "MODEL", "TITLE"], "TITLE", PAGE)
+
+
+ANCHOR_SQL = proofs.with_tables(
+    "h_words h_lines",
+    """, o AS (SELECT *, contains(text, 'TITLE') AS t FROM h_words WHERE contains(text, 'DRAWN') OR contains(text, 'MODEL') OR contains(text, 'TITLE')),
+a AS (SELECT page_id, y0 AS wy, (x0 + x1) / 2 AS wx FROM o QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY t DESC, y0, word_id) = 1),
+tp AS (SELECT page_id, max(coord) AS ty FROM h_lines JOIN a USING (page_id) WHERE orient = 'H' AND coord BETWEEN wy - 15 AND wy + 0.5 AND lo - 0.8 <= wx AND hi + 0.8 >= wx GROUP BY page_id),
+lw AS (SELECT page_id, min(x0) AS lx FROM o JOIN tp USING (page_id) WHERE y0 >= ty - 1 GROUP BY page_id),
+lf AS (SELECT page_id, coord FROM h_lines JOIN tp USING (page_id) JOIN lw USING (page_id) WHERE orient = 'V' AND abs(coord - lx) <= 8 AND lo - 1 <= ty + 5 AND hi >= ty + 20 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY abs(coord - lx), coord) = 1),
+p AS (SELECT DISTINCT page_id FROM h_words)
+SELECT page_id, CAST(coord - 0.25 / 2 - 0.3 AS DOUBLE) AS x0, CASE WHEN coord IS NOT NULL THEN CAST(ty - 0.5 / 2 - 0.3 AS DOUBLE) END AS y0, CASE WHEN coord IS NOT NULL THEN 842.0::DOUBLE END AS x1, CASE WHEN coord IS NOT NULL THEN 595.0::DOUBLE END AS y1,
+  CASE WHEN wy IS NULL THEN 'NO_LABEL' WHEN ty IS NULL THEN 'NO_TOP_RULE' WHEN coord IS NULL THEN 'NO_LEFT_RULE' ELSE 'OK' END AS status FROM p LEFT JOIN a USING (page_id) LEFT JOIN tp USING (page_id) LEFT JOIN lf USING (page_id)""",
+)
+
 QUERIES = {
+    "reserved_runs": (reserved_runs, RESERVED_SQL), "audited_resets": (audited_resets, RESETS_SQL), "title_anchor": (title_anchor, ANCHOR_SQL),
     "block_facts": (block_facts, FACTS_SQL), "column_blocks": (column_blocks, COLUMN_SQL), "pulled_members": (pulled_members, PULLED_SQL), "stacked_column": (stacked_column, None),
     "placement_findings": (placement_findings, FINDINGS_SQL),
 }
