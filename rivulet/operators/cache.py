@@ -8,6 +8,7 @@ digest, counts as absent and is made anew beside it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -54,10 +55,9 @@ def cached(df: DataFrame, path: str, inputs: list[str], make: Callable[[DataFram
     before = valid(spark, path)
     missing = named.select("__key", *inputs).dropDuplicates(["__key"]).join(before.select(F.col("key").alias("__key")), "__key", "left_anti")
     made = entries(make(missing.drop("__key")), inputs, value, version)
-    fresh = f"{path.rstrip('/')}-new"  # noted before the append, or a later read would call the new ones hits
-    run = spark.range(1).select(F.expr("uuid()")).first()[0]
-    made.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(fresh)
-    new = spark.read.schema(ENTRY).parquet(f"{fresh}/run={run}")
+    fresh = f"{path.rstrip('/')}-new/{uuid.uuid4().hex}"  # noted before the append, or a later read would call the new ones hits
+    made.write.parquet(fresh)
+    new = spark.read.schema(ENTRY).parquet(fresh)
     new.write.mode("append").parquet(path)
     after = valid(spark, path).withColumnRenamed("key", "__key").withColumnRenamed("value", value)
     found = named.join(after, "__key", "left").join(new.select(F.col("key").alias("__key"), F.lit(True).alias("__new")).distinct(), "__key", "left")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions import geometry as G
@@ -136,40 +135,44 @@ def first_clear(cells: DataFrame, candidates: DataFrame, keys: list[str], rank:
     return clear.withColumn("__r", F.row_number().over(w)).filter("__r = 1").select(*candidates.columns)
 
 
-def pack_rows(sizes: list[tuple[float, float]], scale: float, width: float, height: float, gap: float) -> list[tuple[float, float]] | None:
-    """Corners of boxes set left to right in rows at a scale, in order; None if they do not fit."""
-    out, x, y, tall = [], 0.0, 0.0, 0.0
-    for w, h in sizes:
-        w, h = w * scale, h * scale
-        if x and x + w > width:
-            x, y, tall = 0.0, y + tall + gap, 0.0
-        if x + w > width or y + h > height:
-            return None
-        out.append((x, y))
-        x, tall = x + w + gap, max(tall, h)
-    return out
-
-
-def largest_scale(boxes: DataFrame, keys: list[str], order: str, width: float, height: float, gap: float = 12.0, most: float = 3.0, steps: int = 40) -> DataFrame:
-    """``keys..., scale``: the largest scale at which a page's boxes fit in rows, by bisection; null if none does."""
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        sizes = list(zip(pdf["x1"] - pdf["x0"], pdf["y1"] - pdf["y0"]))
-        low, high = 0.0, most
-        for _ in range(steps):
-            mid = (low + high) / 2
-            if pack_rows(sizes, mid, width, height, gap) is not None:
-                low = mid
-            else:
-                high = mid
-        out = pdf[keys].head(1).copy()
-        out["scale"] = low if low > 0 else None
-        return out
-
-    kinds = dict(boxes.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", scale double"
-    return boxes.select(*keys, order, *[c for c in G.SIDES]).groupBy(*keys).applyInPandas(search, schema)
+def packed_rows(sizes: Column, scale: Column, width: float, height: float, gap: float, corner: tuple[float, float] | None = None) -> Column:
+    """Corners ``x, y`` of boxes (array of ``w, h``) set left to right in rows at a scale, in order; null if they do not fit.
+
+    ``corner``: the upper left of a reserved area that reaches to the lower right; a row that comes down to it ends there.
+    """
+    none = F.array().cast("array<struct<x:double,y:double>>")
+    state = lambda x, y, tall, ok, out: F.struct(x.alias("x"), y.alias("y"), tall.alias("tall"), ok.alias("ok"), out.alias("out"))
+    zero = F.lit(0.0)
+
+    def end(y: Column, h: Column) -> Column:
+        return F.lit(width) if corner is None else F.when(y + h > corner[1], F.lit(corner[0])).otherwise(F.lit(width))
+
+    def step(s: Column, b: Column) -> Column:
+        w, h = b["w"] * scale, b["h"] * scale
+        wraps = (s["x"] > 0) & (s["x"] + w > end(s["y"], F.greatest(s["tall"], h)))
+        x, y, tall = F.when(wraps, zero).otherwise(s["x"]), F.when(wraps, s["y"] + s["tall"] + gap).otherwise(s["y"]), F.when(wraps, zero).otherwise(s["tall"])
+        ok = s["ok"] & (x + w <= end(y, h)) & (y + h <= height)
+        return state(x + w + gap, y, F.greatest(tall, h), ok, F.concat(s["out"], F.array(F.struct(x.alias("x"), y.alias("y")))))
+
+    return F.aggregate(sizes, state(zero, zero, zero, F.lit(True), none), step, lambda s: F.when(s["ok"], s["out"]))
+
+
+def largest_scale(boxes: DataFrame, keys: list[str], order: str, width: float, height: float, gap: float = 12.0, least: float = 0.0, most: float = 3.0, steps: int = 40, corner: tuple[float, float] | None = None) -> DataFrame:
+    """``keys..., scale``: the largest scale between bounds at which a page's boxes fit in rows, by bisection; null if none does.
+
+    A fold of ``steps`` halvings, each over the array of one page's boxes.
+    """
+    item = F.struct(F.col(order).alias("o"), (F.col("x1") - F.col("x0")).cast("double").alias("w"), (F.col("y1") - F.col("y0")).cast("double").alias("h"))
+    per = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__s"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = (s["low"] + s["high"]) / 2
+        fits = packed_rows(F.col("__s"), mid, width, height, gap, corner).isNotNull()
+        return F.struct(F.when(fits, mid).otherwise(s["low"]).alias("low"), F.when(fits, s["high"]).otherwise(mid).alias("high"))
+
+    start = F.struct(F.lit(float(least)).alias("low"), F.lit(float(most)).alias("high"))
+    low = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s["low"])
+    return per.select(*keys, low.alias("scale")).withColumn("scale", F.when(F.col("scale") > least, F.col("scale")))
 
 
 def label_fields(words: DataFrame, lines: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:

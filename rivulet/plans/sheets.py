@@ -101,7 +101,12 @@ SELECT page_id, id, k, ix0, iy0, ix1, iy1 FROM t WHERE NOT EXISTS (SELECT 1 FROM
 
 def largest_scale(spark, d):
     b = V.boxes(spark, d).filter("x1 > x0 AND y1 > y0").withColumn("page_id", F.expr("box_id div 20"))
-    return sheets.largest_scale(b, PAGE, "box_id", 400.0, 300.0)
+    return sheets.largest_scale(b, PAGE, "box_id", 400.0, 300.0, most=30.0)
+
+
+def house_scale(spark, d):
+    b = V.boxes(spark, d).filter("x1 > x0 AND y1 > y0").withColumn("page_id", F.expr("box_id div 20"))
+    return sheets.largest_scale(b, PAGE, "box_id", 300.0, 220.0, least=0.2, most=30.0, corner=(180.0, 120.0))
 
 
 def label_fields(spark, d):
@@ -113,5 +118,5 @@ def label_fields(spark, d):
 
 QUERIES = {
     "title_rows": (title_rows, TITLE_SQL), "corner_boxes": (corner_boxes, CORNER_SQL), "corner_fractions": (corner_fractions, None), "rule_trim": (rule_trim, TRIM_SQL),
-    "path_pieces": (path_pieces, PIECES_SQL), "first_clear_place": (first_clear_place, CLEAR_SQL), "largest_scale": (largest_scale, None), "label_fields": (label_fields, None),
+    "path_pieces": (path_pieces, PIECES_SQL), "first_clear_place": (first_clear_place, CLEAR_SQL), "largest_scale": (largest_scale, None), "house_scale": (house_scale, None), "label_fields": (label_fields, None),
 }

@@ -20,9 +20,12 @@ def unknown_keys(spark: SparkSession, path: str, allowed: list[str]) -> DataFram
 
 
 def read_ndjson_last(spark: SparkSession, path: str, schema: StructType | str, key: str) -> DataFrame:
-    """Newline-delimited JSON, blank lines skipped; of rows with one key the last stays (per file order)."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    rows = lines.select(F.from_json("value", schema if isinstance(schema, str) else schema.simpleString(), {"mode": "FAILFAST"}).alias("r"), F.monotonically_increasing_id().alias("p"))
+    """Newline-delimited JSON, blank lines skipped; of rows with one key the last stays.
+
+    Last is by the file's name, then by the place in it: splits of a file may be read in any order, lines of a split are not.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s")).filter(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", schema if isinstance(schema, str) else schema.simpleString(), {"mode": "FAILFAST"}).alias("r"), F.struct("f", "s", F.monotonically_increasing_id().alias("n")).alias("p"))
     return rows.groupBy(F.col(f"r.{key}").alias("k")).agg(F.max(F.struct("p", "r")).alias("m")).select("m.r.*")
 
 

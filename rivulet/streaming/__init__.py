@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +46,10 @@ def resume_into(stream: DataFrame, path: str, key: str, checkpoint: str):
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         try:
-            done = spark.read.parquet(path).select(key)
-        except Exception:  # nothing written yet
+            done = spark.read.schema(batch.select(key).schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # an output that cannot be read must not be written twice
+                raise
             done = spark.createDataFrame([], batch.select(key).schema)
         batch.dropDuplicates([key]).join(done, key, "left_anti").write.mode("append").parquet(path)
 

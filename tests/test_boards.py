@@ -369,7 +369,8 @@ def test_overlap_merge_query(spark, sf_dir):
     assert got == want
 
 
-def test_largest_scale_query(spark, sf_dir):
+@pytest.mark.parametrize("name,width,height,corner", [("largest_scale", 400, 300, None), ("house_scale", 300, 220, (180, 120))])
+def test_largest_scale_queries(spark, sf_dir, name, width, height, corner):
     from rivulet.plans import sheets
     from rivulet.sources import views
 
@@ -378,21 +379,25 @@ def test_largest_scale_query(spark, sf_dir):
         pages.setdefault(r["box_id"] // 20, []).append((r["x1"] - r["x0"], r["y1"] - r["y0"]))
 
     def fits(sizes, s):
-        rows, y = [[]], 0.0
-        for w, h in sizes:
-            if rows[-1] and sum(a * s + 12 for a, _ in rows[-1]) + w * s > 400:
-                rows.append([])
-            rows[-1].append((w, h))
-        for row in rows:
-            if sum(w * s for w, _ in row) + 12 * (len(row) - 1) > 400:
+        x, y, tall = 0.0, 0.0, 0.0
+        for w, h in ((w * s, h * s) for w, h in sizes):
+            end = lambda y, h: corner[0] if corner and y + h > corner[1] else width
+            if x and x + w > end(y, max(tall, h)):
+                x, y, tall = 0.0, y + tall + 12, 0.0
+            if x + w > end(y, h) or y + h > height:
                 return False
-            y += max(h for _, h in row) * s + 12
-        return y - 12 <= 300
+            x, tall = x + w + 12, max(tall, h)
+        return True
 
-    got = {r["page_id"]: r["scale"] for r in sheets.largest_scale(spark, sf_dir).collect()}
+    got = {r["page_id"]: r["scale"] for r in getattr(sheets, name)(spark, sf_dir).collect()}
     assert got.keys() == pages.keys()
     for p, sizes in pages.items():
-        assert fits(sizes, got[p] - 1e-9) and (got[p] > 3 - 1e-9 or not fits(sizes, got[p] + 1e-6))
+        low, high = (0.2 if corner else 0.0), 30.0
+        for _ in range(40):
+            mid = (low + high) / 2
+            low, high = (mid, high) if fits(sizes, mid) else (low, mid)
+        assert got[p] == pytest.approx(low, rel=1e-12)
+    assert len(set(got.values())) > 1
 
 
 def test_star_cluster_query(spark, sf_dir):
@@ -468,3 +473,85 @@ def test_blocks_of_the_column(spark):
     assert got == {1: True, 2: False, 3: False, 4: False, 5: True, 6: True}  # 3 touches the drawing, 4 is its caption
     alone = {r["block"]: r["stays"] for r in house.column_blocks(members.filter("block IN (0, 2)"), rail.filter("block IN (0, 2)"), content, ["page_id"]).collect()}
     assert alone == {2: True}  # else the column would be empty
+
+
+# -- proofs, caches, ledgers: small cases ----------------------------------------------------------------------------
+
+
+def test_cache_entries_that_do_not_hold_are_made_anew(spark, tmp_path):
+    from rivulet.operators import cache
+
+    made = []
+
+    def make(df):
+        made.append(sorted(r["a"] or 0 for r in df.collect()))
+        return df.withColumn("v", F.concat(F.lit("v"), F.coalesce(F.col("a").cast("string"), F.lit("none"))))
+
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (None, "w")], "a int, b string")
+    path = str(tmp_path / "c")
+    got = lambda out: sorted((r["b"], r["v"], r["hit"]) for r in out.collect())
+    assert got(cache.cached(df, path, ["a"], make, "v", "1")) == [("w", "vnone", False), ("x", "v1", False), ("y", "v2", False), ("z", "v2", False)]
+    assert made[0] == [0, 1, 2]  # equal inputs once
+    assert got(cache.cached(df, path, ["a"], make, "v", "1")) == [("w", "vnone", True), ("x", "v1", True), ("y", "v2", True), ("z", "v2", True)]
+    rows = spark.read.parquet(path)
+    broken = rows.withColumn("value", F.when(F.col("value") == "v2", F.lit("v9")).otherwise(F.col("value")))
+    broken.write.parquet(str(tmp_path / "d"))
+    assert got(cache.cached(df, str(tmp_path / "d"), ["a"], make, "v", "1")) == [("w", "vnone", True), ("x", "v1", True), ("y", "v2", False), ("z", "v2", False)]
+    assert made[2] == [2]
+    assert not any(h for _, _, h in got(cache.cached(df, path, ["a"], make, "v", "2")))  # another version
+    assert cache.cached(df.limit(0), path, ["a"], make, "v", "1").count() == 0
+
+
+def test_removal_proof_small_cases(spark):
+    from rivulet.operators import proofs
+
+    ops = [(d, i, f"op{i}") for d in "abcdef" for i in range(10)]
+    removed = [("a", 3), ("b", 3), ("c", 3), ("c", 3), ("d", 99), ("e", 3), ("f", 9)]
+    kept = lambda d, gone: [(d, n, f"op{i}") for n, i in enumerate(i for i in range(10) if i not in gone)]
+    out = kept("a", {3}) + kept("b", {3, 7}) + kept("c", {3}) + kept("d", {99}) + [(d, i, "changed" if i == 0 else op) for d, i, op in kept("e", {3})] + kept("f", set()) + [("g", 0, "new")]
+    make = lambda rows, s: spark.createDataFrame(rows, s)
+    got = proofs.removal_proof(make(ops, "k string, idx long, op string"), make(removed, "k string, idx long"), make(out, "k string, idx long, op string"), "k", 4)
+    want = {"a": (True, None), "b": (False, 6), "c": (False, None), "d": (False, None), "e": (False, 0), "f": (False, 9), "g": (False, 0)}
+    assert {r["k"]: (r["equal"], r["first_difference"]) for r in got.collect()} == want
+
+
+def test_targets_of_a_removal(spark):
+    from rivulet.operators import proofs
+
+    names = ["q", "BT", "Tf", "Tj", "Tj", "ET", "BT", "TJ", "ET", "Q"]
+    source = spark.createDataFrame([("a", i, n) for i, n in enumerate(names)], "k string, idx long, name string")
+    found = lambda targets, removed: sorted(
+        (r["start"], r["finding"]) for r in proofs.target_findings(source, spark.createDataFrame(targets, "k string, start long, last long, shows array<bigint>"), spark.createDataFrame(removed, "k string, idx long"), "k").collect()
+    )
+    assert found([("a", 1, 5, [3, 4])], [("a", 3), ("a", 4)]) == []
+    assert found([("a", 1, 5, [3])], [("a", 3)]) == [(1, "shows")]
+    assert found([("a", 6, 8, [7])], [("a", 7)]) == [(6, "operator")]
+    assert found([("a", 2, 5, [3, 4])], [("a", 3), ("a", 4)]) == [(2, "range")]
+    assert [r["finding"] for r in proofs.target_findings(source, spark.createDataFrame([("a", 1, 5, [3, 4])], "k string, start long, last long, shows array<bigint>"), spark.createDataFrame([("a", 3)], "k string, idx long"), "k").collect()] == ["removed"]
+
+
+def test_placements_in_two_groups(spark):
+    from rivulet.operators import proofs
+
+    groups = spark.createDataFrame([(1, 1, 0.0, 0.0, 10.0, 10.0, 5.0, 5.0, 1.0), (1, 2, 0.0, 0.0, 20.0, 10.0, 5.0, 5.0, 1.0)], f"p int, group_id int, {BOX}, dst_x double, dst_y double, scale double")
+    places = spark.createDataFrame([(1, 7, 0.0, 0.0, 10.0, 10.0, 5.0, 5.0, 15.0, 15.0, 1.0), (2, 8, 0.0, 0.0, 1.0, 1.0, 0.0, 0.0, 1.0, 1.0, 1.0)], f"p int, place_id int, {BOX}, t_x0 double, t_y0 double, t_x1 double, t_y1 double, scale double")
+    got = sorted((r["p"], r["group_id"] or 0, r["finding"]) for r in proofs.approved_placements(groups, places, ["p"]).collect())
+    assert got == [(1, 1, "double"), (1, 2, "double"), (1, 2, "source"), (2, 0, "foreign")]
+
+
+def test_frame_policies_small(spark):
+    from rivulet.operators import paths
+
+    def page(p, *lines):
+        rows = [(p, i, i, "l", [{"x": float(a), "y": float(b)}, {"x": float(c), "y": float(d)}], True, 1.0) for i, (a, b, c, d) in enumerate(lines)]
+        return rows
+
+    frame = [(10, 10, 790, 10), (10, 590, 790, 590), (10, 10, 10, 590), (790, 10, 790, 590)]
+    ring = [(5, 5, 795, 5), (5, 595, 795, 595), (5, 5, 5, 595), (795, 5, 795, 595)]
+    rows = page(1, *frame, *ring, (10, 560, 790, 560)) + page(2, *frame, *ring, (5000, 5000, 5100, 5000)) + page(3, (0, 0, 10, 0)) + page(4, *frame, (10, 589.5, 790, 589.5))
+    items = spark.createDataFrame(rows, "page int, path_id int, item_id int, op string, pts array<struct<x:double,y:double>>, stroked boolean, width double")
+    pages = spark.createDataFrame([(p, 0.0, 0.0, 800.0, 600.0) for p in range(1, 5)], f"page int, {BOX}")
+    got = {p: {r["page"]: (r["y1"], r["status"]) for r in paths.page_frame(items, pages, ["page"], policy=p).collect()} for p in paths.POLICIES}
+    assert got["innermost"] == {1: (560.0, "OK"), 2: (590.0, "OK"), 3: (None, "FRAME_NOT_FOUND"), 4: (589.5, "OK")}
+    assert got["title_top"][1] == (560.0, "OK") and got["title_top"][2] == (590.0, "OK")
+    assert got["inner_ring"][1] == (590.0, "OK") and got["inner_ring"][4] == (589.5, "OK")

@@ -177,9 +177,16 @@ def test_merge_grows(spark):
     assert out == {1: 3, 4: 1}
 
 
-def test_row_packing():
-    assert sheets.pack_rows([(40, 10), (40, 20), (30, 5)], 1.0, 100, 100, 10) == [(0, 0), (50, 0), (0, 30)]
-    assert sheets.pack_rows([(101, 1)], 1.0, 100, 100, 10) is None
+def test_row_packing(spark):
+    def corners(sizes, **kw):
+        df = spark.createDataFrame([(sizes,)], "s array<struct<w:double,h:double>>")
+        out = df.select(sheets.packed_rows(F.col("s"), F.lit(1.0), 100.0, 100.0, 10.0, **kw).alias("p")).first()["p"]
+        return out and [(c["x"], c["y"]) for c in out]
+
+    assert corners([(40.0, 10.0), (40.0, 20.0), (30.0, 5.0)]) == [(0, 0), (50, 0), (0, 30)]
+    assert corners([(101.0, 1.0)]) is None
+    assert corners([(40.0, 10.0), (40.0, 20.0), (30.0, 5.0)], corner=(60.0, 15.0)) == [(0, 0), (0, 20), (0, 50)]  # the taller one must end before the corner
+    assert corners([(70.0, 20.0)], corner=(60.0, 15.0)) is None
 
 
 def test_largest_scale(spark):

@@ -8,7 +8,7 @@ from rivulet.plans import REGISTRY as ALL
 
 #: Queries that no single statement says, and the test that compares them.
 BY_LOOPS = {
-    "star_cluster": "test_star_cluster_query", "overlap_merge": "test_overlap_merge_query", "largest_scale": "test_largest_scale_query", "part_lists": "test_part_lists_of_the_query_equal_brute_force",
+    "star_cluster": "test_star_cluster_query", "overlap_merge": "test_overlap_merge_query", "largest_scale": "test_largest_scale_queries", "house_scale": "test_largest_scale_queries", "part_lists": "test_part_lists_of_the_query_equal_brute_force",
     "cleared_regions": "test_part_lists", "interleaved_blocks": "test_clips_of_the_query_equal_brute_force", "block_clips": "test_clips_of_the_query_equal_brute_force", "layout_search": "test_layout_search_equals_exhaustive_search", "stacked_column": "test_stacked_column_query",
 }
 
