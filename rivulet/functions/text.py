@@ -135,6 +135,14 @@ def canonical_json(**fields: Column) -> Column:
     return F.to_json(pairs[0], {"ignoreNullFields": "false"})
 
 
+def canonical_text(text: Column) -> Column:
+    """Compact JSON of a JSON text with the keys of all its objects in order; null if it is none.
+
+    A variant keeps the fields of an object by name, so its text is canonical at every depth. Arrays keep their order.
+    """
+    return F.to_json(F.try_parse_json(text))
+
+
 def digest(text: Column) -> Column:
     return F.sha2(text, 256)
 

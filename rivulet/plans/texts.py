@@ -102,6 +102,16 @@ def canonical_hash(spark, d):
 CANON_SQL = """SELECT c_custkey, sha256('{"key":' || c_custkey || ',"name":"' || c_name || '","segment":"' || c_mktsegment || '"}') AS sha256 FROM customer"""
 
 
+def canonical_nested(spark, d):
+    c = V.table(spark, d, "customer").selectExpr(
+        "c_custkey", """concat('{ "z": [ {"k": ', c_custkey, ', "b": null, "a": "', c_name, '"}, 3, 1 ], "m" : {"y":true,"x":{"q":"ü \\\\"q\\\\"","p":[]}}, "a":', CAST(c_nationkey AS STRING), CASE WHEN c_custkey % 9 = 0 THEN '' ELSE '}' END) AS t"""
+    )
+    return c.select("c_custkey", T.digest(T.canonical_text(F.col("t"))).alias("sha256"))
+
+
+NESTED_SQL = """SELECT c_custkey, CASE WHEN c_custkey % 9 > 0 THEN sha256('{"a":' || c_nationkey || ',"m":{"x":{"p":[],"q":"ü \\"q\\""},"y":true},"z":[{"a":"' || c_name || '","b":null,"k":' || c_custkey || '},3,1]}') END AS sha256 FROM customer"""
+
+
 def switches(spark, d):
     e = V.table(spark, d, "orders").selectExpr("o_orderkey", "CASE o_orderkey % 5 WHEN 0 THEN concat('n=', CAST(o_orderkey AS STRING)) WHEN 1 THEN 'x=-1.5' WHEN 2 THEN 'f=True' WHEN 3 THEN 'j=[1,2]' ELSE concat('s=', o_orderpriority) END AS t")
     s = T.switch(F.col("t"))
@@ -416,7 +426,7 @@ TOP_SQL = with_views("seg", " SELECT page_id, count(*) AS n FROM seg GROUP BY pa
 
 QUERIES = {
     "colour_class": (colour_class, COLOUR_SQL), "hex_recolour": (hex_recolour, HEX_SQL), "brand_model": (brand_model, BRAND_SQL), "field_split": (field_split, FIELD_SQL), "tolerance_check": (tolerance_check, TOL_SQL),
-    "compact_text": (compact_text, None), "canonical_hash": (canonical_hash, CANON_SQL), "switches": (switches, SWITCH_SQL), "text_deficit": (text_deficit, DEFICIT_SQL), "bag_equal": (bag_equal, BAG_SQL),
+    "compact_text": (compact_text, None), "canonical_hash": (canonical_hash, CANON_SQL), "switches": (switches, SWITCH_SQL), "canonical_nested": (canonical_nested, NESTED_SQL), "text_deficit": (text_deficit, DEFICIT_SQL), "bag_equal": (bag_equal, BAG_SQL),
     "vocab_guard": (vocab_guard, VOCAB_SQL), "unique_first_order": (unique_first_order, UNIQUE_SQL), "mode_first": (mode_first, MODE_SQL), "duplicate_keys": (duplicate_keys, DUP_SQL), "regress_diff": (regress_diff, REGRESS_SQL),
     "index_quantile": (index_quantile, QUANT_SQL), "order_inversions": (order_inversions, INV_SQL), "split_lines": (split_lines, SPLIT_SQL), "exact_row": (exact_row, EXACT_SQL), "violations": (violations, VIOL_SQL),
     "visual_rows": (visual_rows, None), "last_wins": (last_wins, LAST_SQL), "rotation_pick": (rotation_pick, ROT_SQL), "drawing_pages": (drawing_pages, None), "outlier_filter": (outlier_filter, OUT_SQL),
