@@ -315,15 +315,15 @@ def _linked(blocks: DataFrame, idf, size: int, threshold: float) -> DataFrame:
     return blocks.select("x", "y").mapInArrow(freeing(meet), _LINK)
 
 
-def _block_pairs(members: DataFrame, sizes: DataFrame, n_buckets: int, block: int, columns: list[str]) -> DataFrame:
+def _block_pairs(members: DataFrame, sizes: DataFrame, block: int, columns: list[str]) -> DataFrame:
     """``bh, x, y``: of each bucket, all pairs of a block of outside members and a block of any, as arrays of ``columns``.
 
-    ``members``: ``bh, key, out`` and more; ``sizes``: ``bh, outside, inside``.
+    ``members``: ``bh, key, out, outside, inside`` and more; ``sizes``: ``bh, outside, inside``, one row a bucket.
     """
     outer, inner = F.ceil(F.col("outside") / block), F.ceil(F.col("inside") / block)
     h = F.xxhash64("key")
     number = F.when(F.col("out"), F.pmod(h, outer)).otherwise(outer + F.pmod(h, inner))
-    dealt = members.join(sized(sizes, n_buckets, 48), "bh").select("bh", number.alias("block"), F.struct(*columns).alias("one"))
+    dealt = members.select("bh", number.alias("block"), F.struct(*columns).alias("one"))
     blocks = stored(dealt.groupBy("bh", "block").agg(F.collect_list("one").alias("m")), "blocks")
     ids = sizes.select("bh", F.explode(F.sequence(F.lit(0).cast("long"), outer - 1)).alias("i"), (outer + inner - 1).alias("last"))
     ids = ids.select("bh", "i", F.explode(F.sequence("i", "last")).alias("j"))
@@ -352,22 +352,21 @@ def near_links(reps: DataFrame, verify, verify_blocks, *, bands: int, rows: int,
     if not n_large:
         return stored(verify(stored(_agreement(pairs.distinct(), sig, k, low), "pairs")), "links")
 
-    large = stored(active.join(sized(buckets.filter(F.col("n") > SMALL).select("bh"), n_large, 24), "bh", "left_semi").select("bh", "key"), "large")
+    large = stored(active.join(sized(buckets.filter(F.col("n") > SMALL), n_large, 32), "bh").select("bh", "key", "n"), "large")
     folder, left, level, n_left = work_dir(spark), large, 0, large.count()
     while True:
         # the members of a bucket that seem most like all the others meet every member left
-        count = left.groupBy("bh").agg(F.count(F.lit(1)).alias("n"))
-        dealt = left.join(sized(count, n_large, 32), "bh").withColumn("block", F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("n") / BLOCK)))
+        dealt = left.withColumn("block", F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("n") / BLOCK)))
         blocks = dealt.join(sig, "key").groupBy("bh", "block").agg(F.collect_list(F.struct("key", "sig")).alias("m"))
         best = F.slice(F.sort_array(F.collect_list(F.struct("score", "key")), False), 1, LEADERS)
-        leads = _central(blocks, k).groupBy("bh").agg(best.alias("best")).select("bh", F.explode("best.key").alias("lead"))
+        leads = _central(blocks, k).groupBy("bh").agg(best.alias("best")).select("bh", F.col("best.key").alias("leads"))
         leads, on, members = stored(leads, "leads"), ["bh"], left
         if n_large * LEADERS * 32 <= BROADCAST_BYTES:
             leads = F.broadcast(leads)
         else:  # a hot bucket's members spread over salts
             leads, on = leads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["bh", "salt"]
             members = left.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
-        met = members.join(leads, on).filter("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
+        met = members.join(leads, on).select("key", F.explode("leads").alias("lead")).filter("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
         pairs = met if level else pairs.unionByName(met)
         verify(stored(_agreement(pairs.distinct(), sig, k, low), "pairs")).write.parquet(f"{folder}/{level}-links")
         links = spark.read.schema(_LINK).parquet(*[f"{folder}/{n}-links" for n in range(level + 1)])
@@ -377,14 +376,14 @@ def near_links(reps: DataFrame, verify, verify_blocks, *, bands: int, rows: int,
         most = state.groupBy("bh", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bh").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
         open_ = stored(most.select("bh", F.col("top.label").alias("main"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("outside")).filter("outside > 0"), "open")
         n_large = open_.count()
-        left = stored(state.join(sized(open_.filter(F.col("outside") > SMALL).select("bh", "main"), n_large, 32), "bh").filter("label <> main").select("bh", "key"), "left")
+        joined = stored(state.join(sized(open_, n_large, 48), "bh").withColumn("out", F.col("label") != F.col("main")).drop("main"), "joined")
+        left = joined.filter(F.col("out") & (F.col("outside") > SMALL)).select("bh", "key", F.col("outside").alias("n"))
         before, n_left, level = n_left, left.count(), level + 1
         if n_left > (1 - SETTLED) * before or not n_left:
             break
     # every member outside, in blocks, meets all members of its bucket that no links connect with it
-    members = state.join(sized(open_.select("bh", "main"), n_large, 32), "bh").withColumn("out", F.col("label") != F.col("main")).drop("main")
-    met = _block_pairs(members.join(sig, "key"), open_.select("bh", "outside", "inside"), n_large, BLOCK, ["key", "label", "sig"])
-    touched = stored(members.join(_touched(met, k, low), ["bh", "key"], "left_semi"), "touched")
+    met = _block_pairs(joined.join(sig, "key"), open_.select("bh", "outside", "inside"), BLOCK, ["key", "label", "sig"])
+    touched = stored(joined.drop("outside", "inside").join(_touched(met, k, low), ["bh", "key"], "left_semi"), "touched")
     sizes = touched.groupBy("bh").agg(F.sum(F.col("out").cast("long")).alias("outside"), F.sum((~F.col("out")).cast("long")).alias("inside"))
     verify_blocks(touched, stored(sizes, "sizes")).write.parquet(f"{folder}/last-links")
     return links.unionByName(spark.read.schema(_LINK).parquet(f"{folder}/last-links"))
@@ -394,7 +393,8 @@ def verified_blocks(docs: DataFrame, touched: DataFrame, sizes: DataFrame, idf,
     """Links ``a, b, similarity`` that connect the members ``bh, key, label, out`` of each bucket, by their whole texts."""
     ids = stored(touched.select("key").distinct(), "ids")
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).join(sized(ids, ids.count(), 16), "key", "left_semi").dropDuplicates(["key"])
-    met = _block_pairs(touched.join(stored(texts, "texts"), "key"), sizes, sizes.count(), TEXTS, ["key", "label", "t"])
+    members = touched.join(sized(sizes, sizes.count(), 48), "bh")
+    met = _block_pairs(members.join(stored(texts, "texts"), "key"), sizes, TEXTS, ["key", "label", "t"])
     return _linked(met, idf, size, threshold)
 
 
