@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from rivulet.functions import geometry as G
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` hinted to meet others in a sort-merge join: exploded rows are many, but Spark estimates them as what they came from."""
+    return df.hint("merge")
+
+
 def _cells(df: DataFrame, prefix: str, cell: float, grow: float) -> DataFrame:
     at = lambda c, d: F.floor((F.col(f"{prefix}{c}") + d) / cell)
     df = df.withColumns({f"__{prefix}ix": at("x0", -grow), f"__{prefix}iy": at("y0", -grow)})
@@ -29,7 +34,7 @@ def box_join(left: DataFrame, right: DataFrame, keys: list[str], gap: float = 0.
     a = left.select(*keys, *[F.col(c).alias(f"a_{c}") for c in left.columns if c not in keys])
     b = right.select(*keys, *[F.col(c).alias(f"b_{c}") for c in right.columns if c not in keys])
     a, b = _cells(a, "a_", cell, gap), _cells(b, "b_", cell, 0.0)
-    joined = a.join(b, [*keys, "__cx", "__cy"]).filter(
+    joined = a.join(shuffled(b), [*keys, "__cx", "__cy"]).filter(
         (F.col("__cx") == F.greatest("__a_ix", "__b_ix")) & (F.col("__cy") == F.greatest("__a_iy", "__b_iy")) & G.near(G.of("a_"), G.of("b_"), gap)
     )
     if self_id:
@@ -78,7 +83,7 @@ def span_lines(points: DataFrame, lines: DataFrame, keys: list[str], id_: str, s
     ``points``: ``x, y``; ``lines``: ``orient, coord, lo, hi``. As-of like: of the lines whose span holds the point,
     the nearest on each side. Lines meet the points of their page only.
     """
-    pairs = points.select(*keys, id_, "x", "y").join(lines.select(*keys, "orient", "coord", "lo", "hi"), keys)
+    pairs = points.select(*keys, id_, "x", "y").join(shuffled(lines.select(*keys, "orient", "coord", "lo", "hi")), keys)
     along = F.when(F.col("orient") == "V", F.col("y")).otherwise(F.col("x"))
     hit = pairs.filter((F.col("lo") - slack <= along) & (F.col("hi") + slack >= along))
     v, h = F.col("orient") == "V", F.col("orient") == "H"

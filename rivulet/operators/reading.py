@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.operators.joins import shuffled
+
 
 def reading_order(boxes: DataFrame, keys: list[str], id_: str, share: float = 0.3) -> DataFrame:
     """``keys..., id, row, place``: boxes in rows from the top, left to right inside a row, ``place`` over all rows.
@@ -67,7 +69,7 @@ def line_neighbours(spans: DataFrame, keys: list[str], id_: str, near: float = 0
     b = b.select(*keys, "__c", "__y", "__x", *[F.col(c).alias(f"b_{c}") for c in (id_, "x0", "size", "cy")])
     gap = F.col("b_x0") - F.col("a_x1")
     rank = lambda p: F.struct(F.rint(F.col(f"{p}_cy")), F.col(f"{p}_x0"), F.col(f"{p}_{id_}"))
-    met = a.join(b, [*keys, "__c", "__y", "__x"]).filter(
+    met = a.join(shuffled(b), [*keys, "__c", "__y", "__x"]).filter(
         (F.abs(F.col("a_cy") - F.col("b_cy")) < near * F.col("a_size")) & (F.abs(F.col("a_size") - F.col("b_size")) < alike) & (gap > -over) & (gap < apart * F.col("a_size")) & (rank("a") < rank("b"))
     )
     return met.select(*keys, f"a_{id_}", f"b_{id_}", gap.alias("gap"))
@@ -76,5 +78,5 @@ def line_neighbours(spans: DataFrame, keys: list[str], id_: str, near: float = 0
 def split_lines(spans: DataFrame, keys: list[str], id_: str, group: str, **kw) -> DataFrame:
     """``line_neighbours`` whose pieces travel in different groups: ``keys..., a_id, b_id, a_group, b_group``."""
     g = lambda p: spans.filter(F.col(group).isNotNull()).select(*keys, F.col(id_).alias(f"{p}_{id_}"), F.col(group).alias(f"{p}_{group}"))
-    pairs = line_neighbours(spans, keys, id_, **kw).join(g("a"), [*keys, f"a_{id_}"]).join(g("b"), [*keys, f"b_{id_}"])
+    pairs = line_neighbours(spans, keys, id_, **kw).join(shuffled(g("a")), [*keys, f"a_{id_}"]).join(shuffled(g("b")), [*keys, f"b_{id_}"])
     return pairs.filter(F.col(f"a_{group}") != F.col(f"b_{group}")).select(*keys, f"a_{id_}", f"b_{id_}", f"a_{group}", f"b_{group}")
