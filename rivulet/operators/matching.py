@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.functions import bits
 from rivulet.operators.graph import written
 
 #: The acceptance score, the margin over the next template, and the near tie for an upright page.
 ACCEPT, MARGIN, NEAR_TIE = 0.90, 0.03, 0.01
+#: Grids of a block: a group of the shuffle holds one block of each side, whatever the number of grids of a band.
+PAGES, SAMPLES, ITEMS = 2048, 65536, 2048
 
 
 def _packed(df: DataFrame, n: int, rows: int, prefix: str) -> tuple[DataFrame, list[str], list[str]]:
@@ -40,6 +45,85 @@ def scored(pages: DataFrame, samples: DataFrame, n: int = 8, rows: int = 8, excl
     )
 
 
+def _dealt(df: DataFrame, keys: list[str], id_: str, size: int, out: str) -> DataFrame:
+    """``df`` in blocks of about ``size`` rows of one key: its ``out`` and the number of blocks of the key, ``out``_n."""
+    n = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(f"{out}_n"))
+    return df.join(n, keys).withColumn(out, F.pmod(F.xxhash64(id_), F.col(f"{out}_n")).cast("int"))
+
+
+def _tasks(df: DataFrame) -> int:
+    """Partitions that stay apart: blocks are few bytes and much work, and would be put together by their bytes."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bits(t: pa.Table, names: list[str]) -> np.ndarray:
+    """32-bit word columns as 64-bit words: one row a grid."""
+    w = [t[c].to_numpy().astype(np.uint64) for c in names]
+    w = w if len(w) % 2 == 0 else [*w, np.zeros(t.num_rows, np.uint64)]
+    return np.stack([a | (b << np.uint64(32)) for a, b in zip(w[::2], w[1::2])], axis=1)
+
+
+def _coverage(a: np.ndarray, aw: np.ndarray, b: np.ndarray, bw: np.ndarray) -> np.ndarray:
+    """``bits.coverage`` of every grid of one side with every grid of the other, in the same arithmetic."""
+    def both(x, y):
+        out = np.bitwise_count(x[:, None, 0] & y[None, :, 0]).astype(np.int32)
+        for k in range(1, x.shape[1]):
+            out += np.bitwise_count(x[:, None, k] & y[None, :, k])
+        return out
+
+    na, nb = (np.maximum(1, np.bitwise_count(x).sum(axis=1, dtype=np.int64)) for x in (a, b))
+    return np.minimum(both(a, bw) / na[:, None], both(aw, b) / nb[None, :])
+
+
+def best_scores(pages: DataFrame, samples: DataFrame, n: int = 8, rows: int = 8, exclude_self: bool = True) -> DataFrame:
+    """``scored``'s greatest score of each ``id, template, rotate, search``; grids, bands and ids that are null match nothing.
+
+    All pairs of a band are compared, so the work grows with the product of both sides. Blocks of pages meet blocks of
+    samples in a cogroup each, so that one band is many tasks of bounded memory, and pairs do not leave the task: it gives
+    one row for each page and kind of sample.
+    """
+    whole = lambda df: df.filter(F.col("grid").isNotNull() & F.col("search").isNotNull() & F.col("id").isNotNull())
+    p, pw, pd_ = _packed(whole(pages).select("id", "search", "grid"), n, rows, "p_")
+    s, sw, sd = _packed(whole(samples).select("id", "template", "rotate", "search", "grid"), n, rows, "s_")
+    p = _dealt(p.withColumnRenamed("p_search", "band"), ["band"], "p_id", PAGES, "pb")
+    s = _dealt(s.withColumn("band", F.col("s_search")), ["band"], "s_id", SAMPLES, "sb")
+    blocks = p.select("band", "pb_n").distinct().join(s.select("band", "sb_n").distinct(), "band")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    p = p.drop("pb_n").join(blocks.select("band", "sb_n"), "band").withColumn("sb", every("sb_n")).drop("sb_n")
+    s = s.drop("sb_n").join(blocks.select("band", "pb_n"), "band").withColumn("pb", every("pb_n")).drop("pb_n")
+    kinds = {f.name: f.dataType for f in s.schema} | {f.name: f.dataType for f in p.schema}
+    schema = T.StructType([T.StructField(c, kinds[k]) for c, k in (("id", "p_id"), ("template", "s_template"), ("rotate", "s_rotate"), ("search", "s_search"))] + [T.StructField("score", T.DoubleType())])
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return pa.table({"id": a["p_id"][:0], "template": b["s_template"][:0], "rotate": b["s_rotate"][:0], "search": b["s_search"][:0], "score": pa.array([], pa.float64())})
+        code = np.zeros(b.num_rows, np.int64)
+        for c in ("s_template", "s_rotate", "s_search"):
+            codes = pa.chunked_array([b[c].combine_chunks()]).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            code = code * (codes.max() + 1) + codes
+        b = b.take(pa.array(np.argsort(code, kind="stable")))
+        code = np.sort(code, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        x, xd, y, yd = _bits(a, pw), _bits(a, pd_), _bits(b, sw), _bits(b, sd)
+        aid, bid = a["p_id"].to_numpy(), b["s_id"].to_numpy()
+        by_id = np.argsort(bid, kind="stable")
+        lo, hi = np.searchsorted(bid[by_id], aid, "left"), np.searchsorted(bid[by_id], aid, "right")
+        step, best = max(1, (1 << 19) // len(bid)), []
+        for i in range(0, len(aid), step):
+            sc = _coverage(x[i : i + step], xd[i : i + step], y, yd)
+            for k in range(len(sc) if exclude_self else 0):
+                sc[k, by_id[lo[i + k] : hi[i + k]]] = -1.0
+            best.append(np.maximum.reduceat(sc, first, axis=1))
+        top = np.concatenate(best)
+        page, kind = np.nonzero(top >= 0)
+        of = b.take(pa.array(first[kind]))
+        return pa.table({"id": a["p_id"].take(pa.array(page)), "template": of["s_template"], "rotate": of["s_rotate"], "search": of["s_search"], "score": top[page, kind]})
+
+    tasks, of = _tasks(pages), ["band", "pb", "sb"]
+    met = p.repartition(tasks, *of).groupBy(*of).cogroup(s.repartition(tasks, *of).groupBy(*of)).applyInArrow(run, schema)
+    return met.groupBy("id", "template", "rotate", "search").agg(F.max("score").alias("score"))
+
+
 def best_of_template(scores: DataFrame) -> DataFrame:
     """``id, template, rotate, search, score, top``: each template's pick.
 
@@ -58,7 +142,7 @@ def match_status(pages: DataFrame, samples: DataFrame, **options) -> DataFrame:
     OK with 0.90 or more and 0.03 over the best other template; AMBIGUOUS with 0.90 or more; else UNKNOWN_FRAME;
     NO_FRAME without any sample of the band.
     """
-    per = best_of_template(scored(pages, samples, **options))
+    per = best_of_template(best_scores(pages, samples, **options))
     w = Window.partitionBy("id").orderBy(F.desc("top"))
     ranked = per.withColumns({"r": F.row_number().over(w), "ru": F.lead("top").over(w)}).filter("r = 1")
     margin = F.col("score") - F.coalesce(F.col("ru.score"), F.lit(0.0))
@@ -71,19 +155,44 @@ def match_status(pages: DataFrame, samples: DataFrame, **options) -> DataFrame:
 def top_templates(pages: DataFrame, samples: DataFrame, n: int = 3, **options) -> DataFrame:
     """The first n distinct templates of each page, each at its own pick: ``id, rank, template, rotate, search, score``."""
     w = Window.partitionBy("id").orderBy(F.desc("top"))
-    per = best_of_template(scored(pages, samples, **options)).withColumn("rank", F.row_number().over(w))
+    per = best_of_template(best_scores(pages, samples, **options)).withColumn("rank", F.row_number().over(w))
     return per.filter(F.col("rank") <= n).select("id", "rank", "template", "rotate", "search", "score")
 
 
 def pair_similarity(items: DataFrame, least: float = 0.0, n: int = 8, rows: int = 8, group: str | None = None) -> DataFrame:
     """``a, b, sim`` (a < b) of items of the same search band (and ``group``), the greater of both directions."""
-    x, xw, xd = _packed(items, n, rows, "a_")
-    y, yw, yd = _packed(items, n, rows, "b_")
-    cols = lambda names: [F.col(c) for c in names]
-    sim = bits.coverage(cols(xw), cols(xd), cols(yw), cols(yd))
-    same = (F.col("a_search") == F.col("b_search")) & (F.col("a_id") < F.col("b_id"))
-    joined = x.join(y, same & (F.col(f"a_{group}") == F.col(f"b_{group}")) if group else same)
-    return joined.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), sim.alias("sim")).filter(F.col("sim") >= least)
+    keys = ["search", group] if group else ["search"]
+    whole = [F.col(c).isNotNull() for c in ("grid", "id", *keys)]
+    cond: Column = whole[0]
+    for c in whole[1:]:
+        cond = cond & c
+    x, xw, xd = _packed(items.filter(cond).select("id", "grid", *keys), n, rows, "a_")
+    x = _dealt(x, [f"a_{k}" for k in keys], "a_id", ITEMS, "block")
+    # each pair of blocks is a group: rows of the lesser block meet those of the greater one, or one another
+    other = F.explode(F.sequence(F.lit(0), F.col("block_n") - 1))
+    x = x.withColumn("with", other).withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")}).drop("with", "block_n")
+    kind = x.schema["a_id"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("sim", T.DoubleType())])
+
+    def run(t: pa.Table) -> pa.Table:
+        at = t["block"].to_numpy()
+        w, wide, ids = _bits(t, xw), _bits(t, xd), t["a_id"].to_numpy()
+        one = t["i"][0].as_py() == t["j"][0].as_py()
+        left = np.arange(len(at)) if one else np.flatnonzero(at == t["i"][0].as_py())
+        right = left if one else np.flatnonzero(at == t["j"][0].as_py())
+        found, step = [], max(1, (1 << 19) // max(1, len(right)))
+        for k in range(0, len(left) if len(right) else 0, step):
+            rows_ = left[k : k + step]
+            sim = _coverage(w[rows_], wide[rows_], w[right], wide[right])
+            a, b = np.nonzero(sim >= least)
+            v, a, b = sim[a, b], ids[rows_[a]], ids[right[b]]
+            keep = a < b if one else a != b
+            found.append((np.minimum(a, b)[keep], np.maximum(a, b)[keep], v[keep]))
+        cols = [np.concatenate(c) for c in zip(*found)] if found else [ids[:0], ids[:0], np.zeros(0)]
+        return pa.table(dict(zip(("a", "b", "sim"), cols)))
+
+    of = [*[f"a_{k}" for k in keys], "i", "j"]
+    return x.repartition(_tasks(items), *of).groupBy(*of).applyInArrow(run, schema)
 
 
 def star_clusters(items: DataFrame, sims: DataFrame, threshold: float, inside: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
