@@ -133,15 +133,22 @@ def equal_pitch_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def visual_rows(df: DataFrame, keys: list[str], y: str, x: str, text: str, within: float = 2.0) -> DataFrame:
-    """``keys..., row, line``: words grouped by distance from the row's first word, then left to right."""
-    items = F.array_sort(F.collect_list(F.struct(F.col(y).alias("y"), F.col(x).alias("x"), F.col(text).alias("t"))))
-    start = F.struct(F.lit(0).alias("row"), F.lit(None).cast("double").alias("y0"), F.array().cast("array<struct<row:int,x:double,t:string>>").alias("out"))
+    """``keys..., row, line``: words grouped by distance from the row's first word, then left to right.
 
-    def step(s: Column, w: Column) -> Column:
-        new = s["y0"].isNull() | (F.abs(s["y0"] - w["y"]) >= within)
-        row = F.when(new, s["row"] + 1).otherwise(s["row"])
-        return F.struct(row.alias("row"), F.when(new, w["y"]).otherwise(s["y0"]).alias("y0"), F.concat(s["out"], F.array(F.struct(row.alias("row"), w["x"].alias("x"), w["t"].alias("t")))).alias("out"))
-
-    placed = df.groupBy(*keys).agg(F.aggregate(items, start, step)["out"].alias("__o")).select(*keys, F.inline("__o"))
-    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x", "t"))), lambda v: v["t"]), "  ")
+    Words without a height are rows of their own. The fold sees the distinct heights of a group and keeps those that begin
+    a row; words are then numbered by a window in which these come as marks, so no array grows with the words.
+    """
+    w = df.select(*keys, F.col(y).cast("double").alias("__y"), F.col(x).cast("double").alias("__x"), F.col(text).alias("__t"))
+    alone = F.col("__y").isNull() | F.isnan("__y")
+    begin = F.aggregate(
+        F.array_sort(F.collect_set("__y")),
+        F.array().cast("array<double>"),
+        lambda out, v: F.when((F.size(out) == 0) | (v - F.element_at(out, -1) >= within), F.concat(out, F.array(v))).otherwise(out),
+    )
+    number, string = F.lit(None).cast("double"), F.lit(None).cast("string")
+    marks = w.filter(~alone).groupBy(*keys).agg(begin.alias("__b")).select(*keys, F.explode("__b").alias("__y"), number.alias("__x"), string.alias("__t"), F.lit(1).alias("__new"), F.lit(False).alias("__word"))
+    every = w.withColumns({"__new": alone.cast("int"), "__word": F.lit(True)}).unionByName(marks)
+    order = Window.partitionBy(*keys).orderBy("__y", "__word", "__x", "__t").rowsBetween(Window.unboundedPreceding, 0)
+    placed = every.withColumn("row", F.sum("__new").over(order).cast("int")).filter("__word")
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__x").alias("x"), F.col("__t").alias("t")))), lambda v: v["t"]), "  ")
     return placed.groupBy(*keys, "row").agg(line.alias("line"))

@@ -12,3 +12,40 @@ def plan(df) -> str:
 @pytest.mark.parametrize("name", ["line_neighbours", "torn_lines"])
 def test_exploded_rows_are_not_broadcast(name, spark, sf_dir):
     assert "Broadcast" not in plan(REGISTRY[name][0](spark, sf_dir))
+
+
+def test_blocks_of_fingerprints_give_what_all_pairs_give(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from rivulet.functions import bits
+    from rivulet.operators import matching
+
+    for name, size in (("PAGES", 7), ("SAMPLES", 11), ("ITEMS", 9)):
+        monkeypatch.setattr(matching, name, size)
+    r = random.Random(3)
+    rows = [(i % 58, r.choice(["A", "B", None]), r.choice([0, 90]), r.choice([12, 12, 30]), [r.getrandbits(8) & r.getrandbits(8) for _ in range(8)]) for i in range(60)]
+    rows.append((99, "A", 0, 77, [1] * 8))
+    items = spark.createDataFrame(rows, "id long, template string, rotate int, search int, grid array<long>")
+    old = matching.scored(items, items).groupBy("id", "template", "rotate", "search").agg(F.max("score"))
+    out = matching.best_scores(items, items)
+    assert sorted(map(str, out.collect())) == sorted(str(x).replace("max(score)", "score") for x in old.collect())
+    assert {x["id"]: x["status"] for x in matching.match_status(items, items).collect()}[99] == "NO_FRAME"
+    p, pw, pd_ = matching._packed(items, 8, 8, "a_")
+    q, qw, qd = matching._packed(items, 8, 8, "b_")
+    cols = lambda ns: [F.col(c) for c in ns]
+    want = p.join(q, F.expr("a_search = b_search AND a_id < b_id")).select("a_id", "b_id", bits.coverage(cols(pw), cols(pd_), cols(qw), cols(qd))).collect()
+    assert sorted(map(tuple, matching.pair_similarity(items, 0.0).collect())) == sorted(map(tuple, want))
+    # the pairs stay in their tasks: a page comes out once for each kind of sample
+    assert out.count() < matching.scored(items, items).count()
+
+
+def test_visual_rows_of_a_long_text_and_of_words_without_height(spark):
+    from rivulet.operators import intervals
+
+    df = spark.range(40_000).selectExpr("1 AS k", "CAST(floor(id / 10) * 3 AS DOUBLE) + (id % 3) * 0.9 AS y", "CAST(id % 10 AS DOUBLE) AS x", "CAST(id AS STRING) AS t")
+    odd = spark.createDataFrame([(2, None, 1.0, "a"), (2, None, 2.0, "b"), (2, 0.0, 5.0, "d"), (2, 1.9, 4.0, "c"), (2, 2.0, 1.0, "e")], "k int, y double, x double, t string")
+    out = intervals.visual_rows(df.unionByName(odd), ["k"], "y", "x", "t").collect()
+    assert sorted((r["row"], r["line"]) for r in out if r["k"] == 2) == [(1, "a"), (2, "b"), (3, "c  d"), (4, "e")]
+    assert [r["line"] for r in sorted(out, key=lambda r: r["row"]) if r["k"] == 1] == ["  ".join(str(10 * i + j) for j in range(10)) for i in range(4000)]
