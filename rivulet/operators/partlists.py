@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import geometry as G
 from rivulet.operators import graph, intervals
+from rivulet.operators.joins import shuffled
 
 # Words of a list's header, words of part lists and of revision tables.
 HEADS = ("QTY", "Q'TY", "数量", "用量", "序号")
@@ -35,7 +36,7 @@ def row_spans(rules: DataFrame, keys: list[str], tol: float = TOL) -> DataFrame:
     h = rules.filter((F.col("orient") == "H") & (F.col("hi") - F.col("lo") > tol))
     near = F.explode(F.array(*[F.floor(F.col("coord") / (2 * tol)) + d for d in (-1, 0, 1)])).alias("bin")
     heights = intervals.collapse_close(h, keys, "coord", tol).select(*keys, F.col("coord").alias("y"), F.floor(F.col("coord") / (2 * tol)).alias("bin"))
-    met = h.select(*keys, "coord", "lo", "hi", near).join(heights, [*keys, "bin"]).filter(F.abs(F.col("coord") - F.col("y")) <= tol)
+    met = h.select(*keys, "coord", "lo", "hi", near).join(shuffled(heights), [*keys, "bin"]).filter(F.abs(F.col("coord") - F.col("y")) <= tol)
     return intervals.runs(met, [*keys, "y"], tol).select(*keys, "y", "lo", "hi")
 
 
@@ -116,16 +117,16 @@ def lattices(rules: DataFrame, regions: DataFrame, frames: DataFrame, keys: list
     columns or more between which all row rules of the run reach."""
     rk = [*keys, "region_id"]
     spans = row_spans(rules, keys, tol)
-    r = regions.select(*rk, *[F.col(s).alias(f"r_{s}") for s in G.SIDES]).join(frames.select(*keys, F.col("y0").alias("f_y0")), keys)
+    r = regions.select(*rk, *[F.col(s).alias(f"r_{s}") for s in G.SIDES]).join(shuffled(frames.select(*keys, F.col("y0").alias("f_y0"))), keys)
     half = 0.5 * (F.col("r_x1") - F.col("r_x0"))
     each = spans.groupBy(*keys, "y").agg(F.sum(F.col("hi") - F.col("lo")).alias("long"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    long_ = r.join(each, keys).filter(
+    long_ = r.join(shuffled(each), keys).filter(
         (F.col("long") >= half) & (F.least("hi", "r_x1") - F.greatest("lo", "r_x0") >= half) & (F.col("y") >= F.col("f_y0") - tol) & (F.col("y") <= F.col("r_y1") + tol)
     )
     heights = long_.groupBy(*rk).agg(F.array_sort(F.collect_set("y")).alias("ys"))
-    cols = r.join(column_spans(rules, keys, tol), keys).filter((F.col("x") >= F.col("r_x0") - tol) & (F.col("x") <= F.col("r_x1") + tol))
+    cols = r.join(shuffled(column_spans(rules, keys, tol)), keys).filter((F.col("x") >= F.col("r_x0") - tol) & (F.col("x") <= F.col("r_x1") + tol))
     verticals = cols.groupBy(*rk).agg(F.array_sort(F.collect_list(F.struct("x", "lo", "hi"))).alias("vs"))
-    base = heights.filter(F.size("ys") >= 3).join(verticals, rk)
+    base = heights.filter(F.size("ys") >= 3).join(shuffled(verticals), rk)
     runs = base.select(*rk, "ys", "vs", F.explode(F.sequence(F.lit(0), F.size("ys") - 3)).alias("start"))
     runs = runs.withColumn("run", row_run(F.col("ys"), F.col("start"))).withColumn("pitch", F.get("run", 1) - F.get("run", 0))
     runs = runs.filter((F.size("run") >= 3) & (F.col("pitch") > 2 * tol))
@@ -139,7 +140,7 @@ def lattices(rules: DataFrame, regions: DataFrame, frames: DataFrame, keys: list
     kept = runs.groupBy(*rk).agg(F.first("ys").alias("ys"), F.first("vs").alias("vs"), F.aggregate(F.array_sort(F.collect_list(one)), first, take)["out"].alias("kept"))
     kept = graph.written(kept.select(*rk, "ys", "vs", F.inline("kept")))
     # x-ranges that all row rules of a run reach across: a sweep over the ends of their spans
-    rules_of = kept.select(*rk, "start", "cols", F.size("rows").alias("n"), F.explode("rows").alias("y")).join(spans, [*keys, "y"])
+    rules_of = kept.select(*rk, "start", "cols", F.size("rows").alias("n"), F.explode("rows").alias("y")).join(shuffled(spans), [*keys, "y"])
     ends = rules_of.select(*rk, "start", "cols", "n", F.inline(F.array(F.struct(F.col("lo").alias("at"), F.lit(1).alias("d")), F.struct(F.col("hi").alias("at"), F.lit(-1).alias("d")))))
     ends = ends.groupBy(*rk, "start", "at").agg(F.sum("d").alias("d"), F.first("n").alias("n"), F.first("cols").alias("cols"))
     w = Window.partitionBy(*rk, "start").orderBy("at")
@@ -188,24 +189,24 @@ def part_lists(rules: DataFrame, words: DataFrame, marks: DataFrame, regions: Da
     """
     rk = [*keys, "region_id"]
     runs, groups = lattices(rules, regions, frames, keys, tol)
-    r = regions.select(*rk, *[F.col(s).alias(f"r_{s}") for s in G.SIDES]).join(frames.select(*keys, F.col("y0").alias("f_y0")), keys)
+    r = regions.select(*rk, *[F.col(s).alias(f"r_{s}") for s in G.SIDES]).join(shuffled(frames.select(*keys, F.col("y0").alias("f_y0"))), keys)
     centre = words.select(*keys, "pos", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"), F.col("text").alias("t"))
     in_x = lambda c: (F.col(c) >= F.col("r_x0") - tol) & (F.col(c) <= F.col("r_x1") + tol)
-    texts = r.join(centre, keys).filter(in_x("x")).groupBy(*rk).agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y", "t"))).alias("ws"))
-    drawn = r.join(marks.select(*keys, *G.SIDES), keys).filter(in_x("x0") & in_x("x1")).groupBy(*rk).agg(F.collect_list(F.struct(*G.SIDES)).alias("ms"))
+    texts = r.join(shuffled(centre), keys).filter(in_x("x")).groupBy(*rk).agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y", "t"))).alias("ws"))
+    drawn = r.join(shuffled(marks.select(*keys, *G.SIDES)), keys).filter(in_x("x0") & in_x("x1")).groupBy(*rk).agg(F.collect_list(F.struct(*G.SIDES)).alias("ms"))
     none = lambda c, t: F.coalesce(F.col(c), F.array().cast(t))
-    about = r.join(texts, rk, "left").join(drawn, rk, "left").withColumns(
+    about = r.join(shuffled(texts), rk, "left").join(shuffled(drawn), rk, "left").withColumns(
         {"ws": none("ws", "array<struct<pos:bigint,x:double,y:double,t:string>>"), "ms": none("ms", "array<struct<x0:double,y0:double,x1:double,y1:double>>")}
     )
-    runs = graph.written(runs.join(about, rk))
+    runs = graph.written(runs.join(shuffled(about), rk))
     # groups of a run that does not reach across all of its columns, each grown on the rules across its own columns
-    side = groups.withColumnRenamed("cols", "own_cols").join(runs, [*rk, "start"]).filter(F.col("own_cols") != F.col("cols")).withColumn("cols", F.col("own_cols")).drop("own_cols", "lo", "hi")
+    side = groups.withColumnRenamed("cols", "own_cols").join(shuffled(runs), [*rk, "start"]).filter(F.col("own_cols") != F.col("cols")).withColumn("cols", F.col("own_cols")).drop("own_cols", "lo", "hi")
     all_spans = row_spans(rules, keys, tol).select(*keys, "y", F.col("lo").alias("s0"), F.col("hi").alias("s1"))
-    across = side.select(*rk, "start", "cols", "f_y0", "r_y1").join(all_spans, keys).filter(
+    across = side.select(*rk, "start", "cols", "f_y0", "r_y1").join(shuffled(all_spans), keys).filter(
         (F.col("s0") <= F.get("cols", 0) + tol) & (F.col("s1") >= F.element_at("cols", -1) - tol) & (F.col("y") >= F.col("f_y0") - tol) & (F.col("y") <= F.col("r_y1") + tol)
     )
     own = across.groupBy(*rk, "start", "cols").agg(F.collect_set("y").alias("own"))
-    side = graph.written(side.join(own, [*rk, "start", "cols"]).withColumn("band", F.col("rows")).withColumn("rows", _grown(tol)))
+    side = graph.written(side.join(shuffled(own), [*rk, "start", "cols"]).withColumn("band", F.col("rows")).withColumn("rows", _grown(tol)))
     told = F.exists(_bands(F.col("rows")), lambda b: _has(_text(F.col("ws"), F.get("cols", 0), b["a"], F.element_at("cols", -1), b["b"]), HEADS)) | _items(F.col("ws"), F.col("rows"), F.col("cols"))
     side = side.withColumns({"n": F.size("rows"), "told": told, "wide": F.element_at("cols", -1) - F.get("cols", 0)})
     w = Window.partitionBy(*rk, "start")
@@ -214,7 +215,7 @@ def part_lists(rules: DataFrame, words: DataFrame, marks: DataFrame, regions: Da
     apart = F.col("n_next").isNull() | (F.col("n_next") != F.col("n")) | (F.col("told_next") != F.col("told"))
     side = side.filter(apart & ((F.get("cols", 0) > F.col("r_x0") + tol) | (F.element_at("cols", -1) < F.col("r_x1") - tol)))
     found = _judged(graph.written(side.withColumn("side", F.lit(True))), rk, tol)
-    alone = runs.join(found.select(*rk, "start"), [*rk, "start"], "left_anti").withColumns({"band": F.col("rows"), "side": F.lit(False)})
+    alone = runs.join(shuffled(found.select(*rk, "start")), [*rk, "start"], "left_anti").withColumns({"band": F.col("rows"), "side": F.lit(False)})
     return found.unionByName(_judged(graph.written(_with_tall_rows(alone, tol)), rk, tol)).drop("start")
 
 
@@ -266,7 +267,7 @@ def cleared(regions: DataFrame, lists: DataFrame, rules: DataFrame, frames: Data
     lies below such a list stays too. Lists cut one after another, from the top.
     """
     rk = [*keys, "region_id"]
-    r = regions.select(*rk, *G.SIDES).join(frames.select(*keys, F.col("y1").alias("f_y1")), keys)
+    r = regions.select(*rk, *G.SIDES).join(shuffled(frames.select(*keys, F.col("y1").alias("f_y1"))), keys)
     every = lists.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("y0", "x0", "x1", "y1", "side", "rows"))).alias("ls"))
     spans = row_spans(rules, keys, tol).groupBy(*keys).agg(F.collect_list(F.struct("y", "lo", "hi")).alias("hs"))
     box = lambda x0, y0, x1, y1: F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
@@ -290,6 +291,6 @@ def cleared(regions: DataFrame, lists: DataFrame, rules: DataFrame, frames: Data
 
     first = F.array(box(*[F.col(s) for s in G.SIDES]))
     pieces = F.aggregate("ls", first, lambda qs, t: F.flatten(F.transform(qs, lambda q: cut(q, t))))
-    out = r.join(every, keys, "left").join(spans, keys, "left").withColumn("hs", F.coalesce("hs", F.array().cast("array<struct<y:double,lo:double,hi:double>>")))
+    out = r.join(shuffled(every), keys, "left").join(shuffled(spans), keys, "left").withColumn("hs", F.coalesce("hs", F.array().cast("array<struct<y:double,lo:double,hi:double>>")))
     out = out.withColumn("qs", F.when((F.col("y1") < F.col("f_y1") - tol) | F.col("ls").isNull(), first).otherwise(pieces))
     return out.select(*rk, F.posexplode("qs").alias("piece", "q")).select(*rk, "piece", "q.*")
