@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from rivulet.functions import geometry as G
 
 
-def first_feasible(df: DataFrame, keys: list[str], feasible: Column, rank: str) -> DataFrame:
-    """The first candidate that is feasible, by rank, for each key; keys without one are left out."""
-    w = Window.partitionBy(*keys).orderBy(rank)
-    return df.filter(feasible).withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+def first_feasible(df: DataFrame, keys: list[str], feasible: Column, rank: str, ties: list[str] | None = None) -> DataFrame:
+    """The first candidate that is feasible, by rank, for each key; keys without one are left out.
+
+    Of equal ranks the first by ``ties`` (columns that are dropped), else any.
+    """
+    w = Window.partitionBy(*keys).orderBy(rank, *(ties or []))
+    return df.filter(feasible).withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r", *(ties or []))
 
 
 def pick_variant(df: DataFrame, keys: list[str], plain: str, variant: str, keep: float = 0.97, auto: str | None = None, keep_auto: float = 0.90) -> DataFrame:

@@ -403,8 +403,8 @@ LADDER_SQL = "SELECT p_partkey, list_filter([8.0, 7.0, 6.0, 5.0, 4.75]::DOUBLE[]
 
 
 def first_feasible(spark, d):
-    s = V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return layout.first_feasible(s, ["l_orderkey"], F.col("l_quantity") >= 30, "l_linenumber")
+    s = V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return layout.first_feasible(s, ["l_orderkey"], F.col("l_quantity") >= 30, "l_linenumber", ["file", "at"])  # equal numbers: the first row of the table
 
 
 FEASIBLE_SQL = "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 30 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) = 1"

@@ -49,3 +49,16 @@ def test_visual_rows_of_a_long_text_and_of_words_without_height(spark):
     out = intervals.visual_rows(df.unionByName(odd), ["k"], "y", "x", "t").collect()
     assert sorted((r["row"], r["line"]) for r in out if r["k"] == 2) == [(1, "a"), (2, "b"), (3, "c  d"), (4, "e")]
     assert [r["line"] for r in sorted(out, key=lambda r: r["row"]) if r["k"] == 1] == ["  ".join(str(10 * i + j) for j in range(10)) for i in range(4000)]
+
+
+def test_first_feasible_takes_the_first_row_of_equal_ranks(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id % 2 AS l_orderkey", "1 AS l_linenumber", "CAST(30 + id AS DOUBLE) AS l_quantity")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        out = REGISTRY["first_feasible"][0](spark, str(tmp_path))
+        assert ["file", "at"] == [c for c in ("file", "at") if c not in out.columns]
+        assert sorted(map(tuple, out.collect())) == [(0, 1, 30.0), (1, 1, 31.0)]
+        assert "at#" in plan(out)  # the order of rows, not that of arrival
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
