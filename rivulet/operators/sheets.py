@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,23 +118,35 @@ def prefix_sums(cells: DataFrame, keys: list[str]) -> DataFrame:
     return full.withColumn("c", F.sum(F.coalesce("o", F.lit(0))).over(up)).withColumn("s", F.sum("c").over(across)).select(*keys, "ix", "iy", "s")
 
 
+def _grid_sums(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    """Prefix sums of each page's occupied cells, column after column."""
+
+    def one(x, y):
+        grid = np.zeros((max(x) + 1, max(y) + 1), np.int32)
+        grid[x, y] = 1
+        return grid.cumsum(0).cumsum(1).ravel()
+
+    return pd.Series([one(x, y) for x, y in zip(xs, ys)])
+
+
 def first_clear(cells: DataFrame, candidates: DataFrame, keys: list[str], rank: str) -> DataFrame:
     """The first candidate (by rank) whose cells ``ix0..ix1, iy0..iy1`` hold nothing; one per key.
 
-    The count in a rectangle is four look-ups in the prefix sums, as equi-joins; beyond the grid lies nothing.
+    The count in a rectangle is four look-ups in the page's prefix sums, one array a page; beyond the grid lies nothing.
+    Candidates may be many to a page: they stream past these arrays (hashed, not sorted), and only the first one is kept.
     """
-    p = prefix_sums(cells, keys)
-    ext = p.groupBy(*keys).agg(F.max("ix").alias("mx"), F.max("iy").alias("my"))
-    c = candidates.join(ext, keys, "left")
-    out = c
-    for n, (x, y) in enumerate([("ix1", "iy1"), ("ix0", "iy1"), ("ix1", "iy0"), ("ix0", "iy0")]):
-        at = lambda v, m, low: F.least(F.col(v) - (1 if low else 0), F.col(m))
-        look = p.select(*keys, F.col("ix").alias(f"x{n}"), F.col("iy").alias(f"y{n}"), F.col("s").alias(f"s{n}"))
-        out = out.withColumns({f"x{n}": at(x, "mx", x == "ix0"), f"y{n}": at(y, "my", y == "iy0")}).join(look, [*keys, f"x{n}", f"y{n}"], "left")
-    s = [F.coalesce(f"s{n}", F.lit(0)) for n in range(4)]
-    clear = out.filter((s[0] - s[1] - s[2] + s[3]) == 0)
-    w = Window.partitionBy(*keys).orderBy(rank)
-    return clear.withColumn("__r", F.row_number().over(w)).filter("__r = 1").select(*candidates.columns)
+    p = cells.groupBy(*keys).agg(F.collect_list("ix").alias("__x"), F.collect_list("iy").alias("__y"), F.max("ix").alias("__mx"), F.max("iy").alias("__my"))
+    p = p.select(*keys, "__mx", "__my", F.pandas_udf(_grid_sums, "array<int>")("__x", "__y").alias("__s"))
+    out = candidates.join(p.hint("shuffle_hash"), keys, "left")
+
+    def upto(x: Column, y: Column) -> Column:
+        x, y = F.least(x, F.col("__mx")), F.least(y, F.col("__my"))
+        return F.when((x >= 0) & (y >= 0), F.coalesce(F.get("__s", (x * (F.col("__my") + 1) + y).cast("int")), F.lit(0))).otherwise(0)
+
+    x0, y0, x1, y1 = (F.col(c) for c in ("ix0", "iy0", "ix1", "iy1"))
+    clear = out.filter(F.col("__s").isNull() | (upto(x1, y1) - upto(x0 - 1, y1) - upto(x1, y0 - 1) + upto(x0 - 1, y0 - 1) == 0))
+    rest = [c for c in candidates.columns if c not in keys]
+    return clear.groupBy(*keys).agg(*[F.min_by(c, rank).alias(c) for c in rest]).select(*candidates.columns)
 
 
 def packed_rows(sizes: Column, scale: Column, width: float, height: float, gap: float, corner: tuple[float, float] | None = None) -> Column:

@@ -82,7 +82,8 @@ SELECT v AS box_id, min(u) AS piece FROM r GROUP BY v UNION ALL SELECT box_id, l
 
 
 def first_clear_place(spark, d):
-    cells = layout.cells(V.boxes(spark, d), PAGE, 16.0)
+    # a page has few cells and thousands of candidates: by the cells' size alone Spark would leave all pages to one task
+    cells = layout.cells(V.boxes(spark, d), PAGE, 16.0).repartition(4 * spark.sparkContext.defaultParallelism, *PAGE)
     k = spark.range(6 * 50 * 35).selectExpr("id", "6 - id div 1750 AS k", "id % 1750 div 35 AS ix0", "id % 35 AS iy0")
     c = cells.select("page_id").distinct().withColumn("__j", F.lit(1)).join(F.broadcast(k.withColumn("__j", F.lit(1))), "__j").drop("__j")
     c = c.withColumns({"ix1": F.col("ix0") + F.col("k") - 1, "iy1": F.col("iy0") + F.col("k") - 1}).filter("ix1 < 50 AND iy1 < 35")

@@ -62,3 +62,15 @@ def test_first_feasible_takes_the_first_row_of_equal_ranks(spark, tmp_path):
         assert "at#" in plan(out)  # the order of rows, not that of arrival
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_first_clear_sorts_no_candidates(spark, sf_dir):
+    from rivulet.operators import sheets
+
+    text = plan(REGISTRY["first_clear_place"][0](spark, sf_dir))
+    top = text[: text.index("ShuffledHashJoin")]  # what candidates pass after they met the cells
+    assert "SortMergeJoin" not in top and "Window" not in top and "Sort [" not in top
+    cells = spark.createDataFrame([(1, 1, 0), (1, 0, 2), (2, 0, 0)], "page int, ix long, iy long")
+    rows = [(p, i, x, y, x + 1, y + 1) for p in (1, 2, 3) for i, (x, y) in enumerate([(0, 0), (1, 1), (0, 1), (1, 2), (5, 5)])]
+    got = sheets.first_clear(cells, spark.createDataFrame(rows, "page int, id int, ix0 long, iy0 long, ix1 long, iy1 long"), ["page"], "id")
+    assert {r["page"]: r["id"] for r in got.collect()} == {1: 1, 2: 1, 3: 0}
