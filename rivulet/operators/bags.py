@@ -35,6 +35,32 @@ def mode_first(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFram
     return best.select(*keys, F.col("b.v").alias(value), F.col("b.n").alias("n"))
 
 
+def tallied(items: Column) -> Column:
+    """Each distinct value of an array of ``word, pos``, sorted by both: ``word, n, first_pos``, by value.
+
+    A run of equal values begins where the one before differs; its length is the way to where the next one begins.
+    """
+    begins = F.filter(F.transform(items, lambda x, i: i), lambda i: (i == 0) | (F.get(items, i)["word"] != F.get(items, i - 1)["word"]))
+    ends = F.concat(F.filter(begins, lambda i: i > 0), F.array(F.size(items)))
+    return F.transform(
+        F.filter(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda r: r["a"].isNotNull()),
+        lambda r: F.struct(F.get(items, r["a"])["word"].alias("word"), (r["b"] - r["a"]).cast("long").alias("n"), F.get(items, r["a"])["pos"].alias("first_pos")),
+    )
+
+
+def first_order_within(df: DataFrame, keys: list[str], items: str, value: str) -> DataFrame:
+    """``first_order`` of rows that hold a key's values in one array (``word, pos``, sorted): nothing is shuffled."""
+    t = df.select(*keys, F.col(items).alias("__i")).withColumn("__t", tallied(F.col("__i")))
+    order = F.array_sort(F.transform("__t", lambda x: F.struct(x["first_pos"].alias("first_pos"), x["word"].alias("word"))))
+    return t.select(*keys, F.posexplode(order).alias("__r", "__w")).select(*keys, F.col("__w.word").alias(value), F.col("__w.first_pos").alias("first_pos"), (F.col("__r") + 1).alias("rank"))
+
+
+def mode_first_within(df: DataFrame, keys: list[str], items: str, value: str) -> DataFrame:
+    """``mode_first`` of rows that hold a key's values in one array (``word, pos``, sorted): nothing is shuffled."""
+    best = F.array_max(F.transform(tallied(F.col(items)), lambda x: F.struct(x["n"].alias("n"), (-x["first_pos"]).alias("p"), x["word"].alias("v"))))
+    return df.select(*keys, best.alias("b")).select(*keys, F.col("b.v").alias(value), F.col("b.n").alias("n"))
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 

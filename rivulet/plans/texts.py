@@ -147,14 +147,14 @@ VOCAB_SQL = with_views("word bword", " SELECT id, count(*) AS unknown, count(DIS
 
 
 def unique_first_order(spark, d):
-    return bags.first_order(V.words(spark, d), ["id"], "word", "pos")
+    return bags.first_order_within(V.document_words(spark, d), ["id"], "words", "word")
 
 
 UNIQUE_SQL = with_views("word", ", f AS (SELECT id, word, min(pos) AS first_pos FROM word GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY id ORDER BY first_pos)::INTEGER AS rank FROM f")
 
 
 def mode_first(spark, d):
-    return bags.mode_first(V.words(spark, d), ["id"], "word", "pos")
+    return bags.mode_first_within(V.document_words(spark, d), ["id"], "words", "word")
 
 
 MODE_SQL = with_views("word", ", f AS (SELECT id, word, count(*) AS n, min(pos) AS p FROM word GROUP BY ALL) SELECT id, word, n FROM f QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, p) = 1")
@@ -192,8 +192,12 @@ INV_SQL = with_views("box", ", b AS (SELECT * REPLACE (box_id // 40 AS page_id)
 
 
 def split_lines(spark, d):
-    w = V.words(spark, d).withColumns({"line": F.floor(F.col("pos") / 12), "grp": F.when(F.col("pos") % 5 == 0, F.col("pos") % 3)})
-    return w.groupBy("id", "line").agg(F.count_distinct("grp").alias("groups")).filter("groups > 1")
+    # only words of a group count, and a document's lines and groups are made distinct within its row
+    grouped = F.transform(F.filter("words", lambda x: x["pos"] % 5 == 0), lambda x: F.struct(F.floor(x["pos"] / 12).alias("word"), (x["pos"] % 3).alias("pos")))
+    w = V.document_words(spark, d, by_word=False).select("id", F.array_sort(grouped).alias("g"))
+    w = w.select("id", F.filter("g", lambda x, i: (i == 0) | (x != F.get("g", i - 1))).alias("g"))
+    t = w.select("id", F.explode(bags.tallied(F.col("g"))).alias("t"))
+    return t.select("id", F.col("t.word").alias("line"), F.col("t.n").alias("groups")).filter("groups > 1")
 
 
 SPLIT_SQL = with_views("word", " SELECT id, CAST(floor(pos / 12) AS BIGINT) AS line, count(DISTINCT CASE WHEN pos % 5 = 0 THEN pos % 3 END) AS groups FROM word GROUP BY ALL HAVING count(DISTINCT CASE WHEN pos % 5 = 0 THEN pos % 3 END) > 1")
@@ -255,7 +259,9 @@ OUT_SQL = with_views("seg", ", s AS (SELECT page_id, CASE WHEN seg_id % 1000 = 1
 
 
 def kind_classify(spark, d):
-    w = V.words(spark, d).groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ").alias("text"), F.count_if(F.col("word").rlike("^[0-9]{6,}$")).alias("parts"), F.count(F.lit(1)).alias("shapes"))
+    w = V.document_words(spark, d, by_word=False).select(
+        "id", F.array_join(F.transform("words", lambda x: x["word"]), " ").alias("text"), F.size(F.filter("words", lambda x: F.rlike(x["word"], F.lit("^[0-9]{6,}$")))).cast("long").alias("parts"), F.size("words").cast("long").alias("shapes")
+    )
     words = lambda *xs: F.array(*[F.lit(x) for x in xs])
     return w.select("id", blocks.kind(F.col("text"), F.col("parts"), F.col("shapes") % 20, words("token =", "License"), words("stupid", "idiot"), words("And ", "Der ")).alias("kind"))
 

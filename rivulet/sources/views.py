@@ -179,6 +179,18 @@ def words(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     ).filter("word <> ''")
 
 
+def document_words(spark: SparkSession, sf_dir: str, by_word: bool = True) -> DataFrame:
+    """``id, words``: the words of ``words`` of each id, one row an id (array of ``word, pos``), ordered by both, or by position.
+
+    Texts meet by id whole, so nothing is shuffled word by word. An id without words is left out.
+    """
+    one_text = lambda t: F.filter(F.transform(F.split(t, r"[ \n\t]+"), lambda w, i: F.struct(w.alias("word"), (i + 1).cast("long").alias("pos"))), lambda x: x["word"] != "")
+    texts = table(spark, sf_dir, "documents").filter(F.col("text").rlike(r"[^ \n\t]")).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list("text").alias("texts"))
+    words_ = F.flatten(F.transform("texts", one_text))
+    by_pos = F.transform(F.array_sort(F.transform(words_, lambda x: F.struct(x["pos"].alias("pos"), x["word"].alias("word")))), lambda x: F.struct(x["word"].alias("word"), x["pos"].alias("pos")))
+    return texts.select("id", (F.array_sort(words_) if by_word else F.when(F.size("texts") > 1, by_pos).otherwise(words_)).alias("words"))
+
+
 def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``job, event_id, ts, kind, recipe``: kinds run, success, fail, reset."""
     return table(spark, sf_dir, "events").selectExpr(

@@ -74,3 +74,24 @@ def test_first_clear_sorts_no_candidates(spark, sf_dir):
     rows = [(p, i, x, y, x + 1, y + 1) for p in (1, 2, 3) for i, (x, y) in enumerate([(0, 0), (1, 1), (0, 1), (1, 2), (5, 5)])]
     got = sheets.first_clear(cells, spark.createDataFrame(rows, "page int, id int, ix0 long, iy0 long, ix1 long, iy1 long"), ["page"], "id")
     assert {r["page"]: r["id"] for r in got.collect()} == {1: 1, 2: 1, 3: 0}
+
+
+@pytest.mark.parametrize("name", ["unique_first_order", "mode_first", "split_lines", "kind_classify"])
+def test_words_meet_within_their_document(name, spark, sf_dir):
+    text = plan(REGISTRY[name][0](spark, sf_dir))
+    assert text.count("Exchange") == 1 and "Window" not in text  # texts by id, no words
+
+
+def test_documents_of_one_id_are_one_bag(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from rivulet.operators import bags
+    from rivulet.sources import views as V
+
+    rows = [(1, "b a  b\tc"), (1, "c x"), (2, None), (3, " \n"), (4, "")] + [(5, " ".join("vwxyz"[i * i % 5] for i in range(40)))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    w, d = V.words(spark, str(tmp_path)), V.document_words(spark, str(tmp_path))
+    assert sorted(d.select("id", F.inline("words")).select("id", "pos", "word").collect()) == sorted(w.collect())
+    assert sorted(bags.mode_first_within(d, ["id"], "words", "word").collect()) == sorted(bags.mode_first(w, ["id"], "word", "pos").collect())
+    a, b = (sorted((r["id"], r["word"], r["first_pos"]) for r in x.collect()) for x in (bags.first_order_within(d, ["id"], "words", "word"), bags.first_order(w, ["id"], "word", "pos")))
+    assert a == b
