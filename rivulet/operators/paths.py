@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions import geometry as G
-from rivulet.operators import joins
 from rivulet.operators.intervals import collinear
 
 # Slack of a level rule, its share of the length, least length of an edge, slack of a removed area.
@@ -96,13 +95,14 @@ def on_page(paths: DataFrame, pages: DataFrame, keys: list[str], margin: float =
 POLICIES = ("innermost", "title_top", "inner_ring")
 
 
-def inner_frame(segs: DataFrame, extents: DataFrame, keys: list[str], policy: str | Column = "innermost", search: float = 0.12, share: float = 0.6) -> DataFrame:
+def inner_frame(segs: DataFrame, extents: DataFrame, keys: list[str], policy: str | Column | list[str] | tuple[str, ...] = "innermost", search: float = 0.12, share: float = 0.6) -> DataFrame:
     """``keys..., x0, y0, x1, y1, status``: the inner frame of a page by its long rules; null and FRAME_NOT_FOUND without.
 
     ``extents``: ``keys, x0..y1`` of all that is drawn. On each side it is the innermost rule of ``share`` of the extent whose
     distance from the extent's edge is under ``search`` of it. The bottom follows a policy: ``innermost``; ``title_top``, the
     highest rule of 0.9 of the width in the last fifth of the height, where a title block spans the sheet; ``inner_ring``, the
-    second line from the edge, lines within 1 of the one outside counting as it.
+    second line from the edge, lines within 1 of the one outside counting as it. Several policies share one pass over the
+    rules and give a row each, with ``policy``.
     """
     e = extents.select(*keys, *[F.col(s).alias(f"e_{s}") for s in G.SIDES])
     rules = collinear(segs, [*keys, "orient"], 0.0).join(e, keys)
@@ -116,12 +116,15 @@ def inner_frame(segs: DataFrame, extents: DataFrame, keys: list[str], policy: st
         F.min(F.when(h & (F.col("covered") >= 0.9 * wide) & (c > F.col("e_y1") - 0.2 * high), c)).alias("title"), F.reverse(F.array_sort(F.collect_list(F.when(bottom, c)))).alias("ring"),
     )
     kept = F.aggregate("ring", F.array().cast("array<double>"), lambda s, y: F.when((F.size(s) == 0) | (F.element_at(s, -1) - y > 1.0), F.concat(s, F.array(y))).otherwise(s))
-    p = policy if isinstance(policy, Column) else F.lit(policy)
+    several = isinstance(policy, (list, tuple))
+    p = F.col("policy") if several else policy if isinstance(policy, Column) else F.lit(policy)
     y1 = F.when(p == "title_top", F.coalesce("title", "low")).when(p == "inner_ring", F.coalesce(F.get(kept, 1), F.col("low"))).otherwise(F.col("low"))
     there = F.col("x0").isNotNull() & F.col("x1").isNotNull() & F.col("y0").isNotNull() & F.col("low").isNotNull()
     cols = {"x0": F.col("x0"), "y0": F.col("y0"), "x1": F.col("x1"), "y1": y1}
     out = extents.select(*[c for c in extents.columns if c not in G.SIDES]).join(found, keys, "left")
-    return out.select(*keys, *[F.when(there, v).alias(k) for k, v in cols.items()], F.when(there, "OK").otherwise("FRAME_NOT_FOUND").alias("status"))
+    if several:
+        out = out.withColumn("policy", F.explode(F.array(*[F.lit(n) for n in policy])))
+    return out.select(*keys, *(["policy"] if several else []), *[F.when(there, v).alias(k) for k, v in cols.items()], F.when(there, "OK").otherwise("FRAME_NOT_FOUND").alias("status"))
 
 
 def drawing_items(items: DataFrame, frames: DataFrame, areas: DataFrame, keys: list[str], pad: float = 0.5, edge_min: float = 2.0) -> tuple[DataFrame, DataFrame]:
@@ -137,6 +140,9 @@ def drawing_items(items: DataFrame, frames: DataFrame, areas: DataFrame, keys: l
       ends lie in one area.
 
     A path that lost some items has the reason with ``_split``. Paths of pages without a frame are left out.
+
+    Items pass once: what is left after a step is a flag, the next step's windows look at flagged items only, and the areas
+    of a page, which are few, come as one array.
     """
     pk = [*keys, "path_id"]
     f = frames.select(*keys, *[F.col(s).alias(f"f_{s}") for s in G.SIDES])
@@ -146,11 +152,11 @@ def drawing_items(items: DataFrame, frames: DataFrame, areas: DataFrame, keys: l
     dx, dy = F.abs(F.col("ax") - F.col("bx")), F.abs(F.col("ay") - F.col("by"))
     length = F.sqrt(dx * dx + dy * dy)
 
-    def measured(df: DataFrame) -> DataFrame:
-        side = lambda c: (F.min if c.endswith("0") else F.max)(c).over(per)
-        return df.withColumns({**{f"b_{c}": side(c) for c in G.SIDES}, "n": F.count(F.lit(1)).over(per), "straight": F.bool_and(F.col("op") == "l").over(per)})
+    def measured(df: DataFrame, of: Column) -> DataFrame:
+        side = lambda c: (F.min if c.endswith("0") else F.max)(F.when(of, F.col(c))).over(per)
+        return df.withColumns({**{f"b_{c}": side(c) for c in G.SIDES}, "n": F.count_if(of).over(per), "straight": F.bool_and(F.when(of, F.col("op") == "l")).over(per)})
 
-    e = measured(e)
+    e = measured(e, F.lit(True))
     padded = G.pad(G.of("f_"), pad)
     band = ~G.contains(padded, G.of("b_"))
     over = (F.col("b_x1") - F.col("b_x0") > 0.9 * fw) | (F.col("b_y1") - F.col("b_y0") > 0.9 * fh)
@@ -160,39 +166,33 @@ def drawing_items(items: DataFrame, frames: DataFrame, areas: DataFrame, keys: l
     flat_ok = (F.least(to("ay", "y0"), to("ay", "y1")) >= 1) & (dx <= 0.9 * fw) & ~((F.least(to("ax", "x0"), to("ax", "x1"), to("bx", "x0"), to("bx", "x1")) < 1) & tick)
     tall_ok = (F.least(to("ax", "x0"), to("ax", "x1")) >= 1) & (dy <= 0.9 * fh) & ~((F.least(to("ay", "y0"), to("ay", "y1"), to("by", "y0"), to("by", "y1")) < 1) & tick)
     rescued = (F.col("n") > 1) & F.col("straight") & inside & F.when(dy < LEVEL, flat_ok).when(dx < LEVEL, tall_ok).otherwise(F.lit(False))
-    e = e.withColumns({"why": F.when(band, "frame_band").when(over, "frame_rule"), "stay": F.when(band | over, rescued).otherwise(F.lit(True))})
-    gone = e.groupBy(*pk).agg(F.first("why").alias("why"), F.count_if("stay").alias("left"))
-    lost = gone.filter("why IS NOT NULL").select(*pk, F.when(F.col("left") > 0, F.concat("why", F.lit("_split"))).otherwise(F.col("why")).alias("reason"))
-    e = measured(e.filter("stay").drop("stay", "why", *[f"b_{c}" for c in G.SIDES], "n", "straight"))
+    e = e.withColumns({"why": F.when(band, "frame_band").when(over, "frame_rule"), "stay": F.coalesce(F.when(band | over, rescued).otherwise(F.lit(True)), F.lit(False))})
+    e = measured(e, F.col("stay"))
     bw, bh = F.col("b_x1") - F.col("b_x0"), F.col("b_y1") - F.col("b_y0")
     on = lambda a, b: F.least(F.abs(F.col(f"b_{a}") - F.col(f"f_{a}")), F.abs(F.col(f"b_{b}") - F.col(f"f_{b}"))) < 1
     edge = F.col("straight") & (((bh < 0.6) & (bw > edge_min) & on("y0", "y1")) | ((bw < 0.6) & (bh > edge_min) & on("x0", "x1")))
-    lost = lost.unionByName(e.filter(edge).select(*pk).distinct().withColumn("reason", F.lit("frame_edge")))
-    e = e.filter(~edge)
-    # which ends and centres lie in an area: points meet areas in cells
-    a = areas.select(*keys, F.monotonically_increasing_id().alias("area"), *G.SIDES)
-
-    def held(points: DataFrame) -> DataFrame:
-        pts = points.select(*keys, "path_id", "item_id", "end", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-        hit = joins.box_join(pts, a, keys, AREA)
-        return hit.select(*keys, F.col("a_path_id").alias("path_id"), F.col("a_item_id").alias("item_id"), F.col("a_end").alias("end"), F.col("b_area").alias("area"))
-
-    ends = e.select(*keys, "path_id", "item_id", F.inline(F.array(F.struct(F.lit(0).alias("end"), F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.lit(1).alias("end"), F.col("bx").alias("x"), F.col("by").alias("y")))))
-    mids = e.select(*pk, ((F.col("b_x0") + F.col("b_x1")) / 2).alias("x"), ((F.col("b_y0") + F.col("b_y1")) / 2).alias("y")).distinct().withColumns({"item_id": F.lit(None).cast("long"), "end": F.lit(2)})
-    by_end = held(ends)
-    in_any = by_end.groupBy(*pk, "item_id").agg(F.countDistinct("end").alias("ends"))
-    in_one = by_end.groupBy(*pk, "item_id", "area").agg(F.countDistinct("end").alias("m")).groupBy(*pk, "item_id").agg(F.max("m").alias("one"))
-    central = held(mids).select(*pk).distinct().withColumn("central", F.lit(True))
-    e = e.join(in_any, [*pk, "item_id"], "left").join(in_one, [*pk, "item_id"], "left").join(central, pk, "left")
-    e = e.withColumns({"ends": F.coalesce("ends", F.lit(0)), "one": F.coalesce("one", F.lit(0)), "central": F.coalesce("central", F.lit(False))})
+    e = e.withColumns({"edge": F.col("stay") & F.coalesce(edge, F.lit(False)), "kept": F.col("stay") & F.coalesce(~edge, F.lit(False))})
+    # which ends and centres lie in an area
+    a = areas.groupBy(*keys).agg(F.collect_list(F.struct(*G.SIDES)).alias("areas"))
+    e = e.join(a, keys, "left").withColumn("areas", F.coalesce("areas", F.array().cast("array<struct<x0:double,y0:double,x1:double,y1:double>>")))
+    point = lambda x, y: F.struct(x.alias("x0"), y.alias("y0"), x.alias("x1"), y.alias("y1"))
+    begin, end = point(F.col("ax"), F.col("ay")), point(F.col("bx"), F.col("by"))
+    middle = point((F.col("b_x0") + F.col("b_x1")) / 2, (F.col("b_y0") + F.col("b_y1")) / 2)
+    held = lambda p: F.coalesce(F.exists("areas", lambda r: G.near(p, r, AREA)), F.lit(False))
+    both_in = F.coalesce(F.exists("areas", lambda r: G.near(begin, r, AREA) & G.near(end, r, AREA)), F.lit(False))
+    e = e.withColumns({"ends": held(begin).cast("int") + held(end).cast("int"), "one": both_in, "central": held(middle)}).drop("areas")
     out_ok = (F.col("n") > 1) & F.col("straight") & ((dx < LEVEL) | (dy < LEVEL)) & (length > 2) & (F.col("ends") == 0)
-    e = e.withColumn("first", F.when(F.col("central"), out_ok).otherwise(F.lit(True)))
+    e = e.withColumn("first", F.col("kept") & F.when(F.col("central"), out_ok).otherwise(F.lit(True)))
     left = F.count_if("first").over(per)
-    both = F.when(left > 1, F.col("ends") == 2).otherwise((F.col("op") == "l") & (F.col("one") == 2))
-    e = e.withColumn("stay", F.col("first") & ~both)
-    rest = e.groupBy(*pk).agg(F.count(F.lit(1)).alias("had"), F.count_if("stay").alias("left"))
-    lost = lost.unionByName(rest.filter("left < had").select(*pk, F.when(F.col("left") > 0, "area_split").otherwise("area").alias("reason")))
-    return e.filter("stay").select(*items.columns), lost
+    both = F.when(left > 1, F.col("ends") == 2).otherwise((F.col("op") == "l") & F.col("one"))
+    e = e.withColumn("drawn", F.col("first") & ~both)
+    per_path = e.groupBy(*pk).agg(F.first("why").alias("why"), F.count_if("stay").alias("stayed"), F.count_if("edge").alias("edges"), F.count_if("kept").alias("had"), F.count_if("drawn").alias("left"))
+    reasons = F.array(
+        F.when(F.col("stayed") > 0, F.concat("why", F.lit("_split"))).otherwise(F.col("why")),
+        F.when(F.col("edges") > 0, F.lit("frame_edge")),
+        F.when(F.col("left") < F.col("had"), F.when(F.col("left") > 0, "area_split").otherwise("area")),
+    )
+    return e.filter("drawn").select(*items.columns), per_path.select(*pk, F.explode(F.array_compact(reasons)).alias("reason"))
 
 
 def page_frame(items: DataFrame, pages: DataFrame, keys: list[str], **options) -> DataFrame:

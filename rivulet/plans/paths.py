@@ -85,11 +85,7 @@ fr AS (SELECT page_id, policy, CASE WHEN ok THEN x0 END AS x0, CASE WHEN ok THEN
 
 def frame_policies(spark, d):
     items, pages = _items(spark, d), proofs.frame(spark, d, "q_pages")
-    out = None
-    for p in paths.POLICIES:
-        one = paths.page_frame(items, pages, PAGE, policy=p).withColumn("policy", F.lit(p))
-        out = one if out is None else out.unionByName(one)
-    return out.select("page_id", "policy", "x0", "y0", "x1", "y1", "status")
+    return paths.page_frame(items, pages, PAGE, policy=paths.POLICIES).select("page_id", "policy", "x0", "y0", "x1", "y1", "status")
 
 
 POLICY_SQL = proofs.with_tables("q_items q_pages", _FRAMES + " SELECT page_id, policy, x0, y0, x1, y1, status FROM fr")

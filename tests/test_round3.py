@@ -95,3 +95,9 @@ def test_documents_of_one_id_are_one_bag(spark, tmp_path):
     assert sorted(bags.mode_first_within(d, ["id"], "words", "word").collect()) == sorted(bags.mode_first(w, ["id"], "word", "pos").collect())
     a, b = (sorted((r["id"], r["word"], r["first_pos"]) for r in x.collect()) for x in (bags.first_order_within(d, ["id"], "words", "word"), bags.first_order(w, ["id"], "word", "pos")))
     assert a == b
+
+
+def test_drawing_items_meet_areas_without_cells(spark, sf_dir):
+    for name in ("drawing_items", "dropped_paths"):
+        assert "__cx" not in plan(REGISTRY[name][0](spark, sf_dir))
+    assert "Union" not in plan(REGISTRY["frame_policies"][0](spark, sf_dir)).split("HashAggregate")[0]
