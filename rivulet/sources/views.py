@@ -14,15 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def by_page(df: DataFrame, base: DataFrame, rows: int = 500_000) -> DataFrame:
-    """``df`` dealt by page to tasks of about ``rows`` rows of the table ``base`` it is made of, whose count its files tell.
-
-    All that follows a page meets without another shuffle, and a task's share does not grow with the table.
-    """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(least, -(-base.count() // rows)), "page_id")
-
-
 def segments(spark: SparkSession, sf_dir: str, orders: int = 155) -> DataFrame:
     """Axis-parallel segments, those of ``orders`` orders a page: ``page_id, seg_id, orient, coord, lo, hi``."""
     return table(spark, sf_dir, "lineitem").selectExpr(
