@@ -37,8 +37,8 @@ from rivulet.llm.common import freeing, small_batches, stored, table
 # The pre-tokenizer's white space (Unicode White_Space) and contractions.
 SPACE_POINTS = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-#: Words a worker remembers the ids of; then it starts anew.
-CACHE_WORDS = 200_000
+#: The pre-tokenizer's expression, as the file's kind of pre-tokenizer has it.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _bytes_of_chars() -> dict[str, int]:
@@ -64,9 +64,9 @@ def _class(chars) -> str:
 class Tokens:
     """Ids of whole texts, as the tokenizers library gives them for a byte-level BPE file without added ids.
 
-    The file's pieces come from a regular expression; equal pieces have equal ids, so each worker looks up pieces it
-    has met before. New pieces go to tiktoken with the same vocabulary as ranks, which needs merges in the order of
-    ids; for any other file the tokenizers library encodes whole texts.
+    Whole texts go to tiktoken with the same expression and the same vocabulary as ranks, which needs merges in the order
+    of ids. Its expressions give up on runs of about a million white-space characters; such a text is cut here. For any
+    other file the tokenizers library encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -91,28 +91,19 @@ class Tokens:
         import tiktoken
 
         ranks = {bytes(back[c] for c in t): i for t, i in vocab.items() if t not in self.specials}
-        self.encoding = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
         other = _class(c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Nl", "No"))
         space = _class(SPACE_POINTS)
         self.pieces = re.compile(
             rf"{CONTRACTIONS}| ?[^\W\d_{other}]+| ?[\d{other}]+| ?(?:[^\w{space}]|_)+|[{space}]+(?![^{space}])|[{space}]+"
         )
-        self.known: dict[str, bytes] = {}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
 
-    def _piece(self, word: str) -> bytes:
-        if (ids := self.known.get(word)) is None:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            ids = self.known[word] = np.array(self.encoding._encode_single_piece(word), "<u4").tobytes()
-        return ids
-
     def _plain(self, text: str) -> bytes:
-        words = self.pieces.findall(text)
         try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            return b"".join(map(self._piece, words))
+            return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        except ValueError:  # too long a run for tiktoken's expressions
+            return b"".join(np.array(self.encoding._encode_single_piece(x), "<u4").tobytes() for x in self.pieces.findall(text))
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
