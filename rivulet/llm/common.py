@@ -63,6 +63,17 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         return
 
 
+def give_back() -> None:
+    """Gives memory that this process has freed back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def freeing(run):
     """``run`` (a map over Arrow batches) that gives its memory back to the system when a task ends."""
 
@@ -70,13 +81,7 @@ def freeing(run):
         try:
             yield from run(batches)
         finally:
-            import pyarrow as pa
-
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (OSError, AttributeError):  # another C library
-                pass
+            give_back()
 
     return inner
 

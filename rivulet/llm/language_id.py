@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm import textnum
-from rivulet.llm.common import freeing, small_batches, table
+from rivulet.llm.common import freeing, give_back, small_batches, table
 
 ORDERS = (2, 3, 4)
 BITS = 17
@@ -132,7 +132,7 @@ def train(
             done += 1
     model = Model(labels, emb @ w, bias, 1.0, 0.0)
     if len(back):
-        z = hidden(back)[0] @ w + bias
+        z = np.concatenate([hidden(back[i : i + batch])[0] for i in range(0, len(back), batch)]) @ w + bias  # a batch's subwords at a time
         grid = np.exp(np.linspace(np.log(0.05), np.log(20), 121))
         loss = [-np.log(np.maximum(_softmax(z / t)[np.arange(len(back)), y[back]], 1e-12)).mean() for t in grid]
         model.temperature = float(max(grid[int(np.argmin(loss))], 0.25))
@@ -194,7 +194,10 @@ def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> Dat
 def fitted(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", per_label: int = 800) -> Model | None:
     """A model from a bounded sample of ``docs``; None without labels."""
     texts, langs = sample(docs, key=key, text=text, lang=lang, per_label=per_label)
-    return train(texts, langs) if texts else None
+    model = train(texts, langs) if texts else None
+    del texts, langs
+    give_back()  # the sample and its subwords; the driver goes on with other work
+    return model
 
 
 def held_out(key: Column) -> Column:

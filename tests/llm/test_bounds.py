@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 
-from rivulet.llm import packing
+from rivulet.llm import language_id, packing
 
 
 def _byte_file() -> str:
@@ -33,3 +34,14 @@ def test_op2_very_long_runs():
     tok, lib = packing.Tokens(_byte_file()), Tokenizer.from_file(_byte_file())
     for text in (" " * 1_200_000 + "x", "a" + "\n" * 1_200_000 + " b"):
         assert tok.ids(text) == np.array(lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_training_keeps_no_subwords_of_all_kept_back_texts():
+    """The texts kept back are scored batch after batch: their subwords' rows together would be about 100 MB here."""
+    rng = random.Random(3)
+    texts = ["".join(chr(rng.randrange(97, 123)) for _ in range(2000)) for _ in range(600)]
+    tracemalloc.start()
+    language_id.train(texts, ["a", "b"] * 300, min_steps=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 90e6, peak
