@@ -77,7 +77,7 @@ rules AS (SELECT page_id, orient, bin, min(lo) AS lo, max(hi) AS hi, avg(coord)
 
 
 def collinear_rules(spark, d):
-    out = intervals.collinear(V.segments(spark, d), ORIENT, 400)
+    out = intervals.collinear(V.page_segments(spark, d), ORIENT, 400)
     return out.withColumn("coord", F.bround("coord", 6))
 
 
@@ -85,7 +85,7 @@ COLLINEAR_SQL = with_views("seg", _COLL + " SELECT page_id, orient, bin, lo, hi,
 
 
 def coverage_window(spark, d):
-    return intervals.coverage(V.segments(spark, d), ORIENT, F.lit(100.0), F.lit(600.0))
+    return intervals.coverage(V.page_segments(spark, d), ORIENT, F.lit(100.0), F.lit(600.0))
 
 
 COVERAGE_SQL = with_views(
@@ -97,7 +97,7 @@ SELECT page_id, orient, sum(greatest(0, b - greatest(a, coalesce(reach, a))))::D
 
 
 def rule_runs(spark, d):
-    s = V.segments(spark, d).withColumn("line", F.floor("coord"))
+    s = V.page_segments(spark, d).withColumn("line", F.floor("coord"))
     return intervals.runs(s, ["page_id", "orient", "line"], 1.5)
 
 
@@ -184,7 +184,7 @@ def equal_pitch_runs(spark, d):
 
 
 def frame_detect(spark, d):
-    return frames.detect(V.segments(spark, d), PAGE, 0.6, 0.3)
+    return frames.detect(V.page_segments(spark, d), PAGE, 0.6, 0.3)
 
 
 _FRAME = (
@@ -211,7 +211,7 @@ FRAME_SQL = with_views("seg", _FRAME + " SELECT page_id, round_even(x0, 6) AS x0
 
 
 def fingerprint_cells(spark, d):
-    s = V.segments(spark, d)
+    s = V.page_segments(spark, d)
     cells = frames.grid_cells(s, frames.detect(s, PAGE, 0.6, 0.3), PAGE)
     return cells.groupBy("page_id", "plane").agg(F.count(F.lit(1)).alias("cells"), F.sum(F.col("ix") * 40 + F.col("iy")).alias("place"))
 

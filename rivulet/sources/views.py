@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a task's share where a table is dealt to tasks by its count.
+ROWS = 200_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,6 +29,17 @@ def segments(spark: SparkSession, sf_dir: str, orders: int = 155) -> DataFrame:
     )
 
 
+def page_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, orient, coord, lo, hi`` of ``segments``, a page in one task.
+
+    Windows sort a task's share whole, so the number of tasks follows the table's count, not Spark's fixed number of
+    shuffle partitions; groupings and joins by page that follow need no other shuffle. Small tables are left as they lie.
+    """
+    s = segments(spark, sf_dir).drop("seg_id")
+    n = -(-table(spark, sf_dir, "lineitem").count() // ROWS)
+    return s.repartition(n, "page_id") if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else s
+
+
 _RULE = [
     "l_orderkey // 31 AS page_id",
     "((l_orderkey * 10 + l_linenumber) * 10000 + l_partkey) * 1000 + l_suppkey AS rule_id",
