@@ -247,7 +247,7 @@ SELECT page_id, CAST(min(rot) AS INTEGER) AS rot FROM b WHERE dir = 'right' AND
 def drawing_pages(spark, d):
     s = V.segments(spark, d)
     n = s.groupBy("page_id").agg(F.count(F.lit(1)).alias("paths")).filter("paths >= 300")
-    return n.join(frames.detect(s, ["page_id"], 0.5, 0.3).filter("found >= 1").select("page_id"), "page_id", "left_semi")
+    return n.join(frames.detect(V.page_segments(spark, d), ["page_id"], 0.5, 0.3).filter("found >= 1").select("page_id"), "page_id", "left_semi")
 
 
 def outlier_filter(spark, d):
