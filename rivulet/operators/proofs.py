@@ -153,7 +153,8 @@ def removal_proof(source: DataFrame, removed: DataFrame, output: DataFrame, key:
     hashes over the retained stream's chunks. Removed places that the source lacks, or that come twice, make it unequal.
 
     A stream may be long, so none is numbered in one window: places come from counts per chunk, summed over chunks, and row
-    numbers inside. Both sides' chunks are hashed; only a stream's first chunk that differs is compared row by row.
+    numbers inside. Both sides' chunks are hashed; only a stream's first chunk that differs is compared row by row. Between
+    tasks hashes go as 32 bytes, not as text.
     """
     gone = removed.groupBy(key, "idx").agg(F.count(F.lit(1)).alias("times"))
     marked = source.select(key, "idx", "op").join(gone, [key, "idx"], "left")
@@ -164,10 +165,10 @@ def removal_proof(source: DataFrame, removed: DataFrame, output: DataFrame, key:
         before = F.coalesce(F.sum("n").over(Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         inside = F.row_number().over(Window.partitionBy(key, "part").orderBy("idx")) - 1
         placed = cut.withColumn("inside", inside).join(sums.withColumn("before", before).drop("n"), [key, "part"])
-        return placed.select(key, (F.col("before") + F.col("inside")).alias("place"), F.sha2("op", 256).alias("h")).withColumn("piece", F.floor(F.col("place") / chunk))
+        return placed.select(key, (F.col("before") + F.col("inside")).alias("place"), F.unhex(F.sha2("op", 256)).alias("h")).withColumn("piece", F.floor(F.col("place") / chunk))
 
     kept, got = numbered(marked.filter("times IS NULL")), numbered(output.select(key, "idx", "op"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "h"))), lambda x: x["h"]), "")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "h"))), lambda x: F.lower(F.hex(x["h"]))), "")
     pieces = lambda rows, name: rows.groupBy(key, "piece").agg(F.sha2(joined, 256).alias(name))
     a, b = pieces(kept, "want"), pieces(got, "have")
     first_piece = a.join(b, [key, "piece"], "full").filter(~F.col("want").eqNullSafe(F.col("have"))).groupBy(key).agg(F.min("piece").alias("piece"))

@@ -18,3 +18,8 @@ def test_pages_are_dealt_by_count(spark, sf_dir, monkeypatch, name):
     tasks = -(-rows // (rows // (few + 3)))
     assert f"hashpartitioning(page_id#" in (plan := out._jdf.queryExecution().toString()) and f", {tasks}), REPARTITION_BY_NUM" in plan
     assert sorted(map(str, out.collect())) == plain
+
+
+def test_removal_proof_sends_hashes_as_bytes(spark, sf_dir):
+    plan = queries()["removal_proof"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex(sha2(" in plan
