@@ -1,4 +1,7 @@
-"""Interval operators: union length, coverage, runs, collinear rules. One window pass each; groups never meet."""
+"""Interval operators: union length, coverage, runs, collinear rules. One window pass each; groups never meet.
+
+Intervals without an end come after those with one, as in the SQL forms; before them, they would begin runs of their own.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _before(keys: list[str], order: list) -> Window:
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def _ordered(keys: list[str], order: list[str]) -> Window:
+    return Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+
+
+def _before(keys: list[str], order: list[str]) -> Window:
+    return _ordered(keys, order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def with_new_length(df: DataFrame, keys: list[str], lo: str = "lo", hi: str = "hi", out: str = "fresh") -> DataFrame:
@@ -31,7 +38,7 @@ def runs(df: DataFrame, keys: list[str], tol: float = 0.0, lo: str = "lo", hi: s
     """``keys..., run, lo, hi, n``: intervals merged over gaps of up to ``tol`` (gaps and islands)."""
     reach = F.max(hi).over(_before(keys, [lo, hi]))
     named = df.withColumn("__new", (reach.isNull() | (F.col(lo) > reach + tol)).cast("int"))
-    named = named.withColumn("run", F.sum("__new").over(Window.partitionBy(*keys).orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, 0)))
+    named = named.withColumn("run", F.sum("__new").over(_ordered(keys, [lo, hi]).rowsBetween(Window.unboundedPreceding, 0)))
     return named.groupBy(*keys, "run").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi"), F.count(F.lit(1)).alias("n"))
 
 

@@ -101,3 +101,18 @@ def test_drawing_items_meet_areas_without_cells(spark, sf_dir):
     for name in ("drawing_items", "dropped_paths"):
         assert "__cx" not in plan(REGISTRY[name][0](spark, sf_dir))
     assert "Union" not in plan(REGISTRY["frame_policies"][0](spark, sf_dir)).split("HashAggregate")[0]
+
+
+def test_rule_runs_with_missing_ends_equal_their_sql(spark, sf_dir, tmp_path):
+    import duckdb
+    from compare import same
+
+    con = duckdb.connect()
+    con.execute(
+        f"""create table lineitem as select * replace (CASE WHEN l_partkey % 7 = l_linenumber THEN NULL ELSE l_quantity END AS l_quantity, CASE WHEN l_orderkey % 11 = 3 THEN NULL ELSE l_suppkey END AS l_suppkey)
+        from '{sf_dir}/lineitem.parquet'"""
+    )
+    con.execute(f"copy lineitem to '{tmp_path}/lineitem.parquet' (format parquet)")
+    for name in ("rule_runs", "coverage_window"):
+        build, sql = REGISTRY[name]
+        same(build(spark, str(tmp_path)).toPandas(), con.execute(sql).df())
