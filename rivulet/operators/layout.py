@@ -11,9 +11,9 @@ from rivulet.functions import geometry as G
 def first_feasible(df: DataFrame, keys: list[str], feasible: Column, rank: str, ties: list[str] | None = None) -> DataFrame:
     """The first candidate that is feasible, by rank, for each key; keys without one are left out.
 
-    Of equal ranks the first by ``ties`` (columns that are dropped), else any.
+    A candidate without a rank comes after all others. Of equal ranks the first by ``ties`` (columns that are dropped), else any.
     """
-    w = Window.partitionBy(*keys).orderBy(rank, *(ties or []))
+    w = Window.partitionBy(*keys).orderBy(F.col(rank).asc_nulls_last(), *(ties or []))
     return df.filter(feasible).withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r", *(ties or []))
 
 
