@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +15,8 @@ from rivulet.operators.graph import written
 ACCEPT, MARGIN, NEAR_TIE = 0.90, 0.03, 0.01
 #: Grids of a block: a group of the shuffle holds one block of each side, whatever the number of grids of a band.
 PAGES, SAMPLES, ITEMS = 2048, 65536, 2048
+#: Grids of a block where a group gives one row a grid, not its pairs; and of a tile of the pairs that are looked at together.
+STARS, TILE = 16384, (32, 8192)
 
 
 def _packed(df: DataFrame, n: int, rows: int, prefix: str) -> tuple[DataFrame, list[str], list[str]]:
@@ -51,6 +51,13 @@ def _dealt(df: DataFrame, keys: list[str], id_: str, size: int, out: str) -> Dat
     return df.join(n, keys).withColumn(out, F.pmod(F.xxhash64(id_), F.col(f"{out}_n")).cast("int"))
 
 
+def _met(df: DataFrame, keys: list[str], id_: str, size: int) -> DataFrame:
+    """Each pair of blocks of a key as a group ``i, j``: rows of the lesser ``block`` meet those of the greater one, or one another."""
+    x = _dealt(df, keys, id_, size, "block")
+    other = F.explode(F.sequence(F.lit(0), F.col("block_n") - 1))
+    return x.withColumn("with", other).withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")}).drop("with", "block_n")
+
+
 def _tasks(df: DataFrame) -> int:
     """Partitions that stay apart: blocks are few bytes and much work, and would be put together by their bytes."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -167,10 +174,7 @@ def pair_similarity(items: DataFrame, least: float = 0.0, n: int = 8, rows: int
     for c in whole[1:]:
         cond = cond & c
     x, xw, xd = _packed(items.filter(cond).select("id", "grid", *keys), n, rows, "a_")
-    x = _dealt(x, [f"a_{k}" for k in keys], "a_id", ITEMS, "block")
-    # each pair of blocks is a group: rows of the lesser block meet those of the greater one, or one another
-    other = F.explode(F.sequence(F.lit(0), F.col("block_n") - 1))
-    x = x.withColumn("with", other).withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")}).drop("with", "block_n")
+    x = _met(x, [f"a_{k}" for k in keys], "a_id", ITEMS)
     kind = x.schema["a_id"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("sim", T.DoubleType())])
 
@@ -195,11 +199,8 @@ def pair_similarity(items: DataFrame, least: float = 0.0, n: int = 8, rows: int
     return x.repartition(_tasks(items), *of).groupBy(*of).applyInArrow(run, schema)
 
 
-def star_clusters(items: DataFrame, sims: DataFrame, threshold: float, inside: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """``group_no, representative, id`` of ``items`` (``id, weight``) with similarities ``sims`` (``a, b, sim``; each pair once).
-
-    ``sims`` holds all pairs, or only those of ``threshold`` and more; then ``inside`` gives the pairs of each group from
-    ``lead, id``, so pairs of unlike items are never written.
+def star_clusters(items: DataFrame, sims: DataFrame, threshold: float) -> DataFrame:
+    """``group_no, representative, id`` of ``items`` (``id, weight``) with similarities ``sims`` (``a, b, sim``; all pairs, each once).
 
     The free item with most free neighbours (``sim`` of ``threshold`` or more) takes them all, until none is left; ties go
     to the weight, then to the lesser id. Groups are numbered by size, then in the order they are taken. The
@@ -226,12 +227,7 @@ def star_clusters(items: DataFrame, sims: DataFrame, threshold: float, inside: C
     if taken is None:
         return items.sparkSession.createDataFrame([], "group_no long, representative long, id long")
     of = taken.select("lead", "id")
-    if inside is not None:
-        of = written(of)
-        within = inside(of)
-        within = within.unionByName(within.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    else:
-        within = both.join(of.withColumnsRenamed({"id": "a", "lead": "g"}), "a").join(of.withColumnsRenamed({"id": "b", "lead": "h"}), "b").filter("g = h")
+    within = both.join(of.withColumnsRenamed({"id": "a", "lead": "g"}), "a").join(of.withColumnsRenamed({"id": "b", "lead": "h"}), "b").filter("g = h")
     total = within.groupBy(F.col("a").alias("id")).agg(F.sum("sim").alias("s"))
     mean = F.round((F.coalesce("s", F.lit(0.0)) + 1) / (F.col("p.n") + 1), 4)
     scored_ = taken.join(items.select("id", F.coalesce("weight", F.lit(0.0)).alias("weight")), "id").join(total, "id", "left")
@@ -240,7 +236,131 @@ def star_clusters(items: DataFrame, sims: DataFrame, threshold: float, inside: C
     return of.join(numbered.select("lead", "group_no", F.col("r.id").alias("representative")), "lead").select("group_no", "representative", "id")
 
 
-def star_cluster_table(items: DataFrame, threshold: float = 0.88, **options) -> DataFrame:
-    """:func:`star_clusters` of fingerprints, without weights."""
-    grouped = lambda of: pair_similarity(items.join(of, "id"), 0.0, group="lead", **options)
-    return star_clusters(items.select("id", F.lit(0.0).alias("weight")), written(pair_similarity(items, threshold, **options)), threshold, grouped)
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that every grid of one side shares with every grid of the other."""
+    out = np.bitwise_count(a[:, None, 0] & b[None, :, 0])
+    out = out if a.shape[1] < 4 else out.astype(np.uint16)
+    for k in range(1, a.shape[1]):
+        out += np.bitwise_count(a[:, None, k] & b[None, :, k])
+    return out
+
+
+class _Grids:
+    """Grids with what the likeness of a pair needs; ``near`` tells where ``_coverage`` is ``threshold`` or more."""
+
+    def __init__(self, bits_: np.ndarray, wide: np.ndarray, threshold: float):
+        size = 64 * bits_.shape[1]
+        # the least number of covered bits of n that is enough, in the score's own arithmetic
+        least = np.count_nonzero(np.arange(size + 1)[None, :] / np.maximum(1, np.arange(size + 1))[:, None] < threshold, axis=1)
+        self.bits, self.wide = bits_, wide
+        self.least = least[np.bitwise_count(bits_).sum(axis=1, dtype=np.int64)].astype(np.uint8 if size < 255 else np.uint16)
+
+    def of(self, at) -> _Grids:
+        new = object.__new__(_Grids)
+        new.bits, new.wide, new.least = self.bits[at], self.wide[at], self.least[at]
+        return new
+
+    def near(self, other: _Grids) -> np.ndarray:
+        return (_common(self.bits, other.wide) >= self.least[:, None]) & (_common(self.wide, other.bits) >= other.least[None, :])
+
+    def sim(self, other: _Grids) -> np.ndarray:
+        return _coverage(self.bits, self.wide, other.bits, other.wide)
+
+
+def _tiles(n: int, m: int):
+    """Slices of n rows and m columns that cover all pairs."""
+    for i in range(0, n, TILE[0]):
+        for j in range(0, m, TILE[1]):
+            yield slice(i, i + TILE[0]), slice(j, j + TILE[1])
+
+
+def _pair_sums(x: DataFrame, keys: list[str], words: list[str], wides: list[str], threshold: float | None, tasks: int) -> DataFrame:
+    """``id, s``: for each grid the sum over all others of its key of the likeness, or of 1 where it is ``threshold`` or more.
+
+    A grid counts ``a_m`` times. Pairs stay in their tasks; a group of two blocks gives one row a grid.
+    """
+    x = _met(x.select(*keys, "a_id", "a_m", *words, *wides), keys, "a_id", STARS)
+    schema = T.StructType([T.StructField("id", x.schema["a_id"].dataType), T.StructField("s", T.DoubleType())])
+
+    def run(t: pa.Table) -> pa.Table:
+        at, m = t["block"].to_numpy(), t["a_m"].to_numpy().astype(np.float64)
+        g, out = _Grids(_bits(t, words), _bits(t, wides), threshold or 0.0), np.zeros(t.num_rows)
+        one = t["i"][0].as_py() == t["j"][0].as_py()
+        left = np.flatnonzero(at == t["i"][0].as_py())
+        right = left if one else np.flatnonzero(at == t["j"][0].as_py())
+        for i, j in _tiles(len(left), len(right)):
+            a, b = left[i], right[j]
+            v = g.of(a).sim(g.of(b)) if threshold is None else g.of(a).near(g.of(b)).astype(np.float64)
+            if one:
+                v[a[:, None] == b[None, :]] = 0.0
+            else:
+                out[b] += m[a] @ v
+            out[a] += v @ m[b]
+        return pa.table({"id": t["a_id"], "s": out})
+
+    of = [*keys, "i", "j"]
+    return x.repartition(tasks, *of).groupBy(*of).applyInArrow(run, schema).groupBy("id").agg(F.sum("s").alias("s"))
+
+
+def _stars(g: _Grids, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each grid the place of the one that takes it, and the neighbours which that one had: one choice after another.
+
+    ``n`` counts the neighbours of each grid at first, ``m`` how often it is there; of equals the first place is chosen. A
+    choice takes its free neighbours out of the counts of those left, so no list of pairs is kept.
+    """
+    lead, size, at, n, own = np.arange(len(n)), n.copy(), np.arange(len(n)), n.copy(), m
+    while len(at):
+        k = int(n.argmax())
+        if n[k] == 0:
+            break
+        taken = g.of([k]).near(g)[0]
+        taken[k] = True
+        lead[at[taken]], size[at[taken]] = at[k], n[k]
+        gone, weight = g.of(taken), own[taken].astype(np.float64)
+        left = ~taken
+        at, n, own, g = at[left], n[left], own[left], g.of(left)
+        less = np.zeros(len(at))
+        for i, j in _tiles(len(weight), len(at)):
+            less[j] += weight[i] @ gone.of(i).near(g.of(j)).astype(np.float64)
+        n = n - less.astype(np.int64)
+    size[at] = n
+    return lead, size
+
+
+def star_cluster_table(items: DataFrame, threshold: float = 0.88, n: int = 8, rows: int = 8) -> DataFrame:
+    """:func:`star_clusters` of fingerprints (``id, search, grid``; each id once), without weights; pairs are of one search band.
+
+    Pairs are never written, as their number grows with the square of the items: likeness is worked out where it is
+    needed. Equal grids of a band have the same neighbours and go together, so they are one row that counts so often. Neighbours
+    are counted by pairs of blocks in as many tasks; the choices of a band then run in one task, which holds its distinct
+    grids, some 50 bytes each; sums within groups are again taken by pairs of blocks.
+    """
+    tasks, keep = _tasks(items), F.col("grid").isNotNull() & F.col("search").isNotNull() & F.col("id").isNotNull()
+    x, xw, xd = _packed(items.filter(keep).select("id", "search", "grid"), n, rows, "a_")
+    self_ = F.when(F.greatest(F.lit(0), *[F.bit_count(c) for c in xw]) == 0, 0.0).otherwise(1.0)
+    alone = F.when(self_ < threshold, F.col("a_id"))  # an empty grid is not even like itself
+    same = Window.partitionBy("a_search", *xw, alone)
+    x = written(x.withColumns({"self": self_, "of": F.min("a_id").over(same)}))
+    grids = written(x.groupBy("of").agg(F.count(F.lit(1)).alias("a_m"), *[F.first(c).alias(c) for c in ("a_search", "self", *xw, *xd)]).withColumnRenamed("of", "a_id"))
+    counted = grids.join(_pair_sums(grids, ["a_search"], xw, xd, threshold, tasks).withColumnRenamed("id", "a_id"), "a_id").withColumn("n", F.col("s").cast("long") + F.col("a_m") - 1).drop("s")
+    kind = x.schema["a_id"].dataType
+    schema = T.StructType([T.StructField("a_id", kind), T.StructField("lead", kind), T.StructField("n", T.LongType())])
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("a_id")  # of equals the lesser id
+        lead, size = _stars(_Grids(_bits(t, xw), _bits(t, xd), threshold), t["n"].to_numpy(), t["a_m"].to_numpy())
+        return pa.table({"a_id": t["a_id"], "lead": t["a_id"].take(pa.array(lead)), "n": size})
+
+    taken = written(counted.repartition(tasks, "a_search").groupBy("a_search").applyInArrow(run, schema))
+    member = grids.join(taken, "a_id")
+    several = taken.groupBy("lead").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("lead")
+    sums = _pair_sums(member.join(several, "lead", "left_semi"), ["lead"], xw, xd, None, tasks).withColumnRenamed("id", "a_id")
+    total = F.coalesce("s", F.lit(0.0)) + (F.col("a_m") - 1) * F.col("self")
+    mean = F.round((total + 1) / (F.col("n") + 1), 4)
+    best = F.max(F.struct(mean.alias("m"), (-F.col("a_id")).alias("o"), F.col("a_id").alias("id"))).alias("r")
+    groups = member.join(sums, "a_id", "left").groupBy("lead").agg(best, F.first("n").alias("n")).select("lead", "n", F.col("r.id").alias("representative"))
+    lone = items.filter(~keep).select(F.col("id").alias("lead"), F.lit(0).cast("long").alias("n"), F.col("id").alias("representative"))
+    numbered = groups.unionByName(lone).withColumn("group_no", F.row_number().over(Window.orderBy(F.desc("n"), "lead")).cast("long"))  # one row a group
+    of = x.select(F.col("a_id").alias("id"), F.col("of").alias("a_id")).join(taken.select("a_id", "lead"), "a_id").select("lead", "id")
+    of = of.unionByName(items.filter(~keep).select(F.col("id").alias("lead"), "id"))
+    return of.join(numbered, "lead").select("group_no", "representative", "id")

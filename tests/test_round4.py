@@ -19,3 +19,26 @@ def test_first_feasible_with_missing_numbers_equals_its_sql(spark, sf_dir, tmp_p
     out = build(spark, str(tmp_path)).toPandas()
     same(out, con.execute(sql).df())
     assert out["l_linenumber"].isna().any()
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.0])
+def test_stars_of_fingerprints_write_no_pairs(spark, monkeypatch, threshold):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from rivulet.operators import matching
+
+    r = random.Random(5)
+    grids = [[r.getrandbits(8) & r.getrandbits(8) for _ in range(8)] for _ in range(25)] + [[0] * 8, [1] + [0] * 7, None]
+    rows = [(i, r.choice([12, 12, 30, 30, 30, None]), r.choice(grids)) for i in range(150)]
+    items = spark.createDataFrame(rows, "id long, search int, grid array<long>")
+    plain = items.select("id", F.lit(0.0).alias("weight"))
+    want = matching.star_clusters(plain, matching.pair_similarity(items, 0.0), threshold)
+    want = sorted(map(tuple, want.collect()))
+    counts, write = [], matching.written
+    monkeypatch.setattr(matching, "written", lambda df: (lambda t: (counts.append(t.count()), t)[1])(write(df)))
+    monkeypatch.setattr(matching, "STARS", 11, raising=False)  # many blocks of a band and of a group
+    got = sorted(map(tuple, matching.star_cluster_table(items, threshold).collect()))
+    assert got == want and len(got) == len(rows)
+    assert counts and max(counts) <= len(rows)  # what is written grows with the items, not with their pairs
