@@ -152,41 +152,44 @@ def removal_proof(source: DataFrame, removed: DataFrame, output: DataFrame, key:
     first_difference`` (place in the retained stream, from 0; null if equal) ``, retained_sha256``, the end of a chain of
     hashes over the retained stream's chunks. Removed places that the source lacks, or that come twice, make it unequal.
 
-    A stream may be long, so none is numbered in one window: places come from counts per chunk, summed over chunks, and row
-    numbers inside. Both sides' chunks are hashed; only a stream's first chunk that differs is compared row by row. Between
-    tasks hashes go as 32 bytes, not as text.
+    A stream may be long, so none is numbered in one window: places come from counts per chunk, summed over chunks, and
+    counts inside. All three lists pass as rows of one, and all steps group by the key and more and join nothing: where
+    the lists come dealt by the key, no row goes to another task. Pieces of both streams lie in one row, which tells the
+    first place that differs.
     """
-    gone = removed.groupBy(key, "idx").agg(F.count(F.lit(1)).alias("times"))
-    marked = source.select(key, "idx", "op").join(gone, [key, "idx"], "left")
-
-    def numbered(rows: DataFrame) -> DataFrame:
-        cut = rows.withColumn("part", F.floor(F.col("idx") / chunk))
-        sums = cut.groupBy(key, "part").agg(F.count(F.lit(1)).alias("n"))
-        before = F.coalesce(F.sum("n").over(Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        inside = F.row_number().over(Window.partitionBy(key, "part").orderBy("idx")) - 1
-        placed = cut.withColumn("inside", inside).join(sums.withColumn("before", before).drop("n"), [key, "part"])
-        return placed.select(key, (F.col("before") + F.col("inside")).alias("place"), F.unhex(F.sha2("op", 256)).alias("h")).withColumn("piece", F.floor(F.col("place") / chunk))
-
-    kept, got = numbered(marked.filter("times IS NULL")), numbered(output.select(key, "idx", "op"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "h"))), lambda x: F.lower(F.hex(x["h"]))), "")
-    pieces = lambda rows, name: rows.groupBy(key, "piece").agg(F.sha2(joined, 256).alias(name))
-    a, b = pieces(kept, "want"), pieces(got, "have")
-    first_piece = a.join(b, [key, "piece"], "full").filter(~F.col("want").eqNullSafe(F.col("have"))).groupBy(key).agg(F.min("piece").alias("piece"))
-    inside = kept.join(first_piece, [key, "piece"], "left_semi").select(key, "place", F.col("h").alias("want")).join(
-        got.join(first_piece, [key, "piece"], "left_semi").select(key, "place", F.col("h").alias("have")), [key, "place"], "full"
-    )
-    first = inside.filter(~F.col("want").eqNullSafe(F.col("have"))).groupBy(key).agg(F.min("place").alias("first_difference"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("piece", "want"))), lambda x: x["want"])
-    chain = a.groupBy(key).agg(F.aggregate(ordered, F.lit(""), lambda s, h: F.sha2(F.concat(s, h), 256)).alias("retained_sha256"))
-    counts = marked.groupBy(key).agg(F.count(F.lit(1)).alias("n_source"), F.count("times").alias("n_removed"))
-    asked = gone.groupBy(key).agg(F.sum("times").alias("asked"))
-    outs = output.groupBy(key).agg(F.count(F.lit(1)).alias("n_output"))
-    out = counts.join(asked, key, "left").join(outs, key, "full").join(first, key, "left").join(chain, key, "left")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return out.select(
-        key, zero("n_source").alias("n_source"), zero("n_removed").alias("n_removed"), zero("n_output").alias("n_output"),
-        (F.col("first_difference").isNull() & (zero("asked") == zero("n_removed"))).alias("equal"), "first_difference", "retained_sha256",
+    kinds = [(source, "op", 0), (removed, None, 1), (output, "op", 2)]
+    rows = [df.select(key, F.col("idx").cast("long").alias("idx"), (F.col(op) if op else F.lit(None).cast("string")).alias("op"), F.lit(k).alias("kind"), F.lit(None).cast("long").alias("before")) for df, op, k in kinds]
+    every = rows[0].unionByName(rows[1]).unionByName(rows[2]).withColumns({"out": F.col("kind") == 2, "part": F.floor(F.col("idx") / chunk)})
+    chunks = Window.partitionBy(key, "out", "part")
+    here = chunks.orderBy("idx").rangeBetween(Window.currentRow, Window.currentRow)
+
+    def flagged(df: DataFrame) -> DataFrame:
+        there = F.col("idx").isNotNull()  # rows of sums have no place either
+        gone = there & (F.sum((F.col("kind") == 1).cast("int")).over(here) > 0)
+        return df.withColumn("gone", gone).withColumn("kept", there & (F.col("out") | ((F.col("kind") == 0) & ~F.col("gone"))))
+
+    sums = flagged(every).groupBy(key, "out", "part").agg(F.sum(F.col("kept").cast("long")).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(key, "out").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    sums = sums.select(key, F.lit(None).cast("long").alias("idx"), F.lit(None).cast("string").alias("op"), F.lit(3).alias("kind"), before.alias("before"), "out", "part")
+    inside = F.sum(F.col("kept").cast("long")).over(chunks.orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1
+    placed = flagged(every.unionByName(sums)).withColumns({"inside": inside, "start": F.max("before").over(chunks)}).withColumn("place", F.when(F.col("kept"), F.col("start") + F.col("inside")))
+    placed = placed.select(key, "kind", "gone", "place", F.floor(F.col("place") / chunk).alias("piece"), F.when(F.col("kept"), F.unhex(F.sha2("op", 256))).alias("h"))
+    stream = lambda kind: F.transform(F.array_sort(F.collect_list(F.when(F.col("place").isNotNull() & (F.col("kind") == kind), F.struct("place", "h")))), lambda x: x["h"])
+    number = lambda c: F.sum(c.cast("long"))
+    pieces = placed.groupBy(key, "piece").agg(
+        stream(0).alias("want"), stream(2).alias("have"), number(F.col("kind") == 0).alias("n_source"), number((F.col("kind") == 0) & F.col("gone")).alias("n_removed"),
+        number(F.col("kind") == 1).alias("asked"), number(F.col("kind") == 2).alias("n_output"),
     )
+    unlike = F.filter(F.sequence(F.lit(0), F.greatest(F.size("want"), F.size("have")) - 1), lambda i: ~F.get("want", i).eqNullSafe(F.get("have", i)))
+    first = F.when(F.col("piece").isNotNull() & ~F.col("want").eqNullSafe(F.col("have")), F.col("piece") * chunk + F.get(unlike, 0))
+    joined = F.sha2(F.array_join(F.transform("want", lambda h: F.lower(F.hex(h))), ""), 256)
+    pieces = pieces.select(key, first.alias("first"), F.when(F.size("want") > 0, F.struct("piece", joined.alias("want"))).alias("want"), "n_source", "n_removed", "asked", "n_output")
+    ordered = F.transform(F.array_sort("wants"), lambda x: x["want"])
+    chain = F.when(F.size("wants") > 0, F.aggregate(ordered, F.lit(""), lambda s, h: F.sha2(F.concat(s, h), 256)))
+    out = pieces.groupBy(key).agg(F.min("first").alias("first_difference"), F.collect_list("want").alias("wants"), *[F.sum(c).alias(c) for c in ("n_source", "n_removed", "asked", "n_output")])
+    return out.filter("n_source > 0 OR n_output > 0").select(
+        key, "n_source", "n_removed", "n_output", (F.col("first_difference").isNull() & (F.col("asked") == F.col("n_removed"))).alias("equal"), "first_difference", chain.alias("retained_sha256")
+    )
 
 
 def target_findings(source: DataFrame, targets: DataFrame, removed: DataFrame, key: str) -> DataFrame:
